@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -14,22 +15,28 @@ from millrace.llm.scratch import fresh
 from millrace.llm.text import unit_hash
 
 #: Bytes of raw content that a language's dictionary holds at most.
-DICTIONARY_BYTES = 96 << 10
+DICTIONARY_BYTES = 256 << 10
+#: Bytes that all dictionaries hold together at most; with many languages each gets less.
+ALL_BYTES = 32 << 20
 #: Code points of one labelled text that go into a dictionary at most (of the fitting sample only).
 SAMPLE_CHARS = 2000
 #: Languages learned at most, the ones with most labelled rows.
 MAX_LANGUAGES = 256
 #: Texts are encoded in blocks of so many bytes, so that the dictionary stays in reach.
 BLOCK_BYTES = 32 << 10
-LEVEL = 3
+LEVEL = 6
 #: Below this share of the second size, the lead of the best language is too narrow.
-MIN_MARGIN = 0.005
+MIN_MARGIN = 0.01
 
 UNKNOWN = "und"
 
 
+_OTHER = re.compile(r"[\W\d_]+")
+
+
 def _normal(text: str) -> bytes:
-    return (" " + " ".join(text.lower().split()) + " ").encode()
+    """The letters of a text in lower case, its other characters as single spaces."""
+    return f" {_OTHER.sub(' ', text.lower()).strip()} ".encode()
 
 
 def learn(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", where: Column | None = None, dictionary_bytes: int = DICTIONARY_BYTES) -> dict[str, bytes]:
@@ -45,6 +52,7 @@ def learn(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", where
     sizes = {r["lang"]: r["bytes"] for r in sizes.orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect() if r["bytes"]}
     if not sizes:
         return {}
+    dictionary_bytes = min(dictionary_bytes, ALL_BYTES // len(sizes))
     share = F.create_map(*[F.lit(x) for k, v in sizes.items() for x in (k, min(1.0, 3 * dictionary_bytes / v))])
     pick = unit_hash("text", seed="language sample")
     picked = rows.withColumn("__u", pick).where(F.col("__u") < F.coalesce(share[F.col("lang")], F.lit(0.0)))
