@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from millrace.plans import analytics, features, modelling, preparation
+from millrace.plans.registry import Query
 
-def queries() -> dict:
-    return {}
+MODULES = (preparation, features, analytics, modelling)
+
+
+def queries() -> dict[str, Query]:
+    return {name: q for m in MODULES for name, q in m.R.queries.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {name: q for m in MODULES for name, q in m.R.oracles.items()}
