@@ -4,8 +4,8 @@
 _QUALITY = r"""
 with base as (
   select doc_id, lang, source, coalesce(text, '') as t,
-         list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') as w,
-         list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) as l
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as l
   from documents),
 grams as (
   select doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] as g
@@ -16,7 +16,7 @@ covered as (
   from (select g.doc_id, unnest([g.i, g.i + 1, g.i + 2]) as p from grams g join twice using (doc_id, g)) x group by doc_id),
 m as (
   select b.doc_id, lang, source, cast(len(w) as bigint) as n_words,
-         cast(coalesce(list_sum(list_transform(w, x -> length(x))), 0) as bigint) as word_chars,
+         cast(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) as bigint) as word_chars,
          cast(length(t) - length(translate(t, '#*$%&|<>', '')) as bigint) as n_symbols,
          cast(len(l) - len(list_distinct(l)) as bigint) as n_dup_lines,
          coalesce(n_repeat_words, 0) as n_repeat_words, len(l) as n_lines
@@ -61,15 +61,5 @@ select doc_id, count(*) as n_lines, cast(sum(case when gone then 1 else 0 end) a
 from j group by doc_id
 """
 
-_WARC = """
-with p as (
-  select page_id, coalesce(html, '') as h, max(page_id) over (partition by coalesce(html, '')) as last from pages)
-select page_id, cast(strlen(h) as bigint) as payload_bytes, sha1(h) as payload_sha1,
-       case when page_id = last then 'response' else 'revisit' end as record_type,
-       case when page_id <> last then last end as refers_to
-from p
-"""
-
-
 def oracle_sql() -> dict[str, str]:
     return {"op3_quality_rules": _QUALITY, "op8_line_dedup": _LINES}
