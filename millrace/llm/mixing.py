@@ -76,7 +76,7 @@ def target_sizes(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int
     return rows.withColumn("level", level).select("source", "source_size", "n_docs", "weight", F.least(cap, F.coalesce(F.col("level") * F.col("weight"), cap)).alias("target"))
 
 
-def _cut(sizes: DataFrame, targets: DataFrame) -> Mix:
+def _cut(sizes: DataFrame, targets: DataFrame, most: int = MOST) -> Mix:
     share = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     sources = targets.withColumn("copies", F.floor(share + 1e-12).cast("int"))
     sources = sources.withColumns({"missing": F.greatest(F.lit(0), F.round(F.col("target") - F.col("copies") * F.col("source_size"))).cast("long"), "parts": F.greatest(F.lit(1), F.least(F.lit(PARTS), F.floor(F.col("n_docs") / PART_ROWS))).cast("int")})
@@ -93,18 +93,19 @@ def _cut(sizes: DataFrame, targets: DataFrame) -> Mix:
     sources = sources.join(cuts, F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
     sources = sources.join(before.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
     sources = materialize(sources.withColumns({"cut": F.coalesce("cut", F.lit(0)), "taken_before": F.coalesce("taken_before", F.lit(0))}), "mix-sources")
-    # documents of the part at the cut and of the next: in rank order while they fit, then again those that fit in the gap
+    # documents of the part at the cut and of the next: in rank order while they fit, then again those that fit in the
+    # gap, and what is left (where only long documents are) by a second copy of short ones, within the most
     edge = _placed(sizes.where("size > 0"), sources).where("part between cut and cut + 1")
-    edge = edge.select("source", "key", "size", "rank", (F.col("missing") - F.col("taken_before")).alias("gap")).withColumn("chosen", F.lit(False))
+    edge = edge.select("source", "key", "size", "rank", "copies", (F.col("missing") - F.col("taken_before")).alias("gap")).withColumn("extra", F.lit(0))
     ordered = W.partitionBy("source").orderBy("rank", "key").rowsBetween(W.unboundedPreceding, 0)
     whole = W.partitionBy("source")
-    for _ in range(FILLS):
-        fits = ~F.col("chosen") & (F.col("size") <= F.col("gap"))
+    for had in (0,) * FILLS + (1,) * FILLS:
+        fits = (F.col("extra") == had) & (F.col("copies") + had < most) & (F.col("size") <= F.col("gap"))
         running = F.sum(F.when(fits, F.col("size")).otherwise(F.lit(0))).over(ordered)
         edge = edge.withColumn("now", fits & (running <= F.col("gap")))
         spent = F.coalesce(F.sum(F.when(F.col("now"), F.col("size"))).over(whole), F.lit(0))
-        edge = edge.withColumn("gap", F.col("gap") - spent).withColumn("chosen", F.col("chosen") | F.col("now")).drop("now")
-    edge = materialize(edge.groupBy("source", "key").agg(F.max("chosen").alias("chosen")), "mix-edge")
+        edge = edge.withColumn("gap", F.col("gap") - spent).withColumn("extra", F.col("extra") + F.col("now").cast("int")).drop("now")
+    edge = materialize(edge.groupBy("source", "key").agg(F.max("extra").alias("extra")), "mix-edge")
     return Mix(sources, edge)
 
 
@@ -118,10 +119,10 @@ def _placed(sizes: DataFrame, sources: DataFrame) -> DataFrame:
 
 def _taken(sizes: DataFrame, mix: Mix) -> DataFrame:
     """``sizes`` with ``source_size, target, copies`` of each row."""
-    edge = mix.edge.select(F.col("source").alias("__source"), F.col("key").alias("__key"), F.col("chosen").alias("__chosen"))
+    edge = mix.edge.select(F.col("source").alias("__source"), F.col("key").alias("__key"), F.col("extra").alias("__extra"))
     rows = _placed(sizes, mix.sources)
     rows = rows.join(edge, F.col("source").eqNullSafe(F.col("__source")) & (F.col("key") == F.col("__key")), "left")
-    extra = F.when(F.col("part") < F.col("cut"), F.lit(1)).when(F.coalesce("__chosen", F.lit(False)), F.lit(1)).otherwise(F.lit(0))
+    extra = F.when(F.col("part") < F.col("cut"), F.lit(1)).otherwise(F.coalesce("__extra", F.lit(0)))
     extra = F.when((F.col("size") > 0) & (F.col("missing") > 0), extra).otherwise(F.lit(0))
     return rows.withColumn("copies", (F.col("copies") + extra).cast("int"))
 
@@ -130,13 +131,14 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     """Return ``id, source, size, source_size, target, copies, taken`` for each row of ``docs``.
 
     Each source is taken ``copies`` times whole for certain (target over size, rounded down); of the words that are
-    then missing, documents are taken once more in Pareto order until the words are reached, and what no next document
-    fits is filled from those that follow. ``taken`` is copies times size. The choice depends on id and text alone, so
+    then missing, documents are taken once more in Pareto order until the words are reached; what no next document fits
+    is filled from those that follow, at last by a second copy of some. ``taken`` is copies times size, and a document is
+    never taken more than ``most`` times. The choice depends on id and text alone, so
     reruns agree and a lost executor's rows come out the same. Null and empty texts have size 0 and take nothing; a
     null source is a source; rows that repeat id and text are taken alike; an empty table gives an empty result.
     """
     sizes = materialize(docs.select(*[c.alias(n) for n, c in _measured(docs, id_col, text_col, source_col).items()]), "mix-sizes")
-    plan = _cut(sizes, target_sizes(sizes, weights, most))
+    plan = _cut(sizes, target_sizes(sizes, weights, most), most)
     return _taken(sizes, plan).select("id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
 
 
@@ -144,7 +146,7 @@ def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """The rows of ``docs`` as often as the mix takes them, with the columns as they came; texts are not shuffled."""
     measured = _measured(docs, id_col, text_col, source_col)
     sizes = materialize(docs.select(*[c.alias(n) for n, c in measured.items()]), "mix-sizes")
-    plan = _cut(sizes, target_sizes(sizes, weights, most))
+    plan = _cut(sizes, target_sizes(sizes, weights, most), most)
     row = fresh(docs, "__row")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(row), *[c.alias(n) for n, c in measured.items()])
     taken = _taken(rows, plan).where("copies > 0")
