@@ -22,7 +22,7 @@ class TfidfConfig:
 
 def text_tokens(c: Column, bigrams: bool = True) -> Column:
     """Lower-case words of two word characters or more, and their neighbouring pairs; null has none."""
-    words = F.regexp_extract_all(F.lower(F.coalesce(c, F.lit(""))), F.lit(r"(?U)\b(\w\w+)\b"), 1)
+    words = F.regexp_extract_all(F.lower(F.coalesce(c, F.lit(""))), F.lit(r"[\p{L}\p{N}_]{2,}"), 0)
     # neighbours by zipping two slices: a lambda that looks into ``words`` would make the words anew for each of them
     n = F.greatest(F.size(words) - 1, F.lit(0))
     return F.concat(words, F.zip_with(F.slice(words, 1, n), F.slice(words, 2, n), lambda a, b: F.concat_ws(" ", a, b))) if bigrams else words
@@ -132,7 +132,7 @@ def feature_pipeline(train: DataFrame, s: FeatureSet) -> PipelineModel:
         stages.append(VectorAssembler(inputCols=[f"n_{c}" for c in s.numbers], outputCol="numbers"))
         parts.append("numbers")
     if s.text:
-        words = f"regexp_extract_all(lower(coalesce(`{s.text}`, '')), '(?U)\\\\b(\\\\w\\\\w+)\\\\b', 1)"
+        words = f"regexp_extract_all(lower(coalesce(`{s.text}`, '')), '[\\\\p{{L}}\\\\p{{N}}_]{{2,}}', 0)"
         stages.append(_column_sql("t_words", words))
         stages.append(_column_sql("t_terms", "concat(t_words, zip_with(slice(t_words, 1, greatest(size(t_words) - 1, 0)), slice(t_words, 2, greatest(size(t_words) - 1, 0)), (a, b) -> concat_ws(' ', a, b)))"))
         stages += _tfidf_stages("t_terms", "text_vector", s)
