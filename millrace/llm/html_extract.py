@@ -226,8 +226,8 @@ def _affinities(blocks: list[Block], w: Weights) -> list[float]:
         s = w.bias + w.length * math.log2(1 + n) - w.link_density * b.link_share
         s += w.sentence * (b.text[-1] in ".!?…\"”»:;" and n > 3)
         s += w.paragraph * (b.tag in ("p", "pre", "blockquote", "li", "td", "dd", "figcaption")) + w.heading * (b.tag in HEADINGS)
-        s += w.bad_region * b.bad + w.good_region * b.good
-        if main is not None:
+        s += w.bad_region if b.bad else w.good_region * b.good
+        if main is not None and not b.bad:
             s += w.in_article if b.article == main or main in b.path else w.outside_article
         out.append(s)
     return out

@@ -103,20 +103,13 @@ def read_records(stream) -> Iterator[bytes]:
     else:
         context, held = zstandard.ZstdDecompressor(), start
     frame, parts = context.decompressobj(), []
-    while True:
-        chunk = held or stream.read(1 << 18)
-        held = b""
-        if not chunk:
-            break
+    while chunk := held or stream.read(1 << 18):
         parts.append(frame.decompress(chunk))
-        while frame.eof:
+        held = b""
+        if frame.eof:
             yield b"".join(parts)
             held, frame, parts = frame.unused_data, context.decompressobj(), []
-            if not held:
-                break
-            parts.append(frame.decompress(held))
-            held = b""
-    if any(parts):
+    if parts:
         raise ValueError("the archive ends within a record")
 
 
