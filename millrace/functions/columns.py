@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Texts that are true.
 TRUTHY = ("1", "1.0", "true", "t", "yes", "y")
@@ -33,13 +34,13 @@ def epoch_ms(c: Column) -> Column:
     return F.coalesce(F.timestamp_millis(c.try_cast("double").try_cast("bigint")), F.try_to_timestamp(c.cast("string")))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def nfkc(texts: pd.Series) -> pd.Series:
     """Unicode NFKC, which Spark SQL has no function for; a batch at a time."""
     return texts.str.normalize("NFKC")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def without_marks(texts: pd.Series) -> pd.Series:
     """Letters without their combining marks."""
     return texts.str.normalize("NFKD").str.replace(r"[̀-ͯ᪰-᫿᷀-᷿⃐-⃿︠-︯]", "", regex=True)

@@ -57,11 +57,11 @@ def standardize_datetimes(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.withColumns({c: C.epoch_ms(F.col(f"`{c}`")) for c in columns if not isinstance(df.schema[c].dataType, T.TimestampType)})
 
 
-def fill_missing(df: DataFrame, strategies: dict[str, str], constants: dict[str, object] | None = None, number_fill: float = -1.0, text_fill: str = "UNKNOWN", mode_limit: int = 100) -> DataFrame:
+def fill_missing(df: DataFrame, strategies: dict[str, str], constants: dict[str, object] | None = None, number_fill: float = -1.0, text_fill: str = "UNKNOWN", mode_limit: int = 100, accuracy: int | None = None) -> DataFrame:
     """Fill nulls by ``strategies``: leave, median, mode (skipped above ``mode_limit`` distinct values) or constant.
 
     One aggregate finds all medians, modes and distinct counts; only its single row reaches the driver. The mode of
-    equals is the smallest value.
+    equals is the smallest value. Exact medians count the distinct values; ``accuracy`` takes a sketch instead.
     """
     constants = constants or {}
     kinds = {f.name: f.dataType for f in df.schema.fields}
@@ -70,7 +70,7 @@ def fill_missing(df: DataFrame, strategies: dict[str, str], constants: dict[str,
     for c, s in wanted.items():
         col = F.col(f"`{c}`")
         if s == "median":
-            aggs.append(F.median(col.cast("double")).alias(f"median {c}"))
+            aggs.append((F.median(col.cast("double")) if accuracy is None else F.percentile_approx(col.cast("double"), 0.5, accuracy)).alias(f"median {c}"))
         elif s == "mode":
             aggs += [F.mode(col, True).alias(f"mode {c}"), F.approx_count_distinct(col).alias(f"distinct {c}")]
     row = df.agg(*aggs).first() if aggs else None

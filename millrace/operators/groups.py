@@ -10,6 +10,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.operators import ordered
+from millrace.operators.ordered import running_counts
+
 
 def value_counts(df: DataFrame, col: str, n: int | None = None) -> DataFrame:
     """``value, n`` of non-null values; the ``n`` most frequent (of equals the smallest) if asked for."""
@@ -17,23 +20,32 @@ def value_counts(df: DataFrame, col: str, n: int | None = None) -> DataFrame:
     return counts.orderBy(F.desc("n"), "value").limit(n) if n else counts
 
 
-def group_stats(df: DataFrame, by: str, value: str, support: int = 1, top: int | None = None) -> DataFrame:
-    """``by, n, mean, median`` of groups with ``support`` values or more; the ``top`` by median if asked for."""
-    out = df.groupBy(by).agg(F.count(value).alias("n"), F.avg(value).alias("mean"), F.median(value).alias("median")).where(F.col("n") >= support)
+def middle(value: str | Column, share: float = 0.5, accuracy: int | None = None) -> Column:
+    """A percentile aggregate: exact (which keeps a count a distinct value of the group), or a sketch of ``accuracy``."""
+    c = F.col(value) if isinstance(value, str) else value
+    return F.percentile(c, share) if accuracy is None else F.percentile_approx(c, share, accuracy)
+
+
+def group_stats(df: DataFrame, by: str, value: str, support: int = 1, top: int | None = None, accuracy: int | None = None) -> DataFrame:
+    """``by, n, mean, median`` of groups with ``support`` values or more; the ``top`` by median if asked for.
+
+    Give ``accuracy`` where a group has too many distinct values to count them in one task.
+    """
+    out = df.groupBy(by).agg(F.count(value).alias("n"), F.avg(value).alias("mean"), middle(value, 0.5, accuracy).alias("median")).where(F.col("n") >= support)
     return out.orderBy(F.desc("median"), by).limit(top) if top else out
 
 
-def group_quartiles(df: DataFrame, by: str, value: str) -> DataFrame:
+def group_quartiles(df: DataFrame, by: str, value: str, accuracy: int | None = None) -> DataFrame:
     """``by, n, q1, median, q3, iqr, std``."""
-    q = F.percentile(value, [0.25, 0.5, 0.75])
-    out = df.groupBy(by).agg(F.count(value).alias("n"), q.alias("q"), F.stddev_samp(value).alias("std"))
-    return out.select(by, "n", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"), (F.col("q")[2] - F.col("q")[0]).alias("iqr"), "std")
+    q1, q2, q3 = (middle(value, s, accuracy) for s in (0.25, 0.5, 0.75))
+    out = df.groupBy(by).agg(F.count(value).alias("n"), q1.alias("q1"), q2.alias("median"), q3.alias("q3"), F.stddev_samp(value).alias("std"))
+    return out.select(by, "n", "q1", "median", "q3", (F.col("q3") - F.col("q1")).alias("iqr"), "std")
 
 
-def median_vs_overall(df: DataFrame, by: str, value: str) -> DataFrame:
+def median_vs_overall(df: DataFrame, by: str, value: str, accuracy: int | None = None) -> DataFrame:
     """``by, median, overall, pct``: a group's median as a percent above the median of all."""
-    one = df.agg(F.median(value).alias("overall")).withColumn("k", F.lit(1))
-    out = df.groupBy(by).agg(F.median(value).alias("median")).withColumn("k", F.lit(1)).join(one, "k").drop("k")
+    every = ordered.quantiles(df, value, [0.5])
+    out = df.groupBy(by).agg(middle(value, 0.5, accuracy).alias("median")).withColumn("overall", F.lit(every[0] if every else None).cast("double"))
     return out.withColumn("pct", 100 * (F.try_divide(F.col("median"), F.col("overall")) - 1))
 
 
@@ -149,14 +161,10 @@ def key_cardinality(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def average_ranks(df: DataFrame, col: str, out: str) -> DataFrame:
-    """``df`` with the rank of ``col``, ties sharing their mean rank; null values have none.
-
-    Values are counted first, and the running sum is over a row a distinct value, not over all rows.
-    """
-    counts = df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("__v")).agg(F.count("*").alias("__n"))
-    upto = F.sum("__n").over(W.partitionBy(F.lit(0)).orderBy("__v"))
-    ranks = counts.select("__v", (upto - F.col("__n") + (F.col("__n") + 1) / 2).alias(out))
-    return df.join(ranks, F.col(col) == F.col("__v"), "left").drop("__v")
+    """``df`` with the rank of ``col``, ties sharing their mean rank; null values have none."""
+    counts = running_counts(ordered.value_counts(df, col))
+    ranks = counts.select(F.col("v").alias("__v"), (F.col("upto") - F.col("n") + (F.col("n") + 1) / 2).alias(out))
+    return df.join(ranks, F.col(col).cast("double") == F.col("__v"), "left").drop("__v")
 
 
 def correlations(df: DataFrame, columns: list[str], method: str = "pearson") -> DataFrame:

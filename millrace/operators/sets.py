@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.ordered import quantiles, running_counts, value_counts
+
 
 def key_overlap(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
     """``both, only_left, only_right, left_in_right_pct, right_in_left_pct`` of the distinct non-null keys.
@@ -58,17 +60,16 @@ def repeated_across(df: DataFrame, keys: list[str], version: str) -> DataFrame:
 
 def clip_percentiles(df: DataFrame, col: str, low: float = 0.01, high: float = 0.99, by: str | None = None) -> DataFrame:
     """Rows between two percentiles of ``col`` (linear between values, bounds included), of each group if ``by``."""
-    q = F.percentile(col, [low, high])
-    limits = df.groupBy(*([by] if by else [])).agg(q.alias("__q"))
     if by:
+        limits = df.groupBy(by).agg(F.percentile(col, [low, high]).alias("__q"))
         return df.join(limits.withColumnRenamed(by, "__by"), F.col(by).eqNullSafe(F.col("__by"))).where(F.col(col).between(F.col("__q")[0], F.col("__q")[1])).drop("__q", "__by")
-    one = limits.first()["__q"]  # two numbers
+    one = quantiles(df, col, [low, high])
     return df.where(F.col(col).between(*one)) if one else df.limit(0)
 
 
 def iqr_outliers(df: DataFrame, col: str, reach: float = 1.5) -> DataFrame:
     """``q1, q3, low_fence, high_fence, outliers, pct``."""
-    q = df.agg(F.percentile(col, [0.25, 0.75]).alias("q")).first()["q"]  # two numbers
+    q = quantiles(df, col, [0.25, 0.75])
     if q is None:
         return df.sparkSession.createDataFrame([], "q1 double, q3 double, low_fence double, high_fence double, outliers long, pct double")
     lo, hi = q[0] - reach * (q[1] - q[0]), q[1] + reach * (q[1] - q[0])
@@ -88,12 +89,8 @@ def close_share(df: DataFrame, a: Column, b: Column, within: float = 1.0) -> Dat
 
 
 def ecdf(df: DataFrame, col: str) -> DataFrame:
-    """``value, share``: the share of rows up to each distinct value; a running sum over values, not over rows."""
-    from pyspark.sql import Window as W
-
-    counts = df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("value")).agg(F.count("*").alias("n"))
-    every = W.partitionBy(F.lit(0))
-    return counts.select("value", (F.sum("n").over(every.orderBy("value")) / F.sum("n").over(every)).alias("share"))
+    """``value, share``: the share of rows up to each distinct value."""
+    return running_counts(value_counts(df, col)).select(F.col("v").alias("value"), (F.col("upto") / F.col("total")).alias("share"))
 
 
 def extremes(df: DataFrame, col: str, n: int, ties: str, low: bool = False) -> DataFrame:

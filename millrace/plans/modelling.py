@@ -36,13 +36,13 @@ def multihot(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _lines(spark: SparkSession, d: str) -> DataFrame:
-    """Line items with their part and a split by part, so that no part is in two splits."""
-    part = table(spark, d, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
+    """Line items with their part, a price to learn, and a split by part, so that no part is in two splits."""
+    part = table(spark, d, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice")
     rows = table(spark, d, "lineitem").join(part, F.col("l_partkey") == F.col("p_partkey"))
     k = F.col("p_partkey") % 10
     return rows.select(
         "l_orderkey", "l_linenumber", "p_partkey", F.col("p_name").alias("title"), F.regexp_replace("p_name", " ", "|").alias("skill_list"), "p_brand", "p_type", F.col("p_size").cast("double").alias("p_size"),
-        "l_quantity", "l_returnflag", F.log1p("l_extendedprice").alias("target_log_salary"), F.when(k < 2, "test").when(k == 2, "validation").otherwise("train").alias("split"),
+        "l_quantity", "l_returnflag", F.log1p(F.col("l_quantity") * F.col("p_retailprice") * (1 - F.col("l_discount"))).alias("target_log_salary"), F.when(k < 2, "test").when(k == 2, "validation").otherwise("train").alias("split"),
     )
 
 
@@ -54,7 +54,7 @@ def _parts(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame
 CATEGORIES, NUMBERS = ("p_brand", "p_type", "l_returnflag"), ("l_quantity", "p_size")
 
 
-@R.add("""with x as (select ln(1 + l_extendedprice) as y, l_partkey % 10 as k from lineitem join part on l_partkey = p_partkey), m as (select median(y) as p from x where k > 2), v as (select y, p from x, m where k = 2)
+@R.add("""with x as (select ln(1 + l_quantity * p_retailprice * (1 - l_discount)) as y, l_partkey % 10 as k from lineitem join part on l_partkey = p_partkey), m as (select median(y) as p from x where k > 2), v as (select y, p from x, m where k = 2)
 select round(avg(abs(exp(y) - exp(p))), 2) as mae, round(sqrt(avg(pow(exp(y) - exp(p), 2))), 2) as rmse, round(1 - sum(pow(exp(y) - exp(p), 2)) / (var_pop(exp(y) - 1) * count(*)), 4) as r2, count(*) as n from v""")
 def median_baseline(spark: SparkSession, d: str) -> DataFrame:
     train, validation, _ = _parts(spark, d)
