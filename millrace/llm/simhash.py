@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,16 +21,29 @@ TILE = 512
 GROUP_ROWS = 4096
 
 
-def fingerprint(text: str | None, shingle: int = 3) -> int:
-    """SimHash of ``text``: A-Z lowered, words split at space and U+0009-U+000D, ``shingle`` words joined by a space.
+def _votes(h: np.ndarray) -> np.ndarray:
+    """How many of the 64-bit hashes have each bit set; sums of 255 rows fit a byte."""
+    rows = -len(h) % 255
+    bits = np.unpackbits(np.concatenate([h, np.zeros(rows, h.dtype)]).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    return np.add.reduce(bits.reshape(-1, 255, 64), axis=1, dtype=np.uint8).sum(axis=0, dtype=np.int64)
 
-    Fewer words than ``shingle`` are one shingle; no word (or null) gives 0. A bit is set if it is set in over half of
-    the shingles' XXH64 values (seed 42), repeats counted.
-    """
+
+def _lane(h: np.ndarray, k: int) -> np.ndarray:
+    """The k-th independent hash made of a hash; the first is the hash itself."""
+    if k == 0:
+        return h
+    x = h + np.uint64(k * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def signature(text: str | None, shingle: int, lanes: int) -> np.ndarray:
+    """``lanes`` independent fingerprints of a text; see ``fingerprint``."""
     # bytes.lower and bytes.split treat exactly A-Z and exactly these six characters
     tokens = (text or "").encode().lower().split()
     if not tokens:
-        return 0
+        return np.zeros(lanes, np.uint64)
     joined = b" ".join(tokens)
     ends = np.cumsum([len(t) + 1 for t in tokens]) - 1
     if len(tokens) <= shingle:
@@ -38,13 +52,22 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
         starts = [0, *(ends[: len(tokens) - shingle] + 1).tolist()]
         stops = ends[shingle - 1 :].tolist()
     digest = xxhash.xxh64_intdigest
-    counts = np.zeros(64, np.int64)
+    counts = np.zeros((lanes, 64), np.int64)
     step = 1 << 16  # bounds the memory that a very long text takes
     for k in range(0, len(starts), step):
         h = np.array([digest(joined[i:j], 42) for i, j in zip(starts[k : k + step], stops[k : k + step])], "<u8")
-        counts += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    bits = np.packbits(counts * 2 > len(starts), bitorder="little")
-    return int(bits.view("<u8")[0])
+        for lane in range(lanes):
+            counts[lane] += _votes(_lane(h, lane))
+    return np.packbits(counts * 2 > len(starts), axis=1, bitorder="little").view("<u8").reshape(-1)
+
+
+def fingerprint(text: str | None, shingle: int = 3) -> int:
+    """SimHash of ``text``: A-Z lowered, words split at space and U+0009-U+000D, ``shingle`` words joined by a space.
+
+    Fewer words than ``shingle`` are one shingle; no word (or null) gives 0. A bit is set if it is set in over half of
+    the shingles' XXH64 values (seed 42), repeats counted.
+    """
+    return int(signature(text, shingle, 1)[0])
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
@@ -61,12 +84,14 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def tile_links(fp: np.ndarray, radius: int) -> list[tuple[int, int]]:
     """Spanning links (positions) of all pairs of ``fp`` within ``radius``, by exclusive-or and bit counts of tiles.
 
+    ``fp`` has a row of one or more 64-bit words for each fingerprint.
+
     Rows are ordered by population count; a pair of tiles whose counts lie further apart than ``radius`` is skipped.
     """
-    fp = fp.view(np.uint64)
-    pops = np.bitwise_count(fp)
+    fp = fp.view(np.uint64).reshape(len(fp), -1)
+    pops = np.bitwise_count(fp).sum(axis=1, dtype=np.int64)
     order = np.argsort(pops, kind="stable")
-    fp, pops = fp[order], pops[order].astype(np.int64)
+    fp, pops = fp[order], pops[order]
     forest = Forest(len(fp))
     for i in range(0, len(fp), TILE):
         left = fp[i : i + TILE]
@@ -74,7 +99,11 @@ def tile_links(fp: np.ndarray, radius: int) -> list[tuple[int, int]]:
         for j in range(i, len(fp), TILE):
             if pops[j] - top > radius:
                 break
-            near = np.bitwise_count(left[:, None] ^ fp[None, j : j + TILE]) <= radius
+            right = fp[j : j + TILE]
+            far = np.zeros((len(left), len(right)), np.uint16)
+            for lane in range(fp.shape[1]):
+                far += np.bitwise_count(left[:, lane, None] ^ right[None, :, lane])
+            near = far <= radius
             if i == j:
                 near &= np.triu(np.ones(near.shape, bool), 1)
             x, y = np.nonzero(near)
@@ -118,7 +147,7 @@ def near_links(distinct_fp: DataFrame, radius: int) -> DataFrame:
     return even.unionByName(paired).groupBy("band", "value", "tile").applyInPandas(link, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, radius: int = 3) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 2) -> DataFrame:
     """Return ``id, fp, component_id`` for each row of ``docs``: its fingerprint and the smallest id reachable by links.
 
     Two fingerprints link at ``radius`` or fewer differing bits. Null and empty texts have fingerprint 0 and link like
@@ -128,23 +157,116 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     prints = materialize(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
     nodes = materialize(prints.groupBy("fp").agg(F.min("id").alias("first"), F.count("*").alias("rows")), "nodes")
-    joined = materialize(connected_components(near_links(nodes.select("fp"), radius)), "joined")
+    return _grouped(prints, nodes, "fp", near_links(nodes.select("fp"), radius))
+
+
+def _grouped(prints: DataFrame, nodes: DataFrame, node: str, links: DataFrame) -> DataFrame:
+    """``prints`` with ``component_id``, from the links between ``nodes`` (``node, first, rows``)."""
+    joined = materialize(connected_components(links), "joined")
     roots = joined.select("node", "component").unionByName(joined.select(F.col("component").alias("node"), "component")).distinct()
-    linked = nodes.join(roots, nodes.fp == roots.node).select("fp", "first", "component")
+    linked = nodes.join(roots, nodes[node] == roots.node).select(nodes[node], "first", "component")
     lows = linked.groupBy("component").agg(F.min("first").alias("low"))
-    linked = linked.join(lows, "component").select("fp", "low")
-    copies = nodes.where("rows > 1").select("fp", "first").join(linked.select("fp"), "fp", "left_anti").select("fp", F.col("first").alias("low"))
+    linked = linked.join(lows, "component").select(node, "low")
+    copies = nodes.where("rows > 1").select(node, "first").join(linked.select(node), node, "left_anti").select(node, F.col("first").alias("low"))
     groups = linked.unionByName(copies)
-    return prints.join(groups, "fp", "left").select("id", "fp", F.when(F.col("fp").isNotNull() & F.col("low").isNotNull(), F.col("low")).otherwise(F.col("id")).alias("component_id"))
+    return prints.join(groups, node, "left").select("id", node, F.coalesce("low", "id").alias("component_id"))
+
+
+# --- documents of a given similarity --------------------------------------------------------------------------------
+
+#: 64-bit words of a signature, rows that a table's bucket should hold, and the share of pairs at the similarity to find.
+LANES, BUCKET_ROWS, RECALL = 6, 512, 0.99
+
+
+def _angle(similarity: float) -> float:
+    """Share of bits in which the signatures of two documents differ, whose shingle sets have this Jaccard similarity."""
+    return math.acos(2 * similarity / (1 + similarity)) / math.pi
+
+
+def signature_radius(similarity: float, lanes: int = LANES) -> int:
+    """The bits that differ at ``similarity``, and two standard deviations more, so that few such pairs are missed."""
+    share, bits = _angle(similarity), 64 * lanes
+    return round(share * bits + 2 * math.sqrt(bits * share * (1 - share)))
+
+
+def table_plan(n: int, similarity: float, lanes: int = LANES) -> list[np.ndarray]:
+    """Bits of each table: so many that a bucket holds about BUCKET_ROWS of ``n`` rows, and so many tables that a pair at
+    ``similarity`` shares a bucket with probability RECALL."""
+    width = max(8, math.ceil(math.log2(max(2, n / BUCKET_ROWS))))
+    tables = math.ceil(math.log(1 - RECALL) / math.log(1 - (1 - _angle(similarity)) ** width))
+    rng = np.random.default_rng(11)
+    order = np.concatenate([rng.permutation(64 * lanes) for _ in range(1 + tables * width // (64 * lanes))])
+    return [order[k * width : (k + 1) * width] for k in range(tables)]
+
+
+def _signatures(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [signature(t.as_py(), shingle, LANES).tobytes() for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], names=["id", "sig"])
+
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, "id long, sig binary")
+    return rows.withColumn("node", F.xxhash64("sig"))
+
+
+def _signature_links(nodes: DataFrame, similarity: float) -> DataFrame:
+    """Links ``a, b`` that connect the signatures within the radius which share a bucket of a table.
+
+    Buckets are dealt into groups of about GROUP_ROWS; one with more than twice as many rows is dealt over pairs of
+    tiles, so that no task holds it whole. Signatures of unrelated texts lie far beyond the radius.
+    """
+    n = nodes.count()
+    plan, radius, groups = table_plan(n, similarity), signature_radius(similarity), max(1, -(-n // GROUP_ROWS))
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for start in range(0, whole.num_rows, 2048):
+                batch = whole.slice(start, 2048)
+                bits = np.unpackbits(np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(batch.num_rows, -1), axis=1, bitorder="little")
+                for k, at in enumerate(plan):
+                    value = bits[:, at] @ (np.int64(1) << np.arange(len(at), dtype=np.int64))
+                    yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(batch.num_rows, k, np.int32)), pa.array(value)], names=["node", "sig", "band", "value"])
+
+    rows = nodes.select("node", "sig").mapInArrow(deal, "node long, sig binary, band int, value long")
+    hot = rows.groupBy("band", "value").agg(F.count("*").alias("rows")).where(F.col("rows") > 2 * GROUP_ROWS)
+    hot = materialize(hot.select("band", "value", F.ceil(F.col("rows") / GROUP_ROWS).cast("int").alias("tiles")), "hot")
+    rows = rows.join(hot, ["band", "value"], "left")
+    own = F.pmod("node", F.col("tiles")).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.coalesce("tiles", F.lit(1)) - 1))
+    rows = rows.withColumn("own", F.coalesce(own, F.lit(0))).withColumn("other", other)
+    group = F.when(F.col("tiles").isNull(), F.pmod("value", F.lit(groups))).otherwise(F.col("value"))
+    pair = F.when(F.col("tiles").isNull(), "").otherwise(F.concat_ws(":", F.least("own", "other"), F.greatest("own", "other")))
+
+    def link(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("value", kind="stable")
+        node, value = pdf["node"].to_numpy(np.int64), pdf["value"].to_numpy(np.int64)
+        sig = np.frombuffer(b"".join(pdf["sig"]), "<u8").reshape(len(pdf), -1)
+        cuts = np.concatenate([[0], np.nonzero(np.diff(value))[0] + 1, [len(value)]])
+        found = [(i + x, i + y) for i, j in zip(cuts, cuts[1:]) if j - i > 1 for x, y in tile_links(sig[i:j], radius)]
+        return pd.DataFrame({"a": [node[x] for x, _ in found], "b": [node[y] for _, y in found]}, dtype="int64")
+
+    return rows.select("node", "sig", "band", "value", group.alias("group"), pair.alias("pair")).groupBy("band", "group", "pair").applyInPandas(link, "a long, b long")
+
+
+def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+    """Return ``id, node, component_id``: groups of documents whose shingles have about this Jaccard similarity or more.
+
+    A signature is LANES SimHash fingerprints; two link where no more bits differ than ``signature_radius``. Which pairs
+    are compared follows from tables of their bits, so the work grows little faster than the documents. Odd rows are
+    treated as by ``near_duplicates``.
+    """
+    prints = materialize(_signatures(docs, id_col, text_col, shingle), "signatures")
+    nodes = materialize(prints.groupBy("node").agg(F.first("sig").alias("sig"), F.min("id").alias("first"), F.count("*").alias("rows")), "nodes")
+    return _grouped(prints.select("id", "node"), nodes.select("node", "first", "rows"), "node", _signature_links(nodes, similarity))
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, radius: int = 3) -> DataFrame:
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """``docs`` without the near-duplicates: of each group the row with the smallest id stays, columns as they came.
 
     Rows without an id stay, as nothing tells them apart. Of rows that repeat both id and text one stays; the extra
     step for that is taken only if some id repeats.
     """
-    groups = near_duplicates(docs, id_col, text_col, shingle, radius)
+    groups = materialize(similar_documents(docs, id_col, text_col, shingle, similarity), "groups")
     gone = groups.where(F.col("id") != F.col("component_id")).select(F.col("id").alias(key := fresh(docs, "__gone"))).distinct()
     repeats = groups.where("id is not null").groupBy("id").agg(F.count("*").alias("rows")).where("rows > 1")
     if not repeats.isEmpty():
