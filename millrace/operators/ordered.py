@@ -24,7 +24,7 @@ def running_counts(counts: DataFrame, ranges: int = RANGES) -> DataFrame:
     """
     points = counts.agg(F.percentile_approx("v", [k / ranges for k in range(1, ranges)], 20 * ranges)).first()[0]
     inner = sorted({p for p in points or [] if abs(p) != float("inf") and p == p})
-    splits = [-float("inf"), *inner, float("inf")]
+    splits = [-float("inf"), *(inner or [0.0]), float("inf")]
     dealt = Bucketizer(splits=splits, inputCol="v", outputCol="__range", handleInvalid="keep").transform(counts)
     sums = dealt.groupBy("__range").agg(F.sum("n").alias("s"))
     order = W.partitionBy(F.lit(0)).orderBy("__range")
