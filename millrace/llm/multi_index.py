@@ -15,10 +15,12 @@ from millrace.llm.components import Forest, connected_components
 from millrace.llm.scratch import materialize
 from millrace.llm.text import unit_hash
 
-#: Vectors that the codebooks are fitted on at most, and those whose pairs set the visits for a recall below 1.
-SAMPLE_ROWS = 8_000
+#: Vectors that the codebooks are fitted on at most, and those of them whose links set how far the visits go.
+SAMPLE_ROWS, QUERY_ROWS = 8_000, 512
 #: Vectors that a cell should hold, about, and code words of a half at most.
-CELL_ROWS, MOST_CODES = 24, 256
+CELL_ROWS, MOST_CODES = 200, 256
+#: Visits go at least so far, in the measure of ``Index``, and are set in steps of a hundredth of the full distance.
+LEAST_LIMIT, STEPS = 1e-3, 100
 #: Vectors of one side of a comparison task.
 TILE_ROWS = 4096
 
@@ -61,27 +63,26 @@ class Index:
     For unit vectors u and v at distance d, the triangle inequality gives: the code word nearest to a half of v is
     farther from u's half than u's own nearest by twice the halves' distance at most. With m1 and m2 half of those
     excesses, v's cell has m1^2 + m2^2 <= d^2. Visiting the cells in rising m1^2 + m2^2 up to d^2 = 2 - 2 * cosine
-    thus misses no pair; for a target recall below 1 the visits end at the quantile of that sum over the pairs of a
-    sample.
+    thus misses no pair. That is far more than near neighbours need, so for a recall below 1 the visits end where
+    that share of the links of some query vectors, found among all vectors, is reached.
     """
 
-    def __init__(self, samples: dict[int, np.ndarray], n: dict[int, int], cosine: float, recall: float) -> None:
+    def __init__(self, samples: dict[int, np.ndarray], n: dict[int, int], cosine: float) -> None:
         self.codes: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         self.limit = 2 - 2 * cosine + 1e-9
-        needed = []
         for dim, rows in samples.items():
             unit = rows / np.linalg.norm(rows, axis=1)[:, None]
             k = int(min(MOST_CODES, len(rows), max(1, round((n[dim] / CELL_ROWS) ** 0.5))))
             cut = (dim + 1) // 2
             self.codes[dim] = (_codes(unit[:, :cut], k), _codes(unit[:, cut:], k))
-            if recall < 1:
-                one, two, m1, m2 = self._margins(unit)
-                for i in range(0, len(unit), 512):
-                    x, y = np.nonzero(unit[i : i + 512] @ unit.T >= cosine)
-                    x, y = x[x + i != y], y[x + i != y]
-                    needed.append(m1[x + i, one[y]] + m2[x + i, two[y]])
-        if needed and len(pairs := np.concatenate(needed)):
-            self.limit = min(self.limit, float(np.quantile(pairs, recall)) + 1e-9)
+
+    def needed(self, a: np.ndarray, b: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """How far the visits must go for the links of rows ``x`` of ``a`` with rows ``y`` of ``b`` (the lower cell visits)."""
+        one_a, two_a, m1_a, m2_a = self._margins(a)
+        one_b, two_b, m1_b, m2_b = self._margins(b)
+        k = m1_a.shape[1]
+        from_a = (one_a * k + two_a)[x] < (one_b * k + two_b)[y]
+        return np.where(from_a, m1_a[x, one_b[y]] + m2_a[x, two_b[y]], m1_b[y, one_a[x]] + m2_b[y, two_a[x]])
 
     def _margins(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         cut = (unit.shape[1] + 1) // 2
@@ -115,12 +116,55 @@ def _fit(reps: DataFrame, cosine: float, recall: float) -> Index:
     """Codebooks from a bounded sample picked by hash; what reaches the driver is SAMPLE_ROWS vectors, about."""
     n = {r["dim"]: r["n"] for r in reps.groupBy("dim").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "dim").limit(64).collect()}
     total = sum(n.values())
-    picked = reps.where(unit_hash("vec", "rep", seed="codebook") < SAMPLE_ROWS / max(1, total)).select("dim", "vec").limit(2 * SAMPLE_ROWS)
-    samples: dict[int, list] = {}
-    for r in picked.collect():
-        if r["dim"] in n:
-            samples.setdefault(r["dim"], []).append(r["vec"])
-    return Index({d: np.array(x, float) for d, x in samples.items()}, n, cosine, recall)
+    picked = reps.where(unit_hash("vec", "rep", seed="codebook") < SAMPLE_ROWS / max(1, total)).select("rep", "label", "dim", "vec").limit(2 * SAMPLE_ROWS).collect()
+    picked = sorted((r for r in picked if r["dim"] in n), key=lambda r: r["rep"])
+    samples = {d: np.array([r["vec"] for r in picked if r["dim"] == d], float) for d in {r["dim"] for r in picked}}
+    index = Index(samples, n, cosine)
+    if recall < 1 and picked:
+        index.limit = min(index.limit, max(LEAST_LIMIT, _limit(reps, index, picked[:: max(1, len(picked) // QUERY_ROWS)], cosine, recall)))
+    return index
+
+
+def _limit(reps: DataFrame, index: Index, queries: list, cosine: float, recall: float) -> float:
+    """How far visits must go to find the share ``recall`` of the links that ``queries`` have among all vectors.
+
+    Each task compares its vectors with the queries and returns counts by step, a hundred rows at most.
+    """
+    by: dict[tuple, list] = {}
+    for r in queries:
+        by.setdefault((r["label"], r["dim"]), []).append(r)
+    blocks = {key: (np.array([r["rep"] for r in rows]), np.array([r["vec"] for r in rows], float)) for key, rows in by.items()}
+    sent = reps.sparkSession.sparkContext.broadcast((index, blocks))
+    width = index.limit / STEPS
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index, blocks = sent.value
+        found = np.zeros(STEPS + 1, np.int64)
+        for batch in batches:
+            keys: dict[tuple, list[int]] = {}
+            for k, key in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())):
+                keys.setdefault(key, []).append(k)
+            for key, rows in keys.items():
+                if key not in blocks:
+                    continue
+                names, left = blocks[key]
+                mine = np.array(batch.column(0).take(pa.array(rows)).to_pylist())
+                right = np.array(batch.column(1).take(pa.array(rows)).to_pylist(), float)
+                left, right = left / np.linalg.norm(left, axis=1)[:, None], right / np.linalg.norm(right, axis=1)[:, None]
+                x, y = np.nonzero((left @ right.T >= cosine) & (names[:, None] != mine))
+                if len(x):
+                    steps = np.ceil(index.needed(left, right, x, y) / width).astype(int)
+                    found += np.bincount(np.minimum(steps, STEPS), minlength=STEPS + 1)
+        hit = np.nonzero(found)[0]
+        yield pa.RecordBatch.from_arrays([pa.array(hit), pa.array(found[hit])], names=["step", "n"])
+
+    rows = reps.select("rep", "vec", "label", "dim").mapInArrow(run, "step long, n long").groupBy("step").agg(F.sum("n").alias("n")).collect()
+    seen, total = 0, sum(r["n"] for r in rows)
+    for r in sorted(rows, key=lambda r: r["step"]):
+        seen += r["n"]
+        if seen >= recall * total:
+            return r["step"] * width
+    return 0.0
 
 
 def _visit_rows(reps: DataFrame, index: Index) -> DataFrame:
@@ -192,12 +236,12 @@ def _compare(rows: DataFrame, cosine: float) -> DataFrame:
     return members.unionByName(visitors).groupBy(*where, "mt", "vt").applyInPandas(link, "rep long, links long, other long")
 
 
-def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", cosine: float = 0.98, recall: float = 1.0) -> DataFrame:
+def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", cosine: float = 0.98, recall: float = 0.999) -> DataFrame:
     """Return ``vec_id, n_links, component_id, kept`` for each row of ``vectors``.
 
     Vectors with equal, non-null labels and lengths link at ``cosine`` or more (double precision); ones that are null,
     zero, or hold a null, NaN or infinite component link with nothing. Equal vectors of a label are compared once and
-    counted by their copies. At a ``recall`` of 1 no link is missed. Repeated rows are vectors of their own; a null id
+    counted by their copies. At a ``recall`` of 1 no link is missed, below it about that share is found. Repeated rows are vectors of their own; a null id
     is never a component's smallest, unless there is no other; an empty table gives an empty result.
     """
     v = F.col("vec")

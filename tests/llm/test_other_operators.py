@@ -172,7 +172,7 @@ def test_vectors_against_brute_force(spark, tile, monkeypatch):
     odd = [None, [], [0.0] * 16, [None] + [1.0] * 15, [float("nan")] * 16, [float("inf")] + [1.0] * 15, [1.0, 2.0], [2.0, 4.0]]
     rows = [(k, [float(x) for x in v], labels[k], 9) for k, v in enumerate(vectors)] + [(1000 + k, v, 0, 9) for k, v in enumerate(odd)] + [(2000, [1.0] * 16, None, 9), (2001, [1.0] * 16, None, 9), (None, [float(x) for x in vectors[9]], 0, 9)]
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int, kept int")
-    got = {r["vec_id"]: r for r in multi_index.near_duplicates(frame).collect()}
+    got = {r["vec_id"]: r for r in multi_index.near_duplicates(frame, recall=1.0).collect()}
     assert len(got) == len(rows)
     unit = vectors / np.linalg.norm(vectors, axis=1)[:, None]
     links = [(i, j) for i, j in itertools.combinations(range(len(vectors)), 2) if labels[i] == labels[j] and unit[i] @ unit[j] >= 0.98]
@@ -209,11 +209,18 @@ def test_multi_sequence_order():
     assert [a[i] + b[j] for i, j in got] == [s for s, *_ in want] and len(set(got)) == len(got)
 
 
-def test_recall_of_cut_visits(spark, sf):
-    vectors = spark.read.parquet(f"{sf}/embeddings.parquet")
-    full = multi_index.near_duplicates(vectors).agg(F.sum("n_links")).first()[0]
-    part = multi_index.near_duplicates(vectors, recall=0.95).agg(F.sum("n_links")).first()[0]
-    assert 0.9 * full <= part <= full
+def test_recall_of_cut_visits(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=(400, 32))
+    vectors = np.concatenate([base, *(base[:150] + rng.normal(size=(150, 32)) * s for s in (0.03, 0.08, 0.12))])
+    frame = spark.createDataFrame([(k, [float(x) for x in v], 0) for k, v in enumerate(vectors)], "vec_id long, embedding array<float>, label int")
+    monkeypatch.setattr(multi_index, "CELL_ROWS", 8)
+    unit = vectors / np.linalg.norm(vectors, axis=1)[:, None]
+    near = unit @ unit.T >= 0.98
+    full = int(near.sum()) - len(vectors)
+    for recall in (0.95, 0.999):
+        found = multi_index.near_duplicates(frame, recall=recall).agg(F.sum("n_links")).first()[0]
+        assert 0.9 * full <= found <= full and full > 300
 
 
 # --- pipeline -------------------------------------------------------------------------------------------------------
