@@ -26,7 +26,7 @@ v as (
   select doc_id, lang, source, r.rule as rule, r.low as low, r.slack as slack,
          cast(floor(case r.rule when 'symbols' then 1000 * n_symbols / n_words when 'dup_lines' then 1000 * n_dup_lines / n_lines
                     when 'repeats' then 1000 * n_repeat_words / n_words else 1000 * word_chars / n_words end) as bigint) as val
-  from f, (values ('symbols', false, 300), ('dup_lines', false, 250), ('repeats', false, 250), ('long_words', false, 2500), ('short_words', true, 1500)) r(rule, low, slack)
+  from f, (values ('symbols', false, 300), ('dup_lines', false, 450), ('repeats', false, 250), ('long_words', false, 2500), ('short_words', true, 1500)) r(rule, low, slack)
   where not base_failed),
 c as (select *, (val >> greatest(0, length(bin(val)) - 6)) << greatest(0, length(bin(val)) - 6) as cell from v),
 levels as (
@@ -61,5 +61,19 @@ select doc_id, count(*) as n_lines, cast(sum(case when gone then 1 else 0 end) a
 from j group by doc_id
 """
 
+_VECTORS = """
+with recursive e as (
+  select vec_id, label, list_transform(embedding, lambda x: cast(x as double)) as v from embeddings
+  where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l as (
+  select a.vec_id as a, b.vec_id as b from e a join e b on a.label = b.label and a.vec_id <> b.vec_id and len(a.v) = len(b.v)
+  where list_cosine_similarity(a.v, b.v) >= 0.98),
+r as (select vec_id, vec_id as m from embeddings union select r.vec_id, l.b from r join l on r.m = l.a),
+c as (select vec_id, min(m) as component_id from r group by vec_id),
+n as (select a, count(*) as n from l group by a)
+select c.vec_id, coalesce(n, 0) as n_links, component_id, c.vec_id = component_id as kept from c left join n on n.a = c.vec_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_quality_rules": _QUALITY, "op8_line_dedup": _LINES}
+    return {"op3_quality_rules": _QUALITY, "op7_embedding_near_dedup": _VECTORS, "op8_line_dedup": _LINES}

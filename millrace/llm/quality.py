@@ -29,7 +29,7 @@ class Rule:
 #: (or, for ``low``, below the first by as much).
 RULES = (
     Rule("symbols", "1000 * n_symbols / n_words", slack=300),
-    Rule("dup_lines", "1000 * n_dup_lines / n_lines", slack=250),
+    Rule("dup_lines", "1000 * n_dup_lines / n_lines", slack=450),
     Rule("repeats", "1000 * n_repeat_words / n_words", slack=250),
     Rule("long_words", "1000 * word_chars / n_words", slack=2500),
     Rule("short_words", "1000 * word_chars / n_words", slack=1500, low=True),
