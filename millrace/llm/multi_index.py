@@ -15,14 +15,17 @@ from millrace.llm.components import Forest, connected_components
 from millrace.llm.scratch import materialize
 from millrace.llm.text import unit_hash
 
-#: Vectors that the codebooks are fitted on at most, and those of them whose links set how far the visits go.
-SAMPLE_ROWS, QUERY_ROWS = 8_000, 512
-#: Vectors that a cell should hold, about, and code words of a half at most.
-CELL_ROWS, MOST_CODES = 200, 256
+#: Vectors, about, that the codebooks are fitted on and whose links set how far the visits go.
+SAMPLE_ROWS = 8_000
+#: Vectors that a cell should hold, about: where visits end early, and where they go to the proven bound, which meets
+#: most cells, so that few large ones copy less. Code words of a half at most.
+CELL_ROWS, BOUND_CELL_ROWS, MOST_CODES = 200, 4096, 256
+#: Query vectors and rows of one side when they are compared.
+BLOCK_ROWS = 512
 #: Visits go at least so far, in the measure of ``Index``, and are set in steps of a hundredth of the full distance.
 LEAST_LIMIT, STEPS = 1e-3, 100
-#: Vectors of one side of a comparison task.
-TILE_ROWS = 4096
+#: Vectors of one side of a comparison task, and rows of visits that are handed on at once, about.
+TILE_ROWS, VISIT_ROWS = 4096, 8192
 
 
 def _codes(half: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
@@ -38,11 +41,6 @@ def _codes(half: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
     return centres
 
 
-def _distances(half: np.ndarray, codes: np.ndarray) -> np.ndarray:
-    square = (half * half).sum(1)[:, None] - 2 * half @ codes.T + (codes * codes).sum(1)
-    return np.sqrt(np.maximum(square, 0.0))
-
-
 def multi_sequence(a: np.ndarray, b: np.ndarray, limit: float) -> Iterator[tuple[int, int]]:
     """Places (i, j) of two rising sequences in the order of a[i] + b[j], while that is at most ``limit``."""
     heap = [(a[0] + b[0], 0, 0)]
@@ -60,38 +58,40 @@ def multi_sequence(a: np.ndarray, b: np.ndarray, limit: float) -> Iterator[tuple
 class Index:
     """Codebooks of both halves for each length of vector, and how far a vector visits.
 
-    For unit vectors u and v at distance d, the triangle inequality gives: the code word nearest to a half of v is
-    farther from u's half than u's own nearest by twice the halves' distance at most. With m1 and m2 half of those
-    excesses, v's cell has m1^2 + m2^2 <= d^2. Visiting the cells in rising m1^2 + m2^2 up to d^2 = 2 - 2 * cosine
-    thus misses no pair. That is far more than near neighbours need, so for a recall below 1 the visits end where
-    that share of the links of some query vectors, found among all vectors, is reached.
+    A half of v that lies in another code word's cell than u's half is at least as far from it as the plane between the
+    two code words, which u's half is at a distance m from. For unit vectors u and v at distance d, v's cell thus has
+    m1^2 + m2^2 <= d^2, and visiting the cells in rising m1^2 + m2^2 up to d^2 = 2 - 2 * cosine misses no pair. Where
+    enough sampled vectors have links, visits for a recall below 1 end earlier; see ``_limit``.
     """
 
-    def __init__(self, samples: dict[int, np.ndarray], n: dict[int, int], cosine: float) -> None:
+    def __init__(self, samples: dict[int, np.ndarray], n: dict[int, int], cosine: float, cell_rows: int) -> None:
         self.codes: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        self.limit = 2 - 2 * cosine + 1e-9
+        self.limit = 2 - 2 * cosine + 1e-6  # more than what rounding adds to a margin
         for dim, rows in samples.items():
             unit = rows / np.linalg.norm(rows, axis=1)[:, None]
-            k = int(min(MOST_CODES, len(rows), max(1, round((n[dim] / CELL_ROWS) ** 0.5))))
+            k = int(min(MOST_CODES, len(rows), max(1, round((n[dim] / cell_rows) ** 0.5))))
             cut = (dim + 1) // 2
             self.codes[dim] = (_codes(unit[:, :cut], k), _codes(unit[:, cut:], k))
 
-    def needed(self, a: np.ndarray, b: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        """How far the visits must go for the links of rows ``x`` of ``a`` with rows ``y`` of ``b`` (the lower cell visits)."""
-        one_a, two_a, m1_a, m2_a = self._margins(a)
-        one_b, two_b, m1_b, m2_b = self._margins(b)
+    def needed(self, a: tuple, b: tuple, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """How far the visits must go for links of rows ``x`` with rows ``y``, by both sides' margins (the lower cell visits)."""
+        one_a, two_a, m1_a, m2_a = a
+        one_b, two_b, m1_b, m2_b = b
         k = m1_a.shape[1]
         from_a = (one_a * k + two_a)[x] < (one_b * k + two_b)[y]
         return np.where(from_a, m1_a[x, one_b[y]] + m2_a[x, two_b[y]], m1_b[y, one_a[x]] + m2_b[y, two_a[x]])
 
-    def _margins(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def margins(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of each row: the code words nearest to its halves, and the squared distances to the planes between them and the others."""
         cut = (unit.shape[1] + 1) // 2
         first, second = self.codes[unit.shape[1]]
         out = []
         for half, codes in ((unit[:, :cut], first), (unit[:, cut:], second)):
-            d = _distances(half, codes)
-            near = d.argmin(1)
-            out.append((near, ((d - d.min(1)[:, None]) / 2) ** 2))
+            square = (codes * codes).sum(1) - 2 * half @ codes.T
+            near = square.argmin(1)
+            gap = np.linalg.norm(codes[:, None] - codes[None], axis=2)[near]
+            m = (square - square.min(1)[:, None]) / np.where(gap > 0, 2 * gap, np.inf)
+            out.append((near, m * m))
         return out[0][0], out[1][0], out[0][1], out[1][1]
 
     def visits(self, rows: np.ndarray) -> Iterator[tuple[int, list[int]]]:
@@ -103,7 +103,7 @@ class Index:
             return
         unit = rows / np.linalg.norm(rows, axis=1)[:, None]
         k = len(self.codes[dim][1])
-        one, two, m1, m2 = self._margins(unit)
+        one, two, m1, m2 = self.margins(unit)
         order1, order2 = np.argsort(m1, axis=1, kind="stable"), np.argsort(m2, axis=1, kind="stable")
         for r in range(len(rows)):
             a, b = order1[r], order2[r]
@@ -119,75 +119,103 @@ def _fit(reps: DataFrame, cosine: float, recall: float) -> Index:
     picked = reps.where(unit_hash("vec", "rep", seed="codebook") < SAMPLE_ROWS / max(1, total)).select("rep", "label", "dim", "vec").limit(2 * SAMPLE_ROWS).collect()
     picked = sorted((r for r in picked if r["dim"] in n), key=lambda r: r["rep"])
     samples = {d: np.array([r["vec"] for r in picked if r["dim"] == d], float) for d in {r["dim"] for r in picked}}
-    index = Index(samples, n, cosine)
     if recall < 1 and picked:
-        index.limit = min(index.limit, max(LEAST_LIMIT, _limit(reps, index, picked[:: max(1, len(picked) // QUERY_ROWS)], cosine, recall)))
-    return index
+        index = Index(samples, n, cosine, CELL_ROWS)
+        limit = _limit(reps, index, [r for r in picked if r["dim"] in samples], cosine, recall)
+        if limit is not None:
+            index.limit = min(index.limit, max(LEAST_LIMIT, limit))
+            return index
+    return Index(samples, n, cosine, BOUND_CELL_ROWS)
+
 
+def _limit(reps: DataFrame, index: Index, queries: list, cosine: float, recall: float) -> float | None:
+    """How far visits must go for a share ``recall`` of ``queries`` to find all their links; None if too few have links.
 
-def _limit(reps: DataFrame, index: Index, queries: list, cosine: float, recall: float) -> float:
-    """How far visits must go to find the share ``recall`` of the links that ``queries`` have among all vectors.
+    A query counts as one over its links and itself, so that a group of near copies counts by the share of it that was
+    sampled, whatever its size. Below 3 / (1 - recall) such groups the sample does not show that recall (a loss of
+    1 - recall would go unseen in one of twenty samples): then only the proven bound will do.
 
-    Each task compares its vectors with the queries and returns counts by step, a hundred rows at most.
+    Each task compares its vectors with the queries and returns a row for a query at most.
     """
     by: dict[tuple, list] = {}
     for r in queries:
         by.setdefault((r["label"], r["dim"]), []).append(r)
-    blocks = {key: (np.array([r["rep"] for r in rows]), np.array([r["vec"] for r in rows], float)) for key, rows in by.items()}
+    blocks = {}
+    for key, rows in by.items():
+        for k in range(0, len(rows), BLOCK_ROWS):
+            unit = np.array([r["vec"] for r in rows[k : k + BLOCK_ROWS]], float)
+            blocks.setdefault(key, []).append((np.array([r["rep"] for r in rows[k : k + BLOCK_ROWS]]), unit / np.linalg.norm(unit, axis=1)[:, None]))
     sent = reps.sparkSession.sparkContext.broadcast((index, blocks))
     width = index.limit / STEPS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, blocks = sent.value
-        found = np.zeros(STEPS + 1, np.int64)
+        links: dict[int, int] = {}
+        steps: dict[int, int] = {}
+        margins = {key: [index.margins(left) for _, left in block] for key, block in blocks.items()}
         for batch in batches:
             keys: dict[tuple, list[int]] = {}
             for k, key in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())):
                 keys.setdefault(key, []).append(k)
-            for key, rows in keys.items():
-                if key not in blocks:
-                    continue
-                names, left = blocks[key]
-                mine = np.array(batch.column(0).take(pa.array(rows)).to_pylist())
-                right = np.array(batch.column(1).take(pa.array(rows)).to_pylist(), float)
-                left, right = left / np.linalg.norm(left, axis=1)[:, None], right / np.linalg.norm(right, axis=1)[:, None]
-                x, y = np.nonzero((left @ right.T >= cosine) & (names[:, None] != mine))
-                if len(x):
-                    steps = np.ceil(index.needed(left, right, x, y) / width).astype(int)
-                    found += np.bincount(np.minimum(steps, STEPS), minlength=STEPS + 1)
-        hit = np.nonzero(found)[0]
-        yield pa.RecordBatch.from_arrays([pa.array(hit), pa.array(found[hit])], names=["step", "n"])
-
-    rows = reps.select("rep", "vec", "label", "dim").mapInArrow(run, "step long, n long").groupBy("step").agg(F.sum("n").alias("n")).collect()
-    seen, total = 0, sum(r["n"] for r in rows)
-    for r in sorted(rows, key=lambda r: r["step"]):
-        seen += r["n"]
+            for key, all_rows in keys.items():
+                for start in range(0, len(all_rows) if key in blocks else 0, BLOCK_ROWS):
+                    rows = pa.array(all_rows[start : start + BLOCK_ROWS])
+                    mine = np.array(batch.column(0).take(rows).to_pylist())
+                    right = np.array(batch.column(1).take(rows).to_pylist(), float)
+                    right /= np.linalg.norm(right, axis=1)[:, None]
+                    other = index.margins(right)
+                    for (names, left), margin in zip(blocks[key], margins[key]):
+                        x, y = np.nonzero((left @ right.T >= cosine) & (names[:, None] != mine))
+                        if not len(x):
+                            continue
+                        n, far = np.bincount(x, minlength=len(names)), np.zeros(len(names), int)
+                        np.maximum.at(far, x, np.minimum(np.ceil(index.needed(margin, other, x, y) / width).astype(int), STEPS))
+                        for k in np.nonzero(n)[0].tolist():
+                            name = int(names[k])
+                            links[name] = links.get(name, 0) + int(n[k])
+                            steps[name] = max(steps.get(name, 0), int(far[k]))
+        yield pa.RecordBatch.from_arrays([pa.array(list(links), pa.int64()), pa.array(list(steps[k] for k in links), pa.int64()), pa.array(list(links.values()), pa.int64())], names=["rep", "step", "n"])
+
+    found = reps.select("rep", "vec", "label", "dim").mapInArrow(run, "rep long, step long, n long").groupBy("rep").agg(F.max("step").alias("step"), F.sum("n").alias("n"))
+    rows = found.groupBy("step").agg(F.sum(1 / (F.col("n") + 1)).alias("groups")).orderBy("step").collect()
+    seen, total = 0.0, sum(r["groups"] for r in rows)
+    if total * (1 - recall) < 3:
+        return None
+    for r in rows:
+        seen += r["groups"]
         if seen >= recall * total:
             return r["step"] * width
-    return 0.0
+    return None
 
 
 def _visit_rows(reps: DataFrame, index: Index) -> DataFrame:
     """A row for each vector and cell that it visits (``home``: its own); of two cells the pair is visited from one side."""
     sent = reps.sparkSession.sparkContext.broadcast(index)
 
+    def copied(batch: pa.RecordBatch, take: list[int], cells: list[int], home: list[bool]) -> pa.RecordBatch:
+        columns = [c.take(pa.array(take, pa.int64())) for c in batch.columns]
+        return pa.RecordBatch.from_arrays([*columns, pa.array(cells, pa.int64()), pa.array(home)], names=[*batch.schema.names, "cell", "home"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = sent.value
         for whole in batches:
             for start in range(0, whole.num_rows, 1024):
                 batch = whole.slice(start, 1024)
                 dims = np.array(batch.column(3).to_pylist())
-                take, cells, home = [], [], []
                 for dim in np.unique(dims).tolist():
                     rows = np.nonzero(dims == dim)[0]
                     vectors = np.array(batch.column(1).take(pa.array(rows)).to_pylist(), float)
+                    take, cells, home = [], [], []
                     for r, (own, visited) in zip(rows.tolist(), index.visits(vectors)):
                         mine = [own, *(c for c in visited if c > own)]
                         take += [r] * len(mine)
                         cells += mine
                         home += [True] + [False] * (len(mine) - 1)
-                copied = [c.take(pa.array(take, pa.int64())) for c in batch.columns]
-                yield pa.RecordBatch.from_arrays([*copied, pa.array(cells, pa.int64()), pa.array(home)], names=[*batch.schema.names, "cell", "home"])
+                        if len(take) >= VISIT_ROWS:
+                            yield copied(batch, take, cells, home)
+                            take, cells, home = [], [], []
+                    if take:
+                        yield copied(batch, take, cells, home)
 
     rows = reps.select("rep", "vec", "label", "dim", "copies")
     return rows.mapInArrow(run, "rep long, vec array<double>, label string, dim int, copies long, cell long, home boolean")
@@ -241,7 +269,8 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
 
     Vectors with equal, non-null labels and lengths link at ``cosine`` or more (double precision); ones that are null,
     zero, or hold a null, NaN or infinite component link with nothing. Equal vectors of a label are compared once and
-    counted by their copies. At a ``recall`` of 1 no link is missed, below it about that share is found. Repeated rows are vectors of their own; a null id
+    counted by their copies. At a ``recall`` of 1 no link is missed;
+    below it about that share of the vectors' links is found, or all where a sample has too few links to tell. Repeated rows are vectors of their own; a null id
     is never a component's smallest, unless there is no other; an empty table gives an empty result.
     """
     v = F.col("vec")

@@ -223,6 +223,28 @@ def test_recall_of_cut_visits(spark, monkeypatch):
         assert 0.9 * full <= found <= full and full > 300
 
 
+@pytest.mark.parametrize("hot", [0, 500])
+def test_links_of_small_groups_in_skewed_tables(spark, monkeypatch, hot):
+    """A tight group with a third of the rows, or no other links at all, hides none of a few looser pairs."""
+    rng = np.random.default_rng(9)
+    base = rng.normal(size=(1000, 6))
+    near = rng.normal(size=(30, 6))
+    near -= base[:30] * ((near * base[:30]).sum(1) / (base[:30] ** 2).sum(1))[:, None]
+    loose = base[:30] + near * (0.195 * np.linalg.norm(base[:30], axis=1) / np.linalg.norm(near, axis=1))[:, None]
+    tight = base[999] + rng.normal(size=(hot, 6)) * 0.002
+    vectors = np.concatenate([base, loose, tight])
+    frame = spark.createDataFrame([(k, [float(x) for x in v], 0) for k, v in enumerate(vectors)], "vec_id long, embedding array<double>, label int")
+    for name in ("CELL_ROWS", "BOUND_CELL_ROWS"):
+        monkeypatch.setattr(multi_index, name, 8, raising=False)
+    monkeypatch.setattr(multi_index, "SAMPLE_ROWS", 40)
+    unit = vectors / np.linalg.norm(vectors, axis=1)[:, None]
+    degree = (unit @ unit.T >= 0.98).sum(1) - 1
+    assert (degree[1000:1030] >= 1).all()
+    got = {r["vec_id"]: r for r in multi_index.near_duplicates(frame).collect()}
+    assert [got[k]["n_links"] for k in range(len(vectors))] == degree.tolist()
+    assert all(got[1000 + k]["component_id"] == k for k in range(30))
+
+
 # --- pipeline -------------------------------------------------------------------------------------------------------
 
 
