@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -38,12 +38,12 @@ def _lane(h: np.ndarray, k: int) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def signature(text: str | None, shingle: int, lanes: int) -> np.ndarray:
-    """``lanes`` independent fingerprints of a text; see ``fingerprint``."""
+def _hashes(text: str | None, shingle: int) -> Iterator[np.ndarray]:
+    """XXH64 (seed 42) of the shingles of a text, repeats included, in blocks; none if it has no words."""
     # bytes.lower and bytes.split treat exactly A-Z and exactly these six characters
     tokens = (text or "").encode().lower().split()
     if not tokens:
-        return np.zeros(lanes, np.uint64)
+        return
     joined = b" ".join(tokens)
     ends = np.cumsum([len(t) + 1 for t in tokens]) - 1
     if len(tokens) <= shingle:
@@ -52,13 +52,27 @@ def signature(text: str | None, shingle: int, lanes: int) -> np.ndarray:
         starts = [0, *(ends[: len(tokens) - shingle] + 1).tolist()]
         stops = ends[shingle - 1 :].tolist()
     digest = xxhash.xxh64_intdigest
-    counts = np.zeros((lanes, 64), np.int64)
     step = 1 << 16  # bounds the memory that a very long text takes
     for k in range(0, len(starts), step):
-        h = np.array([digest(joined[i:j], 42) for i, j in zip(starts[k : k + step], stops[k : k + step])], "<u8")
+        yield np.array([digest(joined[i:j], 42) for i, j in zip(starts[k : k + step], stops[k : k + step])], "<u8")
+
+
+def shingle_set(text: str | None, shingle: int) -> np.ndarray:
+    """The distinct hashes of a text's shingles, in order."""
+    out = np.zeros(0, "<u8")
+    for h in _hashes(text, shingle):
+        out = np.union1d(out, h)
+    return out
+
+
+def signature(blocks: Iterable[np.ndarray], lanes: int) -> np.ndarray:
+    """``lanes`` independent fingerprints of hashes: a bit is set if over half of them have it; all 0 without any."""
+    counts, n = np.zeros((lanes, 64), np.int64), 0
+    for h in blocks:
+        n += len(h)
         for lane in range(lanes):
             counts[lane] += _votes(_lane(h, lane))
-    return np.packbits(counts * 2 > len(starts), axis=1, bitorder="little").view("<u8").reshape(-1)
+    return np.packbits(counts * 2 > n, axis=1, bitorder="little").view("<u8").reshape(-1)
 
 
 def fingerprint(text: str | None, shingle: int = 3) -> int:
@@ -67,7 +81,7 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
     Fewer words than ``shingle`` are one shingle; no word (or null) gives 0. A bit is set if it is set in over half of
     the shingles' XXH64 values (seed 42), repeats counted.
     """
-    return int(signature(text, shingle, 1)[0])
+    return int(signature(_hashes(text, shingle), 1)[0])
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
@@ -202,7 +216,7 @@ def table_plan(n: int, similarity: float, lanes: int = LANES) -> list[np.ndarray
 def _signatures(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [signature(t.as_py(), shingle, LANES).tobytes() for t in batch.column(1)]
+            made = [signature([shingle_set(t.as_py(), shingle)], LANES).tobytes() for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], names=["id", "sig"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, "id long, sig binary")
@@ -251,7 +265,7 @@ def _signature_links(nodes: DataFrame, similarity: float) -> DataFrame:
 def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """Return ``id, node, component_id``: groups of documents whose shingles have about this Jaccard similarity or more.
 
-    A signature is LANES SimHash fingerprints; two link where no more bits differ than ``signature_radius``. Which pairs
+    A signature is LANES SimHash fingerprints over distinct shingles; two link where no more bits differ than ``signature_radius``. Which pairs
     are compared follows from tables of their bits, so the work grows little faster than the documents. Odd rows are
     treated as by ``near_duplicates``.
     """

@@ -121,6 +121,13 @@ def test_near_duplicates_on_odd_rows(spark):
     assert simhash.near_duplicates(no_docs(spark)).count() == 0
 
 
+def test_similar_documents_count_shingles_once(spark):
+    words = [f"w{k}" for k in range(400)]
+    texts = [" ".join(words), " ".join(words + 20 * words[40:80]), " ".join(f"v{k}" for k in range(400))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in simhash.keep_one(docs).collect()) == [0, 2]
+
+
 def test_keep_one(spark):
     docs = odd_docs(spark)
     kept = simhash.keep_one(docs)
