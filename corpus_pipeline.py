@@ -51,7 +51,7 @@ STAGES = [
     ("byte_bpe", tokenize),
 ]
 
-#: The stages fit dictionaries and compress texts, which SQL cannot express; tests compare with a brute-force version.
+#: The stages fit dictionaries and compress texts, which SQL cannot express; tests compare the stages with brute force.
 ORACLE_SQL = None
 
 

@@ -53,7 +53,14 @@ class Forest:
         self.root = np.arange(n)
         self.links: list[tuple[int, int]] = []
 
-    def _find(self, x: int) -> int:
+    def roots(self, x: np.ndarray) -> np.ndarray:
+        """The roots of rows ``x``."""
+        x = self.root[x]
+        while (self.root[x] != x).any():
+            x = self.root[x]
+        return x
+
+    def root_of(self, x: int) -> int:
         root = self.root
         while root[x] != x:
             root[x] = root[root[x]]
@@ -72,7 +79,7 @@ class Forest:
                 return
             firsts = np.unique(rx * np.int64(len(self.root)) + ry, return_index=True)[1]
             for k in firsts.tolist():
-                p, q = self._find(int(rx[k])), self._find(int(ry[k]))
+                p, q = self.root_of(int(rx[k])), self.root_of(int(ry[k]))
                 if p != q:
                     self.root[max(p, q)] = min(p, q)
                     self.links.append((int(x[k]), int(y[k])))

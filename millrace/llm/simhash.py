@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -95,10 +95,11 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, "id long, fp long")
 
 
-def tile_links(fp: np.ndarray, radius: int) -> list[tuple[int, int]]:
+def tile_links(fp: np.ndarray, radius: int, same: Callable[[int, int], bool] | None = None) -> list[tuple[int, int]]:
     """Spanning links (positions) of all pairs of ``fp`` within ``radius``, by exclusive-or and bit counts of tiles.
 
-    ``fp`` has a row of one or more 64-bit words for each fingerprint.
+    ``fp`` has a row of one or more 64-bit words for each fingerprint. With ``same``, only pairs for which it holds
+    link; it is asked, nearest pairs first, about pairs that no links join yet.
 
     Rows are ordered by population count; a pair of tiles whose counts lie further apart than ``radius`` is skipped.
     """
@@ -121,7 +122,17 @@ def tile_links(fp: np.ndarray, radius: int) -> list[tuple[int, int]]:
             if i == j:
                 near &= np.triu(np.ones(near.shape, bool), 1)
             x, y = np.nonzero(near)
-            forest.add(x + i, y + j)
+            if same is None:
+                forest.add(x + i, y + j)
+                continue
+            nearest = np.argsort(far[x, y], kind="stable")
+            x, y = x[nearest] + i, y[nearest] + j
+            for k in range(0, len(x), TILE):
+                p, q = x[k : k + TILE], y[k : k + TILE]
+                apart = forest.roots(p) != forest.roots(q)
+                for a, b in zip(p[apart].tolist(), q[apart].tolist()):
+                    if forest.root_of(a) != forest.root_of(b) and same(int(order[a]), int(order[b])):
+                        forest.add(np.array([a]), np.array([b]))
     return [(int(order[x]), int(order[y])) for x, y in forest.links]
 
 
@@ -188,8 +199,12 @@ def _grouped(prints: DataFrame, nodes: DataFrame, node: str, links: DataFrame) -
 
 # --- documents of a given similarity --------------------------------------------------------------------------------
 
-#: 64-bit words of a signature, rows that a table's bucket should hold, and the share of pairs at the similarity to find.
-LANES, BUCKET_ROWS, RECALL = 6, 512, 0.99
+#: 64-bit words of a signature, rows that a table's bucket should hold, and the share of pairs at the similarity that meet.
+LANES, BUCKET_ROWS, RECALL = 6, 512, 0.999
+#: Standard deviations of the bits that differ at the similarity, by which the radius of candidates lies beyond them.
+DEVIATIONS = 4
+#: Documents and shingles of one side of a task that compares shingle sets, about.
+SET_ROWS, SET_SHINGLES = 2048, 1 << 20
 
 
 def _angle(similarity: float) -> float:
@@ -198,9 +213,9 @@ def _angle(similarity: float) -> float:
 
 
 def signature_radius(similarity: float, lanes: int = LANES) -> int:
-    """The bits that differ at ``similarity``, and two standard deviations more, so that few such pairs are missed."""
+    """The bits that differ at ``similarity``, and DEVIATIONS standard deviations more, so that hardly such a pair is missed."""
     share, bits = _angle(similarity), 64 * lanes
-    return round(share * bits + 2 * math.sqrt(bits * share * (1 - share)))
+    return round(share * bits + DEVIATIONS * math.sqrt(bits * share * (1 - share)))
 
 
 def table_plan(n: int, similarity: float, lanes: int = LANES) -> list[np.ndarray]:
@@ -213,14 +228,25 @@ def table_plan(n: int, similarity: float, lanes: int = LANES) -> list[np.ndarray
     return [order[k * width : (k + 1) * width] for k in range(tables)]
 
 
+def _node(shingles: np.ndarray) -> int:
+    """A name for a shingle set, as a signed long."""
+    return int(np.uint64(xxhash.xxh64_intdigest(shingles.tobytes(), 7)).astype(np.int64))
+
+
 def _signatures(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
+    """``id, node, sig, size`` of each row: the name, signature and size of its shingle set."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [signature([shingle_set(t.as_py(), shingle)], LANES).tobytes() for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], names=["id", "sig"])
+            made = []
+            for t in batch.column(1):
+                one = shingle_set(t.as_py(), shingle)
+                made.append((_node(one), signature([one], LANES).tobytes(), len(one)))
+            nodes, sigs, sizes = zip(*made) if made else ((), (), ())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(nodes, pa.int64()), pa.array(sigs, pa.binary()), pa.array(sizes, pa.int64())], names=["id", "node", "sig", "size"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, "id long, sig binary")
-    return rows.withColumn("node", F.xxhash64("sig"))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    return rows.mapInArrow(run, "id long, node long, sig binary, size long")
 
 
 def _signature_links(nodes: DataFrame, similarity: float) -> DataFrame:
@@ -262,16 +288,71 @@ def _signature_links(nodes: DataFrame, similarity: float) -> DataFrame:
     return rows.select("node", "sig", "band", "value", group.alias("group"), pair.alias("pair")).groupBy("band", "group", "pair").applyInPandas(link, "a long, b long")
 
 
+def _similar_links(docs: DataFrame, nodes: DataFrame, similarity: float, id_col: str, text_col: str, shingle: int) -> DataFrame:
+    """Links ``a, b`` that connect the nodes whose shingle sets have this Jaccard similarity or more, by exact comparison.
+
+    Candidates are the pairs within the radius of a component of ``_signature_links``. A component's sets are made
+    again from the text of one document a node and compared in one task; components are dealt into groups of about
+    SET_ROWS sets and SET_SHINGLES shingles, and a larger component is dealt over pairs of tiles of that size.
+    """
+    radius = signature_radius(similarity)
+    chained = materialize(connected_components(_signature_links(nodes, similarity)), "chained")
+    roots = chained.select("node", "component").unionByName(chained.select(F.col("component").alias("node"), "component")).distinct()
+    members = materialize(roots.join(nodes.select("node", "first", "size"), "node"), "members")
+    weight = F.greatest(F.count("*") / SET_ROWS, F.sum("size") / SET_SHINGLES)
+    groups = max(1, math.ceil(members.agg(weight).first()[0] or 0))
+    tiles = members.groupBy("component").agg(F.greatest(F.lit(1), F.ceil(weight)).cast("int").alias("tiles"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [shingle_set(t.as_py(), shingle) for t in batch.column(0)]
+            yield pa.RecordBatch.from_arrays([pa.array([_node(x) for x in made], pa.int64()), pa.array([x.tobytes() for x in made], pa.binary())], names=["node", "shingles"])
+
+    # an id may stand for several texts: those that are no member's fall out when they are joined by node
+    wanted = members.select(F.col("first").alias("id")).distinct()
+    rows = docs.select(F.col(id_col).cast("long").alias("key"), F.col(text_col).alias("text"))
+    texts = rows.join(wanted, rows.key.eqNullSafe(wanted.id), "left_semi").select("text")
+    sets = texts.mapInArrow(run, "node long, shingles binary").join(members.join(tiles, "component").select("node", "component", "tiles"), "node")
+    sets = sets.groupBy("node").agg(*[F.first(c).alias(c) for c in ("shingles", "component", "tiles")])
+    own = F.pmod("node", F.col("tiles")).cast("int")
+    sets = sets.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    group = F.when(F.col("tiles") == 1, F.pmod("component", F.lit(groups))).otherwise(F.col("component"))
+    pair = F.when(F.col("tiles") == 1, "").otherwise(F.concat_ws(":", F.least("own", "other"), F.greatest("own", "other")))
+
+    def link(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("component", kind="stable")
+        node, component = pdf["node"].to_numpy(np.int64), pdf["component"].to_numpy(np.int64)
+        made = [np.frombuffer(x, "<u8") for x in pdf["shingles"]]
+        sig = np.array([signature([x], LANES) for x in made]).reshape(len(made), LANES)
+        cuts = np.concatenate([[0], np.nonzero(np.diff(component))[0] + 1, [len(component)]])
+        found = []
+        for i, j in zip(cuts.tolist(), cuts[1:].tolist()):
+            found += [(i + x, i + y) for x, y in tile_links(sig[i:j], radius, lambda x, y, i=i: jaccard(made[i + x], made[i + y]) >= similarity)]
+        return pd.DataFrame({"a": [node[x] for x, _ in found], "b": [node[y] for _, y in found]}, dtype="int64")
+
+    return sets.select("node", "shingles", "component", group.alias("group"), pair.alias("pair")).groupBy("group", "pair").applyInPandas(link, "a long, b long")
+
+
+def jaccard(a: np.ndarray, b: np.ndarray) -> float:
+    """Jaccard similarity of two sets of distinct values; 0 if one of them is empty."""
+    if not len(a) or not len(b):
+        return 0.0
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both / (len(a) + len(b) - both)
+
+
 def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
-    """Return ``id, node, component_id``: groups of documents whose shingles have about this Jaccard similarity or more.
+    """Return ``id, node, component_id``: groups of documents linked by shingle sets of this Jaccard similarity or more.
 
-    A signature is LANES SimHash fingerprints over distinct shingles; two link where no more bits differ than ``signature_radius``. Which pairs
-    are compared follows from tables of their bits, so the work grows little faster than the documents. Odd rows are
-    treated as by ``near_duplicates``.
+    Each link is checked on the sets themselves. Candidates come from signatures of LANES SimHash fingerprints over
+    distinct shingles, in which no more bits differ than ``signature_radius``. Which pairs are compared follows from
+    tables of their bits, so the work grows little faster than the documents. Odd rows are treated as by
+    ``near_duplicates``; texts with equal shingle sets are one node, texts without words too.
     """
     prints = materialize(_signatures(docs, id_col, text_col, shingle), "signatures")
-    nodes = materialize(prints.groupBy("node").agg(F.first("sig").alias("sig"), F.min("id").alias("first"), F.count("*").alias("rows")), "nodes")
-    return _grouped(prints.select("id", "node"), nodes.select("node", "first", "rows"), "node", _signature_links(nodes, similarity))
+    nodes = materialize(prints.groupBy("node").agg(F.first("sig").alias("sig"), F.first("size").alias("size"), F.min("id").alias("first"), F.count("*").alias("rows")), "nodes")
+    links = materialize(_similar_links(docs, nodes, similarity, id_col, text_col, shingle), "similar")
+    return _grouped(prints.select("id", "node"), nodes.select("node", "first", "rows"), "node", links)
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:

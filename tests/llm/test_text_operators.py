@@ -121,6 +121,32 @@ def test_near_duplicates_on_odd_rows(spark):
     assert simhash.near_duplicates(no_docs(spark)).count() == 0
 
 
+@pytest.mark.parametrize("rows", [2048, 8])
+def test_similar_documents_against_brute_force(spark, rows, monkeypatch):
+    """Pairs on both sides of the similarity, and a group of near copies that is cut into tiles."""
+    monkeypatch.setattr(simhash, "SET_ROWS", rows, raising=False)
+    rng, texts = random.Random(4), []
+    for k in range(60):
+        words = [f"a{k}x{i}" for i in range(300)]
+        texts.append(words)
+        for changes in (4, 5, 6, 7, 8, 9, 10, 14):
+            other = list(words)
+            for at in rng.sample(range(0, 300, 10), changes):
+                other[at] = f"b{k}x{at}x{changes}"
+            texts.append(other)
+    hot = [f"h{i}" for i in range(300)]
+    for k in range(40):
+        texts.append([f"z{k}" if i == 7 * k else w for i, w in enumerate(hot)])
+    texts = [" ".join(t) for t in texts] + ["", None, "a b", "a b c"]
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if (w := (t or "").split()) else set() for t in texts]
+    # texts of different k share no shingle
+    links = [(i, j) for i, j in itertools.combinations(range(len(texts)), 2) if j - i < 50 and (sets[i] == sets[j] or len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]))]
+    want = components(range(len(texts)), links)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["id"]: r["component_id"] for r in simhash.similar_documents(docs).collect()}
+    assert got == want and 60 < len(set(want.values())) < 500
+
+
 def test_similar_documents_count_shingles_once(spark):
     words = [f"w{k}" for k in range(400)]
     texts = [" ".join(words), " ".join(words + 20 * words[40:80]), " ".join(f"v{k}" for k in range(400))]
