@@ -5,7 +5,7 @@ from __future__ import annotations
 import html as entities
 import math
 import re
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -13,14 +13,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>", re.S)
+_NAME = re.compile(r"(/?)([a-zA-Z][^\s/>]*)")
+_STOP = re.compile(r">|=\s*[\"']")
 _ATTR = re.compile(r"""([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
+_MARKED = re.compile(r"class|id|role|item|hidden|style|label", re.I)
 
 # HTML element names by role (fixed by the HTML standard)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SILENT = frozenset("script style noscript template iframe object svg math canvas select button textarea title head audio video".split())
 RAW = frozenset("script style textarea title noscript iframe".split())
+IN_HEAD = frozenset("head base link meta script style title noscript template".split())
 BLOCK = frozenset(
     "html body head address article aside blockquote center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul caption option".split()
 )
@@ -28,60 +31,84 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: An opening tag ends these open elements: an element, and where the search for it stops.
 IMPLIED = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
 
-# Words of class, id and role values that mark boilerplate or content.
-BAD_WORDS = frozenset(
-    "nav navbar navigation menu breadcrumb breadcrumbs sidebar side aside widget widgets footer foot header masthead banner ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup share sharing social related recommended recommendations comment comments respond replies reply disqus login search pagination pager copyright toolbar rail outbrain taboola hidden complementary contentinfo dialog form legal disclaimer teaser tags skip".split()
+# What an element is for, by its tag and by the words of its class, id and role. Hard words name things that are never
+# an article; soft ones are also used for parts of articles and for wrappers.
+HARD_TAGS = frozenset("nav footer aside menu dialog search".split())
+SOFT_TAGS = frozenset("form header".split())
+HARD_WORDS = frozenset(
+    "nav navbar navigation menu breadcrumb breadcrumbs sidebar footer ad ads adv advert adverts advertisement advertising sponsor sponsored cookie cookies consent gdpr popup modal newsletter subscribe subscription share sharing comment comments respond replies disqus pagination pager masthead banner outbrain taboola complementary contentinfo".split()
 )
+SOFT_WORDS = frozenset("side aside widget widgets foot header head promo promotion notice notices alert overlay signup social related recommended recommendations reply login search copyright toolbar rail dialog form legal disclaimer teaser tags skip".split())
 GOOD_WORDS = frozenset("article content post entry story main body text maincontent articlebody".split())
+#: A word behind one of these tells of a state of the element, not of what it is.
+STATES = frozenset("has no not with without is hide hides hidden".split())
+#: Open elements at most; deeper ones are read as if they were not there.
+MOST_OPEN = 512
+#: Quoted values of one tag at most.
+MOST_VALUES = 256
 
 
-@dataclass
+@dataclass(frozen=True)
 class Weights:
-    """Log-odds of the block classifier and strengths of the edges."""
+    """Evidence of a block's text (a terminal capacity, within +-``most``), of elements, and the strengths of the edges.
+
+    Elements that a tag or a class marks are nodes of the cut too. Their evidence is a share of all the page's positive
+    text evidence, so one that holds most of the text is outvoted by its blocks. ``tie_*`` is the edge from a block to
+    each marked element around it.
+    """
 
-    bias: float = -0.5
-    length: float = 0.5
+    bias: float = -1.3
+    length: float = 0.6
     sentence: float = 0.5
-    paragraph: float = 1.0
-    heading: float = 1.0
-    link_density: float = 6.0
-    in_article: float = 4.0
-    outside_article: float = -3.0
-    bad_region: float = -9.0
-    good_region: float = 1.5
+    paragraph: float = 0.75
+    cell: float = 0.25
+    heading: float = 0.75
+    link_density: float = 5.0
+    most: float = 2.5
+    article: float = 1.0
+    good: float = 0.3
+    outside: float = 0.5
+    soft: float = 0.3
+    hard: float = 0.85
+    tie_article: float = 2.0
+    tie_good: float = 1.0
+    tie_outside: float = 3.0
+    tie_soft: float = 3.5
+    tie_hard: float = 6.0
     adjacent: float = 2.0
     sibling: float = 0.5
+    boundary: float = 0.3
 
 
 @dataclass
-class Block:
-    text: str
-    path: tuple[int, ...]  # numbers of the open elements, outermost first
+class Element:
     tag: str
-    link_share: float
-    bad: bool
-    good: bool
-    article: int  # number of the innermost open article or main, -1 if none
+    parent: int  # place among the page's elements, -1 for none
+    depth: int
+    kind: str  # "article", "hard", "soft", "good" or ""
 
 
 @dataclass
-class _Element:
+class Block:
+    text: str
+    element: int  # its innermost element, -1 for none
     tag: str
-    number: int
-    bad: bool
-    good: bool
-    article: int
+    link_share: float
 
 
 @dataclass
-class _Page:
-    stack: list[_Element] = field(default_factory=list)
+class Page:
+    """Reads tags and text into blocks and the elements around them; tolerant of anything that is not well formed."""
+
+    elements: list[Element] = field(default_factory=list)
     blocks: list[Block] = field(default_factory=list)
+    stack: list[int] = field(default_factory=list)
+    open: Counter = field(default_factory=Counter)
+    beyond: Counter = field(default_factory=Counter)
     parts: list[str] = field(default_factory=list)
     linked: int = 0
     anchors: int = 0
     silent: int = 0
-    count: int = 0
 
     def flush(self) -> None:
         if not self.parts:
@@ -89,13 +116,14 @@ class _Page:
         text = " ".join(entities.unescape("".join(self.parts)).split())
         self.parts.clear()
         linked, self.linked = self.linked, 0
-        if not text:
-            return
-        blocks = [e for e in self.stack if e.tag in BLOCK]
-        last = blocks[-1] if blocks else _Element("", 0, False, False, -1)
-        self.blocks.append(Block(text, tuple(e.number for e in blocks), last.tag, min(1.0, linked / max(1, len(text))), last.bad, last.good, last.article))
+        if text:
+            at = self.stack[-1] if self.stack else -1
+            block = next((k for k in reversed(self.stack) if self.elements[k].tag in BLOCK), -1)
+            self.blocks.append(Block(text, at if block < 0 else block, self.elements[block].tag if block >= 0 else "", min(1.0, linked / max(1, len(text)))))
 
     def text(self, raw: str) -> None:
+        if self.open["head"] and self.elements[self.stack[-1]].tag == "head" and not raw.isspace():
+            self.close(len(self.stack) - 1)
         if self.silent:
             return
         self.parts.append(raw)
@@ -104,53 +132,59 @@ class _Page:
 
     def close(self, k: int) -> None:
         """End the open elements from place ``k`` on."""
-        for e in self.stack[k:]:
-            if e.tag in BLOCK:
-                self.flush()
-                break
-        for e in self.stack[k:]:
-            self.silent -= e.tag in SILENT
-            self.anchors -= e.tag == "a"
+        tags = [self.elements[e].tag for e in self.stack[k:]]
+        if any(t in BLOCK for t in tags):
+            self.flush()
+        for t in tags:
+            self.open[t] -= 1
+            self.silent -= t in SILENT
+            self.anchors -= t == "a"
         del self.stack[k:]
 
+    def _nearest(self, ended: frozenset[str] | set[str], stop: frozenset[str] | set[str]) -> int:
+        """Place of the innermost open element among ``ended``, unless one of ``stop`` lies within it; -1 for none."""
+        if any(self.open[t] for t in ended):
+            for k in range(len(self.stack) - 1, -1, -1):
+                tag = self.elements[self.stack[k]].tag
+                if tag in ended:
+                    return k
+                if tag in stop:
+                    break
+        return -1
+
     def start(self, tag: str, attributes: str) -> None:
+        if self.open["head"] and tag not in IN_HEAD and (k := self._nearest({"head"}, set())) >= 0:
+            self.close(k)
         if tag == "br":
             self.text(" ")
             return
         if tag in BLOCK:
             self.flush()
-        if tag in VOID:
+        if tag in VOID or attributes.endswith("/") and (tag in ("svg", "math") or self.open["svg"] or self.open["math"]):
             return
         if tag in BLOCK and tag not in ("html", "body"):
             # a block ends an open paragraph or heading and the inline elements in it
-            for k in range(len(self.stack) - 1, -1, -1):
-                if self.stack[k].tag == "p" or self.stack[k].tag in HEADINGS and (tag == "p" or tag in HEADINGS):
-                    self.close(k)
-                    break
-                if self.stack[k].tag in BLOCK:
-                    break
-        if tag in IMPLIED:
-            ended, stop = IMPLIED[tag]
-            for k in range(len(self.stack) - 1, -1, -1):
-                if self.stack[k].tag in stop:
-                    break
-                if self.stack[k].tag in ended:
-                    self.close(k)
-                    break
-        self.count += 1
-        parent = self.stack[-1] if self.stack else _Element("", 0, False, False, -1)
-        bad, good = parent.bad, parent.good
-        article = parent.article
+            ends = {"p"} | HEADINGS if tag == "p" or tag in HEADINGS else {"p"}
+            if (k := self._nearest(ends, BLOCK - ends)) >= 0:
+                self.close(k)
+        if tag in IMPLIED and (k := self._nearest(*IMPLIED[tag])) >= 0:
+            self.close(k)
+        if len(self.stack) >= MOST_OPEN:
+            self.beyond[tag] += 1
+            return
+        kind = ""
         if tag in ("article", "main"):
-            article = self.count
-        if tag in ("nav", "footer", "aside", "form", "menu", "dialog", "search") or tag == "header" and article < 0:
-            bad = True
-        if attributes:
-            a, b = _marks(attributes)
-            bad, good = bad or a and tag not in ("html", "body", "main"), good or b
-        if article == self.count and not bad:
-            good = True
-        self.stack.append(_Element(tag, self.count, bad, good, article))
+            kind = "article"
+        elif tag in HARD_TAGS:
+            kind = "hard"
+        elif tag in SOFT_TAGS and not (tag == "header" and self.open["article"] + self.open["main"]):
+            kind = "soft"
+        if attributes and tag not in ("html", "body", "main") and _MARKED.search(attributes):
+            told = kind_of(attributes)
+            kind = told if told in ("hard", "soft") and kind != "hard" else kind or told
+        self.elements.append(Element(tag, self.stack[-1] if self.stack else -1, len(self.stack), kind))
+        self.stack.append(len(self.elements) - 1)
+        self.open[tag] += 1
         self.silent += tag in SILENT
         self.anchors += tag == "a"
 
@@ -158,100 +192,217 @@ class _Page:
         if tag == "br":
             self.text(" ")
             return
-        for k in range(len(self.stack) - 1, -1, -1):
-            if self.stack[k].tag == tag:
-                self.close(k)
-                return
-            if self.stack[k].tag in ("table", "article", "main", "body") and tag not in BLOCK:
-                break
+        if self.beyond[tag]:
+            self.beyond[tag] -= 1
+        elif (k := self._nearest({tag}, frozenset() if tag in BLOCK else {"table", "article", "main", "body"})) >= 0:
+            self.close(k)
+            return
         if tag in BLOCK:
             self.flush()
 
 
-def _marks(attributes: str) -> tuple[bool, bool]:
-    """Whether class, id, role and the like tell of boilerplate, and of content."""
-    bad = good = False
+def kind_of(attributes: str) -> str:
+    """What class, id, role and the like say of an element: "hard", "soft" (boilerplate), "good" or "" (nothing)."""
+    found: set[str] = set()
     for name, *values in _ATTR.findall(attributes):
         name, value = name.lower(), next(filter(None, values), "")
         if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none", value):
-            bad = True
-        elif name in ("class", "id", "role", "itemprop", "itemtype", "aria-label"):
-            found = {w.lower() for w in _WORD.findall(value)}
-            bad |= not found.isdisjoint(BAD_WORDS)
-            good |= not found.isdisjoint(GOOD_WORDS)
-    return bad, good and not bad
+            return "hard"
+        if name in ("class", "id", "role", "itemprop", "itemtype", "aria-label"):
+            for token in value.split():
+                words = [w.lower() for w in _WORD.findall(token)]
+                words = {w for k, w in enumerate(words) if not (k and words[k - 1] in STATES)}
+                found |= {"hard"} if words & HARD_WORDS else set()
+                found |= {"soft"} if words & SOFT_WORDS else set()
+                found |= {"good"} if words & GOOD_WORDS else set()
+    if "hard" in found:
+        return "hard"
+    if {"soft", "good"} <= found:
+        return ""
+    return found.pop() if found else ""
+
+
+def _tag_end(page: str, at: int) -> int:
+    """Where the tag that ``at`` lies in ends, behind its ">"; quoted values may hold one. -1 if it does not end."""
+    here, plain = at, page.find(">", at)
+    for _ in range(MOST_VALUES):
+        stop = _STOP.search(page, here)
+        if stop is None:
+            break
+        if stop[0] == ">":
+            return stop.end()
+        here = page.find(stop[0][-1], stop.end()) + 1
+        if not here:
+            break
+    return plain + 1 or -1
 
 
-def blocks_of(page: str) -> list[Block]:
-    """The text blocks of a page in order; tolerant of anything that is not well formed."""
-    state, at = _Page(), 0
+def read_page(page: str) -> Page:
+    """The blocks and elements of a page. Each character is looked at a bounded number of times, whatever the markup."""
+    state, at, last = Page(), 0, page.rfind(">")
     while at < len(page):
-        tag = _TAG.search(page, at)
-        if tag is None:
+        less = page.find("<", at)
+        if less < 0:
             state.text(page[at:])
             break
-        if tag.start() > at:
-            state.text(page[at : tag.start()])
-        at = tag.end()
-        if tag[2] is None:
-            if tag[0].startswith("<![CDATA["):
-                state.text(tag[0][9:].removesuffix("]]>"))
+        if less > at:
+            state.text(page[at:less])
+        if page.startswith("<!--", less):
+            end = page.find("-->", less + 4)
+            at = end + 3 if end >= 0 else len(page)
             continue
-        name = tag[2].lower()
-        if tag[1]:
-            state.end(name)
+        if page.startswith("<![CDATA[", less):
+            end = page.find("]]>", less)
+            state.text(page[less + 9 : end if end >= 0 else len(page)])
+            at = end + 3 if end >= 0 else len(page)
             continue
-        if name in RAW and not tag[3].endswith("/"):
-            close = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(page, at)
-            at = close.end() if close else len(page)
+        name = _NAME.match(page, less + 1)
+        if name is None and page[less + 1 : less + 2] not in ("!", "?", "/"):
+            state.text("<")
+            at = less + 1
             continue
-        if name == "body":
+        if less > last:  # a tag that the page ends in
+            break
+        if name is None:
+            at = page.find(">", less) + 1
+            continue
+        at = _tag_end(page, name.end())
+        tag, attributes = name[2].lower(), page[name.end() : at - 1]
+        if name[1]:
+            state.end(tag)
+        elif tag in RAW:
+            state.start(tag, attributes) if tag not in IN_HEAD else None
+            close = _raw_end(tag).search(page, at)
+            if close or not attributes.endswith("/"):
+                at = close.end() if close else len(page)
+            if tag not in IN_HEAD:
+                state.end(tag)
+        elif tag == "body":
             state.close(0)
-        state.start(name, tag[3])
+            state.start(tag, attributes)
+        else:
+            state.start(tag, attributes)
     state.close(0)
     state.flush()
-    return state.blocks
-
-
-def _affinities(blocks: list[Block], w: Weights) -> list[float]:
-    """Log-odds of each block being content, from the block classifier."""
-    mass: dict[int, int] = {}
-    for b in blocks:
-        if b.article >= 0 and not b.bad:
-            mass[b.article] = mass.get(b.article, 0) + len(b.text)
-    main = max(mass, key=lambda k: (mass[k], -k), default=None)
-    out = []
-    for b in blocks:
-        n = b.text.count(" ") + 1
-        s = w.bias + w.length * math.log2(1 + n) - w.link_density * b.link_share
-        s += w.sentence * (b.text[-1] in ".!?…\"”»:;" and n > 3)
-        s += w.paragraph * (b.tag in ("p", "pre", "blockquote", "li", "td", "dd", "figcaption")) + w.heading * (b.tag in HEADINGS)
-        s += w.bad_region if b.bad else w.good_region * b.good
-        if main is not None and not b.bad:
-            s += w.in_article if b.article == main or main in b.path else w.outside_article
-        out.append(s)
-    return out
-
-
-def _edges(blocks: list[Block], w: Weights) -> list[tuple[int, int, float]]:
-    """Edges between neighbours, weaker with their distance in the tree, and to the block before in the same parent."""
-    out, last_in = [], {}
+    return state
+
+
+_RAW_ENDS = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for t in RAW}
+
+
+def _raw_end(tag: str) -> re.Pattern:
+    return _RAW_ENDS[tag]
+
+
+def text_evidence(block: Block, w: Weights) -> float:
+    """Log-odds of a block being content, from its own text and tag alone, within +-``w.most``."""
+    n = block.text.count(" ") + 1
+    s = w.bias + w.length * math.log2(1 + n) - w.link_density * block.link_share
+    s += w.sentence * (block.text[-1] in ".!?…\"”»:;" and n > 3)
+    if block.tag in ("p", "pre", "blockquote", "dd", "figcaption"):
+        s += w.paragraph
+    elif block.tag in HEADINGS:
+        s += w.heading
+    elif block.tag in ("li", "td"):
+        s += w.cell
+    return max(-w.most, min(w.most, s))
+
+
+def build_graph(page: Page, w: Weights) -> tuple[list[float], list[tuple[int, int, float]]]:
+    """Terminal capacities and edges: nodes are the blocks, then the marked elements, then what lies outside the article.
+
+    Edges join a block with the block before it (weaker with their distance in the tree, and across the border of a
+    marked element), with the block before it in the same parent, and with the marked elements around it.
+    """
+    blocks, elements = page.blocks, page.elements
+    gain = [text_evidence(b, w) for b in blocks]
+    total = max(1.0, sum(g for g in gain if g > 0))
+    # positive evidence below each element
+    mass = [0.0] * len(elements)
+    for b, g in zip(blocks, gain):
+        if b.element >= 0:
+            mass[b.element] += max(0.0, g) + 1e-3
+    bad = [e.kind in ("hard", "soft") for e in elements]
+    for k, e in enumerate(elements):
+        bad[k] = bad[k] or e.parent >= 0 and bad[e.parent]
+    for k in range(len(elements) - 1, -1, -1):
+        if elements[k].parent >= 0:
+            mass[elements[k].parent] += mass[k]
+    # the article: of those that are in nothing bad (or of all) the one with most text, or the part of it that holds most
+    named = [k for k, e in enumerate(elements) if e.kind == "article" and mass[k] > 0]
+    named = [k for k in named if not bad[k]] or named
+    main = max(named, key=lambda k: (mass[k], -k), default=-1)
+    for k in named:
+        if main >= 0 and k > main and mass[k] >= 0.6 * mass[main] and _within(elements, k, main):
+            main = k
+    around = set()
+    k = main
+    while k >= 0:
+        around.add(k)
+        k = elements[k].parent
+    # marked elements of each element, as nodes with the strength of the edge
+    node: dict[int, int] = {}
+    marks: list[tuple[tuple[int, float], ...]] = []
+    inside: list[bool] = []
+    caps: list[float] = []
+    reach = [(w.hard, w.tie_hard), (w.soft, w.tie_soft)]
+    for k, e in enumerate(elements):
+        own = marks[e.parent] if e.parent >= 0 else ()
+        inside.append(k == main or e.parent >= 0 and inside[e.parent])
+        cap = tie = 0.0
+        if k == main:
+            cap, tie = w.article * total, w.tie_article
+        elif e.kind in ("hard", "soft") and k not in around:
+            share, tie = reach[e.kind == "soft"]
+            cap = -total * (share if main < 0 else 2.0 if e.kind == "hard" else share + 0.2)
+        elif e.kind == "good" and main < 0:
+            cap, tie = w.good * total, w.tie_good
+        if tie:
+            node[k] = len(blocks) + len(caps)
+            caps.append(cap)
+            # of elements of a kind within each other the innermost counts, and the article only where nothing hard is in it
+            kept = [m for m in own if (m[1] != tie) and not (tie == w.tie_hard and m[1] == w.tie_article)]
+            own = (*kept, (node[k], tie))
+        marks.append(own)
+    gain += caps
+    outside = -1
+    if main >= 0 and mass[main] >= 0.3 * total:
+        outside = len(gain)
+        gain.append(-w.outside * total)
+    edges: list[tuple[int, int, float]] = []
+    last_in: dict[int, int] = {}
     for k, b in enumerate(blocks):
+        own = marks[b.element] if b.element >= 0 else ()
+        edges += [(k, n, tie) for n, tie in own]
+        if outside >= 0 and not (b.element >= 0 and inside[b.element]):
+            edges.append((k, outside, w.tie_outside))
         if k:
             a = blocks[k - 1]
-            common = 0
-            for x, y in zip(a.path, b.path):
-                if x != y:
-                    break
-                common += 1
-            apart = len(a.path) + len(b.path) - 2 * common
-            out.append((k - 1, k, w.adjacent / (1 + apart / 2)))
-        parent = b.path[:-1]
+            near = w.adjacent / (1 + _apart(elements, a.element, b.element) / 2)
+            edges.append((k - 1, k, near if (marks[a.element] if a.element >= 0 else ()) == own else near * w.boundary))
+        parent = elements[b.element].parent if b.element >= 0 else -1
         before = last_in.get(parent)
         if before is not None and before != k - 1:
-            out.append((before, k, w.sibling))
+            edges.append((before, k, w.sibling))
         last_in[parent] = k
-    return out
+    return gain, edges
+
+
+def _within(elements: list[Element], k: int, outer: int) -> bool:
+    while k > outer:
+        k = elements[k].parent
+    return k == outer
+
+
+def _apart(elements: list[Element], a: int, b: int) -> int:
+    """Steps from one element to the other in the tree. Over a page's blocks in order all of them are about its elements."""
+    steps = 0
+    while a != b:
+        if a > b:  # elements are numbered in the order of the page, so the larger one is not an ancestor
+            a, b = b, a
+        b = elements[b].parent
+        steps += 1
+    return steps
 
 
 def min_cut(gain: list[float], edges: list[tuple[int, int, float]]) -> list[bool]:
@@ -324,12 +475,11 @@ def min_cut(gain: list[float], edges: list[tuple[int, int, float]]) -> list[bool
 
 def main_text(page: str | None, weights: Weights | None = None) -> str:
     """Content blocks of a page, white space collapsed, joined by an empty line; "" if there are none."""
-    blocks = blocks_of(page or "")
-    if not blocks:
+    read = read_page(page or "")
+    if not read.blocks:
         return ""
-    w = weights or Weights()
-    content = min_cut(_affinities(blocks, w), _edges(blocks, w))
-    return "\n\n".join(b.text for b, keep in zip(blocks, content) if keep)
+    content = min_cut(*build_graph(read, weights or Weights()))
+    return "\n\n".join(b.text for b, keep in zip(read.blocks, content) if keep)
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", weights: Weights | None = None) -> DataFrame:

@@ -8,6 +8,9 @@ import hashlib
 import io
 import itertools
 import random
+import re
+import time
+from html import unescape
 
 import numpy as np
 import pytest
@@ -34,11 +37,72 @@ def test_main_text(name):
     assert html_extract.main_text(PAGES[name]) == "\n\n".join(["Head", P1, P2, CLEAN3])
 
 
-@pytest.mark.parametrize("page", [None, "", " ", "<", "<p", "</p></p>", "<!--", "<script>x", "<a <b <c>", "&#x110000;", "<table><tr><td>", "<p>" * 3000, "<div>" * 3000 + "x"])
+@pytest.mark.parametrize("page", [None, "", " ", "<", "<p", "</p></p>", "<!--", "<script>x", "<a <b <c>", "&#x110000;", "<table><tr><td>", "<p>" * 3000, "<div>" * 3000 + "x", "</head>", "<svg/>", "<head>", "a < b", "<p title='>'>x</p>"])
 def test_odd_pages(page):
     assert isinstance(html_extract.main_text(page), str)
 
 
+LINE = "The quick brown fox jumps over the lazy dog near the river bank today, said the old man."
+ARTICLE = "".join(f"<p>{LINE} Number {k}.</p>" for k in range(8))
+PLAIN = "\n\n".join(f"{LINE} Number {k}." for k in range(8))
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<head><title>t</title>{ARTICLE}",
+        f"<body><div id=main class='no-comments'>{ARTICLE}</div></body>",
+        f"<body><div class='layout sidebar-left'>{ARTICLE}</div></body>",
+        f"<body><div class='page-header content'>{ARTICLE}</div></body>",
+        f"<body><form id=aspnetForm><nav><a href=x>Home</a></nav>{ARTICLE}<footer>Copyright of us all.</footer></form></body>",
+        f"<article>{ARTICLE}<section id=comments><p>{LINE}</p><p>{LINE}</p><p>I like it</p></section></article>",
+        f"<div class=post>{ARTICLE}</div><div id=comments><p>{LINE}</p><p>{LINE}</p></div>",
+        f"<div class='has-sidebar social-share-on'>{ARTICLE}</div><aside><p>{LINE}</p></aside>",
+    ],
+)
+def test_wrappers_and_regions(page):
+    assert html_extract.main_text(page) == PLAIN
+
+
+def test_parts_of_articles_stay():
+    page = f"<main>{ARTICLE}<section id=related-work><h2>Related work</h2><p>{LINE}</p><p>{LINE}</p></section></main>"
+    assert html_extract.main_text(page) == "\n\n".join([PLAIN, "Related work", LINE, LINE])
+    page = f"<article><p>{LINE}</p><svg viewBox='0 0 1 1'/><p>{LINE}</p><svg><path d=x /><circle/></svg><p>{LINE}</p></article>"
+    assert html_extract.main_text(page) == "\n\n".join([LINE] * 3)
+    page = "<nav><a href=x>Home</a></nav><div class=ad>Buy the best thing ever made now.</div><article><h1>Taja.</h1><p>Taja.</p></article><footer>Some long text of the footer is here for all of you.</footer>"
+    assert html_extract.main_text(page) == "Taja.\n\nTaja."
+
+
+def test_smoothness_alone_saves_a_block():
+    """A short line without a tag that speaks for it costs more as content, and stays between two paragraphs only."""
+    weights = html_extract.Weights()
+    page = html_extract.read_page(f"<body><p>{LINE}</p><div>so it is</div><p>{LINE}</p></body>")
+    assert html_extract.text_evidence(page.blocks[1], weights) < 0
+    assert html_extract.main_text(f"<body><p>{LINE}</p><div>so it is</div><p>{LINE}</p></body>") == f"{LINE}\n\nso it is\n\n{LINE}"
+    assert html_extract.main_text("<body><div>so it is</div></body>") == ""
+
+
+@pytest.mark.parametrize("part", ["<a ", "<div>x", "<a x='>", "<b><div>x</div>", '<a x="', "<p><b>x ", "<li><ul><b>x", "<!", "</ ", "<", "<p>x</p>"])
+def test_long_broken_pages_take_linear_time(part):
+    start = time.process_time()
+    html_extract.main_text(part * (300_000 // len(part)))
+    assert time.process_time() - start < 10
+
+
+def test_pages_against_their_template(spark, sf):
+    """The given pages all hold one article; the query returns its headings and paragraphs, and the cut decides blocks."""
+    want, changed, weights = {}, 0, html_extract.Weights()
+    for r in spark.read.parquet(f"{sf}/pages.parquet").collect():
+        inner = r["html"][r["html"].index("<article>") : r["html"].index("</article>")]
+        parts = [" ".join(unescape(re.sub("<[^>]*>", " ", x)).split()) for x in re.split("</?p>|</?h1>", inner)]
+        want[r["page_id"]] = "\n\n".join(x for x in parts if x)
+        page = html_extract.read_page(r["html"])
+        gain, edges = html_extract.build_graph(page, weights)
+        changed += sum((g > 0) != keep for g, keep in zip(gain[: len(page.blocks)], html_extract.min_cut(gain, edges)))
+    assert {r["page_id"]: r["text"] for r in queries.op1_html_extraction(spark, sf).collect()} == want
+    assert changed > len(want)
+
+
 def test_min_cut_is_least():
     rng = random.Random(1)
     for _ in range(150):
