@@ -7,15 +7,18 @@ import hashlib
 import itertools
 import random
 import re
+import zlib
 
 import numpy as np
 import public_tokenizers
 import pytest
+import regex
 import tiktoken
 import xxhash
+import zstandard
 from pyspark.sql import functions as F
 
-from millrace.llm import byte_bpe, language_id, line_dedup, mixing, quality, simhash
+from millrace.llm import byte_bpe, language_id, line_dedup, mixing, quality, queries, simhash
 from millrace.llm.components import connected_components
 from millrace.llm.queries import RANKS
 
@@ -304,12 +307,82 @@ def test_perfect_hash():
 # --- language ID ----------------------------------------------------------------------------------------------------
 
 
-def test_language_id_held_out(spark, sf):
-    docs = spark.read.parquet(f"{sf}/documents.parquet")
-    fold = F.col("doc_id") % 4 == 2
-    out = language_id.predict(docs.where(fold), language_id.learn(docs, where=~fold)).where("length(text) > 200")
-    r = out.agg(F.count("*").alias("n"), F.count_if(F.col("lang") == F.col("lang_pred")).alias("ok")).first()
-    assert r["ok"] >= 0.9 * r["n"] > 0
+def plain_sizes(text, dictionaries):
+    """Compressed sizes of a text by the library alone, in one call a block and language."""
+    data = f" {regex.sub(r'[^\p{L}\p{M}]+', ' ', text.lower()).strip()} ".encode()
+    blocks, out = [data[k : k + (32 << 10)] for k in range(0, len(data), 32 << 10)], {}
+    more = {"strategy": zstandard.STRATEGY_BTOPT} if len(data) <= 1024 else {}
+    params = zstandard.ZstdCompressionParameters.from_level(6, write_content_size=False, write_checksum=False, write_dict_id=False, **more)
+    for name, content in dictionaries.items():
+        held = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        held.precompute_compress(compression_params=params)
+        out[name] = sum(len(zstandard.ZstdCompressor(dict_data=held, compression_params=params).compress(b)) for b in blocks)
+    return out
+
+
+def test_language_id_query_against_plain_compression(spark, sf):
+    """Every row of the query: learned fold, prediction, score; dictionaries by a plain pick of the smallest hashes."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").collect()
+    held_out = {r["doc_id"]: zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2 for r in docs}
+    pieces = collections.defaultdict(dict)
+    for r in docs:
+        if not held_out[r["doc_id"]] and r["lang"] is not None and r["text"]:
+            for k in range(0, len(r["text"]), 1000):
+                piece = r["text"][k : k + 1000]
+                if any(c.isalpha() for c in piece):
+                    pieces[r["lang"]][xxhash.xxh64_intdigest(piece.encode(), 17) >> 1] = piece
+    dictionaries = {}
+    for lang, found in pieces.items():
+        joined, raw = b"", 0
+        for h in sorted(found)[: 16 * (256 << 10) // 1000]:
+            if raw < 2 * (256 << 10):
+                joined += f" {regex.sub(r'[^\p{L}\p{M}]+', ' ', found[h].lower()).strip()} ".encode()
+                raw += len(found[h].encode())
+        dictionaries[lang] = joined[: 256 << 10]
+    assert language_id.learn(spark.read.parquet(f"{sf}/documents.parquet"), where=F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 != 2) == dictionaries
+    cut = min(len(d) for d in dictionaries.values())
+    same = {k: d[:cut] for k, d in dictionaries.items()}  # of one length, so that the plain sizes decide
+    model = language_id.Classifier(same)
+    ok = n = 0
+    got = {r["doc_id"]: r for r in queries.op9_language_id(spark, sf).collect()}
+    assert len(got) == len(docs)
+    for r in docs:
+        row, text = got[r["doc_id"]], r["text"] or ""
+        assert row["held_out"] == held_out[r["doc_id"]] and 0 <= row["score"] <= 1
+        if not any(c.isalpha() for c in text):
+            assert row["lang_pred"] == "und"
+            continue
+        sizes = plain_sizes(text, same)
+        best, second = sorted(sizes, key=lambda k: (sizes[k], k))[:2]
+        assert model(text) == (best, (sizes[second] - sizes[best]) / sizes[second])
+        if held_out[r["doc_id"]] and r["lang"] is not None:
+            n += 1
+            ok += row["lang_pred"] == r["lang"]
+    assert ok >= 0.95 * n > 0
+
+
+def test_language_id_learns_every_language(spark):
+    rng = random.Random(6)
+    vocabulary = {"aa": "abcde", "bb": "fghij", "cc": "klmno"}
+    vocabulary = {k: ["".join(rng.choice(v) for _ in range(rng.randint(4, 9))) for _ in range(60)] for k, v in vocabulary.items()}
+    text = lambda lang, n: " ".join(rng.choice(vocabulary[lang]) for _ in range(n))
+    one = text("bb", 150)
+    rows = [("aa", text("aa", 150)) for _ in range(400)] + [("bb", text("bb", 150)) for _ in range(30)] + [("xx", "12 !"), (None, "zz"), ("yy", None)]
+    docs = spark.createDataFrame(rows, "lang string, text string")
+    docs = docs.unionByName(spark.range(20_000).select(F.lit("bb").alias("lang"), F.lit(one).alias("text")))
+    learned = language_id.learn(docs, dictionary_bytes=64 << 10)
+    assert learned.keys() == {"aa", "bb"} and len(learned["aa"]) == 64 << 10 and len(learned["bb"]) > 20_000
+    rare = spark.createDataFrame([("cc", text("cc", 80))], "lang string, text string")
+    more = language_id.learn(docs.unionByName(rare), dictionary_bytes=64 << 10)
+    assert {k: more[k] for k in learned} == learned and more["cc"]
+    model = language_id.Classifier(more)
+    for lang in ("aa", "bb"):
+        assert all(model(text(lang, 60))[0] == lang for _ in range(20))
+    assert model(rare.first()["text"])[0] == "cc"
+
+
+def test_language_id_keeps_vowel_signs():
+    assert language_id._normal("हिन्दी, ที่นี่ 12!") == " हिन्दी ที่นี่ ".encode()
 
 
 def test_language_id_on_odd_rows(spark):
