@@ -23,29 +23,40 @@ m as (
   from base b left join covered c using (doc_id)),
 f as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from m),
 v as (
-  select doc_id, lang, source, r.rule as rule, r.low as low, r.slack as slack,
-         cast(floor(case r.rule when 'symbols' then 1000 * n_symbols / n_words when 'dup_lines' then 1000 * n_dup_lines / n_lines
-                    when 'repeats' then 1000 * n_repeat_words / n_words else 1000 * word_chars / n_words end) as bigint) as val
-  from f, (values ('symbols', false, 300), ('dup_lines', false, 450), ('repeats', false, 250), ('long_words', false, 2500), ('short_words', true, 1500)) r(rule, low, slack)
+  select doc_id, lang, source, r.rule as rule, r.low as low,
+         cast(floor(case r.rule when 'symbols' then 1000 * greatest(sqrt(n_symbols) - 2, 0.0e0) / sqrt(n_words)
+                    when 'dup_lines' then 1000 * greatest(sqrt(n_dup_lines) - 2, 0.0e0) / sqrt(n_lines)
+                    when 'repeats' then 1000 * greatest(sqrt(n_repeat_words) - 2, 0.0e0) / sqrt(n_words)
+                    else 1000 * word_chars / n_words end) as bigint) as val
+  from f, (values ('symbols', false), ('dup_lines', false), ('repeats', false), ('long_words', false), ('short_words', true)) r(rule, low)
   where not base_failed),
 c as (select *, (val >> greatest(0, length(bin(val)) - 6)) << greatest(0, length(bin(val)) - 6) as cell from v),
-levels as (
-  select 0 as lv, lang, source, rule, low, slack, cell from c
-  union all select 1, lang, null, rule, low, slack, cell from c
-  union all select 2, null, null, rule, low, slack, cell from c),
-ranked as (
-  select *, row_number() over (partition by lv, lang, source, rule order by cell) as rn, count(*) over (partition by lv, lang, source, rule) as n from levels),
+sg as (select lang, source, rule, cell, cast(count(*) as hugeint) as n from c group by all),
+sl as (select lang, rule, cell, cast(count(*) as hugeint) as n from c group by all),
+sa as (select rule, cell, cast(count(*) as hugeint) as n from c group by all),
+rl as (select lang, rule, cast(count(*) as hugeint) as n from c group by all),
+ra as (select rule, cast(count(*) as hugeint) as n from c group by all),
+gr as (select distinct lang, source, rule, low from c),
+w as (
+  select lang, source, rule, cell, sum(w) as w from (
+    select g.lang, g.source, g.rule, g.cell, g.n * ra.n * (rl.n + 200) as w from sg g join rl on g.rule = rl.rule and g.lang is not distinct from rl.lang join ra on g.rule = ra.rule
+    union all
+    select gr.lang, gr.source, gr.rule, sl.cell, 200 * ra.n * sl.n from gr join sl on gr.rule = sl.rule and gr.lang is not distinct from sl.lang join ra on gr.rule = ra.rule
+    union all
+    select gr.lang, gr.source, gr.rule, sa.cell, cast(40000 as hugeint) * sa.n from gr join sa on gr.rule = sa.rule) x
+  group by all),
+u as (select *, sum(w) over (partition by lang, source, rule order by cell) as upto, sum(w) over (partition by lang, source, rule) as total from w),
 q as (
-  select lv, lang, source, rule, low, slack, max(n) as n, min(case when 4 * rn >= n then cell end) as q1, min(case when 4 * rn >= 3 * n then cell end) as q3
-  from ranked group by lv, lang, source, rule, low, slack),
-b as (select *, case when low then q1 - 4 * (q3 - q1) - slack else q3 + 4 * (q3 - q1) + slack end as bound from q),
+  select lang, source, rule, min(case when 1000 * upto >= 1 * total then cell end) as q001, min(case when 1000 * upto >= 100 * total then cell end) as q10,
+         min(case when 1000 * upto >= 500 * total then cell end) as q50, min(case when 1000 * upto >= 900 * total then cell end) as q90,
+         min(case when 1000 * upto >= 999 * total then cell end) as q999
+  from u group by all),
 pick as (
-  select g.lang, g.source, g.rule, case when g.n >= 100 then g.bound when l.n >= 100 then l.bound else e.bound end as bound
-  from b g join b l on g.lv = 0 and l.lv = 1 and g.rule = l.rule and g.lang is not distinct from l.lang
-  join b e on e.lv = 2 and e.rule = g.rule),
+  select gr.lang, gr.source, gr.rule, case when low then q10 - greatest(4 * (q50 - q10), floor((q10 - q001) / 2)) else q90 + greatest(4 * (q90 - q50), floor((q999 - q90) / 2)) end as bound
+  from q join gr on q.rule = gr.rule and q.lang is not distinct from gr.lang and q.source is not distinct from gr.source),
 bad as (
-  select v.doc_id from v join pick p on v.rule = p.rule and v.lang is not distinct from p.lang and v.source is not distinct from p.source
-  where case when v.low then v.val < p.bound else v.val > p.bound end group by v.doc_id)
+  select v.doc_id from c v join pick p on v.rule = p.rule and v.lang is not distinct from p.lang and v.source is not distinct from p.source
+  where case when v.low then v.cell < p.bound else v.cell > p.bound end group by v.doc_id)
 select f.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and bad.doc_id is null as kept
 from f left join bad on f.doc_id = bad.doc_id
 """

@@ -16,45 +16,50 @@ SYMBOLS = "#*$%&|<>"
 
 @dataclass(frozen=True)
 class Rule:
-    """A measure (an integer per mille), the multiple of the quartile distance and the slack beyond the quartiles."""
+    """A measure (a whole number), and whether low values are the bad ones."""
 
     name: str
     measure: str
-    spread: int = 4
-    slack: int = 0
     low: bool = False
 
 
-#: A document fails where a measure lies beyond its group's third quartile by more than spread * (q3 - q1) + slack
-#: (or, for ``low``, below the first by as much).
+def _rate(count: str, of: str) -> str:
+    """1000 times the root of a rate, less four standard deviations of the root of the count (each is a half)."""
+    return f"1000 * greatest(sqrt({count}) - 2, 0.0e0) / sqrt({of})"
+
+
+#: A document fails where a measure lies beyond the bound of its language and source; see ``bound_of``.
 RULES = (
-    Rule("symbols", "1000 * n_symbols / n_words", slack=300),
-    Rule("dup_lines", "1000 * n_dup_lines / n_lines", slack=450),
-    Rule("repeats", "1000 * n_repeat_words / n_words", slack=250),
-    Rule("long_words", "1000 * word_chars / n_words", slack=2500),
-    Rule("short_words", "1000 * word_chars / n_words", slack=1500, low=True),
+    Rule("symbols", _rate("n_symbols", "n_words")),
+    Rule("dup_lines", _rate("n_dup_lines", "n_lines")),
+    Rule("repeats", _rate("n_repeat_words", "n_words")),
+    Rule("long_words", "1000 * word_chars / n_words"),
+    Rule("short_words", "1000 * word_chars / n_words", low=True),
 )
-#: A group with fewer documents uses the sketch of its language, and a language with fewer that of all.
-MIN_ROWS = 100
+#: Documents of its language that are merged, by weight, into the sketch of a group, and of all into that of a language.
+PRIOR_ROWS = 200
+#: Quantiles of a sketch, per mille: the middle, where the tail begins, and its end (from the other side for ``low``).
+MIDDLE, TAIL, END = 500, 900, 999
+#: Times the distance from the middle to the tail's beginning that a bound lies beyond that, at least.
+SPREAD = 4
 
 
-def _repeated(tokens: Column) -> Column:
-    """Words that lie in a window of three words whose words occur in the text more than once in that order.
-
-    Windows are compared by a 64-bit hash of their three words. Texts whose windows all differ (most) end after one
-    hash set; in others the windows are sorted by hash, and the words that the repeated ones cover are counted in order.
-    """
-    grams = F.transform(F.slice(tokens, 1, F.greatest(F.size(tokens) - 2, F.lit(0))), lambda w, i: F.xxhash64(w, F.get(tokens, i + 1), F.get(tokens, i + 2)))
-    return grams
+def _windows(tokens: Column) -> Column:
+    """A 64-bit hash of each window of three words."""
+    return F.transform(F.slice(tokens, 1, F.greatest(F.size(tokens) - 2, F.lit(0))), lambda w, i: F.xxhash64(w, F.get(tokens, i + 1), F.get(tokens, i + 2)))
 
 
 def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
-    """``doc_id, lang, source, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines`` of each whole text."""
+    """``doc_id, lang, source, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines`` of each whole text.
+
+    Texts whose windows all differ (most) end after one hash set; in others the windows are sorted by hash, and the
+    words that the repeated ones cover are counted in order.
+    """
     text = F.coalesce(F.col(text_col), F.lit(""))
     bare = F.translate(text, " \t\n\x0b\x0c\r", "")
     lines = F.filter(F.split(text, "\n"), lambda x: F.length(F.translate(x, " \t\x0b\x0c\r", "")) > 0)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), F.col(source_col).cast("string").alias("source"), text.alias("text"), words(F.col(text_col)).alias("tokens"), lines.alias("lines"), F.length(bare).cast("long").alias("word_chars"))
-    rows = rows.withColumn("grams", _repeated(F.col("tokens")))
+    rows = rows.withColumn("grams", _windows(F.col("tokens")))
     rows = rows.withColumn("twice", F.size("grams") > F.size(F.array_distinct("grams")))
     # (hash, place) sorted: a window repeats if a neighbour has its hash
     at = F.array_sort(F.transform("grams", lambda g, i: F.struct(g.alias("g"), i.alias("i"))))
@@ -86,34 +91,63 @@ def sketches(measured: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     return measured.select("lang", "source", cells.alias("at")).groupBy("lang", "source", "at.rule", "at.cell").agg(F.count("*").alias("n"))
 
 
-def thresholds(sketch: DataFrame, rules: tuple[Rule, ...] = RULES, min_rows: int = MIN_ROWS) -> DataFrame:
-    """``lang, source`` and a bound a rule, from the group's sketch or, where it is small, the merged one above it."""
-    levels = {
-        "group": sketch.select("lang", "source", "rule", "cell", "n"),
-        "lang": sketch.groupBy("lang", "rule", "cell").agg(F.sum("n").alias("n")).withColumn("source", F.lit(None).cast("string")),
-        "all": sketch.groupBy("rule", "cell").agg(F.sum("n").alias("n")).withColumns({"source": F.lit(None).cast("string"), "lang": F.lit(None).cast("string")}),
-    }
-    bounds: dict[str, DataFrame] = {}
-    for level, rows in levels.items():
-        own = W.partitionBy("lang", "source", "rule")
-        upto = own.orderBy("cell").rowsBetween(W.unboundedPreceding, 0)
-        ranked = rows.withColumns({"upto": F.sum("n").over(upto), "rows": F.sum("n").over(own)})
-        quartile = lambda q: F.min(F.when(4 * F.col("upto") >= q * F.col("rows"), F.col("cell")))
-        quartiles = ranked.groupBy("lang", "source", "rule").agg(quartile(1).alias("q1"), quartile(3).alias("q3"), F.max("rows").alias("rows"))
-        each = []
-        for r in rules:
-            reach = r.spread * (F.col("q3") - F.col("q1")) + r.slack
-            bound = F.max(F.when(F.col("rule") == r.name, F.col("q1") - reach if r.low else F.col("q3") + reach))
-            each.append(bound.alias(r.name))
-        bounds[level] = quartiles.groupBy("lang", "source").agg(*each, F.max("rows").alias("rows"))
-    every = bounds["all"].first()  # one row, a number a rule
-    group, lang = bounds["group"].alias("g"), bounds["lang"].alias("l")
-    joined = group.join(lang, F.col("g.lang").eqNullSafe(F.col("l.lang")))
-    pick = lambda n: F.when(F.col("g.rows") >= min_rows, F.col(f"g.{n}")).when(F.col("l.rows") >= min_rows, F.col(f"l.{n}")).otherwise(F.lit(every[n] if every else None).cast("long"))
-    return joined.select(F.col("g.lang").alias("lang"), F.col("g.source").alias("source"), *[pick(r.name).alias(r.name) for r in rules])
-
-
-def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source", rules: tuple[Rule, ...] = RULES, min_rows: int = MIN_ROWS) -> DataFrame:
+def _quantiles(weights: Column) -> tuple[Column, Column]:
+    """The sum of ``weights`` (cell and weight, in the order of the cells), and the cells at its quantiles as a struct.
+
+    The latter reads the sum from a column ``__total``.
+    """
+    kind = "decimal(38,0)"
+    zero = F.lit(0).cast(kind)
+    total = F.aggregate(weights, zero, lambda s, x: (s + x.w).cast(kind))
+    names = {"low_end": 1000 - END, "low_tail": 1000 - TAIL, "middle": MIDDLE, "tail": TAIL, "end": END}
+    start = F.struct(zero.alias("upto"), *[F.lit(None).cast("long").alias(n) for n in names])
+
+    def step(at: Column, x: Column) -> Column:
+        upto = (at.upto + x.w).cast(kind)
+        found = [F.coalesce(at[n], F.when(1000 * upto >= q * at_total, x.cell)).alias(n) for n, q in names.items()]
+        return F.struct(upto.alias("upto"), *found)
+
+    at_total = F.col("__total")
+    return total, F.aggregate(weights, start, step)
+
+
+def bound_of(q: Column, low: bool) -> Column:
+    """The bound from quantiles: beyond the tail's beginning by SPREAD times its distance from the middle, or by half the
+    distance to the tail's end where that is more, so that a measure that is nearly always nought has a bound too."""
+    if low:
+        return q.low_tail - F.greatest(SPREAD * (q.middle - q.low_tail), F.floor((q.low_tail - q.low_end) / 2))
+    return q.tail + F.greatest(SPREAD * (q.tail - q.middle), F.floor((q.end - q.tail) / 2))
+
+
+def thresholds(sketch: DataFrame, rules: tuple[Rule, ...] = RULES, prior_rows: int = PRIOR_ROWS) -> DataFrame:
+    """``lang, source`` and a bound a rule, from the group's sketch merged by weight with those above it.
+
+    A group's sketch is merged with its language's, which counts as ``prior_rows`` documents whatever its size, and
+    that with the sketch of all in the same way: small groups lean on what is above them, large ones stand alone, and
+    nothing switches. Weights are whole numbers (counts times the other sketches' sizes), so merging is exact.
+    """
+    kind = "decimal(38,0)"
+    cells = F.collect_list(F.struct("cell", "n"))
+    group = sketch.groupBy("lang", "source", "rule").agg(cells.alias("g"))
+    lang = sketch.groupBy("lang", "rule", "cell").agg(F.sum("n").alias("n"))
+    every = lang.groupBy("rule", "cell").agg(F.sum("n").alias("n")).groupBy("rule").agg(cells.alias("a"), F.sum("n").cast(kind).alias("a_rows"))
+    lang = lang.groupBy(F.col("lang").alias("__lang"), "rule").agg(cells.alias("l"), F.sum("n").cast(kind).alias("l_rows"))
+    # a sketch has at most some hundreds of cells a rule, and there is one sketch of all
+    joined = group.join(lang, (group.rule == lang.rule) & F.col("lang").eqNullSafe(F.col("__lang"))).drop(lang.rule).join(F.broadcast(every), "rule")
+    k = F.lit(prior_rows).cast(kind)
+
+    def weighted(name: str, weight: Column) -> Column:
+        return F.transform(name, lambda x: F.struct(x.cell.alias("cell"), (x.n.cast(kind) * weight).cast(kind).alias("w")))
+
+    parts = [weighted("g", (F.col("a_rows") * (F.col("l_rows") + k)).cast(kind)), weighted("l", (k * F.col("a_rows")).cast(kind)), weighted("a", (k * k).cast(kind))]
+    merged = joined.select("lang", "source", "rule", F.array_sort(F.concat(*parts)).alias("__w"))
+    total, quantiles = _quantiles(F.col("__w"))
+    merged = merged.withColumn("__total", total).select("lang", "source", "rule", quantiles.alias("q"))
+    bounds = [F.max(F.when(F.col("rule") == r.name, bound_of(F.col("q"), r.low))).alias(r.name) for r in rules]
+    return merged.groupBy("lang", "source").agg(*bounds)
+
+
+def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source", rules: tuple[Rule, ...] = RULES, prior_rows: int = PRIOR_ROWS) -> DataFrame:
     """Return the measures of each row of ``docs`` with ``base_failed, kept``.
 
     ``base_failed``: fewer than 50 words, or more than half of the words in repeated windows. Sketches are made of the
@@ -124,11 +158,11 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     measured = materialize(measures(docs, id_col, text_col, lang_col, source_col).withColumn("base_failed", failed), "measures")
     sound = measured.where("not base_failed")
     sketch = materialize(sketches(sound, rules), "sketches")
-    limits = materialize(thresholds(sketch, rules, min_rows), "thresholds")
+    limits = materialize(thresholds(sketch, rules, prior_rows), "thresholds")
     limits = limits.select(F.col("lang").alias("__lang"), F.col("source").alias("__source"), *[F.col(r.name).alias(f"__{r.name}") for r in rules])
     joined = measured.join(limits, F.col("lang").eqNullSafe(F.col("__lang")) & F.col("source").eqNullSafe(F.col("__source")), "left")
     fine = F.lit(True)
     for r in rules:
-        value = F.expr(f"case when n_words > 0 and n_lines > 0 then floor({r.measure}) end")
-        fine = fine & (value >= F.col(f"__{r.name}") if r.low else value <= F.col(f"__{r.name}"))
+        cell = _cell(F.expr(f"case when n_words > 0 and n_lines > 0 then floor({r.measure}) end"))
+        fine = fine & (cell >= F.col(f"__{r.name}") if r.low else cell <= F.col(f"__{r.name}"))
     return joined.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & F.coalesce(fine, F.lit(False))).alias("kept"))

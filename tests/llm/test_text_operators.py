@@ -198,6 +198,19 @@ def test_quality_drops_symbols_and_keeps_clean(spark):
     assert all(kept == (k % 20 != 0) for k, kept in got.items())
 
 
+def test_quality_bounds_follow_their_group(spark):
+    """Equal measures get different verdicts in a plain source and in one whose texts hold many symbols; so in small groups."""
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 9))) for _ in range(400)]
+    text = lambda share: " ".join(rng.choice(words) + ("#" if rng.random() < share else "") for _ in range(200))
+    rows = [(k, text(0.0), "en", "plain") for k in range(1500)] + [(2000 + k, text(rng.random() * 0.6), "en", "code") for k in range(1500)]
+    middle = " ".join(w + ("#" if k % 2 else "") for k, w in enumerate(rng.choice(words) for _ in range(200)))
+    rows += [(5001, middle, "en", "plain"), (5002, middle, "en", "code"), (5003, middle, "en", "tiny"), (5004, text(0.0), "xx", None)]
+    got = {r["doc_id"]: r["kept"] for r in quality.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert not got[5001] and got[5002] and got[5003] and got[5004]
+    assert sum(got[k] for k in range(1500)) >= 1490 and sum(got[2000 + k] for k in range(1500)) >= 1490
+
+
 def test_sketch_cells_merge(spark):
     values = spark.range(3000).select((F.col("id") * 7).alias("v"))
     cells = [(r["v"], r["c"]) for r in values.select("v", quality._cell(F.col("v")).alias("c")).collect()]
