@@ -45,7 +45,7 @@ def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(_table(spark, sf_dir, "documents")).select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "source", "copies")
+    return mixing.mix(_table(spark, sf_dir, "documents")).select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "source", "copies", "inclusion")
 
 
 def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
