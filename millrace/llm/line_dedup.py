@@ -1,4 +1,4 @@
-"""Line dedup: a sharded minimal perfect hash over frequent line keys indexes compact arrays that documents probe."""
+"""Line dedup: a sharded minimal perfect hash over all distinct line keys indexes compact arrays that documents probe."""
 
 from __future__ import annotations
 
@@ -9,19 +9,21 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.scratch import fresh, materialize
 
 SPACES = " \t\n\x0b\x0c\r"
-#: Keys in one shard of the index, about.
-SHARD_KEYS = 1 << 20
-#: An index of at most so many bytes is sent to every executor; a larger one stays in its shards and line hashes go there.
+#: Rows of counts from which one shard of the index is built, about.
+SHARD_ROWS = 1 << 20
+#: Where the frequent part of the index has at most so many bytes, it is sent to every executor; else line hashes go to the shards.
 BROADCAST_BYTES = 64 << 20
-#: Ways in which the probes of one shard are dealt in that case.
-SALTS = 16
+#: Probes of one shard that a task takes in that case, about.
+PROBE_ROWS = 1 << 20
 _MASK = (1 << 64) - 1
+#: In place of a null id: below all others.
+NO_ID = -(1 << 63)
 
 
 def line_key(line: str) -> str:
@@ -95,77 +97,94 @@ class PerfectHash:
 
 
 class Shard:
-    """Arrays in the order of a perfect hash: the second hash of each key as fingerprint, documents, the last document."""
+    """Arrays in the order of a perfect hash: the second hash of each key as fingerprint, its documents, the last of them."""
 
     def __init__(self, h1: np.ndarray, h2: np.ndarray, n_docs: np.ndarray, last: np.ndarray) -> None:
-        # keys that share the first hash (not expected below 2^32 keys a shard) are kept beside the arrays
+        """Rows of partial counts: those of a key are added up at the index that the hash gives it."""
         firsts = np.unique(h1, return_index=True)[1]
-        rest = np.setdiff1d(np.arange(len(h1)), firsts)
-        self.same = {(int(h1[k]), int(h2[k])): int(last[k]) for k in rest}
         self.hash = PerfectHash(h1[firsts])
-        slot = self.hash.index(h1[firsts])
-        self.fingerprint = np.empty(len(firsts), np.uint64)
-        self.n_docs = np.empty(len(firsts), np.int64)
-        self.last = np.empty(len(firsts), np.int64)
-        self.fingerprint[slot], self.n_docs[slot], self.last[slot] = h2[firsts], n_docs[firsts], last[firsts]
+        slot = self.hash.index(h1)
+        self.fingerprint = np.zeros(len(firsts), np.uint64)
+        self.fingerprint[slot[firsts]] = h2[firsts]
+        own = self.fingerprint[slot] == h2
+        self.n_docs = np.zeros(len(firsts), np.int64)
+        self.last = np.full(len(firsts), NO_ID, np.int64)
+        np.add.at(self.n_docs, slot[own], n_docs[own])
+        np.maximum.at(self.last, slot[own], last[own])
+        # keys that share the first hash with another (not expected below 2^32 keys a shard) are kept beside the arrays
+        self.same: dict[tuple[int, int], tuple[int, int]] = {}
+        for k in np.nonzero(~own)[0].tolist():
+            n, at = self.same.get(pair := (int(h1[k]), int(h2[k])), (0, NO_ID))
+            self.same[pair] = (n + int(n_docs[k]), max(at, int(last[k])))
 
     def probe(self, h1: np.ndarray, h2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Which keys are indexed, and the last document of each."""
+        """The documents that hold each key (0 if it is not indexed), and the last of them."""
         slot = self.hash.index(h1)
-        found = slot >= 0
-        last = np.zeros(len(h1), np.int64)
+        n_docs, last = np.zeros(len(h1), np.int64), np.full(len(h1), NO_ID, np.int64)
         if len(self.fingerprint):
-            found &= self.fingerprint[np.maximum(slot, 0)] == h2
-            last[found] = self.last[slot[found]]
-        for k in np.nonzero(~found)[0] if self.same else ():
-            if (pair := (int(h1[k]), int(h2[k]))) in self.same:
-                found[k], last[k] = True, self.same[pair]
-        return found, last
+            found = (slot >= 0) & (self.fingerprint[np.maximum(slot, 0)] == h2)
+            n_docs[found], last[found] = self.n_docs[slot[found]], self.last[slot[found]]
+        for k in np.nonzero(n_docs == 0)[0].tolist() if self.same else ():
+            n_docs[k], last[k] = self.same.get((int(h1[k]), int(h2[k])), (0, NO_ID))
+        return n_docs, last
+
+
+def frequent(h1: np.ndarray, h2: np.ndarray, shard: Shard, min_docs: int) -> Shard:
+    """The part of a shard (built from keys ``h1, h2``) that holds the keys with ``min_docs`` documents or more."""
+    pairs = np.unique(np.stack([h1, h2], axis=1), axis=0)
+    n_docs, last = shard.probe(pairs[:, 0], pairs[:, 1])
+    often = n_docs >= min_docs
+    return Shard(pairs[often, 0], pairs[often, 1], n_docs[often], last[often])
 
 
 # --- Spark ----------------------------------------------------------------------------------------------------------
 
 
-def _line_rows(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
-    """``id, h1, h2``: each key of each row of ``docs``, once."""
+def _counted_lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
+    """``h1, h2, n_docs, last``: the keys of the rows of ``docs``, counted once a row and added up within each batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, one, two = [], [], []
-            for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                _, _, first, second = key_hashes(text, min_chars)
-                keys = dict.fromkeys(zip(first, second))
-                ids += [i] * len(keys)
-                one += [k[0] for k in keys]
-                two += [k[1] for k in keys]
-            arrays = [pa.array(ids, pa.int64()), *(pa.array(np.array(x, np.uint64).view(np.int64)) for x in (one, two))]
-            yield pa.RecordBatch.from_arrays(arrays, names=["id", "h1", "h2"])
-
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, "id long, h1 long, h2 long")
+            counts: dict[tuple[int, int], list[int]] = {}
+            for i, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                i = NO_ID if i is None else i
+                _, _, first, second = key_hashes(text.as_py(), min_chars)
+                for key in dict.fromkeys(zip(first, second)):
+                    if (had := counts.get(key)) is None:
+                        counts[key] = [1, i]
+                    else:
+                        had[0] += 1
+                        had[1] = max(had[1], i)
+            hashes = np.array(list(counts), np.uint64).reshape(-1, 2).view(np.int64)
+            values = np.array(list(counts.values()), np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(hashes[:, 0]), pa.array(hashes[:, 1]), pa.array(values[:, 0]), pa.array(values[:, 1])], names=["h1", "h2", "n_docs", "last"])
+
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, "h1 long, h2 long, n_docs long, last long")
 
 
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 40, min_docs: int = 5) -> tuple[DataFrame, int]:
-    """``shard, blob`` for the keys of ``min_chars`` or more code points in ``min_docs`` or more rows, and the shard count.
+    """``shard, blob, often, probes`` of each shard of the index, and the number of shards.
 
-    Documents are counted before they are dealt out, so that a line of a third of all documents is a row per task.
+    All distinct keys of ``min_chars`` or more code points are indexed: ``blob`` holds the shard, and ``often`` the part
+    of it with the keys in ``min_docs`` or more rows. Batches count their own lines before they are dealt out, so a line
+    of a third of all documents is a row a batch; what is dealt is hashes, never lines.
     """
-    lines = _line_rows(docs, id_col, text_col, min_chars)
-    keys = lines.groupBy("h1", "h2").agg(F.count("*").alias("n_docs"), F.max("id").alias("last")).where(F.col("n_docs") >= min_docs)
-    keys = materialize(keys.where("last is not null"), "line-keys")
-    shards = max(1, -(-keys.count() // SHARD_KEYS))
+    lines = materialize(_counted_lines(docs, id_col, text_col, min_chars), "line-keys")
+    shards = max(1, -(-lines.count() // SHARD_ROWS))
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
         h1, h2 = (pdf[c].to_numpy(np.int64).view(np.uint64) for c in ("h1", "h2"))
         shard = Shard(h1, h2, pdf["n_docs"].to_numpy(np.int64), pdf["last"].to_numpy(np.int64))
-        return pd.DataFrame({"shard": [int(pdf["shard"].iloc[0])], "blob": [pickle.dumps(shard, protocol=5)]})
+        often = frequent(h1, h2, shard, min_docs)
+        return pd.DataFrame({"shard": [int(pdf["shard"].iloc[0])], "blob": [pickle.dumps(shard, protocol=5)], "often": [pickle.dumps(often, protocol=5)], "probes": [int(pdf["n_docs"].sum())]})
 
-    dealt = keys.withColumn("shard", F.pmod("h1", F.lit(shards)))
-    return materialize(dealt.groupBy("shard").applyInPandas(build, "shard long, blob binary"), "line-index"), shards
+    dealt = lines.withColumn("shard", F.pmod("h1", F.lit(shards)))
+    return materialize(dealt.groupBy("shard").applyInPandas(build, "shard long, blob binary, often binary, probes long"), "line-index"), shards
 
 
-def _rewrite(text: str | None, ident: int | None, min_chars: int, drop) -> tuple[list[str], list[str]]:
+def _rewrite(text: str | None, ident: int, min_chars: int, drop) -> tuple[list[str], list[str]]:
     lines, at, one, two = key_hashes(text, min_chars)
-    if not at or ident is None:
+    if not at:
         return lines, lines
     gone = {k for k, d in zip(at, drop(ident, np.array(one, np.uint64), np.array(two, np.uint64))) if d}
     return lines, [x for k, x in enumerate(lines) if k not in gone] if gone else lines
@@ -177,22 +196,24 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     A line's key is the line stripped of space and U+0009-U+000D at both ends with A-Z lowered. Keys of ``min_chars``
     or more code points found in ``min_docs`` or more rows lose all their lines except in the rows with the largest id
     that holds them. Null and empty texts are one empty line and give an empty text. Repeated rows count as documents
-    and get the same answer; rows with a null id count but lose nothing. An empty table gives an empty result.
+    and get the same answer. A null id is below all others: such rows lose the lines that a row with an id holds, and
+    keep those that only rows without one hold. An empty table gives an empty result.
 
-    An index whose measured size is at most ``broadcast_bytes`` goes to the executors, and texts are read once more
-    but never shuffled. A larger one stays in its shards: line hashes (never lines) are dealt to them, salted, and the
-    hashes that a document loses come back to it.
+    Where the frequent part of the index has at most ``broadcast_bytes``, as measured, it goes to the executors, and
+    texts are read once more but never shuffled. Else line hashes (never lines) are dealt to the shards, in as many
+    parts a shard as its probes need, and the hashes that a document loses come back to it.
     """
     index, shards = build_index(docs, id_col, text_col, min_chars, min_docs)
-    size = index.agg(F.sum(F.length("blob"))).first()[0] or 0
+    size = index.agg(F.sum(F.length("often"))).first()[0] or 0
     names = [fresh(docs, n) for n in ("kept_text", "n_lines", "n_dropped")]
     drops_col = fresh(docs, "__drops")
     if size <= broadcast_bytes:
-        sent = docs.sparkSession.sparkContext.broadcast({r["shard"]: bytes(r["blob"]) for r in index.toLocalIterator()})
+        sent = docs.sparkSession.sparkContext.broadcast({r["shard"]: bytes(r["often"]) for r in index.select("shard", "often").toLocalIterator()})
         source, drops_col = docs, None
     else:
         sent = None
-        source = docs.join(_drops_by_shard(docs, id_col, text_col, min_chars, index, shards, drops_col), docs[id_col].cast("long") == F.col(f"{drops_col}_id"), "left").drop(f"{drops_col}_id")
+        drops = _drops_by_shard(docs, id_col, text_col, min_chars, min_docs, index, shards, drops_col)
+        source = docs.join(drops, F.xxhash64(F.col(id_col), F.col(text_col)) == F.col(f"{drops_col}_key"), "left").drop(f"{drops_col}_key")
     place = source.columns.index
     i_at, t_at, d_at = place(id_col), place(text_col), place(drops_col) if drops_col else None
     kept_columns = len(docs.columns)
@@ -206,8 +227,8 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             for s in np.unique(of).tolist():
                 if s in loaded:
                     mine = of == s
-                    found, last = loaded[s].probe(one[mine], two[mine])
-                    out[mine] = found & (last != ident)
+                    n_docs, last = loaded[s].probe(one[mine], two[mine])
+                    out[mine] = (n_docs >= min_docs) & (last != ident)
             return out
 
         for batch in batches:
@@ -221,7 +242,7 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                 else:
                     pairs = {(x["h1"] & _MASK, x["h2"] & _MASK) for x in gone or ()}
                     drop = lambda _, one, two, pairs=pairs: [p in pairs for p in zip(one.tolist(), two.tolist())]
-                lines, stay = _rewrite(text, ident, min_chars, drop)
+                lines, stay = _rewrite(text, NO_ID if ident is None else ident, min_chars, drop)
                 kept.append("\n".join(stay))
                 n_lines.append(len(lines))
                 n_dropped.append(len(lines) - len(stay))
@@ -233,21 +254,37 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return flat.mapInArrow(run, schema).toDF(*docs.columns, *names)
 
 
-def _drops_by_shard(docs: DataFrame, id_col: str, text_col: str, min_chars: int, index: DataFrame, shards: int, out: str) -> DataFrame:
-    """``{out}_id, out``: the key hashes that each id loses, found shard by shard."""
+def _drops_by_shard(docs: DataFrame, id_col: str, text_col: str, min_chars: int, min_docs: int, index: DataFrame, shards: int, out: str) -> DataFrame:
+    """``{out}_key, out``: the key hashes that each row loses (by a hash of its id and text), found shard by shard.
 
-    def salt(col: Column) -> Column:
-        return F.pmod(F.xxhash64(col), F.lit(SALTS)).cast("int")
+    A shard's probes are dealt by document into parts of about PROBE_ROWS, so a line of a third of all documents is
+    many parts; the number of parts a shard is a number a shard, and goes to the tasks.
+    """
+    parts = {r["shard"]: -(-r["probes"] // PROBE_ROWS) for r in index.select("shard", "probes").toLocalIterator()}
+    sent = docs.sparkSession.sparkContext.broadcast(parts)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for key, i, text in zip(*(batch.column(k).to_pylist() for k in range(3))):
+                _, _, first, second = key_hashes(text, min_chars)
+                rows += [(key, NO_ID if i is None else i, *pair) for pair in dict.fromkeys(zip(first, second))]
+            table = np.array([(k & _MASK, i & _MASK, x, y) for k, i, x, y in rows], np.uint64).reshape(-1, 4).view(np.int64)
+            shard = table[:, 2] % np.int64(shards)
+            part = table[:, 0].view(np.uint64) % np.array([sent.value.get(s, 1) for s in shard.tolist()], np.uint64)
+            columns = [*(table[:, k] for k in range(4)), shard, part.astype(np.int64)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "id", "h1", "h2", "shard", "part"])
 
-    probes = _line_rows(docs.where(F.col(id_col).isNotNull()), id_col, text_col, min_chars).withColumns({"shard": F.pmod("h1", F.lit(shards)), "salt": salt(F.col("id"))})
-    copies = index.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    keyed = docs.select(F.xxhash64(F.col(id_col), F.col(text_col)).alias("key"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    probes = keyed.mapInArrow(deal, "key long, id long, h1 long, h2 long, shard long, part long")
+    copies = index.select("shard", "blob", F.explode(F.sequence(F.lit(0), F.greatest(F.lit(1), F.ceil(F.col("probes") / PROBE_ROWS)) - 1)).alias("part"))
 
     def probe(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
-            return left[["id", "h1", "h2"]].head(0)
+            return left[["key", "h1", "h2"]].head(0)
         one, two = (left[c].to_numpy(np.int64).view(np.uint64) for c in ("h1", "h2"))
-        found, last = pickle.loads(bytes(right["blob"].iloc[0])).probe(one, two)
-        return left.loc[found & (last != left["id"].to_numpy(np.int64)), ["id", "h1", "h2"]]
+        n_docs, last = pickle.loads(bytes(right["blob"].iloc[0])).probe(one, two)
+        return left.loc[(n_docs >= min_docs) & (last != left["id"].to_numpy(np.int64)), ["key", "h1", "h2"]]
 
-    drops = probes.groupBy("shard", "salt").cogroup(copies.groupBy("shard", "salt")).applyInPandas(probe, "id long, h1 long, h2 long")
-    return drops.distinct().groupBy(F.col("id").alias(f"{out}_id")).agg(F.collect_list(F.struct("h1", "h2")).alias(out))
+    drops = probes.groupBy("shard", "part").cogroup(copies.groupBy("shard", "part")).applyInPandas(probe, "key long, h1 long, h2 long")
+    return drops.distinct().groupBy(F.col("key").alias(f"{out}_key")).agg(F.collect_list(F.struct("h1", "h2")).alias(out))

@@ -309,7 +309,7 @@ def brute_lines(rows, min_docs):
     out = []
     for i, text in rows:
         lines = (text or "").split("\n")
-        kept = [x for x in lines if i is None or len(h := holders.get(key(x), [])) < min_docs or max((j for j in h if j is not None), default=i) == i]
+        kept = [x for x in lines if len(h := holders.get(key(x), [])) < min_docs or max((j for j in h if j is not None), default=i) == i]
         out.append((i, len(lines), len(lines) - len(kept), "\n".join(kept)))
     return collections.Counter(out)
 
@@ -333,9 +333,20 @@ def test_perfect_hash():
     assert sorted(h.index(keys).tolist()) == list(range(len(keys)))
     others = rng.integers(1 << 63, (1 << 64) - 1, 5000, dtype=np.uint64)
     assert (h.index(others) < len(keys)).all()
-    shard = line_dedup.Shard(np.array([5, 5, 9], np.uint64), np.array([1, 2, 3], np.uint64), np.array([6, 7, 8]), np.array([60, 70, 80]))
-    found, last = shard.probe(np.array([5, 5, 9, 9, 4], np.uint64), np.array([2, 1, 3, 4, 1], np.uint64))
-    assert found.tolist() == [True, True, True, False, False] and last[:3].tolist() == [70, 60, 80]
+    shard = line_dedup.Shard(np.array([5, 5, 9, 5, 9], np.uint64), np.array([1, 2, 3, 2, 3], np.uint64), np.array([6, 7, 8, 1, 2]), np.array([60, 70, 80, 71, 5]))
+    n_docs, last = shard.probe(np.array([5, 5, 9, 9, 4], np.uint64), np.array([2, 1, 3, 4, 1], np.uint64))
+    assert n_docs.tolist() == [8, 6, 10, 0, 0] and last[:3].tolist() == [71, 60, 80]
+
+
+@pytest.mark.parametrize("limit", [line_dedup.BROADCAST_BYTES, 0])
+def test_line_dedup_in_many_shards(spark, limit, monkeypatch):
+    monkeypatch.setattr(line_dedup, "SHARD_ROWS", 40)
+    monkeypatch.setattr(line_dedup, "PROBE_ROWS", 8)
+    rng = random.Random(13)
+    lines = [f"line number {k} of a pool of lines that are all long enough" for k in range(90)]
+    rows = [(k if k % 17 else None, "\n".join([LONG, *(rng.choice(lines) for _ in range(4)), f"a line of its own {k} that no other document has"])) for k in range(120)]
+    out = line_dedup.drop_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string"), broadcast_bytes=limit)
+    assert collections.Counter((r["doc_id"], r["n_lines"], r["n_dropped"], r["kept_text"]) for r in out.collect()) == brute_lines(rows, 5)
 
 
 # --- language ID ----------------------------------------------------------------------------------------------------
