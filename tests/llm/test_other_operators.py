@@ -14,6 +14,7 @@ from html import unescape
 
 import numpy as np
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from millrace.llm import chat, html_extract, multi_index, queries, warc
@@ -157,25 +158,36 @@ def test_warc_round_trip(spark, least, monkeypatch):
 
 def test_archive_layout():
     samples = [f"<html><p>record {k} of many, with the same words in all of them {k * k}</p>".encode() * 3 for k in range(400)]
-    dictionary = warc.build_dictionary(samples)
-    assert dictionary and warc.build_dictionary([b"x"]) == b""
-    sizes = {}
-    for d in (dictionary, b""):
+    for dictionary in (warc.build_dictionary(samples), warc.build_dictionary([b"x"]), warc.build_dictionary([])):
+        assert dictionary
         out = io.BytesIO()
-        writer = warc.ArchiveWriter(out, d)
+        writer = warc.ArchiveWriter(out, dictionary)
         for s in samples:
             writer.add(s)
-        assert writer.size == len(out.getvalue())
-        assert (out.getvalue()[:4] == b"\x5d\x2a\x4d\x18") == bool(d)
-        sizes[bool(d)] = len(out.getvalue())
+        assert writer.size == len(out.getvalue()) and out.getvalue()[:4] == b"\x5d\x2a\x4d\x18"
         out.seek(0)
         assert list(warc.read_records(out)) == samples
+    assert warc.build_dictionary(samples)[:4] == b"\x37\xa4\x30\xec"  # a trained one
     out = io.BytesIO()
     warc.ArchiveWriter(out, dictionary).add(samples[0])
     with pytest.raises(Exception):
         list(warc.read_records(io.BytesIO(out.getvalue()[:-5])))
 
 
+def test_dictionary_holds_records_and_ids_are_unique(spark):
+    pages = warc_pages(spark)
+    archives = warc.write_archives(pages, warc.archive_folder(pages)).collect()
+    ids, headers = [], 0
+    for r in archives:
+        with open(r["path"].removeprefix("file:"), "rb") as stream:
+            data = stream.read()
+        size = int.from_bytes(data[4:8], "little")
+        headers += b"WARC-Payload-Digest" in zstandard.ZstdDecompressor().decompress(data[8 : 8 + size])
+        ids += [warc.parse_record(x)[0]["WARC-Record-ID"] for x in warc.read_records(io.BytesIO(data))]
+    assert headers == len(archives) > 0
+    assert len(ids) == pages.count() == len(set(ids))
+
+
 # --- chat -----------------------------------------------------------------------------------------------------------
 
 
