@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import heapq
+import logging
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,6 +18,8 @@ from millrace.llm.text import unit_hash
 
 #: Vectors, about, that the codebooks are fitted on and whose links set how far the visits go.
 SAMPLE_ROWS = 8_000
+#: Bytes of vectors that the sample may have on the driver, about; longer vectors make a smaller sample.
+SAMPLE_BYTES = 64 << 20
 #: Vectors that a cell should hold, about: where visits end early, and where they go to the proven bound, which meets
 #: most cells, so that few large ones copy less. Code words of a half at most.
 CELL_ROWS, BOUND_CELL_ROWS, MOST_CODES = 200, 4096, 256
@@ -24,8 +27,8 @@ CELL_ROWS, BOUND_CELL_ROWS, MOST_CODES = 200, 4096, 256
 BLOCK_ROWS = 512
 #: Visits go at least so far, in the measure of ``Index``, and are set in steps of a hundredth of the full distance.
 LEAST_LIMIT, STEPS = 1e-3, 100
-#: Vectors of one side of a comparison task, and rows of visits that are handed on at once, about.
-TILE_ROWS, VISIT_ROWS = 4096, 8192
+#: Vectors of one side of a comparison task, about.
+TILE_ROWS = 4096
 
 
 def _codes(half: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
@@ -66,6 +69,7 @@ class Index:
 
     def __init__(self, samples: dict[int, np.ndarray], n: dict[int, int], cosine: float, cell_rows: int) -> None:
         self.codes: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        self.recall = 1.0  # measured share of sampled groups whose links are all met; 1 by proof at the full limit
         self.limit = 2 - 2 * cosine + 1e-6  # more than what rounding adds to a margin
         for dim, rows in samples.items():
             unit = rows / np.linalg.norm(rows, axis=1)[:, None]
@@ -116,20 +120,23 @@ def _fit(reps: DataFrame, cosine: float, recall: float) -> Index:
     """Codebooks from a bounded sample picked by hash; what reaches the driver is SAMPLE_ROWS vectors, about."""
     n = {r["dim"]: r["n"] for r in reps.groupBy("dim").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "dim").limit(64).collect()}
     total = sum(n.values())
-    picked = reps.where(unit_hash("vec", "rep", seed="codebook") < SAMPLE_ROWS / max(1, total)).select("rep", "label", "dim", "vec").limit(2 * SAMPLE_ROWS).collect()
-    picked = sorted((r for r in picked if r["dim"] in n), key=lambda r: r["rep"])
+    rows = min(SAMPLE_ROWS, SAMPLE_BYTES * total // max(1, sum(8 * d * k for d, k in n.items()))) if total else 0
+    picked = reps.where(unit_hash("rep", seed="codebook") < rows / max(1, total)).select("rep", "label", "dim", "vec").orderBy("rep").limit(2 * SAMPLE_ROWS).collect()
+    picked = [r for r in picked if r["dim"] in n]
     samples = {d: np.array([r["vec"] for r in picked if r["dim"] == d], float) for d in {r["dim"] for r in picked}}
     if recall < 1 and picked:
         index = Index(samples, n, cosine, CELL_ROWS)
         limit = _limit(reps, index, [r for r in picked if r["dim"] in samples], cosine, recall)
         if limit is not None:
-            index.limit = min(index.limit, max(LEAST_LIMIT, limit))
+            index.limit, index.recall = min(index.limit, max(LEAST_LIMIT, limit[0])), limit[1]
             return index
     return Index(samples, n, cosine, BOUND_CELL_ROWS)
 
 
-def _limit(reps: DataFrame, index: Index, queries: list, cosine: float, recall: float) -> float | None:
-    """How far visits must go for a share ``recall`` of ``queries`` to find all their links; None if too few have links.
+def _limit(reps: DataFrame, index: Index, queries: list, cosine: float, recall: float) -> tuple[float, float] | None:
+    """How far visits must go for a share ``recall`` of ``queries`` to find all their links, and the share that then does.
+
+    None if too few queries have links.
 
     A query counts as one over its links and itself, so that a group of near copies counts by the share of it that was
     sampled, whatever its size. Below 3 / (1 - recall) such groups the sample does not show that recall (a loss of
@@ -184,56 +191,54 @@ def _limit(reps: DataFrame, index: Index, queries: list, cosine: float, recall:
     for r in rows:
         seen += r["groups"]
         if seen >= recall * total:
-            return r["step"] * width
+            return r["step"] * width, seen / total
     return None
 
 
 def _visit_rows(reps: DataFrame, index: Index) -> DataFrame:
-    """A row for each vector and cell that it visits (``home``: its own); of two cells the pair is visited from one side."""
-    sent = reps.sparkSession.sparkContext.broadcast(index)
+    """``rep, label, dim, cell, home``: each vector's own cell (``home``) and those that it visits, ids only.
 
-    def copied(batch: pa.RecordBatch, take: list[int], cells: list[int], home: list[bool]) -> pa.RecordBatch:
-        columns = [c.take(pa.array(take, pa.int64())) for c in batch.columns]
-        return pa.RecordBatch.from_arrays([*columns, pa.array(cells, pa.int64()), pa.array(home)], names=[*batch.schema.names, "cell", "home"])
+    Of two cells a pair is visited from one side.
+    """
+    sent = reps.sparkSession.sparkContext.broadcast(index)
+    names = ["rep", "label", "dim", "cell", "home"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = sent.value
         for whole in batches:
             for start in range(0, whole.num_rows, 1024):
                 batch = whole.slice(start, 1024)
-                dims = np.array(batch.column(3).to_pylist())
+                dims = np.array(batch.column(2).to_pylist())
                 for dim in np.unique(dims).tolist():
                     rows = np.nonzero(dims == dim)[0]
-                    vectors = np.array(batch.column(1).take(pa.array(rows)).to_pylist(), float)
+                    vectors = np.array(batch.column(3).take(pa.array(rows)).to_pylist(), float)
                     take, cells, home = [], [], []
                     for r, (own, visited) in zip(rows.tolist(), index.visits(vectors)):
                         mine = [own, *(c for c in visited if c > own)]
                         take += [r] * len(mine)
                         cells += mine
                         home += [True] + [False] * (len(mine) - 1)
-                        if len(take) >= VISIT_ROWS:
-                            yield copied(batch, take, cells, home)
-                            take, cells, home = [], [], []
-                    if take:
-                        yield copied(batch, take, cells, home)
+                    columns = [batch.column(k).take(pa.array(take, pa.int64())) for k in range(3)]
+                    yield pa.RecordBatch.from_arrays([*columns, pa.array(cells, pa.int64()), pa.array(home)], names=names)
 
-    rows = reps.select("rep", "vec", "label", "dim", "copies")
-    return rows.mapInArrow(run, "rep long, vec array<double>, label string, dim int, copies long, cell long, home boolean")
+    return reps.select("rep", "label", "dim", "vec").mapInArrow(run, "rep long, label string, dim int, cell long, home boolean")
 
 
-def _compare(rows: DataFrame, cosine: float) -> DataFrame:
+def _compare(visits: DataFrame, reps: DataFrame, cosine: float) -> DataFrame:
     """``rep, links, other``: link counts (other null) and spanning links of the vectors that meet in a cell.
 
     A cell's members and visitors are dealt over tiles, each pair of a member tile and a visitor tile a task's group,
-    so that a cell with a third of all vectors is many groups of bounded size.
+    so that a cell with a third of all vectors is many groups of bounded size. Tiles are dealt out as ids; a vector
+    joins its tiles by its id.
     """
     where = ["label", "dim", "cell"]
     tiles = lambda flag: F.ceil(F.count_if(flag) / TILE_ROWS).cast("int")
-    sizes = rows.groupBy(*where).agg(F.greatest(F.lit(1), tiles(F.col("home"))).alias("m"), F.greatest(F.lit(1), tiles(F.lit(True))).alias("v"), F.count("*").alias("n"))
-    rows = rows.join(sizes.where("n > 1"), where)
+    sizes = visits.groupBy(*where).agg(F.greatest(F.lit(1), tiles(F.col("home"))).alias("m"), F.greatest(F.lit(1), tiles(F.lit(True))).alias("v"), F.count("*").alias("n"))
+    dealt = visits.join(sizes.where("n > 1"), where)
     part = F.xxhash64("rep")
-    members = rows.where("home").select(*where, "rep", "vec", "copies", "home", F.lit(True).alias("member"), F.pmod(part, F.col("m")).cast("int").alias("mt"), F.explode(F.sequence(F.lit(0), F.col("v") - 1)).alias("vt"))
-    visitors = rows.select(*where, "rep", "vec", "copies", "home", F.lit(False).alias("member"), F.explode(F.sequence(F.lit(0), F.col("m") - 1)).alias("mt"), F.pmod(part, F.col("v")).cast("int").alias("vt"))
+    members = dealt.where("home").select(*where, "rep", "home", F.lit(True).alias("member"), F.pmod(part, F.col("m")).cast("int").alias("mt"), F.explode(F.sequence(F.lit(0), F.col("v") - 1)).alias("vt"))
+    visitors = dealt.select(*where, "rep", "home", F.lit(False).alias("member"), F.explode(F.sequence(F.lit(0), F.col("m") - 1)).alias("mt"), F.pmod(part, F.col("v")).cast("int").alias("vt"))
+    rows = members.unionByName(visitors).join(reps.select("rep", "vec", "copies"), "rep")
 
     def link(pdf: pd.DataFrame) -> pd.DataFrame:
         left, right = pdf[~pdf["member"]], pdf[pdf["member"]]
@@ -261,7 +266,7 @@ def _compare(rows: DataFrame, cosine: float) -> DataFrame:
         links = np.array(forest.links, np.int64).reshape(-1, 2)
         return pd.DataFrame({"rep": np.concatenate([unique[hit], unique[links[:, 0]]]), "links": np.concatenate([counts[hit], np.zeros(len(links), np.int64)]), "other": pd.array([None] * len(hit) + unique[links[:, 1]].tolist(), dtype="Int64")})
 
-    return members.unionByName(visitors).groupBy(*where, "mt", "vt").applyInPandas(link, "rep long, links long, other long")
+    return rows.groupBy(*where, "mt", "vt").applyInPandas(link, "rep long, links long, other long")
 
 
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", cosine: float = 0.98, recall: float = 0.999) -> DataFrame:
@@ -277,20 +282,27 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("string").alias("label"), F.col(vector_col).cast("array<double>").alias("vec"))
     odd = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     some = F.exists(v, lambda x: x != 0)
-    rows = rows.withColumn("sound", F.coalesce(F.col("label").isNotNull() & ~odd & some, F.lit(False)))
+    # 0.0 and -0.0 are equal, so they must hash alike
+    rows = rows.withColumn("vec", F.transform(v, lambda x: F.when(x == 0, F.lit(0.0)).otherwise(x))).withColumn("sound", F.coalesce(F.col("label").isNotNull() & ~odd & some, F.lit(False)))
     sound = rows.where("sound")
-    reps = sound.groupBy("label", "vec").agg(F.min("id").alias("first"), F.count("*").alias("copies"))
-    reps = materialize(reps.withColumns({"rep": F.monotonically_increasing_id(), "dim": F.size("vec")}), "vectors")
-    visits = materialize(_visit_rows(reps, _fit(reps, cosine, recall)), "visits")
-    met = materialize(_compare(visits, cosine), "links")
+    groups = sound.groupBy("label", "vec").agg(F.min("id").alias("first"), F.count("*").alias("copies"))
+    for seed in range(8):  # a name for each vector of a label from its content, so reruns agree
+        name = F.xxhash64(F.lit(seed), "label", "vec")
+        reps = materialize(groups.withColumns({"rep": name, "dim": F.size("vec")}), "vectors")
+        if reps.select("rep").distinct().count() == reps.count():
+            break
+    index = _fit(reps, cosine, recall)
+    logging.getLogger(__name__).info("visits up to %g, recall %g", index.limit, index.recall)
+    visits = materialize(_visit_rows(reps, index), "visits")
+    met = materialize(_compare(visits, reps, cosine), "links")
     counts = met.groupBy("rep").agg(F.sum("links").alias("links"))
     joined = connected_components(met.where("other is not null").select(F.col("rep").alias("a"), F.col("other").alias("b")))
     joined = materialize(joined, "joined")
     roots = joined.select("node", "component").unionByName(joined.select(F.col("component").alias("node"), "component")).distinct()
     linked = reps.join(roots, reps.rep == roots.node).select("rep", "first", "component")
     linked = linked.join(linked.groupBy("component").agg(F.min("first").alias("low")), "component").select("rep", "low")
-    answer = reps.join(counts, "rep", "left").join(linked, "rep", "left")
-    answer = answer.select(F.col("label").alias("__label"), F.col("vec").alias("__vec"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("low", "first").alias("low"))
-    same = rows.join(answer, F.col("sound") & (F.col("label") == F.col("__label")) & (F.col("vec") == F.col("__vec")), "left")
+    answer = reps.select("rep", "first", "copies").join(counts, "rep", "left").join(linked, "rep", "left")
+    answer = answer.select(F.col("rep").alias("__rep"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("low", "first").alias("low"))
+    same = rows.select("id", F.when(F.col("sound"), name).alias("rep")).join(answer, F.col("rep") == F.col("__rep"), "left")
     out = same.select(F.col("id").alias("vec_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("low", "id").alias("component_id"))
     return out.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))

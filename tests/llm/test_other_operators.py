@@ -278,6 +278,15 @@ def components(nodes, links):
     return {n: find(n) for n in nodes}
 
 
+def test_vector_runs_agree(spark):
+    """Dealt in another way, the same table gives the same rows, as names of vectors and samples depend on content only."""
+    vectors = near_vectors()
+    frame = spark.createDataFrame([(k, [float(x) for x in v], k % 2) for k, v in enumerate(vectors)], "vec_id long, embedding array<double>, label int")
+    one = sorted(map(tuple, multi_index.near_duplicates(frame).collect()))
+    assert one == sorted(map(tuple, multi_index.near_duplicates(frame.orderBy(F.rand(3)).repartition(7)).collect()))
+    assert sum(r[1] for r in one) > 0
+
+
 def test_multi_sequence_order():
     a, b = np.sort(np.random.default_rng(6).random(12)), np.sort(np.random.default_rng(7).random(9))
     got = list(multi_index.multi_sequence(a, b, 0.9))
