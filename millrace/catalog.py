@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from millrace.plans import analytics, features, modelling, preparation
+from millrace.plans import analytics, features, modelling, preparation, storage
 from millrace.plans.registry import Query
 
-MODULES = (preparation, features, analytics, modelling)
+MODULES = (preparation, features, analytics, modelling, storage)
 
 
 def queries() -> dict[str, Query]:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -23,3 +25,14 @@ def session(master: str | None = None, app: str = "millrace", shuffle_partitions
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     return builder.getOrCreate()
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that all executors see, ``spark.checkpoint.dir``. Where none is set: one of our own in local mode, else an error."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not found:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors see")
+        found = tempfile.mkdtemp(prefix="millrace-shared-")
+        spark.sparkContext.setCheckpointDir(found)
+    return found.rstrip("/")

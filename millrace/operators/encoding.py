@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from millrace.operators import ordered
+
 
 @dataclass(frozen=True)
 class TfidfConfig:
@@ -42,7 +44,9 @@ class TfidfModel:
 
     def weights(self, df: DataFrame, row_id: str, text: str) -> DataFrame:
         """``row_id, term, weight``: sublinear counts times idf, of length 1 a row. Terms outside the vocabulary drop out."""
-        terms = df.select(row_id, F.explode(text_tokens(F.col(text), self.cfg.bigrams)).alias("term"))
+        # dealt by row once: counting and the norm then need no further exchange
+        tokens = df.select(row_id, text_tokens(F.col(text), self.cfg.bigrams).alias("t")).repartition(row_id)
+        terms = tokens.select(row_id, F.explode("t").alias("term"))
         counts = terms.groupBy(row_id, "term").agg(F.count("*").alias("tf")).join(self.vocabulary, "term")
         tf = 1 + F.log("tf") if self.cfg.sublinear else F.col("tf")
         raw = counts.select(row_id, "term", (tf * F.col("idf")).alias("w"))
@@ -54,10 +58,10 @@ def fit_tfidf(df: DataFrame, text: str, cfg: TfidfConfig | None = None) -> Tfidf
     """Document frequencies, cut to at least ``min_df`` rows and at most ``max_df`` of them; smoothed idf."""
     cfg = cfg or TfidfConfig()
     rows = df.select(F.array_distinct(text_tokens(F.col(text), cfg.bigrams)).alias("t"))
-    total = rows.agg(F.count("*").alias("n")).withColumn("k", F.lit(1))
+    total = df.count()
     counts = rows.select(F.explode("t").alias("term")).groupBy("term").agg(F.count("*").alias("df")).where(F.col("df") >= cfg.min_df)
-    vocabulary = counts.withColumn("k", F.lit(1)).join(total, "k").where(F.col("df") <= cfg.max_df * F.col("n"))
-    return TfidfModel(vocabulary.select("term", "df", (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf")), cfg)
+    vocabulary = counts.where(F.col("df") <= cfg.max_df * total)
+    return TfidfModel(vocabulary.select("term", "df", (F.log((1.0 + total) / (1 + F.col("df"))) + 1).alias("idf")), cfg)
 
 
 def vocabulary_sizes(df: DataFrame, text: str, limits: tuple[int, ...] = (1, 2, 5, 10, 20), bigrams: bool = True) -> DataFrame:
@@ -72,6 +76,12 @@ def mean_weights(weights: DataFrame, rows: int, top: int) -> DataFrame:
     return weights.groupBy("term").agg((F.sum("weight") / F.lit(float(rows))).alias("mean_weight")).orderBy(F.desc("mean_weight"), "term").limit(top)
 
 
+def shape(weights: DataFrame, width: int, rows: int) -> DataFrame:
+    """``width, filled, sparsity`` of the matrix that ``weights`` are the filled cells of."""
+    cells = F.lit(float(max(1, width * rows)))
+    return weights.agg(F.lit(width).cast("long").alias("width"), F.count("*").alias("filled"), (1 - F.count("*") / cells).alias("sparsity"))
+
+
 def multi_hot(df: DataFrame, row_id: str, items: Column) -> DataFrame:
     """``row_id, item, position``: each row's distinct items with their place in the sorted vocabulary."""
     rows = df.select(row_id, F.explode(items).alias("item")).distinct()
@@ -121,8 +131,7 @@ def feature_pipeline(train: DataFrame, s: FeatureSet) -> PipelineModel:
         stages.append(OneHotEncoder(inputCols=[f"i_{n}" for n in names], outputCols=[f"o_{n}" for n in names], dropLast=True, handleInvalid="keep"))
         parts += [f"o_{n}" for n in names]
     if s.numbers:
-        aggs = [a for c in s.numbers for a in (F.median(F.col(c).cast("double")),)]
-        medians = dict(zip(s.numbers, train.agg(*aggs).first()))
+        medians = {c: (ordered.quantiles(train, c, [0.5]) or [None])[0] for c in s.numbers}
         filled = {c: F.coalesce(F.col(c).cast("double"), F.lit(medians[c] if medians[c] is not None else 0.0)) for c in s.numbers}
         row = train.agg(*[x for c in s.numbers for x in (F.avg(filled[c]), F.stddev_pop(filled[c]))]).first()
         for k, c in enumerate(s.numbers):

@@ -102,9 +102,13 @@ PERCENTS = (1, 5, 25, 50, 75, 95, 99, 99.9)
 
 
 def numeric_audit(df: DataFrame, columns: list[str]) -> DataFrame:
-    """``column, n, missing, low, p1 ... p99_9, high, mean, std, zeros, negatives`` in one pass."""
+    """``column, n, missing, low, p1 ... p99_9, high, mean, std, zeros, negatives``: one pass, and exact percentiles by
+    ranges of values."""
+    found = {c: ordered.quantiles(df, c, [x / 100 for x in PERCENTS]) or [None] * len(PERCENTS) for c in columns}
+
     def p(c: str) -> Column:
-        return F.percentile(F.col(c), [x / 100 for x in PERCENTS])
+        return F.array(*[F.lit(x).cast("double") for x in found[c]])
+
     out = _stacked(df, columns, {
         "n": lambda c: F.count(F.col(c)), "missing": lambda c: F.count_if(F.col(c).isNull()), "low": lambda c: F.min(F.col(c)).cast("double"), "q": p, "high": lambda c: F.max(F.col(c)).cast("double"),
         "mean": lambda c: F.avg(F.col(c)), "std": lambda c: F.stddev_samp(F.col(c)), "zeros": lambda c: F.count_if(F.col(c) == 0), "negatives": lambda c: F.count_if(F.col(c) < 0),
@@ -114,9 +118,12 @@ def numeric_audit(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def distribution(df: DataFrame, col: str) -> DataFrame:
-    """``scale, skewness, kurtosis`` (population, excess) of a column and of its log(1 + x)."""
-    x = F.col(col)
-    each = F.array(F.struct(F.lit("raw").alias("scale"), F.skewness(x).alias("skewness"), F.kurtosis(x).alias("kurtosis")), F.struct(F.lit("log1p").alias("scale"), F.skewness(F.log1p(x)).alias("skewness"), F.kurtosis(F.log1p(x)).alias("kurtosis")))
+    """``scale, skewness, kurtosis, p5, p25, p50, p75, p95`` (population, excess) of a column and of its log(1 + x)."""
+    def row(name: str, x: Column) -> Column:
+        found = ordered.quantiles(df.select(x.cast("double").alias("x")), "x", [p / 100 for p in (5, 25, 50, 75, 95)]) or [None] * 5
+        return F.struct(F.lit(name).alias("scale"), F.skewness(x).alias("skewness"), F.kurtosis(x).alias("kurtosis"), *[F.lit(v).cast("double").alias(f"p{p}") for p, v in zip((5, 25, 50, 75, 95), found)])
+
+    each = F.array(row("raw", F.col(col)), row("log1p", F.log1p(col)))
     return df.agg(each.alias("r")).select(F.inline("r"))
 
 
@@ -141,10 +148,18 @@ def binned(df: DataFrame, col: str, bins: list[tuple[str, float, float]], value:
 
 
 def scenarios(df: DataFrame, fields: dict[str, list[str]], value: str) -> DataFrame:
-    """``scenario, n, coverage_pct, median, vs_all_pct``: rows in which all fields of a scenario are present; one pass."""
+    """``scenario, n, coverage_pct, median, vs_all_pct``: rows in which all fields of a scenario are present.
+
+    One pass for the counts; the exact medians are found by ranges of values.
+    """
     def there(cols: list[str]) -> Column:
         return reduce(Column.__and__, [F.col(c).isNotNull() for c in cols])
-    each = F.array(*[F.struct(F.lit(s).alias("scenario"), F.count_if(there(cols)).alias("n"), (100 * F.avg(there(cols).cast("int"))).alias("coverage_pct"), F.median(F.when(there(cols), F.col(value))).alias("median"), F.median(value).alias("overall")) for s, cols in fields.items()])
+
+    def median_of(rows: DataFrame) -> Column:
+        return F.lit((ordered.quantiles(rows, value, [0.5]) or [None])[0]).cast("double")
+
+    overall = median_of(df)
+    each = F.array(*[F.struct(F.lit(s).alias("scenario"), F.count_if(there(cols)).alias("n"), (100 * F.avg(there(cols).cast("int"))).alias("coverage_pct"), median_of(df.where(there(cols))).alias("median"), overall.alias("overall")) for s, cols in fields.items()])
     out = df.agg(each.alias("r")).select(F.inline("r"))
     return out.select("scenario", "n", "coverage_pct", "median", (100 * (F.try_divide(F.col("median"), F.col("overall")) - 1)).alias("vs_all_pct"))
 
@@ -232,9 +247,8 @@ def keyword_gradient(df: DataFrame, text: str, value: str, keywords: list[str])
 def item_frequency(df: DataFrame, items: Column) -> DataFrame:
     """``item, n, pct``: rows that hold an item and their share of all rows."""
     rows = df.select(F.array_distinct(items).alias("items"))
-    total = rows.agg(F.count("*").alias("total")).withColumn("k", F.lit(1))
-    counts = rows.select(F.explode("items").alias("item")).groupBy("item").agg(F.count("*").alias("n")).withColumn("k", F.lit(1))
-    return counts.join(total, "k").select("item", "n", (100 * F.col("n") / F.col("total")).alias("pct"))
+    counts = rows.select(F.explode("items").alias("item")).groupBy("item").agg(F.count("*").alias("n"))
+    return counts.select("item", "n", (100 * F.col("n") / F.lit(df.count())).alias("pct"))
 
 
 def item_stats(df: DataFrame, items: Column, value: str, support: int = 1) -> DataFrame:
@@ -267,6 +281,13 @@ def agreement(df: DataFrame, condition: Column) -> DataFrame:
     return df.agg(F.count(condition).alias("n"), F.count_if(condition).alias("agree"), (100 * F.avg(condition.cast("int"))).alias("pct"))
 
 
+def top_agreement(df: DataFrame, by: str, value: str) -> DataFrame:
+    """``by, n, agree, pct``: the rows of a group that have its most frequent value (of equals the smallest), in one count a value."""
+    counts = df.where(F.col(value).isNotNull()).groupBy(by, value).agg(F.count("*").alias("n"))
+    out = counts.groupBy(by).agg(F.sum("n").alias("n"), F.max("n").alias("agree"))
+    return out.withColumn("pct", 100 * F.col("agree") / F.col("n"))
+
+
 def duplicate_rate(df: DataFrame, subsets: dict[str, list[str]]) -> DataFrame:
     """``keys, rows, duplicates, pct`` for each set of columns; null is a value."""
     parts = []
@@ -280,13 +301,14 @@ def duplicate_rate(df: DataFrame, subsets: dict[str, list[str]]) -> DataFrame:
 def text_lengths(df: DataFrame, col: str) -> DataFrame:
     """``n, coverage_pct, mean, median, p95, longest`` of a text column's length."""
     n = F.length(col)
-    return df.agg(F.count(col).alias("n"), F.round(100 * F.avg(F.col(col).isNotNull().cast("int")), 4).alias("coverage_pct"), F.avg(n).alias("mean"), F.percentile(n, 0.5).alias("median"), F.percentile(n, 0.95).alias("p95"), F.max(n).alias("longest"))
+    middle, p95 = ordered.quantiles(df.select(n.alias("n")), "n", [0.5, 0.95]) or (None, None)
+    return df.agg(F.count(col).alias("n"), F.round(100 * F.avg(F.col(col).isNotNull().cast("int")), 4).alias("coverage_pct"), F.avg(n).alias("mean"), F.lit(middle).cast("double").alias("median"), F.lit(p95).cast("double").alias("p95"), F.max(n).alias("longest"))
 
 
-def presence_patterns(df: DataFrame, a: str, b: str) -> DataFrame:
-    """``pattern, n``: rows with both, only one, or neither of two columns."""
-    x, y = F.col(a).isNotNull(), F.col(b).isNotNull()
-    return df.groupBy(F.when(x & y, "both").when(x, "first_only").when(y, "second_only").otherwise("neither").alias("pattern")).agg(F.count("*").alias("n"))
+def presence_patterns(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``pattern, n``: rows by which of ``columns`` are present, their names joined by "+", "none" for none."""
+    there = F.concat_ws("+", *[F.when(F.col(c).isNotNull(), F.lit(c)) for c in columns])
+    return df.groupBy(F.when(there == "", "none").otherwise(there).alias("pattern")).agg(F.count("*").alias("n"))
 
 
 def numeric_columns(df: DataFrame) -> list[str]:

@@ -41,9 +41,9 @@ def weekly(df: DataFrame, ts: str, by: list[str] | None = None) -> DataFrame:
 
 
 def monthly(df: DataFrame, ts: str, by: list[str] | None = None) -> DataFrame:
-    """``month, n`` by the first day of a month, empty months 0."""
+    """``month, n`` by the last day of a month, empty months 0."""
     counts = df.where(F.col(ts).isNotNull()).groupBy(*(by or []), F.trunc(ts, "month").alias("month")).agg(F.count("*").alias("n"))
-    return _filled(counts, "month", F.expr("interval 1 month"), by)
+    return _filled(counts, "month", F.expr("interval 1 month"), by).withColumn("month", F.last_day("month"))
 
 
 def by_weekday(df: DataFrame, ts: str) -> DataFrame:

@@ -24,11 +24,10 @@ def daily_dense(spark: SparkSession, d: str) -> DataFrame:
     return _days(spark, d).select(text("day").alias("day"), "n")
 
 
-@R.add("""with c as (select event_type, cast(ts as date) as d, count(*) as n from events where event_id % 97 = 0 group by 1, 2), g as (select event_type, cast(unnest(generate_series((select min(d) from c)::timestamp, (select max(d) from c)::timestamp, interval 1 day)) as date) as d from (select distinct event_type from c) x)
+@R.add("""with c as (select event_type, cast(ts as date) as d, count(*) as n from events group by 1, 2), g as (select event_type, cast(unnest(generate_series((select min(d) from c)::timestamp, (select max(d) from c)::timestamp, interval 1 day)) as date) as d from (select distinct event_type from c) x)
 select g.event_type, strftime(g.d, '%Y-%m-%d') as day, coalesce(n, 0) as n from g left join c using (event_type, d)""")
 def daily_by_category(spark: SparkSession, d: str) -> DataFrame:
-    rare = table(spark, d, "events").where("event_id % 97 = 0")
-    return series.daily(rare, "ts", ["event_type"]).select("event_type", text("day").alias("day"), "n")
+    return series.daily(table(spark, d, "events"), "ts", ["event_type"]).select("event_type", text("day").alias("day"), "n")
 
 
 @R.add(f"with {_DAYS} select strftime(d, '%Y-%m-%d') as day, n, case when count(*) over w = 7 then round(avg(n) over w, 4) end as rolling from s window w as (order by d rows between 6 preceding and current row)")
@@ -36,16 +35,16 @@ def rolling7(spark: SparkSession, d: str) -> DataFrame:
     return rounded(series.rolling_mean(_days(spark, d)).withColumn("day", text("day")))
 
 
-@R.add("""with c as (select cast(date_trunc('week', o_orderdate) as date) + 6 as w, count(*) as n from orders where o_orderkey % 11 = 0 group by 1),
+@R.add("""with c as (select cast(date_trunc('week', o_orderdate) as date) + 6 as w, count(*) as n from orders group by 1),
 g as (select cast(unnest(generate_series((select min(w) from c)::timestamp, (select max(w) from c)::timestamp, interval 7 day)) as date) as w)
 select strftime(w, '%Y-%m-%d') as week, coalesce(n, 0) as n from g left join c using (w)""")
 def weekly(spark: SparkSession, d: str) -> DataFrame:
-    return series.weekly(table(spark, d, "orders").where("o_orderkey % 11 = 0"), "o_orderdate").select(text("week").alias("week"), "n")
+    return series.weekly(table(spark, d, "orders"), "o_orderdate").select(text("week").alias("week"), "n")
 
 
 @R.add("""with c as (select cast(date_trunc('month', o_orderdate) as date) as m, count(*) as n from orders group by 1),
 g as (select cast(unnest(generate_series((select min(m) from c)::timestamp, (select max(m) from c)::timestamp, interval 1 month)) as date) as m)
-select strftime(m, '%Y-%m-%d') as month, coalesce(n, 0) as n from g left join c using (m)""")
+select strftime(last_day(m), '%Y-%m-%d') as month, coalesce(n, 0) as n from g left join c using (m)""")
 def monthly(spark: SparkSession, d: str) -> DataFrame:
     return series.monthly(table(spark, d, "orders"), "o_orderdate").select(text("month").alias("month"), "n")
 
@@ -202,7 +201,7 @@ def _moments(x: str) -> str:
 
 
 @R.add(" union all ".join(
-    f"select '{name}' as scale, round((select avg(pow({x} - m, 3)) / pow(any_value(v), 1.5) from orders, {_moments(x)} s), 4) as skewness, round((select avg(pow({x} - m, 4)) / pow(any_value(v), 2) - 3 from orders, {_moments(x)} s), 4) as kurtosis"
+    f"select '{name}' as scale, round((select avg(pow({x} - m, 3)) / pow(any_value(v), 1.5) from orders, {_moments(x)} s), 4) as skewness, round((select avg(pow({x} - m, 4)) / pow(any_value(v), 2) - 3 from orders, {_moments(x)} s), 4) as kurtosis, " + ", ".join(f"round((select quantile_cont({x}, {p / 100}) from orders), 4) as p{p}" for p in (5, 25, 50, 75, 95))
     for name, x in (("raw", "o_totalprice"), ("log1p", "ln(1 + o_totalprice)"))
 ))
 def distribution(spark: SparkSession, d: str) -> DataFrame:
@@ -279,16 +278,16 @@ def anova_f(spark: SparkSession, d: str) -> DataFrame:
 _KEYWORDS = ["the", "that", "with", "from", "this"]
 
 
-@R.add("select keyword, count(*) as n, round(median(n_chars), 4) as median, round(avg(n_chars), 4) as mean from (select n_chars, lower(text) as t from documents where lang = 'en') x, (values " + ", ".join(f"('{k}')" for k in _KEYWORDS) + r") v(keyword) where regexp_matches(t, '\b' || keyword || '\b') group by 1")
+@R.add("select keyword, count(*) as n, round(median(n_chars), 4) as median, round(avg(n_chars), 4) as mean from (select n_chars, lower(text) as t from documents) x, (values " + ", ".join(f"('{k}')" for k in _KEYWORDS) + r") v(keyword) where regexp_matches(t, '\b' || keyword || '\b') group by 1")
 def keyword_gradient(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(groups.keyword_gradient(table(spark, d, "documents").where("lang = 'en'"), "text", "n_chars", _KEYWORDS))
+    return rounded(groups.keyword_gradient(table(spark, d, "documents"), "text", "n_chars", _KEYWORDS))
 
 
-@R.add("""with w as (select doc_id, list_filter(regexp_extract_all(lower(text), '[a-z]{2,}'), lambda x: x not in ('the', 'of')) as w from documents where lang = 'en'),
+@R.add("""with w as (select doc_id, list_filter(regexp_extract_all(lower(text), '[a-z]{2,}'), lambda x: x not in ('the', 'of')) as w from documents),
 t as (select 'token' as kind, unnest(w) as term from w union all select 'bigram', w[i] || ' ' || w[i + 1] from (select w, unnest(generate_series(1, len(w) - 1)) as i from w where len(w) > 1) x)
 select kind, term, n from (select *, row_number() over (partition by kind order by n desc, term) as r from (select kind, term, count(*) as n from t group by 1, 2) y) z where r <= 50""")
 def tokens_bigrams(spark: SparkSession, d: str) -> DataFrame:
-    words = table(spark, d, "documents").where("lang = 'en'").select(C.tokens(F.col("text"), ("the", "of")).alias("w"))
+    words = table(spark, d, "documents").select(C.tokens(F.col("text"), ("the", "of")).alias("w"))
     one = groups.value_counts(words.select(F.explode("w").alias("t")), "t", 50).select(F.lit("token").alias("kind"), F.col("value").alias("term"), "n")
     return one.unionByName(groups.value_counts(words.select(F.explode(C.bigrams(F.col("w"))).alias("t")), "t", 50).select(F.lit("bigram").alias("kind"), F.col("value").alias("term"), "n"))
 
@@ -340,9 +339,9 @@ def text_lengths(spark: SparkSession, d: str) -> DataFrame:
     return rounded(groups.text_lengths(table(spark, d, "documents"), "text"))
 
 
-@R.add(f"with {_LABELLED} select case when quality is not null and lang is not null then 'both' when quality is not null then 'first_only' when lang is not null then 'second_only' else 'neither' end as pattern, count(*) as n from x group by 1")
+@R.add(f"with {_LABELLED} select case when quality is null and lang is null and n_chars is null then 'none' else concat_ws('+', case when quality is not null then 'quality' end, case when lang is not null then 'lang' end, case when n_chars is not null then 'n_chars' end) end as pattern, count(*) as n from x group by 1")
 def presence_patterns(spark: SparkSession, d: str) -> DataFrame:
-    return groups.presence_patterns(_labelled(spark, d), "quality", "lang")
+    return groups.presence_patterns(_labelled(spark, d), ["quality", "lang", "n_chars"])
 
 
 @R.add(r"select round(100 * avg(regexp_matches(text, '(?i)licen[sc]e')::int), 4) as pct, round(100 * avg(case when lang = 'en' then regexp_matches(text, '(?i)licen[sc]e')::int end), 4) as flagged_pct from documents")
@@ -353,3 +352,18 @@ def pattern_share(spark: SparkSession, d: str) -> DataFrame:
 @R.add("select count(*) as n, count(*) filter (where list_contains(string_split(p_name, ' '), 'small')) as agree, round(100 * avg(list_contains(string_split(p_name, ' '), 'small')::int), 4) as pct from part")
 def set_agreement(spark: SparkSession, d: str) -> DataFrame:
     return rounded(groups.agreement(table(spark, d, "part"), F.array_contains(F.split("p_name", " "), "small")))
+
+
+@R.add("""select event_type, count(*) filter (where extract(hour from ts) < 12) / count(*)::double as am, count(*) filter (where extract(hour from ts) >= 12) / count(*)::double as pm from events group by 1""")
+def crosstab_wide(spark: SparkSession, d: str) -> DataFrame:
+    halves = table(spark, d, "events").withColumn("half", F.when(F.hour("ts") < 12, "am").otherwise("pm"))
+    return groups.crosstab_wide(halves, "event_type", "half", ["am", "pm"], normalise=True)
+
+
+@R.add("""with p as (select split_part(p_type, ' ', 1) as a, split_part(p_type, ' ', 2) as b, p_brand from part),
+g as (select p_brand, a, count(*) as n from p group by 1, 2), t as (select p_brand, a, row_number() over (partition by p_brand order by n desc, a) as r from g)
+select p.p_brand, count(*) as n, count(*) filter (where p.a = t.a) as agree, round(100 * avg((p.a = t.a)::int), 4) as pct from p join t on p.p_brand = t.p_brand and t.r = 1 group by 1""")
+def top_value_agreement(spark: SparkSession, d: str) -> DataFrame:
+    """How far a group's most frequent value stands for its rows."""
+    part = table(spark, d, "part").select("p_brand", F.split("p_type", " ")[0].alias("a"))
+    return rounded(groups.top_agreement(part, "p_brand", "a"))

@@ -78,10 +78,10 @@ def text_cleanup(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", C.clean_text(F.col("text")).alias("text"))
 
 
-@R.add("select d.doc_id, quality is not null as salary_available, text is not null as has_description, len(string_split(substr(text, 1, 50), ' ')) as skill_count from documents d left join labels l on d.doc_id = l.doc_id")
+@R.add("select d.doc_id, quality is not null as salary_available, text is not null as has_description, len(string_split(text, ' ')) as skill_count from documents d left join labels l on d.doc_id = l.doc_id")
 def derived_features(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id", "left")
-    rows = rows.select("doc_id", F.col("quality").alias("min_salary"), F.col("text").alias("description"), F.split(F.substring("text", 1, 50), " ").alias("skill_list"))
+    rows = rows.select("doc_id", F.col("quality").alias("min_salary"), F.col("text").alias("description"), F.split("text", " ").alias("skill_list"))
     return features.derived(rows).select("doc_id", "salary_available", "has_description", "skill_count")
 
 
@@ -183,9 +183,21 @@ def split_target_stats(spark: SparkSession, d: str) -> DataFrame:
     return rounded(target.describe(_by_rule(spark, d), "o_totalprice", ["split"]), 2)
 
 
-@R.add()
+@R.add("select 2 * count(*) as rows, true as agree from orders")
 def dataset_fingerprint(spark: SparkSession, d: str) -> DataFrame:
     """Equal content in another order and partitioning has an equal fingerprint."""
     orders = table(spark, d, "orders")
-    a = fingerprint.content_fingerprint(orders).select(F.lit("as read").alias("of"), "rows", "hash_xor")
-    return a.unionByName(fingerprint.content_fingerprint(orders.repartition(7, "o_custkey")).select(F.lit("dealt anew").alias("of"), "rows", "hash_xor"))
+    a = fingerprint.content_fingerprint(orders).select(F.lit("as read").alias("of"), "rows", "hash_sum", "hash_xor")
+    b = fingerprint.content_fingerprint(orders.repartition(7, "o_custkey")).select(F.lit("dealt anew").alias("of"), "rows", "hash_sum", "hash_xor")
+    same = F.count_distinct("rows", "hash_sum", "hash_xor") == 1
+    both = a.unionByName(b)
+    return both.agg(F.sum("rows").alias("rows"), same.alias("agree"))
+
+
+@R.add("""with g as (select count(distinct coalesce(text, '')) as g from documents), t as (select g, ceil(0.2 * g) as test from g), v as (select g, test, ceil(0.125 * (g - test)) as validation from t)
+select 'test' as split, cast(test as bigint) as groups from v union all select 'validation', cast(validation as bigint) from v union all select 'train', cast(g - test - validation as bigint) from v""")
+def group_split_sizes(spark: SparkSession, d: str) -> DataFrame:
+    """Groups in each part of the split; no group is in two."""
+    docs = table(spark, d, "documents").select(F.coalesce("text", F.lit("")).alias("text"))
+    docs = docs.select("text", F.sha2("text", 256).alias("group"))
+    return split.group_split(docs, "group").groupBy("split").agg(F.count_distinct("group").alias("groups"))

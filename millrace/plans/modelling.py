@@ -11,22 +11,44 @@ from millrace.plans.registry import Registry, rounded, table
 R = Registry()
 
 
-@R.add(r"""with w as (select doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]{2,}') as w from documents where lang = 'en'),
+@R.add(r"""with w as (select doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]{2,}') as w from documents),
 t as (select doc_id, unnest(list_concat(w, list_transform(generate_series(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1]))) as term from w),
 tf as (select doc_id, term, count(*) as tf from t group by 1, 2), n as (select count(*) as n from w),
-v as (select term, count(*) as df, ln((1 + any_value(n)) / (1.0 + count(*))) + 1 as idf from tf, n group by term having count(*) >= 20 and count(*) <= 0.95 * any_value(n)),
+v as (select term, count(*) as df, ln((1 + any_value(n)) / (1.0 + count(*))) + 1 as idf from tf, n group by term having count(*) >= 5 and count(*) <= 0.95 * any_value(n)),
 x as (select doc_id, term, (1 + ln(tf)) * idf as w from tf join v using (term))
 select doc_id, term, round(w / sqrt(sum(w * w) over (partition by doc_id)), 6) as weight from x""")
 def tfidf_weights(spark: SparkSession, d: str) -> DataFrame:
-    docs = table(spark, d, "documents").where("lang = 'en'")
-    model = encoding.fit_tfidf(docs, "text", encoding.TfidfConfig(min_df=20))
+    docs = table(spark, d, "documents")
+    model = encoding.fit_tfidf(docs, "text")
     return rounded(model.weights(docs, "doc_id", "text"), 6)
 
 
-@R.add(r"""with t as (select distinct doc_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_]{2,}')) as term from documents where lang = 'en'), c as (select term, count(*) as df from t group by 1)
+_PARTS_TFIDF = r"""with w as (select p_partkey, regexp_extract_all(lower(p_name), '[\p{L}\p{N}_]{2,}') as w from part),
+t as (select p_partkey, unnest(list_concat(w, list_transform(generate_series(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1]))) as term from w),
+tf as (select p_partkey, term, count(*) as tf from t group by 1, 2), n as (select count(*) as n from w),
+v as (select term, ln((1 + any_value(n)) / (1.0 + count(*))) + 1 as idf from tf, n group by term having count(*) >= 5 and count(*) <= 0.95 * any_value(n)),
+x as (select p_partkey, term, (1 + ln(tf)) * idf as w from tf join v using (term)), y as (select p_partkey, term, w / sqrt(sum(w * w) over (partition by p_partkey)) as weight from x)"""
+
+
+@R.add(_PARTS_TFIDF + " select term, round(sum(weight) / (select count(*) from part), 6) as mean_weight from y group by 1 order by sum(weight) desc, term limit 30")
+def mean_weights(spark: SparkSession, d: str) -> DataFrame:
+    part = table(spark, d, "part")
+    weights = encoding.fit_tfidf(part, "p_name").weights(part, "p_partkey", "p_name")
+    return rounded(encoding.mean_weights(weights, part.count(), 30), 6)
+
+
+@R.add(_PARTS_TFIDF + " select (select count(*) from v) as width, count(*) as filled, round(1 - count(*) / ((select count(*) from v) * (select count(*) from part)::double), 6) as sparsity from y")
+def matrix_shape(spark: SparkSession, d: str) -> DataFrame:
+    part = table(spark, d, "part")
+    model = encoding.fit_tfidf(part, "p_name")
+    return rounded(encoding.shape(model.weights(part, "p_partkey", "p_name"), model.vocabulary.count(), part.count()), 6)
+
+
+@R.add(r"""with w as (select doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]{2,}') as w from documents),
+t as (select distinct doc_id, unnest(list_concat(w, list_transform(generate_series(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1]))) as term from w), c as (select term, count(*) as df from t group by 1)
 select min_df, count(*) filter (where df >= min_df) as terms from c, (values (1), (2), (5), (10), (20)) v(min_df) group by 1""")
 def vocabulary_sizes(spark: SparkSession, d: str) -> DataFrame:
-    return encoding.vocabulary_sizes(table(spark, d, "documents").where("lang = 'en'"), "text", bigrams=False)
+    return encoding.vocabulary_sizes(table(spark, d, "documents"), "text")
 
 
 @R.add("""with r as (select distinct p_partkey, unnest(string_split(p_name, ' ')) as item from part), v as (select item, row_number() over (order by item) - 1 as position from (select distinct item from r) x)

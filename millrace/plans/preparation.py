@@ -112,9 +112,9 @@ def bounds_policies(spark: SparkSession, d: str) -> DataFrame:
 
 
 @R.add("""select o_orderkey, cast(o_custkey as bigint) as key_from_text, try_cast(o_orderpriority as double) as number, case when o_orderkey % 2 = 0 then o_orderkey end as half
-from orders where o_orderkey % 3 = 0""")
+from orders""")
 def convert_types(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "orders").where("o_orderkey % 3 = 0")
+    rows = table(spark, d, "orders")
     texts = rows.select("o_orderkey", F.concat(F.col("o_custkey").cast("string"), F.when(F.col("o_orderkey") % 2 == 0, ".0").otherwise("")).alias("key_from_text"), F.col("o_orderpriority").alias("number"), F.when(F.col("o_orderkey") % 2 == 0, F.col("o_orderkey").cast("string")).otherwise("x").alias("half"))
     return clean.convert(texts, {"key_from_text": "bigint", "number": "double", "half": "bigint"})
 
