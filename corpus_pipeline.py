@@ -21,7 +21,11 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with the lines that many share taken out of all but one; n_chars follows the text."""
+    """Documents with the lines that many share taken out of all but one; n_chars follows the text.
+
+    Every row stays: a null text stays null, a text of which all lines go is empty. Rows without an id lose lines that a
+    row with one holds. Repeated rows get equal texts; an empty table gives an empty one.
+    """
     kept = line_dedup.drop_repeated_lines(docs)
     text = F.col(kept.columns[-3])
     new = {"text": F.when(F.col("text").isNotNull(), text), "n_chars": F.length(F.col("text"))}
@@ -30,17 +34,28 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, the one with the smallest doc_id."""
+    """One document of each group of near-duplicates (five-word shingle sets of similarity 0.8 or more), that of the smallest doc_id.
+
+    Texts without words (null ones too) are one group. Rows without an id stay; of rows that repeat id and text one
+    stays. An empty table gives an empty one.
+    """
     return simhash.keep_one(docs).select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix of sources takes them."""
+    """Documents as often as the mix of sources takes them.
+
+    Texts without words take part in no mix and go; a null source is a source; rows that repeat id and text are taken
+    alike. An empty table gives an empty one.
+    """
     return mixing.mixed_rows(docs).select(*docs.columns)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of each document: ids, and the text decoded from them."""
+    """Token counts and digests of each document: ids, and the text decoded from them.
+
+    Null texts count as empty; repeated rows get equal rows; an empty table gives an empty one.
+    """
     return byte_bpe.digests(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 
