@@ -68,25 +68,32 @@ def target_sizes(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int
 def _plan(sizes: DataFrame, targets: DataFrame, most: int) -> DataFrame:
     """``source, stratum, rows, favours, copies, more``: of each stratum, whole copies of all and the size of its sample.
 
-    Strata are settled from the longest documents down, in the array of each source (some hundred strata): each gets the
-    words that are left in proportion to its favour, at most ``most`` copies, rounded to whole documents. What rounding
-    leaves is shared by the shorter ones, so that a source ends within about its shortest documents of the target.
+    Every document of a source has the whole copies that the target holds for certain. The words that are left go to the
+    strata from the longest documents down, in the array of each source (some hundred strata): each gets them in
+    proportion to its favour, rounded to whole documents, one copy more at most (or up to ``most`` in all where the
+    shorter ones could not take the rest). What rounding leaves is shared by the shorter ones, so that a source ends
+    within about its shortest documents of the target.
     """
     strata = sizes.where("size > 0").groupBy("source", _stratum(F.col("size")).alias("stratum"))
     strata = strata.agg(F.count("*").alias("rows"), F.sum("size").alias("words"), F.sum(_favour(F.col("size"))).alias("favours"))
     lists = strata.groupBy("source").agg(F.reverse(F.array_sort(F.collect_list(F.struct("stratum", "rows", "words", "favours")))).alias("strata"))
-    lists = lists.join(targets.select(F.col("source").alias("__s"), "target"), F.col("source").eqNullSafe(F.col("__s"))).drop("__s")
+    lists = lists.join(targets.select(F.col("source").alias("__s"), "source_size", "target"), F.col("source").eqNullSafe(F.col("__s"))).drop("__s")
+    lists = lists.withColumn("whole", F.least(F.lit(most), F.floor(F.col("target") / F.col("source_size") + 1e-12)).cast("bigint"))
     pull = lambda x: x.words * (x.favours / x.rows)
-    start = F.struct(F.col("target").alias("left"), F.aggregate("strata", F.lit(0.0), lambda a, x: a + pull(x)).alias("pull"), F.array().cast("array<bigint>").alias("taken"))
+    start = F.struct(
+        (F.col("target") - F.col("whole") * F.col("source_size")).alias("left"), F.aggregate("strata", F.lit(0.0), lambda a, x: a + pull(x)).alias("pull"),
+        F.col("source_size").cast("double").alias("words"), F.array().cast("array<bigint>").alias("taken"),
+    )
 
     def settle(a: Column, x: Column) -> Column:
         each = F.when(a.pull > 0.5, F.greatest(F.lit(0.0), a.left) / a.pull * (x.favours / x.rows)).otherwise(F.lit(0.0))
-        taken = F.least(F.floor(F.least(F.lit(float(most)), each) * x.rows + 0.5), most * x.rows).cast("bigint")
-        return F.struct((a.left - taken * (x.words / x.rows)).alias("left"), (a.pull - pull(x)).alias("pull"), F.concat(a.taken, F.array(taken)).alias("taken"))
+        cap = F.when(a.left > a.words, F.lit(most) - F.col("whole")).otherwise(F.least(F.lit(1), F.lit(most) - F.col("whole")))
+        taken = F.least(F.floor(F.least(cap.cast("double"), each) * x.rows + 0.5), cap * x.rows).cast("bigint")
+        return F.struct((a.left - taken * (x.words / x.rows)).alias("left"), (a.pull - pull(x)).alias("pull"), (a.words - x.words).alias("words"), F.concat(a.taken, F.array(taken)).alias("taken"))
 
-    settled = lists.select("source", F.explode(F.arrays_zip("strata", F.aggregate("strata", start, settle, lambda a: a.taken).alias("taken"))).alias("x"))
-    rows = settled.select("source", "x.strata.stratum", "x.strata.rows", "x.strata.favours", F.col("x.taken").alias("taken"))
-    return rows.select("source", "stratum", "rows", "favours", F.floor(F.col("taken") / F.col("rows")).cast("int").alias("copies"), (F.col("taken") % F.col("rows")).alias("more"))
+    settled = lists.select("source", "whole", F.explode(F.arrays_zip("strata", F.aggregate("strata", start, settle, lambda a: a.taken).alias("taken"))).alias("x"))
+    rows = settled.select("source", "whole", "x.strata.stratum", "x.strata.rows", "x.strata.favours", F.col("x.taken").alias("taken"))
+    return rows.select("source", "stratum", "rows", "favours", (F.col("whole") + F.floor(F.col("taken") / F.col("rows"))).cast("int").alias("copies"), (F.col("taken") % F.col("rows")).alias("more"))
 
 
 def _ranked(sizes: DataFrame, plan: DataFrame, seed: str) -> DataFrame:

@@ -255,8 +255,11 @@ def test_mix(spark):
         assert r["size"] == len(words_of(rows[r["id"]][1])) and r["taken"] == r["copies"] * r["size"] <= 3 * r["size"]
         taken[r["source"]] += r["taken"]
         target[r["source"]] = r["target"]
+    sizes = {r["source"]: r["source_size"] for r in got}
     for s in target:
         assert abs(taken[s] - target[s]) <= 0.01 * target[s]
+    for r in got:  # whole copies are certain
+        assert r["size"] == 0 or r["copies"] >= int(target[r["source"]] / sizes[r["source"]] + 1e-9)
     again = mixing.mix(docs.repartition(7)).collect()
     assert {(r["id"], r["taken"]) for r in again} == {(r["id"], r["taken"]) for r in got}
     out = mixing.mixed_rows(docs)
