@@ -129,12 +129,11 @@ class Shard:
         return n_docs, last
 
 
-def frequent(h1: np.ndarray, h2: np.ndarray, shard: Shard, min_docs: int) -> Shard:
-    """The part of a shard (built from keys ``h1, h2``) that holds the keys with ``min_docs`` documents or more."""
-    pairs = np.unique(np.stack([h1, h2], axis=1), axis=0)
-    n_docs, last = shard.probe(pairs[:, 0], pairs[:, 1])
+def frequent(h1: np.ndarray, h2: np.ndarray, shard: Shard, min_docs: int) -> np.ndarray:
+    """Rows of hash, hash, documents and last document: the keys ``h1, h2`` of a shard with ``min_docs`` documents or more."""
+    n_docs, last = shard.probe(h1, h2)
     often = n_docs >= min_docs
-    return Shard(pairs[often, 0], pairs[often, 1], n_docs[often], last[often])
+    return np.unique(np.stack([h1[often].view(np.int64), h2[often].view(np.int64), n_docs[often], last[often]], axis=1), axis=0)
 
 
 # --- Spark ----------------------------------------------------------------------------------------------------------
@@ -165,8 +164,8 @@ def _counted_lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int)
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 40, min_docs: int = 5) -> tuple[DataFrame, int]:
     """``shard, blob, often, probes`` of each shard of the index, and the number of shards.
 
-    All distinct keys of ``min_chars`` or more code points are indexed: ``blob`` holds the shard, and ``often`` the part
-    of it with the keys in ``min_docs`` or more rows. Batches count their own lines before they are dealt out, so a line
+    All distinct keys of ``min_chars`` or more code points are indexed: ``blob`` holds the shard, and ``often`` its
+    keys in ``min_docs`` or more rows with their counts. Batches count their own lines before they are dealt out, so a line
     of a third of all documents is a row a batch; what is dealt is hashes, never lines.
     """
     lines = materialize(_counted_lines(docs, id_col, text_col, min_chars), "line-keys")
@@ -176,20 +175,12 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         h1, h2 = (pdf[c].to_numpy(np.int64).view(np.uint64) for c in ("h1", "h2"))
         shard = Shard(h1, h2, pdf["n_docs"].to_numpy(np.int64), pdf["last"].to_numpy(np.int64))
         often = frequent(h1, h2, shard, min_docs)
-        return pd.DataFrame({"shard": [int(pdf["shard"].iloc[0])], "blob": [pickle.dumps(shard, protocol=5)], "often": [pickle.dumps(often, protocol=5)], "probes": [int(pdf["n_docs"].sum())]})
+        return pd.DataFrame({"shard": [int(pdf["shard"].iloc[0])], "blob": [pickle.dumps(shard, protocol=5)], "often": [often.tobytes()], "probes": [int(pdf["n_docs"].sum())]})
 
     dealt = lines.withColumn("shard", F.pmod("h1", F.lit(shards)))
     return materialize(dealt.groupBy("shard").applyInPandas(build, "shard long, blob binary, often binary, probes long"), "line-index"), shards
 
 
-def _rewrite(text: str | None, ident: int, min_chars: int, drop) -> tuple[list[str], list[str]]:
-    lines, at, one, two = key_hashes(text, min_chars)
-    if not at:
-        return lines, lines
-    gone = {k for k, d in zip(at, drop(ident, np.array(one, np.uint64), np.array(two, np.uint64))) if d}
-    return lines, [x for k, x in enumerate(lines) if k not in gone] if gone else lines
-
-
 def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 40, min_docs: int = 5, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """``docs`` with ``kept_text, n_lines, n_dropped`` (names lengthened on a clash): the texts without repeated lines.
 
@@ -208,7 +199,8 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     names = [fresh(docs, n) for n in ("kept_text", "n_lines", "n_dropped")]
     drops_col = fresh(docs, "__drops")
     if size <= broadcast_bytes:
-        sent = docs.sparkSession.sparkContext.broadcast({r["shard"]: bytes(r["often"]) for r in index.select("shard", "often").toLocalIterator()})
+        often = np.frombuffer(b"".join(bytes(r["often"]) for r in index.select("often").toLocalIterator()), np.int64).reshape(-1, 4)
+        sent = docs.sparkSession.sparkContext.broadcast(Shard(often[:, 0].view(np.uint64), often[:, 1].view(np.uint64), often[:, 2], often[:, 3]))
         source, drops_col = docs, None
     else:
         sent = None
@@ -219,33 +211,23 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     kept_columns = len(docs.columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        loaded: dict[int, Shard] = {k: pickle.loads(v) for k, v in sent.value.items()} if sent else {}
-
-        def by_index(ident: int, one: np.ndarray, two: np.ndarray) -> np.ndarray:
-            out = np.zeros(len(one), bool)
-            of = one.view(np.int64) % np.int64(shards)
-            for s in np.unique(of).tolist():
-                if s in loaded:
-                    mine = of == s
-                    n_docs, last = loaded[s].probe(one[mine], two[mine])
-                    out[mine] = (n_docs >= min_docs) & (last != ident)
-            return out
-
         for batch in batches:
             columns = batch.columns
-            ids, texts = columns[i_at].cast(pa.int64()).to_pylist(), columns[t_at].to_pylist()
-            lists = columns[d_at].to_pylist() if d_at is not None else [None] * len(ids)
+            ids = [NO_ID if i is None else i for i in columns[i_at].cast(pa.int64()).to_pylist()]
+            found = [key_hashes(t, min_chars) for t in columns[t_at].to_pylist()]
+            if sent:  # all keys of the batch at once
+                one, two = (np.fromiter((h for f in found for h in f[k]), np.uint64) for k in (2, 3))
+                n_docs, last = sent.value.probe(one, two)
+                gone = iter(((n_docs >= min_docs) & (last != np.repeat(np.array(ids, np.int64), [len(f[1]) for f in found]))).tolist())
+            else:
+                lists = ({(x["h1"] & _MASK, x["h2"] & _MASK) for x in pairs or ()} for pairs in columns[d_at].to_pylist())
+                gone = iter([pair in pairs for f, pairs in zip(found, lists) for pair in zip(f[2], f[3])])
             kept, n_lines, n_dropped = [], [], []
-            for ident, text, gone in zip(ids, texts, lists):
-                if d_at is None:
-                    drop = by_index
-                else:
-                    pairs = {(x["h1"] & _MASK, x["h2"] & _MASK) for x in gone or ()}
-                    drop = lambda _, one, two, pairs=pairs: [p in pairs for p in zip(one.tolist(), two.tolist())]
-                lines, stay = _rewrite(text, NO_ID if ident is None else ident, min_chars, drop)
-                kept.append("\n".join(stay))
+            for lines, at, *_ in found:
+                dropped = {k for k, g in zip(at, gone) if g}
+                kept.append("\n".join([x for k, x in enumerate(lines) if k not in dropped] if dropped else lines))
                 n_lines.append(len(lines))
-                n_dropped.append(len(lines) - len(stay))
+                n_dropped.append(len(dropped))
             out = [*columns[:kept_columns], pa.array(kept, pa.string()), pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())]
             yield pa.RecordBatch.from_arrays(out, names=[f"c{k}" for k in range(len(out))])
 
