@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import functools
+import unicodedata
+
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,6 +49,28 @@ def without_marks(texts: pd.Series) -> pd.Series:
     return texts.str.normalize("NFKD").str.replace(r"[̀-ͯ᪰-᫿᷀-᷿⃐-⃿︠-︯]", "", regex=True)
 
 
+@functools.cache
+def accents() -> tuple[str, str]:
+    """Letters of European scripts that carry marks, and the letters below them, place by place."""
+    parts = {chr(k): unicodedata.normalize("NFD", chr(k)) for k in range(0xC0, 0x2000)}
+    found = {c: d[0] for c, d in parts.items() if d != c and d[0].isalpha() and all(0x300 <= ord(x) <= 0x36F for x in d[1:])}
+    return "".join(found), "".join(found.values())
+
+
+def without_accents(c: Column) -> Column:
+    """``c`` without the accents of European letters, whole or as marks of their own; no Python worker is needed."""
+    return F.regexp_replace(F.translate(c, *accents()), "[̀-ͯ]", "")
+
+
+def null_salt(df: DataFrame, key: str, parts: int = 1024) -> Column:
+    """0 where ``key`` is known, else a number of the row's other values below ``parts``.
+
+    As a second key of a left join (0 on the right) it deals the rows without a key over all tasks.
+    """
+    others = [F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
+    return F.when(F.col(f"`{key}`").isNotNull(), F.lit(0)).otherwise(F.pmod(F.hash(*others), F.lit(parts)))
+
+
 def clean_text(c: Column) -> Column:
     """NFKC, white space collapsed and trimmed, empty null."""
     out = F.trim(F.regexp_replace(nfkc(c), r"(?U)\s+", " "))

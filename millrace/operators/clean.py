@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.core.schemas import CleaningRule, ForeignKey
+from millrace.functions.columns import null_salt
 
 #: Texts that are a missing value once trimmed.
 NULL_TEXTS = ("", "nan", "None", "<NA>")
@@ -118,9 +119,10 @@ def drop_orphans(df: DataFrame, keys: tuple[ForeignKey, ...], parents: dict[str,
         parent = parents.get(k.parent)
         if parent is None or k.column not in df.columns or k.parent_column not in parent.columns:
             continue
-        ids = parent.select(F.col(f"`{k.parent_column}`").alias("__parent")).where("__parent is not null").distinct()
-        hit = df.join(ids, F.col(f"`{k.column}`") == F.col("__parent"), "left")
-        df = hit.where(F.col("__parent").isNotNull() | F.col(f"`{k.column}`").isNull()).drop("__parent")
+        ids = parent.select(F.col(f"`{k.parent_column}`").alias("__parent")).where("__parent is not null").distinct().withColumn("__zero", F.lit(0))
+        salted = df.withColumn("__salt", null_salt(df, k.column))
+        hit = salted.join(ids, (F.col(f"`{k.column}`") == F.col("__parent")) & (F.col("__salt") == F.col("__zero")), "left")
+        df = hit.where(F.col("__parent").isNotNull() | F.col(f"`{k.column}`").isNull()).drop("__parent", "__zero", "__salt")
     return df
 
 
@@ -147,16 +149,23 @@ def clean_table(df: DataFrame, rule: CleaningRule, types: dict[str, str], order:
     return drop_orphans(out, rule.foreign_keys, parents)
 
 
-def clean_version(tables: dict[str, DataFrame], rules: dict[str, CleaningRule], types: dict[str, dict[str, str]], order: dict[str, list[Column]], continue_on_error: bool = True) -> tuple[dict[str, DataFrame], dict[str, str]]:
+def clean_version(
+    tables: dict[str, DataFrame], rules: dict[str, CleaningRule], types: dict[str, dict[str, str]], order: dict[str, list[Column]], continue_on_error: bool = True, folder: str | None = None
+) -> tuple[dict[str, DataFrame], dict[str, str]]:
     """Clean all tables of a version, parents first, each against its cleaned parents; and what failed, by table.
 
-    A failing table is left as it came and does not end the run. Only its plan is made here; a table is counted once by
-    ``cleaning_report``.
+    A failing table is left as it came and does not end the run. ``order`` says which row of a key is its first, for
+    instance by ``readers.with_ordinal``; a table whose rule keeps first or last rows fails without one. With ``folder``
+    each cleaned table is written there once, and its children and reports read it; without, they clean it again.
     """
     done, failed = dict(tables), {}
     for name in parents_first({t: r for t, r in rules.items() if t in tables}):
         try:
-            done[name] = clean_table(tables[name], rules[name], types.get(name, {}), order.get(name) or [F.monotonically_increasing_id()], {p: done[p] for p in done if p != name})
+            out = clean_table(tables[name], rules[name], types.get(name, {}), order.get(name, []), {p: done[p] for p in done if p != name})
+            if folder:
+                out.write.mode("overwrite").parquet(f"{folder}/{name}")
+                out = out.sparkSession.read.parquet(f"{folder}/{name}")
+            done[name] = out
         except Exception as error:
             if not continue_on_error:
                 raise

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from millrace.functions.columns import null_salt
+
 
 @dataclass(frozen=True)
 class DimensionJoin:
@@ -60,13 +62,15 @@ def safe_left_join(left: DataFrame, right: DataFrame, left_key: str, right_key:
     """Left join that adds the columns of ``right`` that ``left`` lacks, and the names it left out.
 
     ``right`` must have one row a key. ``marker`` names a column that tells whether a row matched. Spark chooses the
-    join by the sizes that it knows, so a dimension is broadcast only while it is small.
+    join by the sizes that it knows, so a dimension is broadcast only while it is small. Rows without a key are dealt
+    over all tasks.
     """
     there = {c.lower() for c in left.columns}
     new = [c for c in right.columns if c != right_key and c.lower() not in there]
     skipped = [c for c in right.columns if c != right_key and c.lower() in there]
-    side = right.select(F.col(f"`{right_key}`").alias("__key"), *[F.col(f"`{c}`") for c in new], *([F.lit(True).alias(marker)] if marker else []))
-    return left.join(side, F.col(f"`{left_key}`") == F.col("__key"), "left").drop("__key"), skipped
+    side = right.select(F.col(f"`{right_key}`").alias("__key"), F.lit(0).alias("__zero"), *[F.col(f"`{c}`") for c in new], *([F.lit(True).alias(marker)] if marker else []))
+    salted = left.withColumn("__salt", null_salt(left, left_key))
+    return salted.join(side, (F.col(f"`{left_key}`") == F.col("__key")) & (F.col("__salt") == F.col("__zero")), "left").drop("__key", "__salt", "__zero"), skipped
 
 
 def one_per_key(df: DataFrame, key: str, order: list[Column]) -> DataFrame:

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import CountVectorizer, OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
+import numpy as np
+from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
+from pyspark.ml.feature import IDF, CountVectorizer, ElementwiseProduct, Normalizer, OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.linalg import SparseVector, Vectors, VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from millrace.functions.columns import without_accents
 from millrace.operators import ordered
 
 
@@ -19,12 +22,11 @@ class TfidfConfig:
     max_df: float = 0.95
     bigrams: bool = True
     sublinear: bool = True
-    features: int = 5000
 
 
 def text_tokens(c: Column, bigrams: bool = True) -> Column:
-    """Lower-case words of two word characters or more, and their neighbouring pairs; null has none."""
-    words = F.regexp_extract_all(F.lower(F.coalesce(c, F.lit(""))), F.lit(r"[\p{L}\p{N}_]{2,}"), 0)
+    """Lower-case words of two word characters or more, without accents, and their neighbouring pairs; null has none."""
+    words = F.regexp_extract_all(without_accents(F.lower(F.coalesce(c, F.lit("")))), F.lit(r"[\p{L}\p{N}_]{2,}"), 0)
     # neighbours by zipping two slices: a lambda that looks into ``words`` would make the words anew for each of them
     n = F.greatest(F.size(words) - 1, F.lit(0))
     return F.concat(words, F.zip_with(F.slice(words, 1, n), F.slice(words, 2, n), lambda a, b: F.concat_ws(" ", a, b))) if bigrams else words
@@ -85,7 +87,7 @@ def shape(weights: DataFrame, width: int, rows: int) -> DataFrame:
 def multi_hot(df: DataFrame, row_id: str, items: Column) -> DataFrame:
     """``row_id, item, position``: each row's distinct items with their place in the sorted vocabulary."""
     rows = df.select(row_id, F.explode(items).alias("item")).distinct()
-    vocabulary = rows.select("item").distinct().select("item", (F.row_number().over(W.partitionBy(F.lit(0)).orderBy("item")) - 1).alias("position"))
+    vocabulary = ordered.positions(rows.select("item").where("item is not null").distinct(), "item")
     return rows.join(vocabulary, "item").select(row_id, "item", "position")
 
 
@@ -101,7 +103,6 @@ class FeatureSet:
     items: str | None = None
     item_encoding: str = "none"  # none, tfidf or multi_hot
     min_df: int = 5
-    features: int = 5000
 
 
 def _column_sql(name: str, expr: str) -> SQLTransformer:
@@ -116,9 +117,8 @@ def feature_pipeline(train: DataFrame, s: FeatureSet) -> PipelineModel:
     """Branches of a feature set, fitted on ``train``, ending in ``features``.
 
     Nulls of a category are a category of their own, unseen ones are zeros. Numbers get the training median and are
-    scaled by the population deviation. Text is TF-IDF: counts and document frequencies by ``CountVectorizer``, then
-    the weights as one SQL expression over the fitted vocabulary's idf. All stages are distributed; the driver holds a
-    vocabulary and a few numbers.
+    scaled by the population deviation. Text and lists as TF-IDF get the weights of ``fit_tfidf``; no vocabulary is cut.
+    All stages are distributed; the driver holds a vocabulary and a few numbers.
     """
     if absent := missing_columns(train, s):
         raise ValueError(f"{s.name}: columns are missing: {', '.join(absent)}")
@@ -141,17 +141,14 @@ def feature_pipeline(train: DataFrame, s: FeatureSet) -> PipelineModel:
         stages.append(VectorAssembler(inputCols=[f"n_{c}" for c in s.numbers], outputCol="numbers"))
         parts.append("numbers")
     if s.text:
-        words = f"regexp_extract_all(lower(coalesce(`{s.text}`, '')), '[\\\\p{{L}}\\\\p{{N}}_]{{2,}}', 0)"
-        stages.append(_column_sql("t_words", words))
-        stages.append(_column_sql("t_terms", "concat(t_words, zip_with(slice(t_words, 1, greatest(size(t_words) - 1, 0)), slice(t_words, 2, greatest(size(t_words) - 1, 0)), (a, b) -> concat_ws(' ', a, b)))"))
-        stages += _tfidf_stages("t_terms", "text_vector", s)
+        stages += [Terms(s.text, "t_terms"), Tfidf("t_terms", "text_vector", s.min_df)]
         parts.append("text_vector")
     if s.items and s.item_encoding != "none":
         stages.append(_column_sql("s_items", f"array_distinct(filter(transform(split(coalesce(`{s.items}`, ''), '[|]'), x -> lower(trim(x))), x -> x <> ''))"))
         if s.item_encoding == "multi_hot":
-            stages.append(CountVectorizer(inputCol="s_items", outputCol="item_vector", binary=True, minDF=1, vocabSize=s.features))
+            stages.append(CountVectorizer(inputCol="s_items", outputCol="item_vector", binary=True, minDF=1, vocabSize=ALL_TERMS))
         else:
-            stages += _tfidf_stages("s_items", "item_vector", s)
+            stages.append(Tfidf("s_items", "item_vector", s.min_df))
         parts.append("item_vector")
     if not parts:
         stages.append(_column_sql("one", "1.0D"))
@@ -160,9 +157,48 @@ def feature_pipeline(train: DataFrame, s: FeatureSet) -> PipelineModel:
     return Pipeline(stages=stages).fit(train)
 
 
-def _tfidf_stages(terms: str, out: str, s: FeatureSet) -> list:
-    from pyspark.ml.feature import IDF, Normalizer
+#: Size of a vocabulary that is not cut.
+ALL_TERMS = 2**31 - 1
 
-    counts = CountVectorizer(inputCol=terms, outputCol=f"{out}_tf", minDF=s.min_df, maxDF=0.95, vocabSize=s.features)
-    # IDF has ln((n + 1) / (df + 1)); close to the weights of ``fit_tfidf``, which adds 1 and takes logs of counts
-    return [counts, IDF(inputCol=f"{out}_tf", outputCol=f"{out}_idf"), Normalizer(inputCol=f"{out}_idf", outputCol=out, p=2.0)]
+
+@F.udf(VectorUDT())
+def _log_counts(v: SparseVector) -> SparseVector:
+    """1 + ln(count) of the filled cells; no Spark function maps over the cells of a sparse vector."""
+    return SparseVector(v.size, v.indices, 1 + np.log(v.values))
+
+
+class Terms(Transformer):
+    """``text_tokens`` of a column as a stage."""
+
+    def __init__(self, text: str, out: str) -> None:
+        super().__init__()
+        self.text, self.out = text, out
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        return df.withColumn(self.out, text_tokens(F.col(f"`{self.text}`")))
+
+
+class LogCounts(Transformer):
+    """Sublinear counts as a stage."""
+
+    def __init__(self, counts: str, out: str) -> None:
+        super().__init__()
+        self.counts, self.out = counts, out
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        return df.withColumn(self.out, _log_counts(F.col(self.counts)))
+
+
+class Tfidf(Estimator):
+    """The weights of ``fit_tfidf`` as a vector: 1 + ln(count), times ln((rows + 1) / (df + 1)) + 1, of length 1."""
+
+    def __init__(self, terms: str, out: str, min_df: int = 5, max_df: float = 0.95) -> None:
+        super().__init__()
+        self.terms, self.out, self.min_df, self.max_df = terms, out, min_df, max_df
+
+    def _fit(self, df: DataFrame) -> PipelineModel:
+        tf, log_tf, raw = (f"{self.out}_{k}" for k in ("tf", "log_tf", "raw"))
+        counts = CountVectorizer(inputCol=self.terms, outputCol=tf, minDF=self.min_df, maxDF=self.max_df, vocabSize=ALL_TERMS).fit(df)
+        idf = IDF(inputCol=tf, outputCol=raw).fit(counts.transform(df)).idf
+        weights = ElementwiseProduct(scalingVec=Vectors.dense(idf.toArray() + 1), inputCol=log_tf, outputCol=raw)
+        return PipelineModel([counts, LogCounts(tf, log_tf), weights, Normalizer(inputCol=raw, outputCol=self.out, p=2.0)])

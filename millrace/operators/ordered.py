@@ -33,6 +33,21 @@ def running_counts(counts: DataFrame, ranges: int = RANGES) -> DataFrame:
     return dealt.withColumn("within", within).join(sums, "__range").select("v", "n", (F.col("before") + F.col("within")).alias("upto"), "total")
 
 
+def positions(values: DataFrame, col: str, ranges: int = RANGES) -> DataFrame:
+    """``values`` (distinct, not null) with ``position``, from 0, in the order of ``col``, which may be text.
+
+    The bounds of the ranges are the values with the smallest hashes (fewer than ``ranges`` of them on the driver), so
+    they are the same on every run; rows are numbered within a range and shifted by the sizes of those before it.
+    """
+    bounds = sorted(r[0] for r in values.select(col).orderBy(F.xxhash64(col), col).limit(ranges - 1).collect())
+    below = F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b <= F.col(col))) if bounds else F.lit(0)
+    dealt = values.withColumn("__range", below)
+    order = W.partitionBy(F.lit(0)).orderBy("__range")
+    sizes = dealt.groupBy("__range").agg(F.count("*").alias("__n")).select("__range", (F.sum("__n").over(order) - F.col("__n")).alias("__before"))
+    numbered = dealt.withColumn("__place", F.row_number().over(W.partitionBy("__range").orderBy(col)) - 1)
+    return numbered.join(sizes, "__range").withColumn("position", F.col("__before") + F.col("__place")).drop("__range", "__before", "__place")
+
+
 def quantiles(df: DataFrame, col: str, shares: list[float]) -> list[float] | None:
     """Exact quantiles with linear interpolation; None for a column without values. Only two numbers a share reach the driver."""
     ranked = running_counts(value_counts(df, col))

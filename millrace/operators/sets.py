@@ -115,5 +115,5 @@ def in_order(df: DataFrame, col: str, order: list[str]) -> DataFrame:
 
 
 def seeded_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
-    """``n`` rows by a hash of key and seed: the same rows however the table is partitioned."""
-    return df.orderBy(F.xxhash64(F.lit(seed), F.col(key)), key).limit(n)
+    """``n`` rows by the MD5 of seed and key: the same rows however the table is partitioned, in any engine."""
+    return df.orderBy(F.md5(F.concat_ws(":", F.lit(seed), F.col(key).cast("string"))), key).limit(n)

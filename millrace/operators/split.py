@@ -16,15 +16,16 @@ def check_input(df: DataFrame, group: str, target: str, least_groups: int = 10)
         raise ValueError(f"not fit for a split: {r.asDict()}")
 
 
-def group_split(df: DataFrame, group: str, test: float = 0.2, validation: float = 0.1, seed: int = 42, parts: int = 4096) -> DataFrame:
+def group_split(df: DataFrame, group: str, test: float = 0.2, validation: float = 0.1, seed: int = 42, digits: int = 3) -> DataFrame:
     """``df`` with ``split``: a share ``test`` of the *groups*, then ``validation`` of all of them, the rest train.
 
-    Groups are ranked by a hash of group and seed (then by the group itself, so that the order is total). Ranks are found
-    in two steps: groups are counted in ``parts`` ranges of the hash, then ranked within a range, so that no task sorts
-    all groups. The cuts are ceil(test * groups) and, of the rest, ceil(validation / (1 - test) * rest).
+    Groups are ranked by the MD5 of seed and group (then by the group itself, so that the order is total); any engine can
+    repeat it. Ranks are found in two steps: groups are counted in ranges of the hash's first hex ``digits``, then ranked
+    within a range, so that no task sorts all groups. The cuts are ceil(test * groups) and, of the rest,
+    ceil(validation / (1 - test) * rest).
     """
-    h = F.xxhash64(F.lit(seed), F.col("g"))
-    groups = df.select(F.col(group).alias("g")).distinct().withColumn("h", h).withColumn("part", F.shiftrightunsigned("h", 64 - (parts.bit_length() - 1)).cast("int"))
+    h = F.md5(F.concat_ws(":", F.lit(seed), F.col("g").cast("string")))
+    groups = df.select(F.col(group).alias("g")).distinct().withColumn("h", h).withColumn("part", F.substring("h", 1, digits))
     sizes = groups.groupBy("part").agg(F.count("*").alias("n"))
     every = W.orderBy("part")
     sizes = sizes.select("part", (F.sum("n").over(every) - F.col("n")).alias("before"), F.sum("n").over(W.partitionBy(F.lit(1))).alias("total"))

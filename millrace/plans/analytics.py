@@ -109,7 +109,7 @@ def declared_order(spark: SparkSession, d: str) -> DataFrame:
     return sets.in_order(counts, "o_orderstatus", ["P", "X", "F", "O"])
 
 
-@R.add()
+@R.add("select o_orderkey, o_totalprice from orders order by md5('42:' || o_orderkey), o_orderkey limit 100")
 def seeded_sample(spark: SparkSession, d: str) -> DataFrame:
     return sets.seeded_sample(table(spark, d, "orders"), "o_orderkey", 100).select("o_orderkey", "o_totalprice")
 

@@ -149,7 +149,9 @@ def geography_names(spark: SparkSession, d: str) -> DataFrame:
     return geography.with_us_state(rows, "raw", "c", "state").select("c_custkey", "state", geography.country(F.col("c")).alias("country"), "raw")
 
 
-@R.add()
+@R.add("""with d as (select doc_id, sha256(coalesce(text, '')) as g from documents), g as (select g, row_number() over (order by md5('42:' || g), g) as place, count(*) over () as n from d group by g),
+c as (select g, place, ceil(0.2 * n) as test, ceil(0.125 * (n - ceil(0.2 * n))) as validation from g)
+select doc_id, case when place <= test then 'test' when place <= test + validation then 'validation' else 'train' end as split from d join c using (g)""")
 def group_split(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").select("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("group"))
     return split.group_split(docs, "group").select("doc_id", "split")

@@ -11,7 +11,7 @@ from millrace.plans.registry import Registry, rounded, table
 R = Registry()
 
 
-@R.add(r"""with w as (select doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]{2,}') as w from documents),
+@R.add(r"""with w as (select doc_id, regexp_extract_all(strip_accents(lower(text)), '[\p{L}\p{N}_]{2,}') as w from documents),
 t as (select doc_id, unnest(list_concat(w, list_transform(generate_series(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1]))) as term from w),
 tf as (select doc_id, term, count(*) as tf from t group by 1, 2), n as (select count(*) as n from w),
 v as (select term, count(*) as df, ln((1 + any_value(n)) / (1.0 + count(*))) + 1 as idf from tf, n group by term having count(*) >= 5 and count(*) <= 0.95 * any_value(n)),
@@ -23,7 +23,7 @@ def tfidf_weights(spark: SparkSession, d: str) -> DataFrame:
     return rounded(model.weights(docs, "doc_id", "text"), 6)
 
 
-_PARTS_TFIDF = r"""with w as (select p_partkey, regexp_extract_all(lower(p_name), '[\p{L}\p{N}_]{2,}') as w from part),
+_PARTS_TFIDF = r"""with w as (select p_partkey, regexp_extract_all(strip_accents(lower(p_name)), '[\p{L}\p{N}_]{2,}') as w from part),
 t as (select p_partkey, unnest(list_concat(w, list_transform(generate_series(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1]))) as term from w),
 tf as (select p_partkey, term, count(*) as tf from t group by 1, 2), n as (select count(*) as n from w),
 v as (select term, ln((1 + any_value(n)) / (1.0 + count(*))) + 1 as idf from tf, n group by term having count(*) >= 5 and count(*) <= 0.95 * any_value(n)),
@@ -44,7 +44,7 @@ def matrix_shape(spark: SparkSession, d: str) -> DataFrame:
     return rounded(encoding.shape(model.weights(part, "p_partkey", "p_name"), model.vocabulary.count(), part.count()), 6)
 
 
-@R.add(r"""with w as (select doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]{2,}') as w from documents),
+@R.add(r"""with w as (select doc_id, regexp_extract_all(strip_accents(lower(text)), '[\p{L}\p{N}_]{2,}') as w from documents),
 t as (select distinct doc_id, unnest(list_concat(w, list_transform(generate_series(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1]))) as term from w), c as (select term, count(*) as df from t group by 1)
 select min_df, count(*) filter (where df >= min_df) as terms from c, (values (1), (2), (5), (10), (20)) v(min_df) group by 1""")
 def vocabulary_sizes(spark: SparkSession, d: str) -> DataFrame:
@@ -126,10 +126,10 @@ def tuning(spark: SparkSession, d: str) -> DataFrame:
     """A seeded search over the ridge penalty, compared with the default's error."""
     train, validation, _ = _parts(spark, d)
     base = encoding.FeatureSet("base", "ridge", CATEGORIES, NUMBERS)
-    trials = [models.Experiment(base, p, f"alpha={p['alpha']}") for p in models.random_search({"alpha": [0.1, 1.0, 10.0, 100.0]}, 3)]
-    default, _ = models.run_experiments(train, validation, [models.Experiment(base)])
-    board, _ = models.run_experiments(train, validation, trials)
-    return models.compare_to_baseline(models.rank(board), default.first()["rmse"]).select("experiment", "rank", "rmse", "gain", "gain_pct", "better")
+    trials = {f"alpha={p['alpha']}": p for p in models.random_search({"alpha": [0.1, 1.0, 10.0, 100.0]}, 3)}
+    board, _ = models.run_trials(train, validation, base, trials | {"default": {}})
+    default = board.where("experiment = 'default'").first()["rmse"]
+    return models.compare_to_baseline(models.rank(board.where("experiment <> 'default'")), default).select("experiment", "rank", "rmse", "gain", "gain_pct", "better")
 
 
 @R.add("""with o as (select o_orderpriority as experiment, case when o_orderpriority = '3-MEDIUM' then null else avg(o_totalprice) end as rmse from orders group by 1)

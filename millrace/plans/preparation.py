@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.core.schemas import ForeignKey, TableSchema, ValidationRules, ValueRule
+from millrace.core.session import shared_dir
 from millrace.operators import align, clean, consolidate, sets, validate
 from millrace.plans.registry import Registry, rounded, table
 
@@ -227,5 +230,6 @@ def cleaning_report(spark: SparkSession, d: str) -> DataFrame:
 
     tables = {n: table(spark, d, n) for n in ("customer", "orders")}
     rules = {"customer": CleaningRule(("c_custkey",), lower_bounds={"c_acctbal": 0.0}, low_values="drop_row"), "orders": CleaningRule(("o_orderkey",), foreign_keys=(ForeignKey("o_custkey", "customer", "c_custkey"),))}
-    done, failed = clean.clean_version(tables, rules, {}, {"customer": [F.col("c_custkey")], "orders": [F.col("o_orderkey")]}, continue_on_error=False)
+    order = {"customer": [F.col("c_custkey")], "orders": [F.col("o_orderkey")]}
+    done, _ = clean.clean_version(tables, rules, {}, order, continue_on_error=False, folder=f"{shared_dir(spark)}/millrace/cleaned-{uuid.uuid4().hex}")
     return rounded(clean.cleaning_report(tables, done).withColumn("v", F.lit(0)))

@@ -9,7 +9,7 @@ from millrace.core import fingerprint, schemas
 from millrace.core.schemas import CleaningRule, ForeignKey, TableSchema, ValidationRules, ValueRule
 from millrace.functions import columns as C
 from millrace.functions import geography
-from millrace.operators import align, clean, consolidate, encoding, features, groups, models, series, sets, split, target, validate
+from millrace.operators import align, clean, consolidate, encoding, features, groups, models, ordered, series, sets, split, target, validate
 from millrace.sources import readers, writers
 
 WIDGETS = TableSchema({"widget_id": "bigint", "name": "string", "quantity": "bigint", "note": "string"}, {"widget_id": ("id",), "quantity": ("qty",)}, ("widget_id",))
@@ -73,6 +73,63 @@ def test_clean_version(spark):
     assert clean.parents_first(schemas.LISTING_CLEANING).index("postings") > clean.parents_first(schemas.LISTING_CLEANING).index("companies")
 
 
+def test_clean_version_in_a_folder(spark, tmp_path):
+    tables = {"a": spark.createDataFrame([(1, "x"), (1, "y"), (2, "z")], "id long, v string"), "b": spark.createDataFrame([(1,), (3,), (None,), (None,)], "a_id long")}
+    rules = {"a": CleaningRule(("id",)), "b": CleaningRule((), foreign_keys=(ForeignKey("a_id", "a", "id"),))}
+    done, failed = clean.clean_version(tables, rules, {}, {"a": [F.col("v")]}, folder=str(tmp_path))
+    assert not failed and (tmp_path / "a").is_dir()
+    assert {tuple(r) for r in done["a"].collect()} == {(1, "x"), (2, "z")}
+    assert sorted((r["a_id"] or 0) for r in done["b"].collect()) == [0, 1]  # whole rows are compared without a key
+    assert "order" in clean.clean_version(tables, rules, {}, {})[1]["a"]
+
+
+def test_rows_without_a_key_are_kept(spark):
+    left = spark.createDataFrame([(None, f"r{k}") for k in range(50)] + [(1, "one"), (2, "two")], "id long, v string")
+    right = spark.createDataFrame([(1, "a"), (None, "never")], "key long, w string")
+    out, _ = consolidate.safe_left_join(left, right, "id", "key", "hit")
+    assert out.columns == ["id", "v", "w", "hit"] and out.count() == 52
+    assert [tuple(r) for r in out.where("w is not null").collect()] == [(1, "one", "a", True)]
+    parent = right.select(F.col("key").alias("id"))
+    assert clean.drop_orphans(left, (ForeignKey("id", "p", "id"),), {"p": parent}).count() == 51
+    assert left.select(C.null_salt(left, "id").alias("s")).distinct().count() > 20
+
+
+def test_positions(spark):
+    words = sorted({f"{k * 7919 % 1000:03d}é" for k in range(700)} | {"", "a", "zz", "Ünder"}, key=lambda s: s.encode())
+    df = spark.createDataFrame([(w,) for w in words], "w string").repartition(7)
+    for ranges in (1, 2, 64):
+        assert [r["w"] for r in ordered.positions(df, "w", ranges).orderBy("position").collect()] == words
+    assert {r["position"] for r in ordered.positions(df, "w", 64).collect()} == set(range(len(words)))
+    assert ordered.positions(df.limit(0), "w").count() == 0
+
+
+def test_accents(spark):
+    df = spark.createDataFrame([("Ünïcödé ñandú ș Å e\u0301 й ß ø ≮",), (None,)], "t string")
+    assert [r[0] for r in df.select(C.without_accents(F.lower("t"))).collect()] == ["unicode nandu s a e и ß ø ≮", None]
+
+
+def test_text_vectors_have_the_weights_of_the_table(spark):
+    texts = ["red red red car", "blue car", "red boat boat", "café cafe sky", None, "boat car red"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, title string")
+    want = {}
+    for r in encoding.fit_tfidf(df, "title", encoding.TfidfConfig(min_df=1)).weights(df, "id", "title").collect():
+        want.setdefault(r["id"], []).append(round(r["weight"], 9))
+    made = encoding.feature_pipeline(df, encoding.FeatureSet("t", text="title", min_df=1)).transform(df)
+    got = {r["id"]: sorted(round(float(x), 9) for x in r["text_vector"].toArray() if x) for r in made.collect()}
+    assert {k: v for k, v in got.items() if v} == {k: sorted(v) for k, v in want.items()} and got[4] == []
+
+
+def test_trials_share_their_features(spark):
+    df = spark.createDataFrame([(float(k), "ab"[k % 2], k * 0.1 + (k % 2)) for k in range(60)], "x double, c string, y double")
+    f = encoding.FeatureSet("f", "ridge", ("c",), ("x",))
+    board, fitted = models.run_trials(df, df, f, {"low": {"alpha": 0.001}, "bad": {"alpha": -1.0}, "high": {"alpha": 100.0}}, "y")
+    got = {r["experiment"]: r for r in board.collect()}
+    assert got["bad"]["status"] == "failed" and got["low"]["log_rmse"] < got["high"]["log_rmse"]
+    assert fitted["low"].features is fitted["high"].features and fitted["low"].predict(df).count() == 60
+    alone, _ = models.run_experiments(df, df, [models.Experiment(f, {"alpha": 100.0})], "y")
+    assert alone.first()["log_rmse"] == pytest.approx(got["high"]["log_rmse"], rel=1e-6)
+
+
 def test_clean_parts(spark):
     df = spark.createDataFrame([(1, " a ", 1.0), (1, "None", -2.0), (2, "", None)], "k long, s string, v double")
     assert {r["column"]: r["modified"] for r in clean.modified_cells(df).collect()} == {"s": 3}

@@ -55,6 +55,7 @@ def test_group_split_query(spark, sf):
     shares = {r["split"]: r["count"] / docs.count() for r in out.groupBy("split").count().collect()}
     assert shares.keys() == {"train", "validation", "test"} and abs(shares["test"] - 0.2) < 0.08
 
+
 def test_sample_query(spark, sf):
     q = QUERIES["seeded_sample"]
     assert q(spark, sf).collect() == q(spark, sf).collect() and q(spark, sf).count() == 100
