@@ -161,7 +161,7 @@ def feature_pipeline(train: DataFrame, s: FeatureSet) -> PipelineModel:
 ALL_TERMS = 2**31 - 1
 
 
-@F.udf(VectorUDT())
+@F.udf(returnType=VectorUDT(), useArrow=False)
 def _log_counts(v: SparseVector) -> SparseVector:
     """1 + ln(count) of the filled cells; no Spark function maps over the cells of a sparse vector."""
     return SparseVector(v.size, v.indices, 1 + np.log(v.values))
