@@ -21,9 +21,9 @@ def _filled(counts: DataFrame, period: str, step: Column, by: list[str] | None)
     span = counts.agg(F.min(period).alias("lo"), F.max(period).alias("hi")).where("lo is not null")
     calendar = span.select(F.explode(F.sequence("lo", "hi", step)).alias(period))
     if by:
-        # the grid is a calendar for each category that occurs, made as a list in the category's row
-        days = span.select(F.sequence("lo", "hi", step).alias("days"), F.lit(1).alias("k"))
-        calendar = counts.select(*by).distinct().withColumn("k", F.lit(1)).join(days, "k").select(*by, F.explode("days").alias(period))
+        # the grid is a calendar for each category that occurs, made as a list in the category's row; the span is a scalar, no join
+        days = span.select(F.sequence("lo", "hi", step)).scalar()
+        calendar = counts.select(*by).distinct().withColumn("__days", days).select(*by, F.explode("__days").alias(period))
     return calendar.join(counts, [*(by or []), period], "left").select(*(by or []), period, F.coalesce("n", F.lit(0)).alias("n"))
 
 
