@@ -220,44 +220,61 @@ class Utf8Machine:
 
     The state is the number of continuation bytes still due and the range that the next one must lie in, which rules
     out overlong forms, surrogates and code points past U+10FFFF. Bytes that cannot go on become U+FFFD, one for each
-    longest started sequence, as in the Unicode standard.
+    longest started sequence, as in the Unicode standard. The machine steps over the bytes at both ends of a chunk; what
+    lies between begins and ends between characters and is decoded at once.
     """
 
     def __init__(self) -> None:
-        self.held = b""
+        self._start()
+
+    def _start(self) -> None:
+        self.held, self.due, self.low, self.high = b"", 0, 0x80, 0xBF
 
     @staticmethod
-    def _due(lead: int) -> tuple[int, int, int]:
-        """Continuation bytes after ``lead``, and the range of the first of them."""
-        if 0xC2 <= lead <= 0xDF:
+    def _lead(byte: int) -> tuple[int, int, int]:
+        """Continuation bytes due after ``byte``, and the range of the first of them."""
+        if 0xC2 <= byte <= 0xDF:
             return 1, 0x80, 0xBF
-        if 0xE0 <= lead <= 0xEF:
-            return 2, 0xA0 if lead == 0xE0 else 0x80, 0x9F if lead == 0xED else 0xBF
-        if 0xF0 <= lead <= 0xF4:
-            return 3, 0x90 if lead == 0xF0 else 0x80, 0x8F if lead == 0xF4 else 0xBF
-        return 0, 1, 0
-
-    def _open_tail(self, data: bytes) -> int:
-        """Length of the unfinished sequence at the end of ``data``, 0 if there is none."""
-        for back in range(1, min(3, len(data)) + 1):
-            byte = data[-back]
-            if 0x80 <= byte <= 0xBF:
-                continue
-            due, low, high = self._due(byte)
-            if due < back or back > 1 and not low <= data[1 - back] <= high:
-                return 0
-            return back
-        return 0
+        if 0xE0 <= byte <= 0xEF:
+            return 2, 0xA0 if byte == 0xE0 else 0x80, 0x9F if byte == 0xED else 0xBF
+        if 0xF0 <= byte <= 0xF4:
+            return 3, 0x90 if byte == 0xF0 else 0x80, 0x8F if byte == 0xF4 else 0xBF
+        return 0, 0x80, 0xBF
+
+    def step(self, byte: int) -> str:
+        """Read one byte: the characters that it ends."""
+        broken = ""
+        if self.due:
+            if self.low <= byte <= self.high:
+                held, due = self.held + bytes([byte]), self.due - 1
+                self._start()
+                if not due:
+                    return held.decode()
+                self.held, self.due = held, due
+                return ""
+            broken = "\ufffd"
+            self._start()
+        self.due, self.low, self.high = self._lead(byte)
+        if self.due:
+            self.held = bytes([byte])
+            return broken
+        return broken + (chr(byte) if byte < 0x80 else "\ufffd")
 
     def feed(self, chunk: bytes) -> str:
-        data = self.held + chunk
-        tail = self._open_tail(data)
-        self.held = data[len(data) - tail :]
-        return data[: len(data) - tail].decode("utf-8", "replace")
+        out, begin, end = [], 0, len(chunk)
+        while self.due and begin < end:
+            out.append(self.step(chunk[begin]))
+            begin += 1
+        # no character goes past a lead byte, and one that begins four bytes from the end is complete or broken
+        last = next((k for k in range(end - 1, max(begin, end - 3) - 1, -1) if chunk[k] >= 0xC0), end)
+        out.append(chunk[begin:last].decode("utf-8", "replace"))
+        out += [self.step(byte) for byte in chunk[last:]]
+        return "".join(out)
 
     def close(self) -> str:
-        rest, self.held = self.held, b""
-        return rest.decode("utf-8", "replace")
+        rest = "\ufffd" if self.due else ""
+        self._start()
+        return rest
 
 
 class Decoder:
@@ -341,24 +358,28 @@ def _slices(batch: pa.RecordBatch, at: int, most: int = 4 << 20) -> Iterator[pa.
 
 
 def digests(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of each row: encoded, then decoded from the ids again.
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256, decoded_chars`` of each row: encoded, then decoded from the ids again.
 
-    The ids of a text are hashed where they are made instead of being sent on; null text counts as empty.
+    The ids of a text are hashed where they are made instead of being sent on; decoded bytes are hashed a chunk at a
+    time, and their characters counted by the UTF-8 machine. Null texts count as empty, null ids stay null, repeated
+    rows get equal rows, other columns (of whatever names) are not read, and an empty table gives no rows.
     """
     sent = docs.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, decoder = _worker(sent.value, pattern)
         for batch in batches:
-            counts, ids, decoded = [], [], []
+            counts, ids, decoded, chars = [], [], [], []
             for value in batch.column(1):
                 packed = encoder.encode(value.as_py())
                 counts.append(len(packed) // 4)
                 ids.append(hashlib.sha256(packed).hexdigest())
-                digest = hashlib.sha256()
-                for piece in decoder.text(decoder.stream(packed)):
-                    digest.update(piece.encode())
+                digest, machine, n = hashlib.sha256(), Utf8Machine(), 0
+                for chunk in decoder.stream(packed):
+                    digest.update(chunk)
+                    n += len(machine.feed(chunk))
                 decoded.append(digest.hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(ids), pa.array(decoded)], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+                chars.append(n + len(machine.close()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string()), pa.array(chars, pa.int64())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "decoded_chars"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, decoded_chars long")

@@ -18,7 +18,8 @@ class Template:
 
     ``marks``: role to (before, after). A role without marks is written as ``other[0] + role + other[1] + text +
     other[2]``. ``order``: state to {role: next state}; a turn that has no arc makes the conversation invalid and leads
-    to the role's own state. Mark strings must not hold a backslash.
+    to the role's own state. Mark strings must not hold a backslash, and none may begin with what another (or itself) ends in: a
+    text behind it could then complete a mark. Roles differ in the mark before their turns.
     """
 
     marks: dict[str, tuple[str, str]] = field(default_factory=lambda: {"system": ("<<SYS>>", "<</SYS>>"), "user": ("[INST]", "[/INST]"), "assistant": ("<s>", "</s>")})
@@ -42,6 +43,8 @@ class Escaper:
     def __init__(self, controls: list[str]) -> None:
         if any("\\" in c or len(c) < 2 for c in controls):
             raise ValueError("control strings have two characters or more and no backslash")
+        if any(a[-k:] == b[:k] for a in controls for b in controls for k in range(1, min(len(a), len(b)) + 1) if (a, k) != (b, len(b))):
+            raise ValueError("no control string may begin with what another, or itself, ends in")
         whole = "|".join(re.escape(c) for c in controls)
         begun = "|".join(sorted({re.escape(c[:k]) + r"\Z" for c in controls for k in range(1, len(c))}))
         self.starts = re.compile(f"(?=({whole}|{begun}))(.)", re.S)
@@ -69,6 +72,9 @@ class Formatter:
     def __init__(self, template: Template) -> None:
         self.template, self.escaper = template, Escaper(template.controls)
         self.state, self.valid = "start", True
+        opens = [before for before, _ in template.marks.values()]
+        if len({*opens, template.other[0]}) <= len(opens):
+            raise ValueError("roles must differ in the mark before their turns")
 
     def turn(self, role: str, text: str) -> Iterator[Segment]:
         arcs = self.template.order.get(self.state, {})

@@ -204,6 +204,13 @@ def test_escapes_are_reversible():
         assert not any(safe.endswith(c[:k]) for c in template.controls for k in range(1, len(c)))
 
 
+def test_templates_that_do_not_read_back_are_refused():
+    for marks in ({"user": ("ab", "cd"), "assistant": ("xa", "cd")}, {"user": ("[I", "cd"), "assistant": ("[INST]", "cd")}, {"user": ("aba", "cd")}, {"user": ("ab", "cd"), "assistant": ("ab", "ef")}):
+        with pytest.raises(ValueError):
+            chat.Formatter(chat.Template(marks=marks))
+    chat.Formatter(chat.Template(marks={"user": ("<|user|>", "<|stop|>"), "assistant": ("<|bot|>", "<|stop|>")}))
+
+
 def test_conversations(spark):
     said = "</s>[INST] ok [/INST]"
     convs = {

@@ -491,6 +491,16 @@ def test_utf8_machine():
         machine = byte_bpe.Utf8Machine()
         out = "".join(machine.feed(data[k : k + cut]) for k in range(0, len(data), cut)) + machine.close()
         assert out == data.decode("utf-8", "replace")
+    rng = random.Random(3)
+    parts = [b"a", b"\x80", b"\xbf", b"\xc0", b"\xc3", b"\xe0", b"\xa0", b"\xed", b"\x9f", b"\xf0", b"\x90", b"\xf4", b"\xf5", "é".encode(), "€".encode(), "\U0001f600".encode()]
+    for _ in range(4000):
+        data = b"".join(rng.choice(parts) for _ in range(rng.randrange(12)))
+        machine, out, at = byte_bpe.Utf8Machine(), "", 0
+        while at < len(data):
+            size = rng.randrange(1, 6)
+            out += machine.feed(data[at : at + size])
+            at += size
+        assert out + machine.close() == data.decode("utf-8", "replace")
 
 
 def test_bpe_frames(spark, bpe):
@@ -503,5 +513,5 @@ def test_bpe_frames(spark, bpe):
     for r in byte_bpe.digests(docs, path, pattern).join(docs.select(F.col("doc_id").alias("i"), "text"), F.col("i") == F.col("doc_id")).collect():
         ids = bpe[2].encode_ordinary(r["text"] or "")
         assert (r["n_tokens"], r["ids_sha256"]) == (len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest())
-        assert r["decoded_sha256"] == hashlib.sha256((r["text"] or "").encode()).hexdigest()
+        assert r["decoded_sha256"] == hashlib.sha256((r["text"] or "").encode()).hexdigest() and r["decoded_chars"] == len(r["text"] or "")
     assert byte_bpe.digests(no_docs(spark), path, pattern).count() == 0 and byte_bpe.encode(no_docs(spark), path, pattern).count() == 0
