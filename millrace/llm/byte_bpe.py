@@ -5,7 +5,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import os
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 
 from millrace.llm.scratch import fresh
 
-#: States and arcs that a transducer keeps; beyond that it starts anew from none, so memory is bounded on any text.
-MAX_STATES = 100_000
-MAX_ARCS = 250_000
+#: States and arcs of a generation; a transducer keeps two, so memory is bounded on any text.
+MAX_STATES = 70_000
+MAX_ARCS = 150_000
 #: Matches whose ids a worker remembers, and the longest that it remembers.
 MAX_KNOWN = 200_000
 MAX_KNOWN_CHARS = 48
@@ -53,7 +53,8 @@ class Transducer:
     another only if the two are such a pair. It is determinised as bytes arrive: a state is the set of the readings
     that are still open, each with the tokens it has read beyond those that all share (the lookahead, bounded since
     readings that lead nowhere drop out), its last token, and its place in the trie. What all readings share is emitted
-    on the arc. Arcs are made when first taken and kept.
+    on the arc. Arcs are made when first taken and kept. A full set of them becomes the older generation, from which those
+    that are met again are taken over; the one before it is dropped.
     """
 
     def __init__(self, ranks: dict[bytes, int]) -> None:
@@ -80,9 +81,12 @@ class Transducer:
             held, deeper = self.below[at >> 8], self.below[nxt]
             few = None if held is None or deeper is None else (*held, *own, *deeper)
             self.below[at >> 8] = None if few is None or len(few) > FEW else few
+        self.number, self.states, self.arcs = {}, [], {}
         self._restart()
 
     def _restart(self) -> None:
+        """Begin a generation; the present one becomes the older one."""
+        self.older = self.number, self.states, self.arcs
         self.number: dict[tuple, int] = {((-1, 0, ()),): 0}
         self.states: list[tuple] = [((-1, 0, ()),)]
         self.final: list[tuple[int, ...] | None] = [()]
@@ -131,6 +135,9 @@ class Transducer:
         Readings stay in the order of the places where their current tokens began. Where few tokens lie below a node, the
         last token is replaced by those of them that may follow it; a reading that none may follow is dropped at once.
         """
+        number, states, arcs = self.older
+        if (known := arcs.get(number.get(self.states[state], -1) << 8 | byte)) is not None:
+            return self._keep(state, byte, states[known[0]], known[1])
         open_, done, child, below = [], None, self.child, self.below
         for last, node, pending in self.states[state]:
             nxt = child.get(node << 8 | byte)
@@ -155,7 +162,9 @@ class Transducer:
             open_.append(done)
         out = os.path.commonprefix([pending for *_, pending in open_]) if open_ and open_[0][2] else ()
         n = len(out)
-        key = tuple([(last, node, pending[n:]) for last, node, pending in open_] if n else open_)
+        return self._keep(state, byte, tuple([(last, node, pending[n:]) for last, node, pending in open_] if n else open_), out)
+
+    def _keep(self, state: int, byte: int, key: tuple, out: tuple[int, ...]) -> tuple[int, tuple[int, ...]]:
         to = self.number.get(key)
         if to is None:
             to = self.number[key] = len(self.states)
@@ -303,8 +312,32 @@ class Decoder:
             yield out
 
 
-def _worker(raw: dict[bytes, int], pattern: str) -> tuple[Encoder, Decoder]:
-    return Encoder(raw, pattern), Decoder(raw)
+#: What a worker process keeps from one task to the next: an encoder's arcs and a decoder's table, of one vocabulary each.
+_KEPT: dict[str, tuple[tuple, Encoder | Decoder]] = {}
+
+
+class Coders:
+    """A vocabulary on its way to the tasks.
+
+    The ranks are read on the driver and broadcast; a worker process builds the transducer once and goes on with the
+    arcs made in earlier tasks, which changes no result: an arc depends on the ranks alone, and the arcs kept are bounded.
+    """
+
+    def __init__(self, docs: DataFrame, ranks_path: str, pattern: str | None = None) -> None:
+        ranks = read_ranks(ranks_path)
+        self.sent, self.pattern = docs.sparkSession.sparkContext.broadcast(ranks), pattern
+        self.mark = hashlib.sha256(repr(sorted(ranks.items())).encode()).hexdigest()
+
+    def _kept(self, kind: str, key: tuple, make: Callable[[], Encoder | Decoder]) -> Encoder | Decoder:
+        if kind not in _KEPT or _KEPT[kind][0] != key:
+            _KEPT[kind] = key, make()
+        return _KEPT[kind][1]
+
+    def encoder(self) -> Encoder:
+        return self._kept("encoder", (self.mark, self.pattern), lambda: Encoder(self.sent.value, self.pattern))
+
+    def decoder(self) -> Decoder:
+        return self._kept("decoder", (self.mark,), lambda: Decoder(self.sent.value))
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text") -> DataFrame:
@@ -314,11 +347,11 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text
     table gives an empty result. Each match of ``pattern`` is encoded separately; ``ranks_path`` is read on the driver
     and sent to the executors (a vocabulary's size, whatever the input).
     """
-    sent = docs.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
+    coders = Coders(docs, ranks_path, pattern)
     at, n = docs.columns.index(text_col), len(docs.columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(sent.value, pattern)
+        encoder = coders.encoder()
         for batch in batches:
             for part in _slices(batch, at):
                 ids = [np.frombuffer(encoder.encode(t.as_py()), "<u4").astype(np.int64) for t in part.column(at)]
@@ -331,11 +364,11 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text
 
 def decode(docs: DataFrame, ranks_path: str, ids_col: str = "ids") -> DataFrame:
     """``docs`` with ``decoded`` (name lengthened on a clash): the text of the ids; null ids give an empty text."""
-    sent = docs.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
+    coders = Coders(docs, ranks_path)
     at, n = docs.columns.index(ids_col), len(docs.columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoder = Decoder(sent.value)
+        decoder = coders.decoder()
         for batch in batches:
             texts = ["".join(decoder.text(decoder.stream(np.array(x or [], "<u4").tobytes()))) for x in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[f"c{k}" for k in range(n + 1)])
@@ -364,10 +397,10 @@ def digests(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_i
     time, and their characters counted by the UTF-8 machine. Null texts count as empty, null ids stay null, repeated
     rows get equal rows, other columns (of whatever names) are not read, and an empty table gives no rows.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
+    coders = Coders(docs, ranks_path, pattern)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, decoder = _worker(sent.value, pattern)
+        encoder, decoder = coders.encoder(), coders.decoder()
         for batch in batches:
             counts, ids, decoded, chars = [], [], [], []
             for value in batch.column(1):
