@@ -56,7 +56,7 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Null texts count as empty; repeated rows get equal rows; an empty table gives an empty one.
     """
-    return byte_bpe.digests(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
+    return byte_bpe.digests(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN).drop("decoded_chars")
 
 
 STAGES = [
