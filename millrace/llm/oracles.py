@@ -85,6 +85,37 @@ n as (select a, count(*) as n from l group by a)
 select c.vec_id, coalesce(n, 0) as n_links, component_id, c.vec_id = component_id as kept from c left join n on n.a = c.vec_id
 """
 
+# terms: runs of letters a-z (A-Z folded) and of characters beyond ASCII
+_DIVERGENCE = r"""
+with d as (
+  select row_number() over () as doc, coalesce(lang, '') as lang, coalesce(source, '') as source,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t
+  from documents),
+g as (select distinct lang, source from d),
+o as (select doc, lang, source, unnest(regexp_extract_all(t, '[a-z\x{80}-\x{10FFFF}]+')) as term from d),
+k as (select lang, term, cast(count(*) as hugeint) as lang_n from o group by lang, term having count(distinct doc) >= 10),
+n as (select lang, source, term, cast(count(*) as hugeint) as n from o group by all),
+v as (select lang, cast(count(*) as hugeint) as v, sum(lang_n) as lang_total from k group by lang),
+c as (
+  select g.lang, g.source, k.term, coalesce(n.n, 0) as n, k.lang_n
+  from g join k using (lang) left join n on n.lang = g.lang and n.source = g.source and n.term = k.term),
+s as (select lang, source, sum(n) as total from c group by all),
+p as (
+  select c.lang, c.source, c.term, c.n, 1 + (1000000000 * (c.n + 2)) // (s.total + 2 * v.v) as p, 1 + (1000000000 * (c.lang_n + 2)) // (v.lang_total + 2 * v.v) as q
+  from c join s using (lang, source) join v using (lang)),
+pr as (
+  select a.lang, a.source, b.source as item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) as value
+  from p a join p b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all),
+pairs as (
+  select a.lang, a.source, 'pair' as part, b.source as item, cast(coalesce(value, 0) as bigint) as value
+  from g a join g b on a.lang = b.lang and a.source <> b.source left join pr on pr.lang = a.lang and pr.source = a.source and pr.item = b.source),
+terms as (select lang, source, 'term' as part, term as item, cast((p - q) * (p - q) // (p + q) as bigint) as value from p where n > 0 and p > q),
+r as (
+  select *, row_number() over (partition by lang, source, part order by value desc, item) as rank
+  from (select * from pairs union all select * from terms) x)
+select lang, source, part, item, value, cast(rank as integer) as rank from r where part = 'pair' or rank <= 10
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_quality_rules": _QUALITY, "op7_embedding_near_dedup": _VECTORS, "op8_line_dedup": _LINES}
+    return {"op11_source_divergence": _DIVERGENCE, "op3_quality_rules": _QUALITY, "op7_embedding_near_dedup": _VECTORS, "op8_line_dedup": _LINES}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import byte_bpe, chat, html_extract, language_id, line_dedup, mixing, multi_index, quality, simhash, warc
+from millrace.llm import byte_bpe, chat, divergence, html_extract, language_id, line_dedup, mixing, multi_index, quality, sharding, simhash, warc, whitening
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -70,6 +70,18 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(_table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(_table(spark, sf_dir, "documents"), shards=40).withColumnRenamed("id", "doc_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_html_extraction, op2_simhash_near_dedup, op3_quality_rules, op4_warc, op5_chat_formatting, op6_mixing, op7_embedding_near_dedup, op8_line_dedup, op9_language_id, op10_byte_bpe)
+    own = (op1_html_extraction, op2_simhash_near_dedup, op3_quality_rules, op4_warc, op5_chat_formatting, op6_mixing, op7_embedding_near_dedup, op8_line_dedup, op9_language_id, op10_byte_bpe, op11_source_divergence, op12_embedding_whitening, op13_sharding)
     return {f.__name__: f for f in own}
