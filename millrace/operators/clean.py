@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from millrace.core.schemas import CleaningRule, ForeignKey
 from millrace.functions.columns import null_salt
+from millrace.operators.steps import StepLog
 
 #: Texts that are a missing value once trimmed.
 NULL_TEXTS = ("", "nan", "None", "<NA>")
@@ -139,36 +140,59 @@ def parents_first(rules: dict[str, CleaningRule]) -> list[str]:
     return out
 
 
-def clean_table(df: DataFrame, rule: CleaningRule, types: dict[str, str], order: list[Column], parents: dict[str, DataFrame]) -> DataFrame:
-    """All steps for one table."""
-    out = clean_strings(df, [c for c in string_columns(df)], rule.lowercase)
-    out = handle_nulls(out, tuple(c for c in rule.drop_null if c in out.columns), {c: v for c, v in rule.fill_null.items() if c in out.columns})
-    out = convert(out, types, castable(out, types))
-    out = apply_bounds(out, rule.lower_bounds, rule.low_values)
-    out = dedupe(out, list(rule.keys) or None, order, rule.duplicates)
-    return drop_orphans(out, rule.foreign_keys, parents)
+def _lost(df: DataFrame, types: dict[str, str], strict: dict[str, bool]) -> list[Column]:
+    """Counts of the values that ``convert`` cannot read, a column each."""
+    read = {c: as_key(F.col(f"`{c}`")) if k == "bigint" else F.col(f"`{c}`").try_cast(k) for c, k in types.items() if c in df.columns and (k == "bigint" or strict.get(c, True))}
+    return [F.count_if(F.col(f"`{c}`").isNotNull() & x.isNull()) for c, x in read.items()]
+
+
+def clean_table(df: DataFrame, rule: CleaningRule, types: dict[str, str], order: list[Column], parents: dict[str, DataFrame], log: StepLog | None = None, name: str = "") -> DataFrame:
+    """All steps for one table. With ``log`` each is watched as a step of table ``name``.
+
+    Counts besides rows and nulls: ``filled`` (cells that the next step fills), ``lost`` (cells that the types cannot
+    read) and ``low`` (cells below their bound).
+    """
+
+    def seen(out: DataFrame, step: str, **counts: list[Column]) -> DataFrame:
+        return log.watch(out, name, step, **{n: reduce(Column.__add__, c, F.lit(0)) for n, c in counts.items()}) if log is not None else out
+
+    texts, drop = string_columns(df), tuple(c for c in rule.drop_null if c in df.columns)
+    fill = {c: v for c, v in rule.fill_null.items() if c in df.columns}
+    bounds = {c: b for c, b in rule.lower_bounds.items() if c in df.columns}
+    strict = castable(handle_nulls(clean_strings(df, texts, rule.lowercase), drop, fill), types)
+    out = clean_strings(seen(df, "input"), texts, rule.lowercase)
+    out = handle_nulls(seen(out, "strings"), drop)
+    out = handle_nulls(seen(out, "nulls dropped", filled=[F.count_if(F.col(f"`{c}`").isNull()) for c in fill]), fill=fill)
+    out = convert(seen(out, "nulls filled", lost=_lost(out, types, strict)), types, strict)
+    out = seen(out, "types", low=[F.count_if(F.col(f"`{c}`").try_cast("double") < b) for c, b in bounds.items()])
+    out = dedupe(seen(apply_bounds(out, rule.lower_bounds, rule.low_values), "bounds"), list(rule.keys) or None, order, rule.duplicates)
+    return seen(drop_orphans(seen(out, "duplicates"), rule.foreign_keys, parents), "orphans")
 
 
 def clean_version(
-    tables: dict[str, DataFrame], rules: dict[str, CleaningRule], types: dict[str, dict[str, str]], order: dict[str, list[Column]], continue_on_error: bool = True, folder: str | None = None
+    tables: dict[str, DataFrame], rules: dict[str, CleaningRule], types: dict[str, dict[str, str]], order: dict[str, list[Column]], continue_on_error: bool = True, folder: str | None = None, log: StepLog | None = None
 ) -> tuple[dict[str, DataFrame], dict[str, str]]:
     """Clean all tables of a version, parents first, each against its cleaned parents; and what failed, by table.
 
     A failing table is left as it came and does not end the run. ``order`` says which row of a key is its first, for
     instance by ``readers.with_ordinal``; a table whose rule keeps first or last rows fails without one. With ``folder``
-    each cleaned table is written there once, and its children and reports read it; without, they clean it again.
+    each cleaned table is written there once, and its children and reports read it; without, they clean it again. A
+    ``log`` (which needs the folder) gets the counts of all steps from the runs that write.
     """
+    if log is not None and not folder:
+        raise ValueError("steps are counted while tables are written: give a folder")
     done, failed = dict(tables), {}
     for name in parents_first({t: r for t, r in rules.items() if t in tables}):
         try:
-            out = clean_table(tables[name], rules[name], types.get(name, {}), order.get(name, []), {p: done[p] for p in done if p != name})
+            out = clean_table(tables[name], rules[name], types.get(name, {}), order.get(name, []), {p: done[p] for p in done if p != name}, log, name)
             if folder:
-                out.write.mode("overwrite").parquet(f"{folder}/{name}")
-                out = out.sparkSession.read.parquet(f"{folder}/{name}")
+                out = (log or StepLog()).write(out, f"{folder}/{name}")
             done[name] = out
         except Exception as error:
             if not continue_on_error:
                 raise
+            if log is not None:
+                log.forget(name)
             failed[name] = str(error)
     return done, failed
 

@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import null_salt
+from millrace.operators.steps import StepLog
 
 
 @dataclass(frozen=True)
@@ -114,14 +115,15 @@ def summarise_bridge(bridge: DataFrame, spec: BridgeSummary, names: DataFrame |
     return pairs.groupBy(F.col("__k").alias(spec.key)).agg(*aggs)
 
 
-def consolidate(tables: dict[str, DataFrame], fact: str, dimensions: tuple[DimensionJoin, ...] = (), snapshots: tuple[SnapshotJoin, ...] = (), bridges: tuple[BridgeSummary, ...] = (), markers: bool = False) -> tuple[DataFrame, dict[str, list[str]]]:
+def consolidate(tables: dict[str, DataFrame], fact: str, dimensions: tuple[DimensionJoin, ...] = (), snapshots: tuple[SnapshotJoin, ...] = (), bridges: tuple[BridgeSummary, ...] = (), markers: bool = False, log: StepLog | None = None) -> tuple[DataFrame, dict[str, list[str]]]:
     """The fact table with all joins in order, and the column names that each join left out because they were there.
 
     Absent tables and disabled specs are passed over. With ``markers`` a column ``__hit_<table>`` tells what matched.
+    With ``log`` the fact table and the result of every join are watched as steps, with the rows that ``matched``.
     """
-    out, skipped = tables[fact], {}
+    out, skipped = log.watch(tables[fact], fact, "fact") if log else tables[fact], {}
     for spec in [s for s in (*dimensions, *snapshots, *bridges) if s.enabled and s.table in tables]:
-        marker = f"__hit_{spec.table}" if markers else None
+        marker = f"__hit_{spec.table}" if markers or log else None
         if isinstance(spec, DimensionJoin):
             right, left_key, right_key = dimension(tables[spec.table], spec), spec.left_key, spec.right_key
         elif isinstance(spec, SnapshotJoin):
@@ -131,6 +133,9 @@ def consolidate(tables: dict[str, DataFrame], fact: str, dimensions: tuple[Dimen
         out, skipped[spec.table] = safe_left_join(out, right, left_key, right_key, marker)
         if isinstance(spec, BridgeSummary) and spec.with_count and f"{spec.prefix}_count" not in skipped[spec.table]:
             out = out.withColumn(f"{spec.prefix}_count", F.coalesce(f"{spec.prefix}_count", F.lit(0)))
+        if log:
+            out = log.watch(out, fact, spec.table, without=() if markers else (marker,), matched=F.count(marker))
+            out = out if markers else out.drop(marker)
     return out, skipped
 
 

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions import columns as C
+from millrace.operators import ordered
+from millrace.operators.steps import StepLog
 
 # Column groups and strategies of the listing features.
 IDENTIFIERS = ("job_id", "company_id", "salary_id")
@@ -57,35 +60,60 @@ def standardize_datetimes(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.withColumns({c: C.epoch_ms(F.col(f"`{c}`")) for c in columns if not isinstance(df.schema[c].dataType, T.TimestampType)})
 
 
-def fill_missing(df: DataFrame, strategies: dict[str, str], constants: dict[str, object] | None = None, number_fill: float = -1.0, text_fill: str = "UNKNOWN", mode_limit: int = 100, accuracy: int | None = None) -> DataFrame:
-    """Fill nulls by ``strategies``: leave, median, mode (skipped above ``mode_limit`` distinct values) or constant.
+def _modes(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``column, value, distinct``: the most frequent value as text (of equals the smallest) and the distinct values.
+
+    All columns go through one count of (column, value), so no task holds the values of a column.
+    """
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+
+    def cell(c: str) -> Column:
+        col, kind = F.col(f"`{c}`"), kinds[c]
+        whole = isinstance(kind, (T.IntegralType, T.BooleanType))
+        return F.struct(F.lit(c).alias("column"), (col.cast("bigint") if whole else F.lit(None).cast("bigint")).alias("whole"), (col.cast("double") if isinstance(kind, T.FractionalType) else F.lit(None).cast("double")).alias("real"), col.cast("string").alias("text"))
+
+    cells = df.select(F.explode(F.array(*[cell(c) for c in columns])).alias("x")).select("x.*").where("text is not null")
+    counts = cells.groupBy("column", "whole", "real", "text").agg(F.count("*").alias("n"))
+    return counts.groupBy("column").agg(F.min_by("text", F.struct(-F.col("n"), "whole", "real", "text")).alias("value"), F.count("*").alias("distinct"))
 
-    One aggregate finds all medians, modes and distinct counts; only its single row reaches the driver. The mode of
-    equals is the smallest value. Exact medians count the distinct values; ``accuracy`` takes a sketch instead.
+
+def fill_values(df: DataFrame, strategies: dict[str, str], constants: dict[str, object] | None = None, number_fill: float = -1.0, text_fill: str = "UNKNOWN", mode_limit: int = 100) -> dict[str, object]:
+    """What ``filled`` puts in place of nulls, by column: the statistics of ``strategies`` (see ``fill_missing``).
+
+    Medians of all columns are found in one long table of (column, value), by their leading bits, and modes in another;
+    only a value a column reaches the driver.
     """
     constants = constants or {}
     kinds = {f.name: f.dataType for f in df.schema.fields}
     wanted = {c: s for c, s in strategies.items() if c in kinds and not isinstance(kinds[c], (T.ArrayType, T.MapType)) and s != "leave"}
-    aggs = []
-    for c, s in wanted.items():
-        col = F.col(f"`{c}`")
-        if s == "median":
-            aggs.append((F.median(col.cast("double")) if accuracy is None else F.percentile_approx(col.cast("double"), 0.5, accuracy)).alias(f"median {c}"))
-        elif s == "mode":
-            aggs += [F.mode(col, True).alias(f"mode {c}"), F.approx_count_distinct(col).alias(f"distinct {c}")]
-    row = df.agg(*aggs).first() if aggs else None
-    new: dict[str, Column] = {}
-    for c, s in wanted.items():
-        col, kind = F.col(f"`{c}`"), kinds[c]
-        if s == "median" and row[f"median {c}"] is not None:
-            value = F.lit(row[f"median {c}"])
-            new[c] = F.coalesce(col.cast("double"), value) if isinstance(kind, T.FractionalType) else F.coalesce(col, F.round(value).cast(kind))
-        elif s == "mode" and row[f"mode {c}"] is not None and row[f"distinct {c}"] <= mode_limit:
-            new[c] = F.coalesce(col, F.lit(row[f"mode {c}"]).cast(kind))
-        elif s == "constant":
-            default = constants.get(c, number_fill if isinstance(kind, T.NumericType) else text_fill)
-            new[c] = F.coalesce(col, F.lit(default).try_cast(kind))
-    return df.withColumns(new) if new else df
+    medians, modes = ([c for c, s in wanted.items() if s == k] for k in ("median", "mode"))
+    found: dict[str, object] = {}
+    if medians:
+        cells = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("double").alias("v")) for c in medians])).alias("x")).select("x.*")
+        for r in ordered.group_quantiles(cells, ["column"], "v", [0.5]).collect():
+            found[r["column"]] = r["q0"] if isinstance(kinds[r["column"]], T.FractionalType) else float(_half_up(r["q0"]))
+    if modes:
+        found |= {r["column"]: r["value"] for r in _modes(df, modes).collect() if r["distinct"] <= mode_limit}
+    found |= {c: constants.get(c, number_fill if isinstance(kinds[c], T.NumericType) else text_fill) for c, s in wanted.items() if s == "constant"}
+    return {c: found[c] for c in wanted if c in found}
+
+
+def _half_up(x: float) -> int:
+    """``x`` rounded, halves away from zero."""
+    return int(abs(x) + 0.5) * (1 if x >= 0 else -1)
+
+
+def filled(df: DataFrame, values: dict[str, object]) -> DataFrame:
+    """``df`` with the nulls of the columns of ``values`` replaced."""
+    return df.withColumns({c: F.coalesce(F.col(f"`{c}`"), F.lit(v).try_cast(df.schema[c].dataType)) for c, v in values.items()}) if values else df
+
+
+def fill_missing(df: DataFrame, strategies: dict[str, str], constants: dict[str, object] | None = None, number_fill: float = -1.0, text_fill: str = "UNKNOWN", mode_limit: int = 100) -> DataFrame:
+    """Fill nulls by ``strategies``: leave, median, mode (skipped above ``mode_limit`` distinct values) or constant.
+
+    Medians and modes are exact; the mode of equals is the smallest value. A column without values stays as it is.
+    """
+    return filled(df, fill_values(df, strategies, constants, number_fill, text_fill, mode_limit))
 
 
 def default_strategies(df: DataFrame, groups: dict[str, list[str]], cfg: FeatureConfig) -> dict[str, str]:
@@ -114,19 +142,38 @@ def derived(df: DataFrame) -> DataFrame:
     return df.withColumns(new) if new else df
 
 
-def build_features(df: DataFrame, cfg: FeatureConfig | None = None, dedupe: bool = True) -> DataFrame:
-    """All steps in their default order: missing values are filled before booleans, categories and texts are cleaned."""
+def build_features(df: DataFrame, cfg: FeatureConfig | None = None, dedupe: bool = True, log: StepLog | None = None, name: str = "features") -> DataFrame:
+    """All steps in their default order: missing values are filled before booleans, categories and texts are cleaned.
+
+    With ``log`` each step is watched as one of table ``name``; ``lost`` counts the cells that the next step cannot read.
+    """
     cfg = cfg or FeatureConfig()
     groups = column_groups(df, cfg)
-    out = standardize_types(df, groups["numeric"]).drop(*groups["identifiers"])
-    out = standardize_datetimes(out, groups["datetimes"])
-    out = fill_missing(out, default_strategies(out, groups, cfg), cfg.constants, cfg.number_fill, cfg.text_fill, cfg.mode_limit)
+
+    def seen(out: DataFrame, step: str, lost: DataFrame | None = None) -> DataFrame:
+        if log is None:
+            return out
+        return log.watch(out, name, step, **({} if lost is None else {"lost": _lost(out, lost)}))
+
+    typed = lambda x: standardize_types(x, groups["numeric"]).drop(*groups["identifiers"])
+    dated = lambda x: standardize_datetimes(x, groups["datetimes"])
+    plain = dated(typed(df))
+    values = fill_values(plain, default_strategies(plain, groups, cfg), cfg.constants, cfg.number_fill, cfg.text_fill, cfg.mode_limit)
+    out = typed(seen(df, "input"))
+    out = dated(seen(out, "types", dated(out)))
+    out = seen(filled(seen(out, "dates"), values), "missing values")
     new: dict[str, Column] = {c: C.boolean(F.col(c)) for c in groups["booleans"]}
     new |= {c: C.category(F.col(c)) if isinstance(out.schema[c].dataType, T.StringType) else C.upper_snake(F.col(c).cast("string")) for c in groups["categories"]}
     new |= {c: C.clean_text(F.col(c)) for c in groups["texts"]}
     new |= {c: C.standard_list(F.col(c) if isinstance(out.schema[c].dataType, T.ArrayType) else C.list_items(F.col(c))) for c in groups["lists"]}
-    out = derived(out.withColumns(new) if new else out)
-    return out.dropDuplicates() if dedupe else out
+    out = seen(derived(seen(out.withColumns(new) if new else out, "values")), "derived")
+    return seen(out.dropDuplicates(), "duplicates") if dedupe else out
+
+
+def _lost(before: DataFrame, after: DataFrame) -> Column:
+    """Cells of the datetime columns that ``after`` makes of ``before`` and cannot read."""
+    changed = [f.name for f in before.schema.fields if f.dataType != after.schema[f.name].dataType]
+    return reduce(Column.__add__, [F.count_if(F.col(f"`{c}`").isNotNull() & C.epoch_ms(F.col(f"`{c}`")).isNull()) for c in changed], F.lit(0))
 
 
 def check_store(df: DataFrame, needed: tuple[str, ...] = ()) -> None:
@@ -139,11 +186,3 @@ def check_store(df: DataFrame, needed: tuple[str, ...] = ()) -> None:
     if df.isEmpty():
         raise ValueError("the feature store is empty")
 
-
-def step_log(steps: list[tuple[str, DataFrame]]) -> DataFrame:
-    """``step, name, rows, columns`` of the frames between steps; one count each."""
-    parts = [df.agg(F.count("*").alias("rows")).select(F.lit(i).alias("step"), F.lit(name).alias("name"), "rows", F.lit(len(df.columns)).alias("columns")) for i, (name, df) in enumerate(steps)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -10,6 +9,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.core.scratch import materialize
+from millrace.functions.stats import f_tail
 from millrace.operators import ordered
 from millrace.operators.ordered import running_counts
 
@@ -20,32 +21,30 @@ def value_counts(df: DataFrame, col: str, n: int | None = None) -> DataFrame:
     return counts.orderBy(F.desc("n"), "value").limit(n) if n else counts
 
 
-def middle(value: str | Column, share: float = 0.5, accuracy: int | None = None) -> Column:
-    """A percentile aggregate: exact (which keeps a count a distinct value of the group), or a sketch of ``accuracy``."""
-    c = F.col(value) if isinstance(value, str) else value
-    return F.percentile(c, share) if accuracy is None else F.percentile_approx(c, share, accuracy)
+def _stats(df: DataFrame, by: str, value: str, shares: dict[str, float], accuracy: int | None, **aggs: Column) -> DataFrame:
+    """``by``, the aggregates and the quantiles of ``value``: exact and found by bits, or from a sketch of ``accuracy`` in one pass."""
+    if accuracy is not None:
+        aggs |= {name: F.percentile_approx(value, share, accuracy) for name, share in shares.items()}
+    out = df.groupBy(by).agg(*[c.alias(n) for n, c in aggs.items()])
+    return out if accuracy is not None else ordered.with_quantiles(out, df, [by], value, shares)
 
 
 def group_stats(df: DataFrame, by: str, value: str, support: int = 1, top: int | None = None, accuracy: int | None = None) -> DataFrame:
-    """``by, n, mean, median`` of groups with ``support`` values or more; the ``top`` by median if asked for.
-
-    Give ``accuracy`` where a group has too many distinct values to count them in one task.
-    """
-    out = df.groupBy(by).agg(F.count(value).alias("n"), F.avg(value).alias("mean"), middle(value, 0.5, accuracy).alias("median")).where(F.col("n") >= support)
+    """``by, n, mean, median`` of groups with ``support`` values or more; the ``top`` by median if asked for."""
+    out = _stats(df, by, value, {"median": 0.5}, accuracy, n=F.count(value), mean=F.avg(value)).where(F.col("n") >= support)
     return out.orderBy(F.desc("median"), by).limit(top) if top else out
 
 
 def group_quartiles(df: DataFrame, by: str, value: str, accuracy: int | None = None) -> DataFrame:
     """``by, n, q1, median, q3, iqr, std``."""
-    q1, q2, q3 = (middle(value, s, accuracy) for s in (0.25, 0.5, 0.75))
-    out = df.groupBy(by).agg(F.count(value).alias("n"), q1.alias("q1"), q2.alias("median"), q3.alias("q3"), F.stddev_samp(value).alias("std"))
+    out = _stats(df, by, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, accuracy, n=F.count(value), std=F.stddev_samp(value))
     return out.select(by, "n", "q1", "median", "q3", (F.col("q3") - F.col("q1")).alias("iqr"), "std")
 
 
 def median_vs_overall(df: DataFrame, by: str, value: str, accuracy: int | None = None) -> DataFrame:
     """``by, median, overall, pct``: a group's median as a percent above the median of all."""
-    every = ordered.quantiles(df, value, [0.5])
-    out = df.groupBy(by).agg(middle(value, 0.5, accuracy).alias("median")).withColumn("overall", F.lit(every[0] if every else None).cast("double"))
+    every = ordered.group_quantiles(df, [], value, [0.5]).first()
+    out = _stats(df, by, value, {"median": 0.5}, accuracy, n=F.count(value)).drop("n").withColumn("overall", F.lit(every["q0"] if every else None).cast("double"))
     return out.withColumn("pct", 100 * (F.try_divide(F.col("median"), F.col("overall")) - 1))
 
 
@@ -55,7 +54,11 @@ def pivot_counts(df: DataFrame, row: Column, row_name: str, col: str, values: li
 
 
 def pivot_median(df: DataFrame, row: str, col: str, value: str, values: list) -> DataFrame:
-    return df.groupBy(row).pivot(col, values).agg(F.median(value))
+    """Medians of ``value`` by ``row`` and, as columns, by the given values of ``col``; null where there are none."""
+    found = ordered.group_quantiles(df.where(F.col(col).isin(*values)), [row, col], value, [0.5])
+    cells = found.groupBy(row).agg(*[F.max(F.when(F.col(col) == v, F.col("q0"))).alias(str(v)) for v in values])
+    every = df.select(F.col(row).alias("__row")).distinct()
+    return every.join(cells, F.col("__row").eqNullSafe(F.col(row)), "left").drop(row).withColumnRenamed("__row", row)
 
 
 def crosstab_share(df: DataFrame, row: str, col: str) -> DataFrame:
@@ -101,30 +104,32 @@ def profile(df: DataFrame, columns: list[str] | None = None, exact: bool = True)
 PERCENTS = (1, 5, 25, 50, 75, 95, 99, 99.9)
 
 
-def numeric_audit(df: DataFrame, columns: list[str]) -> DataFrame:
-    """``column, n, missing, low, p1 ... p99_9, high, mean, std, zeros, negatives``: one pass, and exact percentiles by
-    ranges of values."""
-    found = {c: ordered.quantiles(df, c, [x / 100 for x in PERCENTS]) or [None] * len(PERCENTS) for c in columns}
+def _long(df: DataFrame, columns: dict[str, Column], where: dict[str, Column] | None = None) -> DataFrame:
+    """``name, v``: the values of several columns under one another, of the rows for which ``where`` holds."""
+    cells = [F.struct(F.lit(n).alias("name"), (F.when(where[n], c) if where else c).cast("double").alias("v")) for n, c in columns.items()]
+    return df.select(F.explode(F.array(*cells)).alias("x")).select("x.*")
 
-    def p(c: str) -> Column:
-        return F.array(*[F.lit(x).cast("double") for x in found[c]])
+
+def numeric_audit(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``column, n, missing, low, p1 ... p99_9, high, mean, std, zeros, negatives``: one pass, and the exact percentiles of
+    all columns from one long table."""
+    found = ordered.group_quantiles(_long(df, {c: F.col(c) for c in columns}), ["name"], "v", [x / 100 for x in PERCENTS])
 
     out = _stacked(df, columns, {
-        "n": lambda c: F.count(F.col(c)), "missing": lambda c: F.count_if(F.col(c).isNull()), "low": lambda c: F.min(F.col(c)).cast("double"), "q": p, "high": lambda c: F.max(F.col(c)).cast("double"),
+        "n": lambda c: F.count(F.col(c)), "missing": lambda c: F.count_if(F.col(c).isNull()), "low": lambda c: F.min(F.col(c)).cast("double"), "high": lambda c: F.max(F.col(c)).cast("double"),
         "mean": lambda c: F.avg(F.col(c)), "std": lambda c: F.stddev_samp(F.col(c)), "zeros": lambda c: F.count_if(F.col(c) == 0), "negatives": lambda c: F.count_if(F.col(c) < 0),
     })
-    named = [F.col("q")[i].alias("p" + str(x).replace(".", "_")) for i, x in enumerate(PERCENTS)]
-    return out.select("column", "n", "missing", "low", *named, "high", "mean", "std", "zeros", "negatives")
+    named = [F.col(f"q{i}").alias("p" + str(x).replace(".", "_")) for i, x in enumerate(PERCENTS)]
+    return out.join(found.drop("n"), F.col("column") == F.col("name"), "left").select("column", "n", "missing", "low", *named, "high", "mean", "std", "zeros", "negatives")
 
 
 def distribution(df: DataFrame, col: str) -> DataFrame:
     """``scale, skewness, kurtosis, p5, p25, p50, p75, p95`` (population, excess) of a column and of its log(1 + x)."""
-    def row(name: str, x: Column) -> Column:
-        found = ordered.quantiles(df.select(x.cast("double").alias("x")), "x", [p / 100 for p in (5, 25, 50, 75, 95)]) or [None] * 5
-        return F.struct(F.lit(name).alias("scale"), F.skewness(x).alias("skewness"), F.kurtosis(x).alias("kurtosis"), *[F.lit(v).cast("double").alias(f"p{p}") for p, v in zip((5, 25, 50, 75, 95), found)])
-
-    each = F.array(row("raw", F.col(col)), row("log1p", F.log1p(col)))
-    return df.agg(each.alias("r")).select(F.inline("r"))
+    scales, percents = {"raw": F.col(col), "log1p": F.log1p(col)}, (5, 25, 50, 75, 95)
+    each = F.array(*[F.struct(F.lit(n).alias("scale"), F.skewness(x).alias("skewness"), F.kurtosis(x).alias("kurtosis")) for n, x in scales.items()])
+    found = ordered.group_quantiles(_long(df, scales), ["name"], "v", [p / 100 for p in percents])
+    out = df.agg(each.alias("r")).select(F.inline("r")).join(found, F.col("scale") == F.col("name"), "left")
+    return out.select("scale", "skewness", "kurtosis", *[F.col(f"q{k}").alias(f"p{p}") for k, p in enumerate(percents)])
 
 
 def missing_bands(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -144,24 +149,21 @@ def rare_categories(df: DataFrame, col: str, limits: tuple[int, ...] = (1, 5, 10
 def binned(df: DataFrame, col: str, bins: list[tuple[str, float, float]], value: str) -> DataFrame:
     """``bin, n, median`` of ``value`` by half-open bins of ``col``: (name, above, up to)."""
     name = reduce(lambda w, b: w.when((F.col(col) > b[1]) & (F.col(col) <= b[2]), b[0]), bins[1:], F.when((F.col(col) > bins[0][1]) & (F.col(col) <= bins[0][2]), bins[0][0]))
-    return df.withColumn("bin", name).where("bin is not null").groupBy("bin").agg(F.count("*").alias("n"), F.median(value).alias("median"))
+    rows = df.select(name.alias("bin"), F.col(value)).where("bin is not null")
+    return ordered.with_quantiles(rows.groupBy("bin").agg(F.count("*").alias("n")), rows, ["bin"], value, {"median": 0.5})
 
 
 def scenarios(df: DataFrame, fields: dict[str, list[str]], value: str) -> DataFrame:
     """``scenario, n, coverage_pct, median, vs_all_pct``: rows in which all fields of a scenario are present.
 
-    One pass for the counts; the exact medians are found by ranges of values.
+    One pass for the counts, one long table for the exact medians of all scenarios and of all rows.
     """
-    def there(cols: list[str]) -> Column:
-        return reduce(Column.__and__, [F.col(c).isNotNull() for c in cols])
-
-    def median_of(rows: DataFrame) -> Column:
-        return F.lit((ordered.quantiles(rows, value, [0.5]) or [None])[0]).cast("double")
-
-    overall = median_of(df)
-    each = F.array(*[F.struct(F.lit(s).alias("scenario"), F.count_if(there(cols)).alias("n"), (100 * F.avg(there(cols).cast("int"))).alias("coverage_pct"), median_of(df.where(there(cols))).alias("median"), overall.alias("overall")) for s, cols in fields.items()])
+    there = {s: reduce(Column.__and__, [F.col(c).isNotNull() for c in cols]) for s, cols in fields.items()}
+    found = {r["name"]: r["q0"] for r in ordered.group_quantiles(_long(df, dict.fromkeys(["", *fields], F.col(value)), {"": F.lit(True), **there}), ["name"], "v", [0.5]).collect()}
+    number = lambda s: F.lit(found.get(s)).cast("double")
+    each = F.array(*[F.struct(F.lit(s).alias("scenario"), F.count_if(c).alias("n"), (100 * F.avg(c.cast("int"))).alias("coverage_pct"), number(s).alias("median")) for s, c in there.items()])
     out = df.agg(each.alias("r")).select(F.inline("r"))
-    return out.select("scenario", "n", "coverage_pct", "median", (100 * (F.try_divide(F.col("median"), F.col("overall")) - 1)).alias("vs_all_pct"))
+    return out.withColumn("vs_all_pct", 100 * (F.try_divide(F.col("median"), number("")) - 1))
 
 
 def threshold_counts(df: DataFrame, col: str, limits: list[float]) -> DataFrame:
@@ -172,7 +174,9 @@ def threshold_counts(df: DataFrame, col: str, limits: list[float]) -> DataFrame:
 
 def key_cardinality(df: DataFrame, keys: list[str]) -> DataFrame:
     """``keys, mean, std, low, median, high`` of the number of rows a key."""
-    return df.groupBy(*keys).agg(F.count("*").alias("n")).agg(F.count("*").alias("keys"), F.avg("n").alias("mean"), F.stddev_samp("n").alias("std"), F.min("n").alias("low"), F.median("n").alias("median"), F.max("n").alias("high"))
+    sizes = materialize(df.groupBy(*keys).agg(F.count("*").alias("n")).select("n"), "key-sizes")
+    middle = ordered.group_quantiles(sizes, [], "n", [0.5]).first()
+    return sizes.agg(F.count("*").alias("keys"), F.avg("n").alias("mean"), F.stddev_samp("n").alias("std"), F.min("n").alias("low"), F.lit(middle["q0"] if middle else None).cast("double").alias("median"), F.max("n").alias("high"))
 
 
 def average_ranks(df: DataFrame, col: str, out: str) -> DataFrame:
@@ -200,48 +204,31 @@ def strong_pairs(df: DataFrame, columns: list[str], least: float = 0.6) -> DataF
     return correlations(df, columns).where(F.abs("r") > least)
 
 
-def anova(df: DataFrame, by: str, value: str) -> DataFrame:
-    """``groups, n, f, df_between, df_within, median_spread`` over the groups with two rows or more.
+def anova(df: DataFrame, by: str | list[str], value: str) -> DataFrame:
+    """``category, groups, n, f, p, df_between, df_within, median_spread`` for each column of ``by``, over its groups with two rows or more.
 
-    Sums of squares come from a row a group; the values are not gathered.
+    All categories go through one long table of (category, group, value). Sums of squares come from a row a group; the
+    values are not gathered. ``p`` is the probability of a larger F, computed in the engine.
     """
-    each = df.where(F.col(value).isNotNull()).groupBy(by).agg(F.count(value).alias("n"), F.avg(value).alias("mean"), F.var_pop(value).alias("var"), F.median(value).alias("median")).where("n > 1")
-    total = W.partitionBy(F.lit(0))
+    names = [by] if isinstance(by, str) else by
+    cells = F.array(*[F.struct(F.lit(c).alias("category"), F.col(f"`{c}`").cast("string").alias("group")) for c in names])
+    rows = df.where(F.col(value).isNotNull()).select(F.explode(cells).alias("x"), F.col(value).cast("double").alias("v")).select("x.*", "v")
+    each = rows.groupBy("category", "group").agg(F.count("v").alias("n"), F.avg("v").alias("mean"), F.var_pop("v").alias("var")).where("n > 1")
+    each = ordered.with_quantiles(each, rows, ["category", "group"], "v", {"median": 0.5})
+    total = W.partitionBy("category")
     grand = F.sum(F.col("n") * F.col("mean")).over(total) / F.sum("n").over(total)
     parts = each.withColumn("between", F.col("n") * F.pow(F.col("mean") - grand, 2)).withColumn("within", F.col("n") * F.col("var"))
-    out = parts.agg(F.count("*").alias("groups"), F.sum("n").alias("n"), F.sum("between").alias("b"), F.sum("within").alias("w"), (F.max("median") - F.min("median")).alias("median_spread"))
-    df1, df2 = F.col("groups") - 1, F.col("n") - F.col("groups")
-    return out.select("groups", "n", F.try_divide(F.try_divide(F.col("b"), df1), F.try_divide(F.col("w"), df2)).alias("f"), df1.alias("df_between"), df2.alias("df_within"), "median_spread")
-
-
-def f_tail(f: float, df1: float, df2: float) -> float:
-    """Probability of an F value above ``f``: the regularised incomplete beta function, by its continued fraction."""
-    x = df2 / (df2 + df1 * f)
-    a, b = df2 / 2, df1 / 2
-    if x in (0.0, 1.0):
-        return x
-
-    def part(a: float, b: float, x: float) -> float:
-        lead = math.exp(math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)) / a
-        tiny, c = 1e-300, 1.0
-        d = 1 / max(tiny, abs(1 - (a + b) * x / (a + 1))) * math.copysign(1, 1 - (a + b) * x / (a + 1))
-        out = d
-        for m in range(1, 500):
-            for num in (m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)), -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))):
-                d = 1 / (1 + num * d or tiny)
-                c = 1 + num / c or tiny
-                out *= c * d
-            if abs(c * d - 1) < 1e-14:
-                break
-        return lead * out
-
-    return part(a, b, x) if x < (a + 1) / (a + b + 2) else 1 - part(b, a, 1 - x)
+    out = parts.groupBy("category").agg(F.count("*").alias("groups"), F.sum("n").alias("n"), F.sum("between").alias("b"), F.sum("within").alias("w"), (F.max("median") - F.min("median")).alias("median_spread"))
+    out = out.withColumns({"df_between": F.col("groups") - 1, "df_within": F.col("n") - F.col("groups")})
+    out = out.withColumn("f", F.try_divide(F.try_divide("b", "df_between"), F.try_divide("w", "df_within")))
+    return out.select("category", "groups", "n", "f", f_tail(F.col("f"), F.col("df_between"), F.col("df_within")).alias("p"), "df_between", "df_within", "median_spread")
 
 
 def keyword_gradient(df: DataFrame, text: str, value: str, keywords: list[str]) -> DataFrame:
     """``keyword, n, median, mean`` of ``value`` over the rows whose text has the keyword as a word."""
     hits = F.filter(F.array(*[F.lit(k) for k in keywords]), lambda k: F.regexp_like(F.lower(F.col(text)), F.concat(F.lit(r"\b"), k, F.lit(r"\b"))))
-    return df.select(F.explode(hits).alias("keyword"), value).groupBy("keyword").agg(F.count("*").alias("n"), F.median(value).alias("median"), F.avg(value).alias("mean"))
+    rows = materialize(df.select(F.explode(hits).alias("keyword"), F.col(value).alias("v")), "keyword-rows")
+    return ordered.with_quantiles(rows.groupBy("keyword").agg(F.count("*").alias("n"), F.avg("v").alias("mean")), rows, ["keyword"], "v", {"median": 0.5}).select("keyword", "n", "median", "mean")
 
 
 def item_frequency(df: DataFrame, items: Column) -> DataFrame:
@@ -254,20 +241,25 @@ def item_frequency(df: DataFrame, items: Column) -> DataFrame:
 def item_stats(df: DataFrame, items: Column, value: str, support: int = 1) -> DataFrame:
     """``item, n, mean, median, std, low, high`` of ``value`` over the rows that hold an item."""
     rows = df.where(F.col(value).isNotNull()).select(F.explode(F.array_distinct(items)).alias("item"), value)
-    return rows.groupBy("item").agg(F.count("*").alias("n"), F.avg(value).alias("mean"), F.median(value).alias("median"), F.stddev_samp(value).alias("std"), F.min(value).alias("low"), F.max(value).alias("high")).where(F.col("n") >= support)
+    out = rows.groupBy("item").agg(F.count("*").alias("n"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"), F.min(value).alias("low"), F.max(value).alias("high"))
+    return ordered.with_quantiles(out.where(F.col("n") >= support), rows, ["item"], value, {"median": 0.5}).select("item", "n", "mean", "median", "std", "low", "high")
 
 
 def with_without(df: DataFrame, items: Column, value: str, top: int = 50) -> DataFrame:
     """``item, n, with_median, without_median, difference`` for the ``top`` most frequent items (a report's length).
 
-    The medians of both sides are aggregates in one pass over the rows, a pair for each of the ``top`` items.
+    A row counts for each of the ``top`` items on one side or the other; the exact medians of all sides are found at
+    once from the counts of (item, side, value).
     """
-    rows = df.where(F.col(value).isNotNull()).select(F.array_distinct(items).alias("items"), F.col(value).alias("v"))
-    names = [r["item"] for r in rows.select(F.explode("items").alias("item")).groupBy("item").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "item").limit(top).collect()]
-    has = lambda n: F.array_contains("items", n)
-    each = F.array(*[F.struct(F.lit(n).alias("item"), F.count_if(has(n)).alias("n"), F.median(F.when(has(n), F.col("v"))).alias("with_median"), F.median(F.when(~has(n), F.col("v"))).alias("without_median")) for n in names])
-    out = rows.agg(each.alias("r")).select(F.inline("r")) if names else rows.sparkSession.createDataFrame([], "item string, n long, with_median double, without_median double")
-    return out.withColumn("difference", F.col("with_median") - F.col("without_median"))
+    rows = df.where(F.col(value).isNotNull()).select(F.array_distinct(items).alias("items"), F.col(value).cast("double").alias("v"))
+    counts = rows.select(F.explode("items").alias("item")).groupBy("item").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "item").limit(top)
+    counts = materialize(counts, "top-items")
+    names = [r["item"] for r in counts.collect()]
+    sides = F.array(*[F.struct(F.lit(n).alias("item"), F.array_contains("items", n).alias("has")) for n in names]).cast("array<struct<item: string, has: boolean>>")
+    cells = rows.select(F.explode(sides).alias("x"), "v").select("x.*", "v")
+    found = ordered.group_quantiles(cells, ["item", "has"], "v", [0.5])
+    found = found.groupBy("item").agg(F.max(F.when(F.col("has"), F.col("q0"))).alias("with_median"), F.max(F.when(~F.col("has"), F.col("q0"))).alias("without_median"))
+    return counts.join(found, "item", "left").withColumn("difference", F.col("with_median") - F.col("without_median"))
 
 
 def pattern_share(df: DataFrame, text: str, pattern: str, flag: Column) -> DataFrame:

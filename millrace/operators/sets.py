@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators import ordered
 from millrace.operators.ordered import quantiles, running_counts, value_counts
 
 
@@ -61,8 +62,8 @@ def repeated_across(df: DataFrame, keys: list[str], version: str) -> DataFrame:
 def clip_percentiles(df: DataFrame, col: str, low: float = 0.01, high: float = 0.99, by: str | None = None) -> DataFrame:
     """Rows between two percentiles of ``col`` (linear between values, bounds included), of each group if ``by``."""
     if by:
-        limits = df.groupBy(by).agg(F.percentile(col, [low, high]).alias("__q"))
-        return df.join(limits.withColumnRenamed(by, "__by"), F.col(by).eqNullSafe(F.col("__by"))).where(F.col(col).between(F.col("__q")[0], F.col("__q")[1])).drop("__q", "__by")
+        limits = ordered.group_quantiles(df, [by], col, [low, high]).select(F.col(by).alias("__by"), "q0", "q1").withColumnsRenamed({"q0": "__low", "q1": "__high"})
+        return df.join(limits, F.col(by).eqNullSafe(F.col("__by"))).where(F.col(col).between(F.col("__low"), F.col("__high"))).drop("__low", "__high", "__by")
     one = quantiles(df, col, [low, high])
     return df.where(F.col(col).between(*one)) if one else df.limit(0)
 
@@ -79,8 +80,8 @@ def iqr_outliers(df: DataFrame, col: str, reach: float = 1.5) -> DataFrame:
 
 def median_ratio(df: DataFrame, by: str, over: Column, under: Column) -> DataFrame:
     """``by, n, ratio``: the median of ``over / under`` of each group."""
-    r = F.try_divide(over, under)
-    return df.groupBy(by).agg(F.count(r).alias("n"), F.median(r).alias("ratio"))
+    rows = df.select(F.col(by), F.try_divide(over, under).cast("double").alias("__r"))
+    return ordered.with_quantiles(rows.groupBy(by).agg(F.count("__r").alias("n")), rows, [by], "__r", {"ratio": 0.5})
 
 
 def close_share(df: DataFrame, a: Column, b: Column, within: float = 1.0) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import columns as C
+from millrace.operators import ordered
 
 # Predictors, and columns that would leak the target.
 PREDICTORS = ("title", "formatted_experience_level", "formatted_work_type", "company_state", "company_country", "company_size", "company_employee_count", "company_follower_count", "top_industry", "top_skill", "skill_list", "skill_count")
@@ -96,7 +97,9 @@ def violations(df: DataFrame, cfg: PayConfig | None = None, tolerance: float = 1
 def describe(df: DataFrame, col: str, by: list[str] | None = None) -> DataFrame:
     """``rows, low, high, mean, median, std`` of a column, of each group if ``by``."""
     c = F.col(col)
-    return df.groupBy(*(by or [])).agg(F.count(c).alias("rows"), F.min(c).alias("low"), F.max(c).alias("high"), F.avg(c).alias("mean"), F.median(c).alias("median"), F.stddev_samp(c).alias("std"))
+    out = df.groupBy(*(by or [])).agg(F.count(c).alias("rows"), F.min(c).alias("low"), F.max(c).alias("high"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"))
+    out = ordered.with_quantiles(out, df, by or [], col, {"median": 0.5})
+    return out.select(*(by or []), "rows", "low", "high", "mean", "median", "std")
 
 
 def share(condition: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions import columns as C
-from millrace.operators import groups, series, sets
+from millrace.operators import groups, ordered, series, sets
 from millrace.plans.registry import Registry, rounded, table, text
 
 R = Registry()
@@ -137,7 +137,7 @@ def vs_overall(spark: SparkSession, d: str) -> DataFrame:
 
 @R.add("select p_brand, median_price, 1 + count(*) filter (where other > median_price) + (count(*) filter (where other = median_price) - 1) / 2.0 as rank from (select a.*, b.median_price as other from (select p_brand, round(median(l_extendedprice), 4) as median_price from lineitem join part on l_partkey = p_partkey group by 1) a, (select p_brand as x, round(median(l_extendedprice), 4) as median_price from lineitem join part on l_partkey = p_partkey group by 1) b) y group by all")
 def median_ranks(spark: SparkSession, d: str) -> DataFrame:
-    medians = _lines(spark, d).groupBy("p_brand").agg(F.round(F.median("l_extendedprice"), 4).alias("median_price"))
+    medians = ordered.group_quantiles(_lines(spark, d), ["p_brand"], "l_extendedprice", [0.5]).select("p_brand", F.round("q0", 4).alias("median_price"))
     ranks = groups.average_ranks(medians.withColumn("down", -F.col("median_price")), "down", "rank")
     return ranks.select("p_brand", "median_price", "rank")
 
@@ -268,11 +268,24 @@ def strong_pairs(spark: SparkSession, d: str) -> DataFrame:
     return rounded(groups.strong_pairs(table(spark, d, "lineitem"), _NUMBERS), 6)
 
 
-@R.add("""with g as (select p_brand, count(*) as n, avg(l_extendedprice) as m, var_pop(l_extendedprice) as v, median(l_extendedprice) as md from lineitem join part on l_partkey = p_partkey group by 1 having count(*) > 1),
-t as (select sum(n * m) / sum(n) as gm from g)
-select count(*) as groups, cast(sum(n) as bigint) as n, round((sum(n * pow(m - gm, 2)) / (count(*) - 1)) / (sum(n * v) / (sum(n) - count(*))), 4) as f, count(*) - 1 as df_between, cast(sum(n) - count(*) as bigint) as df_within, round(max(md) - min(md), 4) as median_spread from g, t""")
+# the tail of F by the continued fraction of the incomplete beta function: row k of l holds its state after k terms
+@R.add("""with recursive r as (select l_extendedprice as v, p_brand, l_returnflag, l_linestatus from lineitem join part on l_partkey = p_partkey),
+x as (select 'p_brand' as category, p_brand as g, v from r union all select 'l_returnflag', l_returnflag, v from r union all select 'l_linestatus', l_linestatus, v from r),
+g as (select category, g, count(*) as n, avg(v) as m, var_pop(v) as w, median(v) as md from x where v is not null group by 1, 2 having count(*) > 1),
+t as (select category, sum(n * m) / sum(n) as gm from g group by 1),
+a as (select category, count(*) as groups, cast(sum(n) as bigint) as n, (sum(n * pow(m - gm, 2)) / (count(*) - 1)) / (sum(n * w) / (sum(n) - count(*))) as f, cast(count(*) - 1 as double) as d1, cast(sum(n) - count(*) as double) as d2, max(md) - min(md) as median_spread from g join t using (category) group by 1),
+i as (select category, case when flip then d1 / 2 else d2 / 2 end as a, case when flip then d2 / 2 else d1 / 2 end as b, case when flip then 1 - y else y end as y, flip
+      from (select category, d1, d2, d2 / (d2 + d1 * f) as y, d2 / (d2 + d1 * f) >= (d2 / 2 + 1) / (d1 / 2 + d2 / 2 + 2) as flip from a) z),
+l as (
+  select category, a, b, y, 2 as k, 1.0::double as c, 1 / (1 - (a + b) * y / (a + 1)) as d, 1 / (1 - (a + b) * y / (a + 1)) as o from i
+  union all
+  select category, a, b, y, k + 1, 1 + e / c, 1 / (1 + e * d), o * (1 + e / c) / (1 + e * d)
+  from (select *, case when k % 2 = 0 then (k // 2) * (b - k // 2) * y / ((a + 2 * (k // 2) - 1) * (a + 2 * (k // 2))) else -(a + k // 2) * (a + b + k // 2) * y / ((a + 2 * (k // 2)) * (a + 2 * (k // 2) + 1)) end as e from l where k <= 201) s),
+p as (select l.category, exp(lgamma(a + b) - lgamma(a) - lgamma(b) + a * ln(y) + b * ln(1 - y)) / a * o as q from l where k = 202)
+select a.category, groups, n, round(f, 4) as f, round(case when flip then 1 - q else q end, 4) as p, cast(d1 as bigint) as df_between, cast(d2 as bigint) as df_within, round(median_spread, 4) as median_spread
+from a join i using (category) join p using (category)""")
 def anova_f(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(groups.anova(_lines(spark, d), "p_brand", "l_extendedprice"))
+    return rounded(groups.anova(_lines(spark, d), ["p_brand", "l_returnflag", "l_linestatus"], "l_extendedprice"))
 
 
 _KEYWORDS = ["the", "that", "with", "from", "this"]

@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.core import fingerprint
+from millrace.core.scratch import new_path
 from millrace.functions import columns as C
 from millrace.functions import geography
 from millrace.operators import features, groups, split, target
+from millrace.operators.steps import StepLog
 from millrace.plans.registry import Registry, rounded, table, text
 
 R = Registry()
@@ -73,6 +75,46 @@ def fill_missing(spark: SparkSession, d: str) -> DataFrame:
     return features.fill_missing(rows, {"quality": "median", "source": "mode", "n_chars": "median", "lang": "leave"})
 
 
+# Orders stand in for listings: keys as applications, dates as epoch texts (some unreadable), priorities as kinds and skills.
+_STORE = """x as (select case when o_orderkey % 5 <> 0 then o_custkey end as applies, case when o_orderkey % 3 <> 0 then o_orderdate end as listed, case o_orderstatus when 'F' then 'Yes' when 'O' then '0' end as remote,
+case when o_orderkey % 7 <> 0 then o_orderpriority end as kind, case when o_orderstatus <> 'P' then 'Order ' || o_orderstatus end as title, o_orderpriority as skills, case when o_orderstatus = 'F' then o_totalprice end as pay from orders),
+m as (select round(median(applies)) as a, (select remote from x where remote is not null group by 1 order by count(*) desc, 1 limit 1) as r, (select kind from x where kind is not null group by 1 order by count(*) desc, 1 limit 1) as k from x),
+f as (select cast(coalesce(applies, a) as bigint) as applies, strftime(listed, '%Y-%m-%d') as listed_time, lower(coalesce(remote, r)) in ('yes', '1') as remote_allowed, lower(coalesce(kind, k)) as work_type, coalesce(title, 'UNKNOWN') as title,
+array_to_string(list_sort(list_transform(string_split(skills, '-'), lambda x: trim(regexp_replace(upper(x), '[^A-Z0-9]+', '_', 'g'), '_'))), '|') as skill_list, pay as min_salary, pay is not null as salary_available, listed is not null as listing_age_available,
+len(string_split(skills, '-')) as skill_count from x, m)"""
+
+
+def _listings(spark: SparkSession, d: str) -> DataFrame:
+    key, status, priority = F.col("o_orderkey"), F.col("o_orderstatus"), F.col("o_orderpriority")
+    return table(spark, d, "orders").select(
+        key.alias("job_id"), F.when(key % 5 != 0, F.col("o_custkey")).alias("applies"), F.when(key % 3 != 0, F.unix_millis(F.col("o_orderdate").cast("timestamp")).cast("string")).otherwise("soon").alias("listed_time"),
+        F.when(status == "F", "Yes").when(status == "O", "0").alias("remote_allowed"), F.when(key % 7 != 0, F.concat(F.lit(" "), priority, F.lit(" "))).alias("work_type"),
+        F.when(status != "P", F.concat(F.lit("  Order   "), status)).alias("title"), F.translate(priority, "-", "|").alias("skill_list"), F.when(status == "F", F.col("o_totalprice")).alias("min_salary"),
+    )
+
+
+@R.add(f"with {_STORE} select distinct * from f")
+def feature_store(spark: SparkSession, d: str) -> DataFrame:
+    """The feature store as a whole, checked for what it must hold."""
+    store = features.build_features(_listings(spark, d))
+    features.check_store(store, ("salary_available", "listing_age_available", "skill_count"))
+    return store.withColumns({"listed_time": F.date_format("listed_time", "yyyy-MM-dd"), "skill_list": F.array_join("skill_list", "|")})
+
+
+@R.add(f"""with {_STORE}, u as (select distinct * from f),
+n as (select count(*) as n, 4 * count(*) - count(applies) - count(remote) - count(kind) - count(title) as filled, count(*) - count(pay) as pay, count(*) filter (where listed is null) as lost from x),
+s as (select 0 as step, 'input' as name, 8 as columns, n as rows, filled + pay as nulls from n union all select 1, 'types', 7, n, filled + pay from n union all select 2, 'dates', 7, n, filled + pay + lost from n
+  union all select 3, 'missing values', 7, n, pay + lost from n union all select 4, 'values', 7, n, pay + lost from n union all select 5, 'derived', 10, n, pay + lost from n
+  union all select 6, 'duplicates', 10, count(*), 2 * count(*) - count(listed_time) - count(min_salary) from u)
+select 'features' as "table", step, name, metric, cast(value as bigint) as value from (
+  select step, name, 'rows' as metric, rows as value from s union all select step, name, 'columns', columns from s union all select step, name, 'nulls', nulls from s union all select 1, 'types', 'lost', lost from n) y""")
+def feature_steps(spark: SparkSession, d: str) -> DataFrame:
+    """Rows, columns, nulls and unreadable dates of every step of the store, from the run that writes it."""
+    log = StepLog()
+    log.write(features.build_features(_listings(spark, d), log=log), new_path(spark, "store"))
+    return log.report(spark)
+
+
 @R.add(r"""select doc_id, nullif(trim(regexp_replace(nfc_normalize(text), '[\s\x0B\x85\p{Z}]+', ' ', 'g')), '') as text from documents""")
 def text_cleanup(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", C.clean_text(F.col("text")).alias("text"))

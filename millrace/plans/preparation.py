@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.core.schemas import ForeignKey, TableSchema, ValidationRules, ValueRule
-from millrace.core.session import shared_dir
+from millrace.core.schemas import CleaningRule, ForeignKey, TableSchema, ValidationRules, ValueRule
+from millrace.core.scratch import new_path
 from millrace.operators import align, clean, consolidate, sets, validate
+from millrace.operators.steps import StepLog
 from millrace.plans.registry import Registry, rounded, table
 
 R = Registry()
@@ -223,13 +222,63 @@ def version_rows(spark: SparkSession, d: str) -> DataFrame:
     return sets.row_counts({n: table(spark, d, n) for n in ("orders", "customer")})
 
 
-@R.add("""select 'customer' as "table", 0 as v, count(*) as rows_before, count(*) filter (where c_acctbal >= 0) as rows_after, count(*) filter (where c_acctbal < 0) as removed, round(100.0 * count(*) filter (where c_acctbal < 0) / count(*), 4) as removed_pct from customer
-union all select 'orders', 0, count(*), count(*) filter (where c_acctbal >= 0), count(*) filter (where c_acctbal < 0 or c_acctbal is null), round(100.0 * count(*) filter (where c_acctbal < 0 or c_acctbal is null) / count(*), 4) from orders left join customer on o_custkey = c_custkey""")
-def cleaning_report(spark: SparkSession, d: str) -> DataFrame:
-    from millrace.core.schemas import CleaningRule
+# rows of each step: c_acctbal under 0 goes; customers of every eleventh key are unreadable, and so one key
+_STEPS = """c as (select count(*) as n, count(*) filter (where c_acctbal < 0) as low, count(*) - count(c_mktsegment) as filled, count(*) - count(c_acctbal) as bal from customer),
+o as (select count(*) as n, count(*) filter (where o_custkey % 11 = 0) as lost, count(*) - count(o_orderpriority) as filled from orders),
+k as (select distinct case when o_custkey % 11 <> 0 then o_custkey end as key, o_orderstatus from orders),
+u as (select count(*) as n, count(*) filter (where key is null) as nulls from k),
+h as (select count(*) as n, count(*) filter (where key is null) as nulls from k where key is null or key in (select c_custkey from customer where not coalesce(c_acctbal < 0, false)))"""
 
-    tables = {n: table(spark, d, n) for n in ("customer", "orders")}
-    rules = {"customer": CleaningRule(("c_custkey",), lower_bounds={"c_acctbal": 0.0}, low_values="drop_row"), "orders": CleaningRule(("o_orderkey",), foreign_keys=(ForeignKey("o_custkey", "customer", "c_custkey"),))}
-    order = {"customer": [F.col("c_custkey")], "orders": [F.col("o_orderkey")]}
-    done, _ = clean.clean_version(tables, rules, {}, order, continue_on_error=False, folder=f"{shared_dir(spark)}/millrace/cleaned-{uuid.uuid4().hex}")
-    return rounded(clean.cleaning_report(tables, done).withColumn("v", F.lit(0)))
+
+@R.add(f"""with {_STEPS} select 'customer' as "table", 0 as v, n as rows_before, n - low as rows_after, low as removed, round(100.0 * low / n, 4) as removed_pct from c
+union all select 'orders', 0, o.n, h.n, o.n - h.n, round(100.0 * (o.n - h.n) / o.n, 4) from o, h""")
+def cleaning_report(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(_cleaned(spark, d).changes(spark).withColumn("v", F.lit(0)))
+
+
+def _cleaned(spark: SparkSession, d: str) -> StepLog:
+    """Customers and orders cleaned and written once; the counts of all steps come from those two runs."""
+    tables = {"customer": table(spark, d, "customer"), "orders": table(spark, d, "orders").withColumn("o_custkey", F.when(F.col("o_custkey") % 11 != 0, F.col("o_custkey").cast("string")).otherwise(F.lit(" n/a  ")))}
+    rules = {
+        "customer": CleaningRule(("c_custkey",), fill_null={"c_mktsegment": "NONE"}, lowercase=("c_name",), lower_bounds={"c_acctbal": 0.0}, low_values="drop_row"),
+        "orders": CleaningRule(("o_custkey", "o_orderstatus"), fill_null={"o_orderpriority": "NONE"}, foreign_keys=(ForeignKey("o_custkey", "customer", "c_custkey"),)),
+    }
+    order, log = {"customer": [F.col("c_custkey")], "orders": [F.col("o_orderkey")]}, StepLog()
+    clean.clean_version(tables, rules, {"orders": {"o_custkey": "bigint"}}, order, continue_on_error=False, folder=new_path(spark, "cleaned"), log=log)
+    return log
+
+
+@R.add(f"""with {_STEPS},
+s as (
+  select 'customer' as "table", 0 as step, 'input' as name, n as rows, filled + bal as nulls, 'rows' as extra, n as value from c union all select 'customer', 1, 'strings', n, filled + bal, 'rows', n from c
+  union all select 'customer', 2, 'nulls dropped', n, filled + bal, 'filled', filled from c union all select 'customer', 3, 'nulls filled', n, bal, 'lost', 0 from c
+  union all select 'customer', 4, 'types', n, bal, 'low', low from c union all select 'customer', 5, 'bounds', n - low, bal, 'rows', n - low from c
+  union all select 'customer', 6, 'duplicates', n - low, bal, 'rows', n - low from c union all select 'customer', 7, 'orphans', n - low, bal, 'rows', n - low from c
+  union all select 'orders', 0, 'input', n, filled, 'rows', n from o union all select 'orders', 1, 'strings', n, filled, 'rows', n from o
+  union all select 'orders', 2, 'nulls dropped', n, filled, 'filled', filled from o union all select 'orders', 3, 'nulls filled', n, 0, 'lost', lost from o
+  union all select 'orders', 4, 'types', n, lost, 'low', 0 from o union all select 'orders', 5, 'bounds', n, lost, 'rows', n from o
+  union all select 'orders', 6, 'duplicates', n, nulls, 'rows', n from u union all select 'orders', 7, 'orphans', n, nulls, 'rows', n from h)
+select "table", step, name, metric, cast(value as bigint) as value from (
+  select "table", step, name, 'rows' as metric, rows as value from s union all select "table", step, name, 'nulls', nulls from s
+  union all select s."table", step, name, 'columns', (select count(*) from information_schema.columns i where i.table_name = s."table") from s
+  union all select "table", step, name, extra, value from s where extra <> 'rows') x""")
+def cleaning_steps(spark: SparkSession, d: str) -> DataFrame:
+    """Rows, columns, nulls and further counts of every step of cleaning two tables, from the runs that write them."""
+    return _cleaned(spark, d).report(spark)
+
+
+@R.add("""with m as (select c_custkey is not null as c, c_mktsegment, l.k is not null as l from orders left join customer on o_custkey = c_custkey and c_acctbal >= 0 left join (select distinct l_orderkey as k from lineitem where l_quantity > 40) l on l.k = o_orderkey)
+select 'orders' as "table", step, name, metric, cast(value as bigint) as value from (
+  select 0 as step, 'fact' as name, 'rows' as metric, count(*) as value from m union all select 1, 'customer', 'rows', count(*) from m union all select 2, 'lineitem', 'rows', count(*) from m
+  union all select 0, 'fact', 'columns', 2 union all select 1, 'customer', 'columns', 3 union all select 2, 'lineitem', 'columns', 4
+  union all select 0, 'fact', 'nulls', 0 union all select 1, 'customer', 'nulls', count(*) - count(c_mktsegment) from m union all select 2, 'lineitem', 'nulls', count(*) - count(c_mktsegment) from m
+  union all select 1, 'customer', 'matched', count(*) filter (where c) from m union all select 2, 'lineitem', 'matched', count(*) filter (where l) from m) x""")
+def build_steps(spark: SparkSession, d: str) -> DataFrame:
+    """Rows, columns, nulls and matches after every join of a build, from the run that writes the joined table."""
+    tables = {"orders": table(spark, d, "orders").select("o_orderkey", "o_custkey"), "customer": table(spark, d, "customer").where("c_acctbal >= 0"), "lineitem": table(spark, d, "lineitem").where("l_quantity > 40")}
+    dims = (consolidate.DimensionJoin("customer", "o_custkey", "c_custkey", columns=("c_mktsegment",), order=("c_mktsegment",)),)
+    bridges = (consolidate.BridgeSummary("lineitem", "l_orderkey", "l_partkey", "part", fact_key="o_orderkey", with_list=False, with_top=False),)
+    log = StepLog()
+    built, _ = consolidate.consolidate(tables, "orders", dims, (), bridges, log=log)
+    log.write(built, new_path(spark, "built"))
+    return log.report(spark)

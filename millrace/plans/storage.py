@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.core.session import shared_dir
+from millrace.core.scratch import new_path
 from millrace.operators import clean, consolidate, validate
 from millrace.plans.registry import Registry, rounded, table
 from millrace.sources import readers, writers
@@ -15,14 +13,10 @@ from millrace.sources import readers, writers
 R = Registry()
 
 
-def _new(spark: SparkSession, tag: str) -> str:
-    return f"{shared_dir(spark)}/millrace/{tag}-{uuid.uuid4().hex}"
-
-
 @R.add("""select c_custkey, c_name, c_mktsegment, array_to_string(string_split(c_name, '#'), '|') as parts, round(c_acctbal, 2) as c_acctbal from customer""")
 def csv_round_trip(spark: SparkSession, d: str) -> DataFrame:
     """A table written as CSV, lists joined, and read back as text with its missing values."""
-    path = _new(spark, "csv")
+    path = new_path(spark, "csv")
     rows = table(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment", F.split("c_name", "#").alias("parts"), "c_acctbal")
     writers.write_csv(rows, path)
     back = readers.read_csv(spark, path, multiline=False)
@@ -33,7 +27,7 @@ def csv_round_trip(spark: SparkSession, d: str) -> DataFrame:
 def latest_and_archive(spark: SparkSession, d: str) -> DataFrame:
     """Both copies of a dataset, read back from where they were written."""
     rows = table(spark, d, "part").select("p_partkey", "p_name", "p_size")
-    paths = writers.write_dataset(rows, _new(spark, "dataset"), report=rows.agg(F.count("*").alias("rows")), run_id="run")
+    paths = writers.write_dataset(rows, new_path(spark, "dataset"), report=rows.agg(F.count("*").alias("rows")), run_id="run")
     parts = [spark.read.parquet(f"{paths[place]}/data").withColumn("place", F.lit(place)) for place in ("latest", "archive")]
     return parts[0].unionByName(parts[1])
 
@@ -41,7 +35,7 @@ def latest_and_archive(spark: SparkSession, d: str) -> DataFrame:
 @R.add("""select case when o_orderkey % 10 < 2 then 'test' when o_orderkey % 10 = 2 then 'validation' else 'train' end as split, count(*) as rows, sum(o_orderkey) as keys from orders group by 1""")
 def splits_round_trip(spark: SparkSession, d: str) -> DataFrame:
     """Splits in folders of their own, read back one by one."""
-    path, k = _new(spark, "splits"), F.col("o_orderkey") % 10
+    path, k = new_path(spark, "splits"), F.col("o_orderkey") % 10
     writers.write_splits(table(spark, d, "orders").withColumn("split", F.when(k < 2, "test").when(k == 2, "validation").otherwise("train")), path)
     parts = [df.agg(F.lit(name).alias("split"), F.count("*").alias("rows"), F.sum("o_orderkey").alias("keys")) for name, df in sorted(writers.read_splits(spark, path).items())]
     out = parts[0]
