@@ -2,16 +2,25 @@
 
 from __future__ import annotations
 
+import itertools
+import math
+import re
+from collections import Counter
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
-import numpy as np
+import pyarrow as pa
 from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml.feature import IDF, CountVectorizer, ElementwiseProduct, Normalizer, OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
-from pyspark.ml.linalg import SparseVector, Vectors, VectorUDT
+from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.ml.param.shared import HasInputCol, HasOutputCol
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
+from millrace.core.scratch import materialize
 from millrace.functions.columns import without_accents
 from millrace.operators import ordered
 
@@ -37,6 +46,41 @@ def list_tokens(c: Column, delimiter: str = "|") -> Column:
     return F.array_distinct(F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), "\\" + delimiter), lambda x: F.lower(F.trim(x))), lambda x: x != ""))
 
 
+#: Bytes up to which a vocabulary is sent to every executor; entries that a counting task holds before it hands them on.
+VOCABULARY_BYTES, HELD_TERMS = 64 << 20, 1 << 18
+#: Parts over which the rows of a frequent term are dealt when the vocabulary is joined; weights that are sent on together.
+TERM_PARTS, WEIGHT_ROWS = 16, 1 << 16
+_WORD = re.compile(r"\w{2,}")
+
+
+def _plain(c: Column) -> Column:
+    """A text as its words are cut from it: lower case, no accents, null as empty."""
+    return without_accents(F.lower(F.coalesce(c, F.lit(""))))
+
+
+def row_terms(text: str, bigrams: bool) -> list[str]:
+    """``text_tokens`` of a text that ``_plain`` has prepared, for tasks that count inside a row."""
+    words = _WORD.findall(text)
+    return [*words, *(f"{a} {b}" for a, b in itertools.pairwise(words))] if bigrams else words
+
+
+def document_frequencies(df: DataFrame, text: str, bigrams: bool = True) -> DataFrame:
+    """``term, df``: rows of ``df`` whose text holds each term. Tasks add up their rows, so a frequent term is one row a task."""
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: Counter = Counter()
+        for batch in batches:
+            for x in batch.column(0).to_pylist():
+                held.update(set(row_terms(x, bigrams)))
+                if len(held) > HELD_TERMS:
+                    yield pa.RecordBatch.from_pydict({"term": list(held), "df": list(held.values())})
+                    held.clear()
+        if held:
+            yield pa.RecordBatch.from_pydict({"term": list(held), "df": list(held.values())})
+
+    return df.select(_plain(F.col(f"`{text}`")).alias("x")).mapInArrow(count, "term string, df long").groupBy("term").agg(F.sum("df").alias("df"))
+
+
 @dataclass(frozen=True)
 class TfidfModel:
     """``vocabulary``: term, df, idf."""
@@ -44,33 +88,64 @@ class TfidfModel:
     vocabulary: DataFrame
     cfg: TfidfConfig
 
-    def weights(self, df: DataFrame, row_id: str, text: str) -> DataFrame:
-        """``row_id, term, weight``: sublinear counts times idf, of length 1 a row. Terms outside the vocabulary drop out."""
-        # dealt by row once: counting and the norm then need no further exchange
-        tokens = df.select(row_id, text_tokens(F.col(text), self.cfg.bigrams).alias("t")).repartition(row_id)
-        terms = tokens.select(row_id, F.explode("t").alias("term"))
-        counts = terms.groupBy(row_id, "term").agg(F.count("*").alias("tf")).join(self.vocabulary, "term")
-        tf = 1 + F.log("tf") if self.cfg.sublinear else F.col("tf")
-        raw = counts.select(row_id, "term", (tf * F.col("idf")).alias("w"))
+    def weights(self, df: DataFrame, row_id: str, text: str, vocabulary_bytes: int = VOCABULARY_BYTES) -> DataFrame:
+        """``row_id, term, weight`` of each row: sublinear counts times idf, of length 1. Terms outside the vocabulary drop out.
+
+        Terms are counted inside their row. A vocabulary that is measured to have at most ``vocabulary_bytes`` goes to all
+        executors, and a row is finished where it is read; a larger one stays where it is and meets the counts by
+        (term, part of the rows), so that no task gets all rows of a frequent term.
+        """
+        cfg, kind = self.cfg, df.schema[row_id].dataType.simpleString()
+        rows = df.select(F.col(f"`{row_id}`"), _plain(F.col(f"`{text}`")).alias("__text"))
+        size = self.vocabulary.agg(F.sum(F.octet_length("term") + 100)).first()[0] or 0
+        if size <= vocabulary_bytes:
+            idf = df.sparkSession.sparkContext.broadcast({r["term"]: r["idf"] for r in self.vocabulary.select("term", "idf").collect()})
+            return rows.mapInArrow(_counter(row_id, cfg, lambda: idf.value), f"`{row_id}` {kind}, term string, weight double")
+        counts = rows.mapInArrow(_counter(row_id, cfg, lambda: None), f"`{row_id}` {kind}, term string, weight double")
+        parts = self.vocabulary.select("term", "idf", F.explode(F.sequence(F.lit(0), F.lit(TERM_PARTS - 1))).alias("__part"))
+        raw = counts.withColumn("__part", F.pmod(F.hash(row_id), F.lit(TERM_PARTS))).join(parts, ["term", "__part"]).select(row_id, "term", (F.col("weight") * F.col("idf")).alias("w"))
         norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(W.partitionBy(row_id)))
         return raw.select(row_id, "term", (F.col("w") / norm).alias("weight"))
 
 
+def _counter(row_id: str, cfg: TfidfConfig, idf: Callable[[], dict[str, float] | None]) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Weights of the rows of a task, of length 1 with an ``idf``; without one the counts of all terms."""
+
+    def weigh(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = idf()
+        for batch in batches:
+            ids, terms, weights = [], [], []
+            for place, x in enumerate(batch.column(1)):
+                counts = Counter(row_terms(x.as_py(), cfg.bigrams))
+                row = [(t, 1 + math.log(n) if cfg.sublinear else float(n)) for t, n in counts.items() if known is None or t in known]
+                if known is not None:
+                    row = [(t, w * known[t]) for t, w in row]
+                    norm = math.sqrt(sum(w * w for _, w in row))
+                    row = [(t, w / norm) for t, w in row]
+                ids += [place] * len(row)
+                terms += [t for t, _ in row]
+                weights += [w for _, w in row]
+                if len(ids) > WEIGHT_ROWS:
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(ids)), pa.array(terms, pa.string()), pa.array(weights, pa.float64())], [row_id, "term", "weight"])
+                    ids, terms, weights = [], [], []
+            if ids:
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(ids)), pa.array(terms, pa.string()), pa.array(weights, pa.float64())], [row_id, "term", "weight"])
+
+    return weigh
+
+
 def fit_tfidf(df: DataFrame, text: str, cfg: TfidfConfig | None = None) -> TfidfModel:
-    """Document frequencies, cut to at least ``min_df`` rows and at most ``max_df`` of them; smoothed idf."""
+    """Document frequencies, cut to at least ``min_df`` rows and at most ``max_df`` of them; smoothed idf. Written once."""
     cfg = cfg or TfidfConfig()
-    rows = df.select(F.array_distinct(text_tokens(F.col(text), cfg.bigrams)).alias("t"))
     total = df.count()
-    counts = rows.select(F.explode("t").alias("term")).groupBy("term").agg(F.count("*").alias("df")).where(F.col("df") >= cfg.min_df)
-    vocabulary = counts.where(F.col("df") <= cfg.max_df * total)
-    return TfidfModel(vocabulary.select("term", "df", (F.log((1.0 + total) / (1 + F.col("df"))) + 1).alias("idf")), cfg)
+    counts = document_frequencies(df, text, cfg.bigrams).where((F.col("df") >= cfg.min_df) & (F.col("df") <= cfg.max_df * total))
+    return TfidfModel(materialize(counts.select("term", "df", (F.log((1.0 + total) / (1 + F.col("df"))) + 1).alias("idf")), "vocabulary"), cfg)
 
 
 def vocabulary_sizes(df: DataFrame, text: str, limits: tuple[int, ...] = (1, 2, 5, 10, 20), bigrams: bool = True) -> DataFrame:
     """``min_df, terms``: size of the vocabulary for each limit."""
-    terms = df.select(F.explode(F.array_distinct(text_tokens(F.col(text), bigrams))).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
     each = F.array(*[F.struct(F.lit(x).alias("min_df"), F.count_if(F.col("df") >= x).alias("terms")) for x in limits])
-    return terms.agg(each.alias("r")).select(F.inline("r"))
+    return document_frequencies(df, text, bigrams).agg(each.alias("r")).select(F.inline("r"))
 
 
 def mean_weights(weights: DataFrame, rows: int, top: int) -> DataFrame:
@@ -105,6 +180,14 @@ class FeatureSet:
     min_df: int = 5
 
 
+def cells(df: DataFrame, row_id: list[str], vector: str = "features") -> DataFrame:
+    """``row_id, position, value``: the filled cells of a vector column, dense or sparse, as a long table."""
+    v = F.unwrap_udt(F.col(f"`{vector}`"))
+    places = F.when(v["type"] == 0, v["indices"]).otherwise(F.sequence(F.lit(0), F.size(v["values"]) - 1))
+    pairs = df.select(*row_id, F.explode(F.arrays_zip(places.alias("position"), v["values"].alias("value"))).alias("x"))
+    return pairs.select(*row_id, "x.position", "x.value").where("value <> 0")
+
+
 def _column_sql(name: str, expr: str) -> SQLTransformer:
     return SQLTransformer(statement=f"SELECT *, {expr} AS {name} FROM __THIS__")
 
@@ -118,7 +201,7 @@ def feature_pipeline(train: DataFrame, s: FeatureSet) -> PipelineModel:
 
     Nulls of a category are a category of their own, unseen ones are zeros. Numbers get the training median and are
     scaled by the population deviation. Text and lists as TF-IDF get the weights of ``fit_tfidf``; no vocabulary is cut.
-    All stages are distributed; the driver holds a vocabulary and a few numbers.
+    All stages are distributed; the driver holds a vocabulary and a few numbers. Every stage can be saved by Spark.
     """
     if absent := missing_columns(train, s):
         raise ValueError(f"{s.name}: columns are missing: {', '.join(absent)}")
@@ -128,10 +211,13 @@ def feature_pipeline(train: DataFrame, s: FeatureSet) -> PipelineModel:
     if s.categories:
         names = [f"c_{c}" for c in s.categories]
         stages.append(StringIndexer(inputCols=names, outputCols=[f"i_{n}" for n in names], handleInvalid="keep", stringOrderType="alphabetAsc"))
-        stages.append(OneHotEncoder(inputCols=[f"i_{n}" for n in names], outputCols=[f"o_{n}" for n in names], dropLast=True, handleInvalid="keep"))
+        # the indexer's last place is that of unseen values; dropping it leaves them zeros
+        stages.append(OneHotEncoder(inputCols=[f"i_{n}" for n in names], outputCols=[f"o_{n}" for n in names], dropLast=True, handleInvalid="error"))
         parts += [f"o_{n}" for n in names]
     if s.numbers:
-        medians = {c: (ordered.quantiles(train, c, [0.5]) or [None])[0] for c in s.numbers}
+        cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("double").alias("v")) for c in s.numbers])
+        found = {r["column"]: r["q0"] for r in ordered.group_quantiles(train.select(F.explode(cells).alias("x")).select("x.*"), ["column"], "v", [0.5]).collect()}
+        medians = {c: found.get(c) for c in s.numbers}
         filled = {c: F.coalesce(F.col(c).cast("double"), F.lit(medians[c] if medians[c] is not None else 0.0)) for c in s.numbers}
         row = train.agg(*[x for c in s.numbers for x in (F.avg(filled[c]), F.stddev_pop(filled[c]))]).first()
         for k, c in enumerate(s.numbers):
@@ -161,32 +247,35 @@ def feature_pipeline(train: DataFrame, s: FeatureSet) -> PipelineModel:
 ALL_TERMS = 2**31 - 1
 
 
-@F.udf(returnType=VectorUDT(), useArrow=False)
-def _log_counts(v: SparseVector) -> SparseVector:
-    """1 + ln(count) of the filled cells; no Spark function maps over the cells of a sparse vector."""
-    return SparseVector(v.size, v.indices, 1 + np.log(v.values))
-
-
-class Terms(Transformer):
+class Terms(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
     """``text_tokens`` of a column as a stage."""
 
-    def __init__(self, text: str, out: str) -> None:
+    def __init__(self, text: str | None = None, out: str | None = None) -> None:
         super().__init__()
-        self.text, self.out = text, out
+        if text is not None:
+            self._set(inputCol=text, outputCol=out)
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        return df.withColumn(self.out, text_tokens(F.col(f"`{self.text}`")))
+        return df.withColumn(self.getOutputCol(), text_tokens(F.col(f"`{self.getInputCol()}`")))
 
 
-class LogCounts(Transformer):
-    """Sublinear counts as a stage."""
+class LogCounts(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
+    """Sublinear counts as a stage: 1 + ln(count) of the filled cells.
+
+    No Spark function maps over the cells of a vector, so its parts are taken out, mapped, and read back as a vector
+    through JSON, all in the JVM.
+    """
 
-    def __init__(self, counts: str, out: str) -> None:
+    def __init__(self, counts: str | None = None, out: str | None = None) -> None:
         super().__init__()
-        self.counts, self.out = counts, out
+        if counts is not None:
+            self._set(inputCol=counts, outputCol=out)
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        return df.withColumn(self.out, _log_counts(F.col(self.counts)))
+        v = F.unwrap_udt(F.col(f"`{self.getInputCol()}`"))
+        logs = F.transform(v["values"], lambda x: F.when(x > 0, 1 + F.log(x)).otherwise(F.lit(0.0)))
+        parts = F.struct(v["type"].alias("type"), v["size"].alias("size"), v["indices"].alias("indices"), logs.alias("values"))
+        return df.withColumn(self.getOutputCol(), F.from_json(F.to_json(F.struct(parts.alias("v"))), StructType([StructField("v", VectorUDT())]))["v"])
 
 
 class Tfidf(Estimator):

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.core.scratch import new_path
 from millrace.operators import encoding, models
 from millrace.plans.registry import Registry, rounded, table
 
@@ -76,6 +78,28 @@ def _parts(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame
 CATEGORIES, NUMBERS = ("p_brand", "p_type", "l_returnflag"), ("l_quantity", "p_size")
 
 
+@R.add("""with r as (select l_orderkey, l_linenumber, p_brand, p_type, l_returnflag, cast(l_quantity as double) as l_quantity, cast(case when p_partkey % 7 <> 0 then p_size end as double) as p_size, p_partkey % 10 as k from lineitem join part on l_partkey = p_partkey),
+t as (select * from r where k > 2),
+b as (select p_brand, row_number() over (order by p_brand) - 1 as i from (select distinct p_brand from t) x), y as (select p_type, row_number() over (order by p_type) - 1 as i from (select distinct p_type from t) x),
+f as (select l_returnflag, row_number() over (order by l_returnflag) - 1 as i from (select distinct l_returnflag from t) x),
+w as (select (select count(*) from b) as b, (select count(*) from y) as y, (select count(*) from f) as f),
+m as (select median(l_quantity) as q, median(p_size) as s from t),
+n as (select avg(l_quantity) as qa, stddev_pop(l_quantity) as qs, avg(coalesce(p_size, s)) as sa, stddev_pop(coalesce(p_size, s)) as ss from t, m),
+v as (select * from r where k = 2)
+select l_orderkey, l_linenumber, cast(position as integer) as position, round(value, 6) as value from (
+  select l_orderkey, l_linenumber, b.i as position, 1.0::double as value from v join b using (p_brand)
+  union all select l_orderkey, l_linenumber, w.b + y.i, 1.0 from v join y using (p_type), w
+  union all select l_orderkey, l_linenumber, w.b + w.y + f.i, 1.0 from v join f using (l_returnflag), w
+  union all select l_orderkey, l_linenumber, w.b + w.y + w.f, (l_quantity - qa) / qs from v, n, w
+  union all select l_orderkey, l_linenumber, w.b + w.y + w.f + 1, (coalesce(p_size, s) - sa) / ss from v, m, n, w) x where value <> 0""")
+def feature_matrix(spark: SparkSession, d: str) -> DataFrame:
+    """The filled cells of the validation rows, by a pipeline that was fitted on the training rows, saved and loaded."""
+    train, validation, _ = (df.withColumn("p_size", F.when(F.col("p_partkey") % 7 != 0, F.col("p_size"))) for df in _parts(spark, d))
+    path = new_path(spark, "features")
+    encoding.feature_pipeline(train, encoding.FeatureSet("matrix", categories=CATEGORIES, numbers=NUMBERS)).write().save(path)
+    return rounded(encoding.cells(PipelineModel.load(path).transform(validation), ["l_orderkey", "l_linenumber"]), 6)
+
+
 @R.add("""with x as (select ln(1 + l_quantity * p_retailprice * (1 - l_discount)) as y, l_partkey % 10 as k from lineitem join part on l_partkey = p_partkey), m as (select median(y) as p from x where k > 2), v as (select y, p from x, m where k = 2)
 select round(avg(abs(exp(y) - exp(p))), 2) as mae, round(sqrt(avg(pow(exp(y) - exp(p), 2))), 2) as rmse, round(1 - sum(pow(exp(y) - exp(p), 2)) / (var_pop(exp(y) - 1) * count(*)), 4) as r2, count(*) as n from v""")
 def median_baseline(spark: SparkSession, d: str) -> DataFrame:
