@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from millrace.core.scratch import new_path
 from millrace.operators import clean, consolidate, validate
 from millrace.plans.registry import Registry, rounded, table
-from millrace.sources import readers, writers
+from millrace.sources import readers, versions, writers
 
 R = Registry()
 
@@ -71,3 +71,33 @@ def safe_join(spark: SparkSession, d: str) -> DataFrame:
     joined, skipped = consolidate.safe_left_join(left, nation, "c_nationkey", "n_nationkey", marker="matched")
     assert skipped == ["C_NAME"]
     return rounded(joined.withColumn("matched", F.coalesce("matched", F.lit(False))))
+
+
+@R.add("""with c as (select c_custkey, c_nationkey, c_mktsegment, c_acctbal, c_custkey % 3 + 8 as v from customer)
+select 'Version_' || v as dataset_version, count(*) as rows, count(distinct c_nationkey) as nations, count(case when v = 10 then null else c_mktsegment end) as segments, round(sum(c_acctbal), 2) as balance from c where v in (9, 10) group by v""")
+def version_scan(spark: SparkSession, d: str) -> DataFrame:
+    """Three versions written as CSV, the last without a column; one read of the two newer ones, whose files alone are opened."""
+    root, key = new_path(spark, "versions"), F.col("c_custkey") % 3 + 8
+    customers = table(spark, d, "customer").select("c_custkey", "c_nationkey", "c_mktsegment", "c_acctbal")
+    for v in (8, 9, 10):
+        own = customers.where(key == v)
+        writers.write_csv(own if v < 10 else own.drop("c_mktsegment"), f"{root}/Version_{v}/customer.csv")
+    rows = versions.read_versions(spark, root, "customer", only=("Version_9", "Version_10"))
+    return rows.groupBy("dataset_version").agg(F.count("*").alias("rows"), F.count_distinct("c_nationkey").alias("nations"), F.count("c_mktsegment").alias("segments"), F.round(F.sum(F.col("c_acctbal").cast("double")), 2).alias("balance"))
+
+
+@R.add("""with c as (select c_custkey, c_acctbal, c_custkey % 11 = 3 or c_custkey % 13 = 5 as torn from customer)
+select case when torn then 'bad' else 'good' end as kind, count(*) as rows, cast(sum(c_custkey) as bigint) as keys from c group by torn
+union all select 'bad, by file', count(*) filter (where torn), null from c""")
+def csv_bad_records(spark: SparkSession, d: str) -> DataFrame:
+    """Customers as CSV lines, some with a field too few or too many, and an empty file: good rows, and bad ones by file."""
+    path, key = new_path(spark, "torn"), F.col("c_custkey")
+    fields = [key.cast("string"), F.col("c_name"), F.col("c_acctbal").cast("string")]
+    line = F.when(key % 11 == 3, F.concat_ws(",", *fields[:2])).when(key % 13 == 5, F.concat_ws(",", *fields, F.lit("more"))).otherwise(F.concat_ws(",", *fields))
+    lines = table(spark, d, "customer").select(line.alias("value"))
+    lines.write.text(path)
+    lines.limit(0).coalesce(1).write.mode("append").text(path)
+    good, bad = readers.read_csv_checked(spark, path, ["key", "name", "balance"])
+    parts = [df.agg(F.lit(kind).alias("kind"), F.count("*").alias("rows"), F.sum(k.cast("long")).alias("keys")) for kind, df, k in (("good", good, F.col("key")), ("bad", bad, F.regexp_extract("record", r"^\d+", 0)))]
+    by_file = readers.bad_record_counts(bad).agg(F.lit("bad, by file").alias("kind"), F.sum("records").alias("rows"), F.lit(None).cast("long").alias("keys"))
+    return parts[0].unionByName(parts[1]).unionByName(by_file)

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import re
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.core.schemas import MANDATORY_FILES, OPTIONAL_FILES
 
@@ -46,6 +46,39 @@ def read_csv(spark: SparkSession, path: str, multiline: bool = True) -> DataFram
     return df.select(*[F.when(~F.array_contains(missing, F.col(f"`{c}`")), F.col(f"`{c}`")).alias(c) for c in df.columns])
 
 
+#: Column of the text of a record that does not fit its header.
+BAD_RECORD = "_bad_record"
+
+
+def read_csv_checked(spark: SparkSession, path: str | list[str], names: list[str] | None = None, multiline: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Good rows as ``read_csv`` gives them, and ``file, record`` of those with fewer or more fields than the header.
+
+    ``names`` are the columns of files without a header. A file without rows adds none; no good row at all is an error.
+    Both frames scan the files; count the second by file with ``bad_record_counts``.
+    """
+    reader = spark.read.option("header", names is None).option("multiLine", multiline).option("quote", '"').option("escape", '"')
+    if names is None:
+        names = reader.csv(path).columns
+    if BAD_RECORD in names:
+        raise ValueError(f"{path} has a column {BAD_RECORD}")
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, BAD_RECORD]])
+    # a parser that leaves out columns does not see how many fields a record has
+    rows = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BAD_RECORD).option("columnPruning", False).schema(schema).csv(path)
+    # Spark reads the text of a bad record only together with a column of the file: this always holds and names one
+    rows = rows.where(F.coalesce(F.length(f"`{names[0]}`"), F.lit(0)) >= 0)
+    missing = F.array(*[F.lit(x) for x in MISSING_TEXTS])
+    good = rows.where(F.col(BAD_RECORD).isNull()).select(*[F.when(~F.array_contains(missing, F.col(f"`{c}`")), F.col(f"`{c}`")).alias(c) for c in names])
+    if good.isEmpty():
+        raise ValueError(f"{path} has no rows")
+    bad = rows.where(F.col(BAD_RECORD).isNotNull())
+    return good, bad.select(F.col("_metadata.file_path").alias("file"), F.col(BAD_RECORD).alias("record"))
+
+
+def bad_record_counts(bad: DataFrame) -> DataFrame:
+    """``file, records``: bad records of each file that has any."""
+    return bad.groupBy("file").agg(F.count("*").alias("records"))
+
+
 def with_ordinal(df: DataFrame) -> DataFrame:
     """``df`` with the order of its rows: by file, then by place in it, for the rules that keep a first or last row."""
     place = F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
@@ -88,11 +121,3 @@ def load_version(spark: SparkSession, folder: str, mandatory: dict[str, tuple[st
 def load_catalog(spark: SparkSession, root: str) -> Catalog:
     """All versions under ``root``; lazy, nothing but file names and emptiness is looked at."""
     return {v: load_version(spark, f"{root}/{v}")[0] for v in discover_versions(spark, root)}
-
-
-def table_or_none(spark: SparkSession, path: str) -> DataFrame | None:
-    """A Parquet table, or None where there is none."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
