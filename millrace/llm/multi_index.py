@@ -16,17 +16,16 @@ from millrace.llm.components import Forest, connected_components
 from millrace.llm.scratch import materialize
 from millrace.llm.text import unit_hash
 
-#: Vectors, about, that the codebooks are fitted on and whose links set how far the visits go.
+#: Vectors, about, that the codebooks are fitted on and that are turned to see how far the visits must go.
 SAMPLE_ROWS = 8_000
 #: Bytes of vectors that the sample may have on the driver, about; longer vectors make a smaller sample.
 SAMPLE_BYTES = 64 << 20
-#: Vectors that a cell should hold, about: where visits end early, and where they go to the proven bound, which meets
-#: most cells, so that few large ones copy less. Code words of a half at most.
-CELL_ROWS, BOUND_CELL_ROWS, MOST_CODES = 200, 4096, 256
-#: Query vectors and rows of one side when they are compared.
-BLOCK_ROWS = 512
-#: Visits go at least so far, in the measure of ``Index``, and are set in steps of a hundredth of the full distance.
-LEAST_LIMIT, STEPS = 1e-3, 100
+#: Vectors that a cell should hold, about, and sampled vectors that a code word needs at least.
+CELL_ROWS, CODE_SAMPLES = 200, 8
+#: Links that are made from the sample to measure recall, at least, and the share of those at the least cosine that must be met.
+MADE_LINKS, RECALL_AT_LEAST = 20_000, 0.99
+#: A vector with so many copies, and more than a thousandth of all, meets its rows in HOT_PARTS tasks.
+HOT_COPIES, HOT_PARTS = 10_000, 64
 #: Vectors of one side of a comparison task, about.
 TILE_ROWS = 4096
 
@@ -62,38 +61,66 @@ class Index:
     """Codebooks of both halves for each length of vector, and how far a vector visits.
 
     A half of v that lies in another code word's cell than u's half is at least as far from it as the plane between the
-    two code words, which u's half is at a distance m from. For unit vectors u and v at distance d, v's cell thus has
-    m1^2 + m2^2 <= d^2, and visiting the cells in rising m1^2 + m2^2 up to d^2 = 2 - 2 * cosine misses no pair. Where
-    enough sampled vectors have links, visits for a recall below 1 end earlier; see ``_limit``.
+    two code words, which u's half is at a distance m from. Cells are visited in rising m1^2 + m2^2 up to ``limit``. For
+    unit vectors u and v at distance d, v's cell has m1^2 + m2^2 <= d^2, so a limit of 2 - 2 * cosine misses no pair;
+    few pairs need as much, and ``reach`` sets the limit by what links of known angles need.
     """
 
-    def __init__(self, samples: dict[int, np.ndarray], n: dict[int, int], cosine: float, cell_rows: int) -> None:
+    def __init__(self, samples: dict[int, np.ndarray], most: dict[int, int], cosine: float) -> None:
         self.codes: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        self.recall = 1.0  # measured share of sampled groups whose links are all met; 1 by proof at the full limit
+        self.gaps: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        self.cosine, self.recall, self.recall_at_least = cosine, 1.0, 1.0
         self.limit = 2 - 2 * cosine + 1e-6  # more than what rounding adds to a margin
         for dim, rows in samples.items():
             unit = rows / np.linalg.norm(rows, axis=1)[:, None]
-            k = int(min(MOST_CODES, len(rows), max(1, round((n[dim] / cell_rows) ** 0.5))))
+            k = int(min(max(1, len(rows) // CODE_SAMPLES), max(1, round((most[dim] / CELL_ROWS) ** 0.5))))
             cut = (dim + 1) // 2
             self.codes[dim] = (_codes(unit[:, :cut], k), _codes(unit[:, cut:], k))
-
-    def needed(self, a: tuple, b: tuple, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        """How far the visits must go for links of rows ``x`` with rows ``y``, by both sides' margins (the lower cell visits)."""
-        one_a, two_a, m1_a, m2_a = a
-        one_b, two_b, m1_b, m2_b = b
-        k = m1_a.shape[1]
-        from_a = (one_a * k + two_a)[x] < (one_b * k + two_b)[y]
-        return np.where(from_a, m1_a[x, one_b[y]] + m2_a[x, two_b[y]], m1_b[y, one_a[x]] + m2_b[y, two_a[x]])
+            self.gaps[dim] = tuple(np.sqrt(np.maximum(0, (c * c).sum(1)[:, None] - 2 * c @ c.T + (c * c).sum(1))) for c in self.codes[dim])
+
+    def needed(self, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+        """How far the visits must go for each unit row of ``u`` to meet that of ``v``: of two cells the lower one visits."""
+        (one_u, two_u, m1_u, m2_u), (one_v, two_v, m1_v, m2_v) = self.margins(u), self.margins(v)
+        k, row = m1_u.shape[1], np.arange(len(u))
+        from_u = one_u * k + two_u < one_v * k + two_v
+        return np.where(from_u, m1_u[row, one_v] + m2_u[row, two_v], m1_v[row, one_u] + m2_v[row, two_u])
+
+    def reach(self, samples: dict[int, np.ndarray], recall: float) -> None:
+        """Set the limit at which a share ``recall`` of links that are made from the sample would be met.
+
+        Sampled vectors are turned by angles that are even from 0 to that of the least cosine, half of them in random
+        directions and half towards other sampled vectors; at the least cosine itself, the hardest, at least 0.99 must
+        be met. So the measure needs no links in the data and does not depend on how many there are. A sample of m
+        vectors may hide a loss of 3 / m (in one of twenty samples), so both shares are raised by that.
+        """
+        rng, needs, total = np.random.default_rng(11), ([], []), sum(map(len, samples.values()))
+        for dim, rows in samples.items():
+            if dim < 2:
+                continue
+            unit = rows / np.linalg.norm(rows, axis=1)[:, None]
+            for turn in range(-(-MADE_LINKS // (2 * max(1, total))) * 2):
+                way = rng.normal(size=unit.shape) if turn % 2 else unit[rng.permutation(len(unit))] + 1e-9 * rng.normal(size=unit.shape)
+                way = way - (way * unit).sum(1)[:, None] * unit
+                way /= np.linalg.norm(way, axis=1)[:, None]
+                most = np.full(len(unit), np.arccos(self.cosine))
+                for found, angle in zip(needs, (most * rng.random(len(unit)), most)):
+                    found.append(self.needed(unit, np.cos(angle)[:, None] * unit + np.sin(angle)[:, None] * way))
+        if not needs[0]:
+            return
+        even, hardest = (np.concatenate(x) for x in needs)
+        hidden = 3 / total
+        limit = max(np.quantile(even, min(1.0, recall + hidden), method="higher"), np.quantile(hardest, min(1.0, min(recall, RECALL_AT_LEAST) + hidden), method="higher"))
+        self.limit = min(self.limit, float(limit) + 1e-9)
+        self.recall, self.recall_at_least = float((even <= self.limit).mean()), float((hardest <= self.limit).mean())
 
     def margins(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Of each row: the code words nearest to its halves, and the squared distances to the planes between them and the others."""
         cut = (unit.shape[1] + 1) // 2
-        first, second = self.codes[unit.shape[1]]
         out = []
-        for half, codes in ((unit[:, :cut], first), (unit[:, cut:], second)):
+        for half, codes, gaps in zip((unit[:, :cut], unit[:, cut:]), self.codes[unit.shape[1]], self.gaps[unit.shape[1]]):
             square = (codes * codes).sum(1) - 2 * half @ codes.T
             near = square.argmin(1)
-            gap = np.linalg.norm(codes[:, None] - codes[None], axis=2)[near]
+            gap = gaps[near]
             m = (square - square.min(1)[:, None]) / np.where(gap > 0, 2 * gap, np.inf)
             out.append((near, m * m))
         return out[0][0], out[1][0], out[0][1], out[1][1]
@@ -117,82 +144,22 @@ class Index:
 
 
 def _fit(reps: DataFrame, cosine: float, recall: float) -> Index:
-    """Codebooks from a bounded sample picked by hash; what reaches the driver is SAMPLE_ROWS vectors, about."""
-    n = {r["dim"]: r["n"] for r in reps.groupBy("dim").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "dim").limit(64).collect()}
+    """Codebooks and limit from a bounded sample picked by hash; what reaches the driver is SAMPLE_ROWS vectors, about.
+
+    Lengths beyond the 64 most frequent get no codebook: the vectors of such a length (and label) are one cell, and all met.
+    """
+    by_label = reps.groupBy("dim", "label").agg(F.count("*").alias("n"))
+    found = by_label.groupBy("dim").agg(F.sum("n").alias("n"), F.max("n").alias("most")).orderBy(F.desc("n"), "dim").limit(64).collect()
+    n, most = {r["dim"]: r["n"] for r in found}, {r["dim"]: r["most"] for r in found}  # cells are of a label: the largest sets their number
     total = sum(n.values())
     rows = min(SAMPLE_ROWS, SAMPLE_BYTES * total // max(1, sum(8 * d * k for d, k in n.items()))) if total else 0
     picked = reps.where(unit_hash("rep", seed="codebook") < rows / max(1, total)).select("rep", "label", "dim", "vec").orderBy("rep").limit(2 * SAMPLE_ROWS).collect()
     picked = [r for r in picked if r["dim"] in n]
     samples = {d: np.array([r["vec"] for r in picked if r["dim"] == d], float) for d in {r["dim"] for r in picked}}
-    if recall < 1 and picked:
-        index = Index(samples, n, cosine, CELL_ROWS)
-        limit = _limit(reps, index, [r for r in picked if r["dim"] in samples], cosine, recall)
-        if limit is not None:
-            index.limit, index.recall = min(index.limit, max(LEAST_LIMIT, limit[0])), limit[1]
-            return index
-    return Index(samples, n, cosine, BOUND_CELL_ROWS)
-
-
-def _limit(reps: DataFrame, index: Index, queries: list, cosine: float, recall: float) -> tuple[float, float] | None:
-    """How far visits must go for a share ``recall`` of ``queries`` to find all their links, and the share that then does.
-
-    None if too few queries have links.
-
-    A query counts as one over its links and itself, so that a group of near copies counts by the share of it that was
-    sampled, whatever its size. Below 3 / (1 - recall) such groups the sample does not show that recall (a loss of
-    1 - recall would go unseen in one of twenty samples): then only the proven bound will do.
-
-    Each task compares its vectors with the queries and returns a row for a query at most.
-    """
-    by: dict[tuple, list] = {}
-    for r in queries:
-        by.setdefault((r["label"], r["dim"]), []).append(r)
-    blocks = {}
-    for key, rows in by.items():
-        for k in range(0, len(rows), BLOCK_ROWS):
-            unit = np.array([r["vec"] for r in rows[k : k + BLOCK_ROWS]], float)
-            blocks.setdefault(key, []).append((np.array([r["rep"] for r in rows[k : k + BLOCK_ROWS]]), unit / np.linalg.norm(unit, axis=1)[:, None]))
-    sent = reps.sparkSession.sparkContext.broadcast((index, blocks))
-    width = index.limit / STEPS
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index, blocks = sent.value
-        links: dict[int, int] = {}
-        steps: dict[int, int] = {}
-        margins = {key: [index.margins(left) for _, left in block] for key, block in blocks.items()}
-        for batch in batches:
-            keys: dict[tuple, list[int]] = {}
-            for k, key in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())):
-                keys.setdefault(key, []).append(k)
-            for key, all_rows in keys.items():
-                for start in range(0, len(all_rows) if key in blocks else 0, BLOCK_ROWS):
-                    rows = pa.array(all_rows[start : start + BLOCK_ROWS])
-                    mine = np.array(batch.column(0).take(rows).to_pylist())
-                    right = np.array(batch.column(1).take(rows).to_pylist(), float)
-                    right /= np.linalg.norm(right, axis=1)[:, None]
-                    other = index.margins(right)
-                    for (names, left), margin in zip(blocks[key], margins[key]):
-                        x, y = np.nonzero((left @ right.T >= cosine) & (names[:, None] != mine))
-                        if not len(x):
-                            continue
-                        n, far = np.bincount(x, minlength=len(names)), np.zeros(len(names), int)
-                        np.maximum.at(far, x, np.minimum(np.ceil(index.needed(margin, other, x, y) / width).astype(int), STEPS))
-                        for k in np.nonzero(n)[0].tolist():
-                            name = int(names[k])
-                            links[name] = links.get(name, 0) + int(n[k])
-                            steps[name] = max(steps.get(name, 0), int(far[k]))
-        yield pa.RecordBatch.from_arrays([pa.array(list(links), pa.int64()), pa.array(list(steps[k] for k in links), pa.int64()), pa.array(list(links.values()), pa.int64())], names=["rep", "step", "n"])
-
-    found = reps.select("rep", "vec", "label", "dim").mapInArrow(run, "rep long, step long, n long").groupBy("rep").agg(F.max("step").alias("step"), F.sum("n").alias("n"))
-    rows = found.groupBy("step").agg(F.sum(1 / (F.col("n") + 1)).alias("groups")).orderBy("step").collect()
-    seen, total = 0.0, sum(r["groups"] for r in rows)
-    if total * (1 - recall) < 3:
-        return None
-    for r in rows:
-        seen += r["groups"]
-        if seen >= recall * total:
-            return r["step"] * width, seen / total
-    return None
+    index = Index(samples, most, cosine)
+    if recall < 1:
+        index.reach(samples, recall)
+    return index
 
 
 def _visit_rows(reps: DataFrame, index: Index) -> DataFrame:
@@ -269,21 +236,29 @@ def _compare(visits: DataFrame, reps: DataFrame, cosine: float) -> DataFrame:
     return rows.groupBy(*where, "mt", "vt").applyInPandas(link, "rep long, links long, other long")
 
 
+def _hot(reps: DataFrame) -> DataFrame:
+    """Vectors with HOT_COPIES copies or more that are a thousandth of all rows each: a thousand at most."""
+    total = reps.agg(F.sum("copies")).first()[0] or 0
+    return reps.where((F.col("copies") >= HOT_COPIES) & (F.col("copies") * 1000 >= total)).select("rep")
+
+
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", cosine: float = 0.98, recall: float = 0.999) -> DataFrame:
     """Return ``vec_id, n_links, component_id, kept`` for each row of ``vectors``.
 
     Vectors with equal, non-null labels and lengths link at ``cosine`` or more (double precision); ones that are null,
     zero, or hold a null, NaN or infinite component link with nothing. Equal vectors of a label are compared once and
-    counted by their copies. At a ``recall`` of 1 no link is missed;
-    below it about that share of the vectors' links is found, or all where a sample has too few links to tell. Repeated rows are vectors of their own; a null id
-    is never a component's smallest, unless there is no other; an empty table gives an empty result.
+    counted by their copies. At a ``recall`` of 1 no link is missed; below it visits end where that share of links made
+    from a sample is met (see ``Index.reach``), the same rule for every table. Repeated rows are vectors of their own; a
+    null id is never a component's smallest, unless there is no other; an empty table gives an empty result.
     """
     v = F.col("vec")
-    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("string").alias("label"), F.col(vector_col).cast("array<double>").alias("vec"))
+    # floats stay floats in what is shuffled; tasks compute in doubles
+    kind = "array<float>" if vectors.schema[vector_col].dataType.simpleString() == "array<float>" else "array<double>"
+    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("string").alias("label"), F.col(vector_col).cast(kind).alias("vec"))
     odd = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     some = F.exists(v, lambda x: x != 0)
     # 0.0 and -0.0 are equal, so they must hash alike
-    rows = rows.withColumn("vec", F.transform(v, lambda x: F.when(x == 0, F.lit(0.0)).otherwise(x))).withColumn("sound", F.coalesce(F.col("label").isNotNull() & ~odd & some, F.lit(False)))
+    rows = rows.withColumn("vec", F.transform(v, lambda x: F.when(x == 0, F.abs(x)).otherwise(x))).withColumn("sound", F.coalesce(F.col("label").isNotNull() & ~odd & some, F.lit(False)))
     sound = rows.where("sound")
     groups = sound.groupBy("label", "vec").agg(F.min("id").alias("first"), F.count("*").alias("copies"))
     for seed in range(8):  # a name for each vector of a label from its content, so reruns agree
@@ -291,8 +266,10 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
         reps = materialize(groups.withColumns({"rep": name, "dim": F.size("vec")}), "vectors")
         if reps.select("rep").distinct().count() == reps.count():
             break
+    else:
+        raise RuntimeError("names of vectors collide under eight seeds")
     index = _fit(reps, cosine, recall)
-    logging.getLogger(__name__).info("visits up to %g, recall %g", index.limit, index.recall)
+    logging.getLogger(__name__).info("visits up to %g, recall %g, at the least cosine %g", index.limit, index.recall, index.recall_at_least)
     visits = materialize(_visit_rows(reps, index), "visits")
     met = materialize(_compare(visits, reps, cosine), "links")
     counts = met.groupBy("rep").agg(F.sum("links").alias("links"))
@@ -302,7 +279,12 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     linked = reps.join(roots, reps.rep == roots.node).select("rep", "first", "component")
     linked = linked.join(linked.groupBy("component").agg(F.min("first").alias("low")), "component").select("rep", "low")
     answer = reps.select("rep", "first", "copies").join(counts, "rep", "left").join(linked, "rep", "left")
-    answer = answer.select(F.col("rep").alias("__rep"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("low", "first").alias("low"))
-    same = rows.select("id", F.when(F.col("sound"), name).alias("rep")).join(answer, F.col("rep") == F.col("__rep"), "left")
-    out = same.select(F.col("id").alias("vec_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("low", "id").alias("component_id"))
+    answer = answer.select("rep", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("low", "first").alias("low"))
+    hot = [r["rep"] for r in _hot(reps).collect()]
+    is_hot = F.col("rep").isin(hot) if hot else F.lit(False)
+    same = sound.select("id", name.alias("rep")).withColumn("__part", F.when(is_hot, F.pmod(F.xxhash64("id"), F.lit(HOT_PARTS))).otherwise(F.lit(0)))
+    answer = answer.withColumnRenamed("rep", "__rep").withColumn("__of", F.explode(F.sequence(F.lit(0), F.when(F.col("__rep").isin(hot) if hot else F.lit(False), F.lit(HOT_PARTS - 1)).otherwise(F.lit(0)))))
+    same = same.join(answer, (F.col("rep") == F.col("__rep")) & (F.col("__part") == F.col("__of"))).select("id", "n_links", "low")
+    every = same.unionByName(rows.where(~F.col("sound")).select("id", F.lit(0).cast("long").alias("n_links"), F.lit(None).cast("long").alias("low")))
+    out = every.select(F.col("id").alias("vec_id"), F.col("n_links").cast("long").alias("n_links"), F.coalesce("low", "id").alias("component_id"))
     return out.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))

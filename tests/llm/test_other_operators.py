@@ -315,6 +315,50 @@ def test_recall_of_cut_visits(spark, monkeypatch):
         assert 0.9 * full <= found <= full and full > 300
 
 
+def turned(unit, cosines, rng):
+    """Each row turned in a random direction, to the given cosine with itself."""
+    way = rng.normal(size=unit.shape)
+    way -= (way * unit).sum(1)[:, None] * unit
+    way /= np.linalg.norm(way, axis=1)[:, None]
+    return cosines[:, None] * unit + np.sqrt(1 - cosines**2)[:, None] * way
+
+
+@pytest.mark.parametrize("clustered", [False, True])
+def test_visits_meet_planted_pairs_with_little_work(clustered):
+    """20,000 vectors of one label with 200 pairs at 0.98 to 0.99: under a tenth of all pairs is computed; ten times the rows, under a fiftieth."""
+    rng = np.random.default_rng(12)
+    for n, share in ((20_000, 0.1), (200_000, 0.02)):
+        x = rng.normal(size=(n // 50, 64)).repeat(50, 0) + 0.6 * rng.normal(size=(n, 64)) if clustered else rng.normal(size=(n, 64))
+        x /= np.linalg.norm(x, axis=1)[:, None]
+        x[-200:] = turned(x[:200], rng.uniform(0.98, 0.99, 200), rng)
+        samples = {64: x[rng.permutation(n)[:8000]]}
+        index = multi_index.Index(samples, {64: n}, 0.98)
+        index.reach(samples, 0.999)
+        k = len(index.codes[64][0])
+        margins = index.margins(x)
+        cell = margins[0] * k + margins[1]
+        sizes = np.bincount(cell, minlength=k * k)
+        visits = list(index.visits(x[:2000]))
+        assert np.mean([sizes[[own, *(c for c in seen if c > own)]].sum() for own, seen in visits]) * n < share * n * n / 2
+        met = sum(int(cell[n - 200 + r]) in seen for r, (_, seen) in enumerate(visits[:200]))
+        back = list(index.visits(x[-200:]))
+        both = [int(cell[n - 200 + r]) in visits[r][1] if visits[r][0] <= back[r][0] else visits[r][0] in back[r][1] for r in range(200)]
+        assert met > 180 and np.mean(both) >= 0.95
+        assert index.recall >= 0.999 and index.recall_at_least >= 0.99 and index.limit < 0.2 * (2 - 2 * 0.98)
+
+
+def test_copies_of_one_vector_meet_their_rows_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(multi_index, "HOT_COPIES", 20)
+    rng = np.random.default_rng(13)
+    rows = [(k, [1.0, 2.0, 3.0], 1) for k in range(60)] + [(100 + k, rng.normal(size=3).tolist(), 1) for k in range(40)] + [(200 + k, None, 1) for k in range(30)] + [(None, [1.0, 2.0, 3.0], 1), (300, [2.0, 4.0, 6.0], 1)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = multi_index.near_duplicates(frame).collect()
+    assert len(got) == len(rows)
+    one = {r["vec_id"]: r for r in got}
+    assert all((one[k]["n_links"], one[k]["component_id"]) == (61 + sum(one[100 + j]["component_id"] == 0 for j in range(40)), 0) for k in (*range(60), None))
+    assert all((one[k]["n_links"], one[k]["component_id"], one[k]["kept"]) == (0, k, True) for k in range(200, 230))
+
+
 @pytest.mark.parametrize("hot", [0, 500])
 def test_links_of_small_groups_in_skewed_tables(spark, monkeypatch, hot):
     """A tight group with a third of the rows, or no other links at all, hides none of a few looser pairs."""
@@ -326,8 +370,7 @@ def test_links_of_small_groups_in_skewed_tables(spark, monkeypatch, hot):
     tight = base[999] + rng.normal(size=(hot, 6)) * 0.002
     vectors = np.concatenate([base, loose, tight])
     frame = spark.createDataFrame([(k, [float(x) for x in v], 0) for k, v in enumerate(vectors)], "vec_id long, embedding array<double>, label int")
-    for name in ("CELL_ROWS", "BOUND_CELL_ROWS"):
-        monkeypatch.setattr(multi_index, name, 8, raising=False)
+    monkeypatch.setattr(multi_index, "CELL_ROWS", 8)
     monkeypatch.setattr(multi_index, "SAMPLE_ROWS", 40)
     unit = vectors / np.linalg.norm(vectors, axis=1)[:, None]
     degree = (unit @ unit.T >= 0.98).sum(1) - 1
