@@ -5,7 +5,7 @@ from __future__ import annotations
 import html as entities
 import math
 import re
-from collections import Counter, deque
+from collections import Counter, defaultdict, deque
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -42,10 +42,6 @@ SOFT_WORDS = frozenset("side aside widget widgets foot header head promo promoti
 GOOD_WORDS = frozenset("article content post entry story main body text maincontent articlebody".split())
 #: A word behind one of these tells of a state of the element, not of what it is.
 STATES = frozenset("has no not with without is hide hides hidden".split())
-#: Open elements at most; deeper ones are read as if they were not there.
-MOST_OPEN = 512
-#: Quoted values of one tag at most.
-MOST_VALUES = 256
 
 
 @dataclass(frozen=True)
@@ -104,7 +100,8 @@ class Page:
     blocks: list[Block] = field(default_factory=list)
     stack: list[int] = field(default_factory=list)
     open: Counter = field(default_factory=Counter)
-    beyond: Counter = field(default_factory=Counter)
+    places: dict[str, list[int]] = field(default_factory=lambda: defaultdict(list))  # in the stack, of the open elements by tag
+    block_places: list[int] = field(default_factory=list)
     parts: list[str] = field(default_factory=list)
     linked: int = 0
     anchors: int = 0
@@ -118,7 +115,7 @@ class Page:
         linked, self.linked = self.linked, 0
         if text:
             at = self.stack[-1] if self.stack else -1
-            block = next((k for k in reversed(self.stack) if self.elements[k].tag in BLOCK), -1)
+            block = self.stack[self.block_places[-1]] if self.block_places else -1
             self.blocks.append(Block(text, at if block < 0 else block, self.elements[block].tag if block >= 0 else "", min(1.0, linked / max(1, len(text)))))
 
     def text(self, raw: str) -> None:
@@ -137,20 +134,20 @@ class Page:
             self.flush()
         for t in tags:
             self.open[t] -= 1
+            self.places[t].pop()
             self.silent -= t in SILENT
             self.anchors -= t == "a"
         del self.stack[k:]
+        while self.block_places and self.block_places[-1] >= k:
+            self.block_places.pop()
 
     def _nearest(self, ended: frozenset[str] | set[str], stop: frozenset[str] | set[str]) -> int:
-        """Place of the innermost open element among ``ended``, unless one of ``stop`` lies within it; -1 for none."""
-        if any(self.open[t] for t in ended):
-            for k in range(len(self.stack) - 1, -1, -1):
-                tag = self.elements[self.stack[k]].tag
-                if tag in ended:
-                    return k
-                if tag in stop:
-                    break
-        return -1
+        """Place of the innermost open element among ``ended``, unless one of ``stop`` lies within it; -1 for none.
+
+        Looked up by tag, so that the depth of the page does not matter.
+        """
+        last = max((self.places[t][-1] for t in ended if self.open[t]), default=-1)
+        return -1 if last < max((self.places[t][-1] for t in stop if self.open[t]), default=-1) else last
 
     def start(self, tag: str, attributes: str) -> None:
         if self.open["head"] and tag not in IN_HEAD and (k := self._nearest({"head"}, set())) >= 0:
@@ -169,9 +166,6 @@ class Page:
                 self.close(k)
         if tag in IMPLIED and (k := self._nearest(*IMPLIED[tag])) >= 0:
             self.close(k)
-        if len(self.stack) >= MOST_OPEN:
-            self.beyond[tag] += 1
-            return
         kind = ""
         if tag in ("article", "main"):
             kind = "article"
@@ -183,6 +177,9 @@ class Page:
             told = kind_of(attributes)
             kind = told if told in ("hard", "soft") and kind != "hard" else kind or told
         self.elements.append(Element(tag, self.stack[-1] if self.stack else -1, len(self.stack), kind))
+        self.places[tag].append(len(self.stack))
+        if tag in BLOCK:
+            self.block_places.append(len(self.stack))
         self.stack.append(len(self.elements) - 1)
         self.open[tag] += 1
         self.silent += tag in SILENT
@@ -192,9 +189,7 @@ class Page:
         if tag == "br":
             self.text(" ")
             return
-        if self.beyond[tag]:
-            self.beyond[tag] -= 1
-        elif (k := self._nearest({tag}, frozenset() if tag in BLOCK else {"table", "article", "main", "body"})) >= 0:
+        if (k := self._nearest({tag}, frozenset() if tag in BLOCK else {"table", "article", "main", "body"})) >= 0:
             self.close(k)
             return
         if tag in BLOCK:
@@ -222,24 +217,27 @@ def kind_of(attributes: str) -> str:
     return found.pop() if found else ""
 
 
-def _tag_end(page: str, at: int) -> int:
-    """Where the tag that ``at`` lies in ends, behind its ">"; quoted values may hold one. -1 if it does not end."""
-    here, plain = at, page.find(">", at)
-    for _ in range(MOST_VALUES):
-        stop = _STOP.search(page, here)
-        if stop is None:
-            break
+def _tag_end(page: str, at: int, endless: set[int]) -> int:
+    """Where the tag that ``at`` lies in ends, behind its ">"; quoted values may hold one. -1 if it does not end.
+
+    Where quotes do not close, the first ">" counts. ``endless`` are places from which no end was found: a later tag that
+    comes upon one goes no further, so that a page full of open quotes is looked at once.
+    """
+    here, seen = at, []
+    while (stop := _STOP.search(page, here)) is not None and stop.start() not in endless:
         if stop[0] == ">":
             return stop.end()
+        seen.append(stop.start())
         here = page.find(stop[0][-1], stop.end()) + 1
         if not here:
             break
-    return plain + 1 or -1
+    endless.update(seen)
+    return page.find(">", at) + 1 or -1
 
 
 def read_page(page: str) -> Page:
     """The blocks and elements of a page. Each character is looked at a bounded number of times, whatever the markup."""
-    state, at, last = Page(), 0, page.rfind(">")
+    state, at, last, endless = Page(), 0, page.rfind(">"), set()
     while at < len(page):
         less = page.find("<", at)
         if less < 0:
@@ -266,7 +264,7 @@ def read_page(page: str) -> Page:
         if name is None:
             at = page.find(">", less) + 1
             continue
-        at = _tag_end(page, name.end())
+        at = _tag_end(page, name.end(), endless)
         tag, attributes = name[2].lower(), page[name.end() : at - 1]
         if name[1]:
             state.end(tag)
@@ -317,23 +315,27 @@ def build_graph(page: Page, w: Weights) -> tuple[list[float], list[tuple[int, in
     blocks, elements = page.blocks, page.elements
     gain = [text_evidence(b, w) for b in blocks]
     total = max(1.0, sum(g for g in gain if g > 0))
-    # positive evidence below each element
-    mass = [0.0] * len(elements)
+    # characters of unlinked text below each element, of blocks that may be content
+    mass, whole = [0.0] * len(elements), 0.0
     for b, g in zip(blocks, gain):
+        own = len(b.text) * (1 - b.link_share) * (g > 0) + 1e-3
+        whole += own
         if b.element >= 0:
-            mass[b.element] += max(0.0, g) + 1e-3
+            mass[b.element] += own
     bad = [e.kind in ("hard", "soft") for e in elements]
     for k, e in enumerate(elements):
         bad[k] = bad[k] or e.parent >= 0 and bad[e.parent]
+    last = list(range(len(elements)))  # within each element, as they are numbered in the order of the page
     for k in range(len(elements) - 1, -1, -1):
         if elements[k].parent >= 0:
             mass[elements[k].parent] += mass[k]
+            last[elements[k].parent] = max(last[elements[k].parent], last[k])
     # the article: of those that are in nothing bad (or of all) the one with most text, or the part of it that holds most
     named = [k for k, e in enumerate(elements) if e.kind == "article" and mass[k] > 0]
     named = [k for k in named if not bad[k]] or named
     main = max(named, key=lambda k: (mass[k], -k), default=-1)
     for k in named:
-        if main >= 0 and k > main and mass[k] >= 0.6 * mass[main] and _within(elements, k, main):
+        if main >= 0 and k > main and mass[k] >= 0.6 * mass[main] and k <= last[main]:
             main = k
     around = set()
     k = main
@@ -366,7 +368,7 @@ def build_graph(page: Page, w: Weights) -> tuple[list[float], list[tuple[int, in
         marks.append(own)
     gain += caps
     outside = -1
-    if main >= 0 and mass[main] >= 0.3 * total:
+    if main >= 0 and mass[main] >= 0.3 * whole:
         outside = len(gain)
         gain.append(-w.outside * total)
     edges: list[tuple[int, int, float]] = []
@@ -388,12 +390,6 @@ def build_graph(page: Page, w: Weights) -> tuple[list[float], list[tuple[int, in
     return gain, edges
 
 
-def _within(elements: list[Element], k: int, outer: int) -> bool:
-    while k > outer:
-        k = elements[k].parent
-    return k == outer
-
-
 def _apart(elements: list[Element], a: int, b: int) -> int:
     """Steps from one element to the other in the tree. Over a page's blocks in order all of them are about its elements."""
     steps = 0

@@ -43,6 +43,36 @@ def test_odd_pages(page):
     assert isinstance(html_extract.main_text(page), str)
 
 
+@pytest.mark.parametrize("deep", [0, 600, 20_000])
+def test_what_is_silent_or_marked_stays_so_at_any_depth(deep):
+    """Menus, buttons, drawings and options behind many open elements are no text; after they close, text is text again."""
+    inner = "<nav><p>Read all of the news of today here now.</p></nav><button>Send it</button><svg><text>drawn words</text></svg><select><option>one of many</option></select>"
+    page = f"<article><h1>Head</h1><p>{P1}</p>" + "<div>" * deep + inner + f"<p>{P2}</p>" + "</div>" * deep + f"<p>{P3}</p></article>"
+    assert html_extract.main_text(page) == "\n\n".join(["Head", P1, P2, CLEAN3])
+    wrapped = "<span>" * deep + inner + "</span>" * deep
+    assert html_extract.main_text(f"<article><h1>Head</h1><p>{P1}</p>{wrapped}<p>{P2}</p><p>{P3}</p></article>") == "\n\n".join(["Head", P1, P2, CLEAN3])
+
+
+def test_of_several_articles_the_one_with_most_text_counts():
+    short = "".join(f"<p>This is short line {k} of it.</p>" for k in range(4))
+    long = f"<p>{' '.join(LINE for _ in range(8))}</p><p>{' '.join(LINE for _ in range(5))}</p>"
+    for first, second in ((short, long), (long, short)):
+        got = html_extract.main_text(f"<main><article>{first}</article><article>{second}</article></main>")
+        assert got.count(LINE) == 13
+
+
+def quick(page):
+    began = time.perf_counter()
+    html_extract.main_text(page)
+    return time.perf_counter() - began
+
+
+@pytest.mark.parametrize("part", ["<a ='", "<a =\"x' ='", "<span>text</b>", "<table><b>", "<article>", "<p><b>", "</div>x", "<li><ul><span>", "<td><table>", "<a href='x\">"])
+def test_broken_pages_take_time_in_proportion(part):
+    small, large = (min(quick("<b><span>" * 50 + part * n) for _ in range(2)) for n in (4_000, 32_000))
+    assert large < 24 * small + 0.5
+
+
 LINE = "The quick brown fox jumps over the lazy dog near the river bank today, said the old man."
 ARTICLE = "".join(f"<p>{LINE} Number {k}.</p>" for k in range(8))
 PLAIN = "\n\n".join(f"{LINE} Number {k}." for k in range(8))
