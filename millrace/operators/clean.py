@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.core.schemas import CleaningRule, ForeignKey
-from millrace.functions.columns import null_salt
+from millrace.operators import skew
 from millrace.operators.steps import StepLog
 
 #: Texts that are a missing value once trimmed.
@@ -114,16 +114,21 @@ def dedupe(df: DataFrame, keys: list[str] | None, order: list[Column] | None = N
     return df.withColumn("__n", F.row_number().over(W.partitionBy(*by).orderBy(*way))).where("__n = 1").drop("__n")
 
 
-def drop_orphans(df: DataFrame, keys: tuple[ForeignKey, ...], parents: dict[str, DataFrame]) -> DataFrame:
-    """Rows whose foreign keys have a parent; a null key stays, and a key whose parent table is absent is not tested."""
+def drop_orphans(df: DataFrame, keys: tuple[ForeignKey, ...], parents: dict[str, DataFrame], hot_share: float | None = None) -> DataFrame:
+    """Rows whose foreign keys have a parent; a null key stays, and a key whose parent table is absent is not tested.
+
+    With ``hot_share`` keys that hold so much of the table are measured first and dealt over several tasks.
+    """
     for k in keys:
         parent = parents.get(k.parent)
         if parent is None or k.column not in df.columns or k.parent_column not in parent.columns:
             continue
-        ids = parent.select(F.col(f"`{k.parent_column}`").alias("__parent")).where("__parent is not null").distinct().withColumn("__zero", F.lit(0))
-        salted = df.withColumn("__salt", null_salt(df, k.column))
-        hit = salted.join(ids, (F.col(f"`{k.column}`") == F.col("__parent")) & (F.col("__salt") == F.col("__zero")), "left")
-        df = hit.where(F.col("__parent").isNotNull() | F.col(f"`{k.column}`").isNull()).drop("__parent", "__zero", "__salt")
+        ids = parent.select(F.col(f"`{k.parent_column}`").alias("__parent")).where("__parent is not null").distinct()
+        hot = skew.hot_keys(df, k.column, hot_share) if hot_share else []
+        ids = ids.withColumn("__part", F.explode(skew.parts_of_key(F.col("__parent"), hot)))
+        salted = df.withColumn("__salt", skew.part_of_row(df, k.column, hot))
+        hit = salted.join(ids, (F.col(f"`{k.column}`") == F.col("__parent")) & (F.col("__salt") == F.col("__part")), "left")
+        df = hit.where(F.col("__parent").isNotNull() | F.col(f"`{k.column}`").isNull()).drop("__parent", "__part", "__salt")
     return df
 
 

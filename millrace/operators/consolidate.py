@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import null_salt
+from millrace.operators import skew
 from millrace.operators.steps import StepLog
 
 
@@ -59,19 +59,21 @@ def _named(df: DataFrame, key: str, rename: dict[str, str], columns: tuple[str,
     return df.select(*[F.col(f"`{c}`").alias(rename.get(c, c) if c != key else c) for c in kept])
 
 
-def safe_left_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, marker: str | None = None) -> tuple[DataFrame, list[str]]:
+def safe_left_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, marker: str | None = None, hot_share: float | None = None) -> tuple[DataFrame, list[str]]:
     """Left join that adds the columns of ``right`` that ``left`` lacks, and the names it left out.
 
     ``right`` must have one row a key. ``marker`` names a column that tells whether a row matched. Spark chooses the
     join by the sizes that it knows, so a dimension is broadcast only while it is small. Rows without a key are dealt
-    over all tasks.
+    over all tasks. With ``hot_share`` the keys that hold so much of ``left`` are measured first and dealt over several
+    tasks, with copies of their one row of ``right``; the result is the same.
     """
+    hot = skew.hot_keys(left, left_key, hot_share) if hot_share else []
     there = {c.lower() for c in left.columns}
     new = [c for c in right.columns if c != right_key and c.lower() not in there]
     skipped = [c for c in right.columns if c != right_key and c.lower() in there]
-    side = right.select(F.col(f"`{right_key}`").alias("__key"), F.lit(0).alias("__zero"), *[F.col(f"`{c}`") for c in new], *([F.lit(True).alias(marker)] if marker else []))
-    salted = left.withColumn("__salt", null_salt(left, left_key))
-    return salted.join(side, (F.col(f"`{left_key}`") == F.col("__key")) & (F.col("__salt") == F.col("__zero")), "left").drop("__key", "__salt", "__zero"), skipped
+    side = right.select(F.col(f"`{right_key}`").alias("__key"), F.explode(skew.parts_of_key(F.col(f"`{right_key}`"), hot)).alias("__part"), *[F.col(f"`{c}`") for c in new], *([F.lit(True).alias(marker)] if marker else []))
+    salted = left.withColumn("__salt", skew.part_of_row(left, left_key, hot))
+    return salted.join(side, (F.col(f"`{left_key}`") == F.col("__key")) & (F.col("__salt") == F.col("__part")), "left").drop("__key", "__salt", "__part"), skipped
 
 
 def one_per_key(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
@@ -92,7 +94,7 @@ def snapshot(df: DataFrame, spec: SnapshotJoin) -> DataFrame:
     return _named(one_per_key(df, spec.right_key, order), spec.right_key, spec.rename, spec.columns)
 
 
-def summarise_bridge(bridge: DataFrame, spec: BridgeSummary, names: DataFrame | None = None) -> DataFrame:
+def summarise_bridge(bridge: DataFrame, spec: BridgeSummary, names: DataFrame | None = None, hot_share: float | None = None) -> DataFrame:
     """``key`` with ``<prefix>_count, top_<prefix>, <prefix>_list`` of a bridge's distinct non-null values.
 
     Values are replaced by their names where ``names`` is given. The top value is the most frequent, of equals the
@@ -103,7 +105,8 @@ def summarise_bridge(bridge: DataFrame, spec: BridgeSummary, names: DataFrame |
     rows = bridge
     if names is not None and spec.names_value:
         side = one_per_key(names, spec.names_key, [F.col(spec.names_value)]).select(F.col(f"`{spec.names_key}`").alias("__key"), F.col(f"`{spec.names_value}`").alias("__name"))
-        rows, value = rows.join(side, value == F.col("__key"), "left"), F.col("__name")
+        named, _ = safe_left_join(rows.select(F.col(f"`{spec.key}`"), value), side, spec.value, "__key", hot_share=hot_share)
+        rows, value = named, F.col("__name")
     pairs = rows.select(F.col(f"`{spec.key}`").alias("__k"), value.alias("__v")).where("__k is not null and __v is not null").groupBy("__k", "__v").agg(F.count("*").alias("__n"))
     aggs = []
     if spec.with_count:
@@ -115,11 +118,12 @@ def summarise_bridge(bridge: DataFrame, spec: BridgeSummary, names: DataFrame |
     return pairs.groupBy(F.col("__k").alias(spec.key)).agg(*aggs)
 
 
-def consolidate(tables: dict[str, DataFrame], fact: str, dimensions: tuple[DimensionJoin, ...] = (), snapshots: tuple[SnapshotJoin, ...] = (), bridges: tuple[BridgeSummary, ...] = (), markers: bool = False, log: StepLog | None = None) -> tuple[DataFrame, dict[str, list[str]]]:
+def consolidate(tables: dict[str, DataFrame], fact: str, dimensions: tuple[DimensionJoin, ...] = (), snapshots: tuple[SnapshotJoin, ...] = (), bridges: tuple[BridgeSummary, ...] = (), markers: bool = False, log: StepLog | None = None, hot_share: float | None = None) -> tuple[DataFrame, dict[str, list[str]]]:
     """The fact table with all joins in order, and the column names that each join left out because they were there.
 
     Absent tables and disabled specs are passed over. With ``markers`` a column ``__hit_<table>`` tells what matched.
     With ``log`` the fact table and the result of every join are watched as steps, with the rows that ``matched``.
+    With ``hot_share`` the hot keys of every join are measured and dealt over several tasks, those of bridges too.
     """
     out, skipped = log.watch(tables[fact], fact, "fact") if log else tables[fact], {}
     for spec in [s for s in (*dimensions, *snapshots, *bridges) if s.enabled and s.table in tables]:
@@ -129,8 +133,8 @@ def consolidate(tables: dict[str, DataFrame], fact: str, dimensions: tuple[Dimen
         elif isinstance(spec, SnapshotJoin):
             right, left_key, right_key = snapshot(tables[spec.table], spec), spec.left_key, spec.right_key
         else:
-            right, left_key, right_key = summarise_bridge(tables[spec.table], spec, tables.get(spec.names or "")), spec.fact_key or spec.key, spec.key
-        out, skipped[spec.table] = safe_left_join(out, right, left_key, right_key, marker)
+            right, left_key, right_key = summarise_bridge(tables[spec.table], spec, tables.get(spec.names or ""), hot_share), spec.fact_key or spec.key, spec.key
+        out, skipped[spec.table] = safe_left_join(out, right, left_key, right_key, marker, hot_share)
         if isinstance(spec, BridgeSummary) and spec.with_count and f"{spec.prefix}_count" not in skipped[spec.table]:
             out = out.withColumn(f"{spec.prefix}_count", F.coalesce(f"{spec.prefix}_count", F.lit(0)))
         if log:

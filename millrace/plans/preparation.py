@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.core.schemas import CleaningRule, ForeignKey, TableSchema, ValidationRules, ValueRule
-from millrace.core.scratch import new_path
-from millrace.operators import align, clean, consolidate, sets, validate
+from millrace.core.scratch import materialize, new_path
+from millrace.operators import align, clean, consolidate, sets, sketches, skew, validate
 from millrace.operators.steps import StepLog
 from millrace.plans.registry import Registry, rounded, table
 
@@ -282,3 +282,54 @@ def build_steps(spark: SparkSession, d: str) -> DataFrame:
     built, _ = consolidate.consolidate(tables, "orders", dims, (), bridges, log=log)
     log.write(built, new_path(spark, "built"))
     return log.report(spark)
+
+
+_HOT = "h as (select l_orderkey, l_linenumber, case when l_orderkey % 3 = 0 then 7 when l_orderkey % 7 = 1 then null else l_partkey end as k from lineitem)"
+
+
+@R.add(f"""with {_HOT} select case when k = 7 then 'hot' when k is null then 'none' else 'other' end as kind, count(*) as rows, count(p_partkey) as matched, round(coalesce(sum(p_retailprice), 0), 2) as price
+from h left join part on k = p_partkey and p_size > 10 group by 1""")
+def hot_key_join(spark: SparkSession, d: str) -> DataFrame:
+    """A join in which one key has a third of the rows: measured, and dealt with copies of its one row of the other side."""
+    order = F.col("l_orderkey")
+    lines = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.when(order % 3 == 0, F.lit(7).cast("long")).when(order % 7 != 1, F.col("l_partkey")).alias("k"))
+    joined, _ = consolidate.safe_left_join(lines, table(spark, d, "part").where("p_size > 10").select("p_partkey", "p_retailprice"), "k", "p_partkey", marker="hit", hot_share=skew.HOT_SHARE)
+    kind = F.when(F.col("k") == 7, "hot").when(F.col("k").isNull(), "none").otherwise("other")
+    return joined.groupBy(kind.alias("kind")).agg(F.count("*").alias("rows"), F.count("hit").alias("matched"), F.round(F.coalesce(F.sum("p_retailprice"), F.lit(0.0)), 2).alias("price"))
+
+
+@R.add(f"""with {_HOT} select h.k as key, count(*) as rows from h left join part on k = p_partkey and p_size > 10 where h.k is null or p_partkey is not null group by 1""")
+def hot_key_orphans(spark: SparkSession, d: str) -> DataFrame:
+    order = F.col("l_orderkey")
+    lines = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.when(order % 3 == 0, F.lit(7).cast("long")).when(order % 7 != 1, F.col("l_partkey")).alias("key"))
+    kept = clean.drop_orphans(lines, (ForeignKey("key", "part", "p_partkey"),), {"part": table(spark, d, "part").where("p_size > 10")}, hot_share=skew.HOT_SHARE)
+    return kept.groupBy("key").agg(F.count("*").alias("rows"))
+
+
+_SKETCHED = """y as (select year(o_orderdate) as y, o_custkey as c, o_custkey || '|' || o_orderpriority as p from orders where year(o_orderdate) in (1995, 1996, 1997)),
+k as (select y, 'customer' as key, cast(c as varchar) as v from y union all select y, 'customer, priority', p from y), u as (select distinct y, key, v from k), r as (select key, v, count(*) as n, count(*) filter (where y = 1996) as a, count(*) filter (where y = 1997) as b from u group by 1, 2)"""
+
+
+@R.add(f"""with {_SKETCHED} select *, true as within from (
+select key, 'distinct' as measure, count(*) as exact from r group by 1 union all select key, 'repeated', count(*) filter (where n > 1) from r group by 1 union all select key, 'both', count(*) filter (where a > 0 and b > 0) from r group by 1
+union all select key, 'only_left', count(*) filter (where a > 0 and b = 0) from r group by 1 union all select key, 'only_right', count(*) filter (where b > 0 and a = 0) from r group by 1) x""")
+def sketched_versions(spark: SparkSession, d: str) -> DataFrame:
+    """Estimates from stored sketches of three versions beside the exact counts: do they lie within the stated error?"""
+    orders = table(spark, d, "orders").withColumn("version", F.year("o_orderdate").cast("string"))
+    keys, years = {"customer": ["o_custkey"], "customer, priority": ["o_custkey", "o_orderpriority"]}, ["1995", "1996", "1997"]
+    parts = [sketches.key_sketches(orders.where(F.col("version") == y), y, keys) for y in years]
+    stored = materialize(parts[0].unionByName(parts[1]).unionByName(parts[2]), "key-sketches")
+    overlap = sketches.overlap_estimates(stored, "1996", "1997")
+    tall = [sketches.union_estimates(stored).select("key", F.lit("distinct").alias("measure"), F.col("distinct").alias("estimate")), sketches.repeated_estimates(stored, years).select("key", F.lit("repeated").alias("measure"), F.col("repeated").alias("estimate"))]
+    tall += [overlap.select("key", F.lit(m).alias("measure"), F.col(m).alias("estimate")) for m in ("both", "only_left", "only_right")]
+    found = tall[0]
+    for t in tall[1:]:
+        found = found.unionByName(t)
+    exact = []
+    for name, columns in keys.items():
+        own = orders.where(F.col("version").isin(*years)).groupBy(*columns).agg(F.count_distinct("version").alias("n"), F.max(F.col("version") == "1996").alias("a"), F.max(F.col("version") == "1997").alias("b"))
+        counts = {"distinct": F.count("*"), "repeated": F.count_if(F.col("n") > 1), "both": F.count_if(F.col("a") & F.col("b")), "only_left": F.count_if(F.col("a") & ~F.col("b")), "only_right": F.count_if(F.col("b") & ~F.col("a"))}
+        exact.append(own.agg(F.array(*[F.struct(F.lit(name).alias("key"), F.lit(m).alias("measure"), c.alias("exact")) for m, c in counts.items()]).alias("x")).select(F.inline("x")))
+    both = exact[0].unionByName(exact[1]).join(found, ["key", "measure"])
+    whole = F.max(F.when(F.col("measure") == "distinct", F.col("exact"))).over(Window.partitionBy("key"))
+    return both.select("key", "measure", "exact", (F.abs(F.col("estimate") - F.col("exact")) <= sketches.stated_error() * whole).alias("within"))
