@@ -11,7 +11,7 @@ from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
-from pyspark.ml.feature import IDF, CountVectorizer, ElementwiseProduct, Normalizer, OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import IDF, CountVectorizer, ElementwiseProduct, Normalizer, OneHotEncoder, SQLTransformer, StringIndexer, TargetEncoder, TargetEncoderModel, VectorAssembler
 from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
@@ -23,6 +23,7 @@ from pyspark.sql.types import StructField, StructType
 from millrace.core.scratch import materialize
 from millrace.functions.columns import without_accents
 from millrace.operators import ordered
+from millrace.operators.target_stats import PRIOR_ROWS, ordered_statistics
 
 
 @dataclass(frozen=True)
@@ -196,19 +197,25 @@ def missing_columns(df: DataFrame, s: FeatureSet) -> list[str]:
     return [c for c in (*s.categories, *s.numbers, *([s.text] if s.text else []), *([s.items] if s.items else [])) if c not in df.columns]
 
 
-def feature_pipeline(train: DataFrame, s: FeatureSet) -> PipelineModel:
+def feature_pipeline(train: DataFrame, s: FeatureSet, label: str | None = None) -> PipelineModel:
     """Branches of a feature set, fitted on ``train``, ending in ``features``.
 
     Nulls of a category are a category of their own, unseen ones are zeros. Numbers get the training median and are
     scaled by the population deviation. Text and lists as TF-IDF get the weights of ``fit_tfidf``; no vocabulary is cut.
-    All stages are distributed; the driver holds a vocabulary and a few numbers. Every stage can be saved by Spark.
+    With ``label`` a category is its mean target instead, drawn to the mean of all rows as ``target_stats`` does; an
+    unseen one is that mean. All stages are distributed; the driver holds a vocabulary and a few numbers. Every stage can be saved by Spark.
     """
     if absent := missing_columns(train, s):
         raise ValueError(f"{s.name}: columns are missing: {', '.join(absent)}")
     stages, parts = [], []
     for c in s.categories:
         stages.append(_column_sql(f"c_{c}", f"coalesce(cast(`{c}` as string), '__MISSING__')"))
-    if s.categories:
+    if s.categories and label is not None:
+        names = [f"c_{c}" for c in s.categories]
+        stages.append(StringIndexer(inputCols=names, outputCols=[f"i_{n}" for n in names], handleInvalid="keep", stringOrderType="alphabetAsc"))
+        stages.append(TargetEncoder(inputCols=[f"i_{n}" for n in names], outputCols=[f"t_{n}" for n in names], labelCol=label, targetType="continuous", smoothing=PRIOR_ROWS, handleInvalid="keep"))
+        parts += [f"t_{n}" for n in names]
+    elif s.categories:
         names = [f"c_{c}" for c in s.categories]
         stages.append(StringIndexer(inputCols=names, outputCols=[f"i_{n}" for n in names], handleInvalid="keep", stringOrderType="alphabetAsc"))
         # the indexer's last place is that of unseen values; dropping it leaves them zeros
@@ -243,6 +250,19 @@ def feature_pipeline(train: DataFrame, s: FeatureSet) -> PipelineModel:
     return Pipeline(stages=stages).fit(train)
 
 
+def training_rows(train: DataFrame, s: FeatureSet, made: PipelineModel, label: str, seed: int = 42) -> DataFrame:
+    """``features, label`` of the rows that ``made`` was fitted on with its label: each category by the rows before a row only.
+
+    The pipeline itself gives a row the mean of its whole category, which the row's own target is a part of; a model that
+    learns from that trusts rare categories too much.
+    """
+    *stages, assembler = made.stages
+    rows = PipelineModel([t for t in stages if not isinstance(t, TargetEncoderModel)]).transform(train)
+    keys = [f.name for f in train.schema.fields if "map<" not in f.dataType.simpleString()]
+    rows = ordered_statistics(rows, {f"t_c_{c}": f"c_{c}" for c in s.categories}, label, keys, seed)
+    return assembler.transform(rows).select("features", F.col(label).cast("double").alias(label))
+
+
 #: Size of a vocabulary that is not cut.
 ALL_TERMS = 2**31 - 1
 

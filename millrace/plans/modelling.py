@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.core.scratch import new_path
-from millrace.operators import encoding, models
+from millrace.operators import encoding, models, target_stats
 from millrace.plans.registry import Registry, rounded, table
 
 R = Registry()
@@ -124,6 +124,20 @@ def prediction_checks(spark: SparkSession, d: str) -> DataFrame:
     return models.check_predictions(table(spark, d, "lineitem").withColumnRenamed("l_extendedprice", "prediction"))
 
 
+_STATS = "p as (select l_orderkey, l_linenumber, p_brand, case when l_suppkey % 5 = 0 then null else l_suppkey end as supplier, ln(1 + l_extendedprice) as y, l_partkey, l_suppkey, md5('42:' || l_orderkey || ':' || l_linenumber || ':' || l_partkey || ':' || l_suppkey) as o from lineitem join part on l_partkey = p_partkey), m as (select avg(y) as m from p)"
+
+
+@R.add(f"""with {_STATS}, w as (select *, sum(y) over b as bs, count(y) over b as bn, sum(y) over s as ss, count(y) over s as sn from p
+window b as (partition by p_brand order by o rows between unbounded preceding and 1 preceding), s as (partition by supplier order by o rows between unbounded preceding and 1 preceding))
+select l_orderkey, l_linenumber, l_partkey, l_suppkey, round((coalesce(bs, 0) + 10 * m) / (coalesce(bn, 0) + 10), 6) as brand_stat, round((coalesce(ss, 0) + 10 * m) / (coalesce(sn, 0) + 10), 6) as supplier_stat from w, m""")
+def ordered_target_statistics(spark: SparkSession, d: str) -> DataFrame:
+    """Brand and supplier (a fifth unknown) as the mean log price of the rows before each in a random order."""
+    rows = table(spark, d, "lineitem").join(table(spark, d, "part").select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey"))
+    rows = rows.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "p_brand", F.when(F.col("l_suppkey") % 5 != 0, F.col("l_suppkey")).alias("supplier"), F.log1p("l_extendedprice").alias("y"))
+    out = target_stats.ordered_statistics(rows, {"brand_stat": "p_brand", "supplier_stat": "supplier"}, "y", ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"])
+    return rounded(out.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "brand_stat", "supplier_stat"), 6)
+
+
 @R.add()
 def ridge_ladder(spark: SparkSession, d: str) -> DataFrame:
     train, validation, _ = _parts(spark, d)

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.core.scratch import new_path
+from millrace.core.schemas import LISTING_VALIDATION
+from millrace.core.scratch import materialize, new_path
 from millrace.operators import clean, consolidate, validate
 from millrace.plans.registry import Registry, rounded, table
 from millrace.sources import readers, versions, writers
@@ -54,13 +55,68 @@ def null_policies(spark: SparkSession, d: str) -> DataFrame:
     return each[0].unionByName(each[1])
 
 
-@R.add("""with c as (select count(*) filter (where c_acctbal < 0) as bad from customer), o as (select count(*) filter (where o_totalprice < 0) as bad from orders)
-select (c.bad = 0)::int + (o.bad = 0)::int as passed, (c.bad > 0)::int + (o.bad > 0)::int as failed, 1 as skipped, c.bad + o.bad as violations from c, o""")
+# Orders, customers and line items as listings, companies and skills: with repeated keys, nulls, values out of their domain and orphans.
+_LISTINGS = """p as (select case when o_orderkey % 50 = 0 then 7 else o_orderkey end as job_id, case when o_custkey % 13 <> 0 then o_custkey end as company_id, case when o_orderstatus <> 'P' then o_orderpriority end as title, o_totalprice - 50000 as min_salary,
+case o_orderstatus when 'F' then 'YEARLY' when 'O' then 'MONTHLY' else 'DAILY' end as pay_period, o_orderkey % 3 as remote_allowed, case when o_orderkey % 4 = 0 then 'full time' else 'FULL_TIME' end as work_type,
+case when o_orderkey % 5 = 0 then 12 when o_orderkey % 5 <> 1 then epoch_ms(o_orderdate) end as listed_time, o_orderkey % 5 = 1 as no_time from orders),
+c as (select c_custkey as company_id, c_name from customer where c_acctbal >= 0), s as (select l_orderkey as job_id, l_returnflag as skill from lineitem)"""
+_VIOLATIONS = f"""with {_LISTINGS}, report as (
+select 'postings' as "table", 'structure' as "check", x as "column", 1 as violations from (values ('original_listed_time'), ('expiry'), ('closed_time'), ('formatted_experience_level')) v(x)
+union all select 'postings', 'null', 'job_id', count(*) - count(job_id) from p union all select 'postings', 'null', 'company_id', count(*) - count(company_id) from p union all select 'postings', 'null', 'title', count(*) - count(title) from p
+union all select 'postings', 'value', 'min_salary', count(*) filter (where min_salary < 0) from p union all select 'postings', 'value', 'max_salary', 0
+union all select 'postings', 'value', 'listed_time', count(*) filter (where listed_time < 946684800000) from p union all select 'postings', 'value', 'remote_allowed', count(*) filter (where remote_allowed = 2) from p
+union all select 'postings', 'value', 'work_type', count(*) filter (where work_type = 'full time') from p union all select 'postings', 'value', 'pay_period', count(*) filter (where pay_period = 'DAILY') from p
+union all select 'postings', 'type', 'min_salary', 0 union all select 'postings', 'type', 'max_salary', 0 union all select 'postings', 'type', 'listed_time', count(*) filter (where no_time) from p
+union all select 'postings', 'duplicate', 'job_id', cast(coalesce(sum(n), 0) as bigint) from (select count(*) as n from p group by job_id having count(*) > 1) d
+union all select 'postings', 'orphan', 'company_id', count(*) from p where company_id is not null and company_id not in (select company_id from c)
+union all select 'companies', 'null', 'company_id', 0 union all select 'companies', 'null', 'name', count(*) - count(c_name) from c union all select 'companies', 'duplicate', 'company_id', 0
+union all select 'job_skills', 'null', 'job_id', 0 union all select 'job_skills', 'null', 'skill_abr', count(*) - count(skill) from s
+union all select 'job_skills', 'orphan', 'job_id', count(*) from s where job_id not in (select job_id from p) union all select 'job_skills', 'orphan', 'skill_abr', count(*) from s where skill not in ('A', 'N')
+union all select 'skills', 'null', 'skill_abr', 0 union all select 'skills', 'duplicate', 'skill_abr', 0)"""
+
+
+def _version(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    key = F.col("o_orderkey")
+    postings = table(spark, d, "orders").select(
+        F.when(key % 50 == 0, F.lit(7)).otherwise(key).alias("job_id"), F.when(F.col("o_custkey") % 13 != 0, F.col("o_custkey")).alias("company_id"), F.when(F.col("o_orderstatus") != "P", F.col("o_orderpriority")).alias("title"),
+        (F.col("o_totalprice") - 50000).alias("min_salary"), F.col("o_totalprice").alias("max_salary"), F.when(F.col("o_orderstatus") == "F", "YEARLY").when(F.col("o_orderstatus") == "O", "MONTHLY").otherwise("DAILY").alias("pay_period"),
+        (key % 3).alias("remote_allowed"), F.when(key % 4 == 0, "full time").otherwise("FULL_TIME").alias("work_type"),
+        F.when(key % 5 == 0, "12").when(key % 5 == 1, "soon").otherwise(F.unix_millis(F.col("o_orderdate").cast("timestamp")).cast("string")).alias("listed_time"),
+    )
+    return {
+        "postings": postings, "companies": table(spark, d, "customer").where("c_acctbal >= 0").select(F.col("c_custkey").alias("company_id"), F.col("c_name").alias("name")),
+        "job_skills": table(spark, d, "lineitem").select(F.col("l_orderkey").alias("job_id"), F.col("l_returnflag").alias("skill_abr")),
+        "skills": spark.createDataFrame([("A",), ("N",)], "skill_abr string"), "extra": table(spark, d, "region"),
+    }
+
+
+@R.add(_VIOLATIONS + ' select "table", "check", "column", cast(violations as bigint) as violations from report')
+def validate_version(spark: SparkSession, d: str) -> DataFrame:
+    """All tables of a version against the default rules: structure, nulls, values, types, repeated keys, orphans."""
+    return validate.validate_version(_version(spark, d), LISTING_VALIDATION)
+
+
+@R.add(_VIOLATIONS + """, t as (select "table", sum(violations) as v from report group by 1)
+select cast(count(*) filter (where v = 0) as bigint) as passed, cast(count(*) filter (where v > 0) as bigint) as failed, cast(1 as bigint) as skipped, cast(sum(v) as bigint) as violations from t""")
 def validation_summary(spark: SparkSession, d: str) -> DataFrame:
-    """Tables that pass, fail or have no rule, and the checks' violations."""
-    low = lambda name, c: table(spark, d, name).agg(F.lit(name).alias("table"), F.lit("range").alias("check"), F.lit(c).alias("column"), F.count_if(F.col(c) < 0).alias("violations"))
-    report = low("customer", "c_acctbal").unionByName(low("orders", "o_totalprice"))
-    return validate.validation_summary(report, ["customer", "orders", "part"])
+    """Tables of the version that pass, fail or have no rule, and all violations."""
+    tables = _version(spark, d)
+    return validate.validation_summary(validate.validate_version(tables, LISTING_VALIDATION), list(tables))
+
+
+@R.add(_VIOLATIONS + """, g as (select "check", sum(violations) as v from report group by 1)
+select policy, (select count(*) > 0 from g where v > 0 and list_contains(string_split(policy, ','), g."check")) as raised from (values ('orphan'), ('duplicate,null'), ('structure,type'), ('other')) p(policy)""")
+def validation_gate(spark: SparkSession, d: str) -> DataFrame:
+    """Which policies would stop the run: each raises one error that names all its violated checks."""
+    report = materialize(validate.validate_version(_version(spark, d), LISTING_VALIDATION), "validation")
+    rows = []
+    for policy in ("orphan", "duplicate,null", "structure,type", "other"):
+        try:
+            validate.enforce(report, tuple(policy.split(",")))
+            rows.append((policy, False))
+        except ValueError:
+            rows.append((policy, True))
+    return spark.createDataFrame(rows, "policy string, raised boolean")
 
 
 @R.add("""select c_custkey, c_name, c_nationkey, n_name, n_name is not null as matched from customer left join nation on c_nationkey = n_nationkey""")
