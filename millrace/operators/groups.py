@@ -273,6 +273,14 @@ def agreement(df: DataFrame, condition: Column) -> DataFrame:
     return df.agg(F.count(condition).alias("n"), F.count_if(condition).alias("agree"), (100 * F.avg(condition.cast("int"))).alias("pct"))
 
 
+def same_category(df: DataFrame, a: str, b: str) -> DataFrame:
+    """``pairs, agree, pct``: rows in which two columns name one category: equal in lower case, with underscores as spaces; nulls are equal."""
+    plain = lambda c: F.coalesce(F.translate(F.lower(F.col(c).cast("string")), "_", " "), F.lit(""))
+    counts = df.groupBy(a, b).agg(F.count("*").alias("n"))
+    out = counts.agg(F.count("*").alias("pairs"), F.coalesce(F.sum(F.when(plain(a) == plain(b), F.col("n"))), F.lit(0)).alias("agree"), F.sum("n").alias("n"))
+    return out.select("pairs", "agree", (100 * F.try_divide(F.col("agree"), F.col("n"))).alias("pct"))
+
+
 def top_agreement(df: DataFrame, by: str, value: str) -> DataFrame:
     """``by, n, agree, pct``: the rows of a group that have its most frequent value (of equals the smallest), in one count a value."""
     counts = df.where(F.col(value).isNotNull()).groupBy(by, value).agg(F.count("*").alias("n"))

@@ -380,3 +380,13 @@ def top_value_agreement(spark: SparkSession, d: str) -> DataFrame:
     """How far a group's most frequent value stands for its rows."""
     part = table(spark, d, "part").select("p_brand", F.split("p_type", " ")[0].alias("a"))
     return rounded(groups.top_agreement(part, "p_brand", "a"))
+
+
+@R.add("""with x as (select lower(replace(o_orderpriority, '_', ' ')) as a, lower(replace(case when o_orderkey % 3 = 0 then upper(replace(o_orderpriority, ' ', '_')) when o_orderkey % 3 = 1 then o_orderpriority else '5-LOW' end, '_', ' ')) as b,
+o_orderpriority as ra, case when o_orderkey % 3 = 0 then upper(replace(o_orderpriority, ' ', '_')) when o_orderkey % 3 = 1 then o_orderpriority else '5-LOW' end as rb from orders)
+select (select count(*) from (select distinct ra, rb from x) d) as pairs, count(*) filter (where a = b) as agree, round(100.0 * count(*) filter (where a = b) / count(*), 4) as pct from x""")
+def category_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """Rows in which two spellings of a category mean the same."""
+    key, priority = F.col("o_orderkey") % 3, F.col("o_orderpriority")
+    other = F.when(key == 0, F.upper(F.translate(priority, " ", "_"))).when(key == 1, priority).otherwise("5-LOW")
+    return rounded(groups.same_category(table(spark, d, "orders").withColumn("other", other), "o_orderpriority", "other"))

@@ -245,3 +245,32 @@ def group_split_sizes(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").select(F.coalesce("text", F.lit("")).alias("text"))
     docs = docs.select("text", F.sha2("text", 256).alias("group"))
     return split.group_split(docs, "group").groupBy("split").agg(F.count_distinct("group").alias("groups"))
+
+
+@R.add(f"""with {_PAY_SQL} select round(annual, 6) as target_annual_salary, src as salary_target_source, l_quantity as company_employee_count, round(ln(1 + l_quantity), 6) as log_company_employee_count, cast(null as double) as log_company_follower_count,
+sha256('part ' || l_partkey || '||unknown||unknown') as posting_group_id, 'v1' as dataset_version, 'part ' || l_partkey as title from f where reason is null""")
+def modelling_rows(spark: SparkSession, d: str) -> DataFrame:
+    """What a model may learn from: rows with a target, predictors that leak nothing, logged numbers, group and metadata."""
+    rows = _pay(spark, d).withColumns({"title": F.concat(F.lit("part "), F.col("l_partkey")), "company_employee_count": F.col("l_quantity"), "dataset_version": F.lit("v1")})
+    out = target.modelling_frame(rows)
+    assert not set(out.columns) & (set(target.LEAKS) - set(target.METADATA))
+    return rounded(out.drop("target_log_salary"), 6)
+
+
+@R.add("""with o as (select count(*) as n, count(*) filter (where o_totalprice <= 0) as bad, count(distinct o_custkey) as groups from orders)
+select name, broken from (select 'sound' as name, false as broken union all select 'null group', true union all select 'bad target', true union all select 'few groups', true) x""")
+def split_contract(spark: SparkSession, d: str) -> DataFrame:
+    """Which tables a split refuses: with null groups, targets that are not positive, or fewer than ten groups."""
+    orders = table(spark, d, "orders").select("o_custkey", "o_totalprice", "o_orderstatus")
+    tried = {
+        "sound": (orders, "o_custkey"), "null group": (orders.withColumn("o_custkey", F.when(F.col("o_custkey") % 7 != 0, F.col("o_custkey"))), "o_custkey"),
+        "bad target": (orders.withColumn("o_totalprice", F.col("o_totalprice") - 100000), "o_custkey"), "few groups": (orders, "o_orderstatus"),
+    }
+    rows = []
+    for name, (df, group) in tried.items():
+        try:
+            split.check_input(df, group, "o_totalprice")
+            rows.append((name, False))
+        except ValueError:
+            rows.append((name, True))
+    return spark.createDataFrame(rows, "name string, broken boolean")

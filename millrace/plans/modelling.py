@@ -185,3 +185,53 @@ def batch_score(spark: SparkSession, d: str) -> DataFrame:
     fit_rows, rejected = models.prepare_requests(test.withColumn("title", F.when(F.col("l_linenumber") != 7, F.col("title"))), ("title",), ("p_type",), "skill_list")
     scored = models.score(fitted, fit_rows).select("l_orderkey", "l_linenumber", "skill_count", "prediction", F.lit(None).cast("string").alias("reject_reason"))
     return scored.unionByName(rejected.select("l_orderkey", "l_linenumber", "skill_count", F.lit(None).cast("double").alias("prediction"), "reject_reason"))
+
+
+_ONE = """x as (select ln(1 + l_quantity * p_retailprice * (1 - l_discount)) as y, cast(l_quantity as double) as q, l_partkey % 10 as k from lineitem join part on l_partkey = p_partkey),
+s as (select avg(q) as m, stddev_pop(q) as d from x where k > 2), t as (select y, (q - m) / d as z from x, s where k > 2), c as (select avg(y) as a, sum(z * (y - (select avg(y) from t))) / (count(*) + 100.0) as b from t),
+v as (select y, a + b * (q - m) / d as p from x, s, c where k = 2)"""
+
+
+@R.add(f"with {_ONE} select round(avg(abs(y - p)), 5) as log_mae, round(sqrt(avg(pow(y - p, 2))), 5) as log_rmse, round(1 - sum(pow(y - p, 2)) / (var_pop(y) * count(*)), 5) as log_r2, count(*) as n from v")
+def ridge_one_number(spark: SparkSession, d: str) -> DataFrame:
+    """A ridge fit on one scaled number with a penalty of 100, whose slope has a closed form."""
+    train, validation, _ = _parts(spark, d)
+    fitted = models.fit(train, encoding.FeatureSet("one", "ridge", numbers=("l_quantity",)), params={"alpha": 100.0})
+    m = models.metrics(fitted.predict(validation))
+    return rounded(m.select("log_mae", "log_rmse", "log_r2", "n"), 5)
+
+
+@R.add("""with r as (select case when l_linenumber = 7 then 'title' end as reason, len(list_distinct(string_split(p_name, ' '))) as skills from lineitem join part on l_partkey = p_partkey where l_partkey % 10 < 2)
+select reason as reject_reason, count(*) as rows, cast(sum(skills) as double) as skills, case when reason is null then count(*) else 0 end as scored from r group by 1""")
+def batch_reasons(spark: SparkSession, d: str) -> DataFrame:
+    """What a batch of requests comes to: rows by the reason they were rejected for, their skills, and how many got a prediction."""
+    scored = batch_score(spark, d)
+    return scored.groupBy("reject_reason").agg(F.count("*").alias("rows"), F.sum("skill_count").alias("skills"), F.count("prediction").alias("scored"))
+
+
+@R.add("""with b as (select p_brand as experiment, avg(p_retailprice) as rmse from part group by 1), m as (select avg(p_retailprice) as base from part)
+select experiment, round(base - rmse, 6) as gain, round(100 * (base - rmse) / base, 6) as gain_pct, base - rmse > 0 and 100 * (base - rmse) / base > 0.5 as better, row_number() over (order by rmse, experiment) as rank from b, m""")
+def trials_against_baseline(spark: SparkSession, d: str) -> DataFrame:
+    """A board of trials (here the mean price of each brand as the error) against a baseline, with the least gain that counts."""
+    part = table(spark, d, "part")
+    board = part.groupBy(F.col("p_brand").alias("experiment")).agg(F.avg("p_retailprice").alias("rmse"))
+    base = part.agg(F.avg("p_retailprice")).first()[0]
+    return rounded(models.rank(models.compare_to_baseline(board, base, least_gain_pct=0.5), ties=("experiment",)).select("experiment", "gain", "gain_pct", "better", "rank"), 6)
+
+
+@R.add()
+def derived_ladder(spark: SparkSession, d: str) -> DataFrame:
+    """The structured set as winner, with more numbers, more categories, and both."""
+    train, validation, _ = (df.withColumn("discounted", F.col("l_quantity") * F.col("p_size")) for df in _parts(spark, d))
+    winner = encoding.FeatureSet("E1", "ridge", CATEGORIES[:2], NUMBERS[:1])
+    board, _ = models.run_experiments(train, validation, [models.Experiment(winner), *models.extended_ladder(winner, ("p_size", "discounted"), ("l_returnflag",))])
+    return models.rank(board).drop("train_seconds")
+
+
+@R.add()
+def family_comparison(spark: SparkSession, d: str) -> DataFrame:
+    """All families on fixed features, the ensembles at a size that runs in seconds."""
+    train, validation, _ = _parts(spark, d)
+    small = {"median": {}, "ridge": {}, "forest": {"trees": 8, "depth": 6}, "boosting": {"rounds": 6, "depth": 4, "rate": 0.1}, "ordered_boosting": {"rounds": 6, "depth": 4, "rate": 0.1}}
+    board, _ = models.run_experiments(train, validation, [models.Experiment(encoding.FeatureSet(f, f, CATEGORIES, NUMBERS), p) for f, p in small.items()])
+    return models.rank(board).drop("train_seconds")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.core.schemas import LISTING_VALIDATION
+from millrace.core.schemas import LISTING_VALIDATION, CleaningRule
 from millrace.core.scratch import materialize, new_path
 from millrace.operators import clean, consolidate, validate
 from millrace.plans.registry import Registry, rounded, table
@@ -157,3 +157,30 @@ def csv_bad_records(spark: SparkSession, d: str) -> DataFrame:
     parts = [df.agg(F.lit(kind).alias("kind"), F.count("*").alias("rows"), F.sum(k.cast("long")).alias("keys")) for kind, df, k in (("good", good, F.col("key")), ("bad", bad, F.regexp_extract("record", r"^\d+", 0)))]
     by_file = readers.bad_record_counts(bad).agg(F.lit("bad, by file").alias("kind"), F.sum("records").alias("rows"), F.lit(None).cast("long").alias("keys"))
     return parts[0].unionByName(parts[1]).unionByName(by_file)
+
+
+@R.add("""select 'json' as form, o_orderstatus as name, cast(count(*) as bigint) as n from orders group by 2 union all select 'csv', strftime(ts, '%Y-%m-%d'), count(*) from events group by 2""")
+def reports_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """A report as JSON lines and a daily series as CSV, read back."""
+    report = table(spark, d, "orders").groupBy(F.col("o_orderstatus").alias("name")).agg(F.count("*").alias("n"))
+    series = table(spark, d, "events").groupBy(F.date_format("ts", "yyyy-MM-dd").alias("name")).agg(F.count("*").alias("n"))
+    paths = new_path(spark, "report"), new_path(spark, "series")
+    writers.write_report(report, paths[0])
+    writers.write_csv(series, paths[1])
+    back = spark.read.schema("name string, n long").json(paths[0]).select(F.lit("json").alias("form"), "name", "n")
+    return back.unionByName(readers.read_csv(spark, paths[1], multiline=False).select(F.lit("csv").alias("form"), "name", F.col("n").cast("long").alias("n")))
+
+
+@R.add("""select 'customer' as "table", true as done, cast(count(*) as bigint) as rows from customer where c_acctbal >= 0 or c_acctbal is null
+union all select 'orders', false, count(*) from orders union all select 'part', true, count(*) from part""")
+def cleaning_failures(spark: SparkSession, d: str) -> DataFrame:
+    """A table whose rule cannot be kept is left as it came; the others are cleaned."""
+    tables = {n: table(spark, d, n) for n in ("customer", "orders", "part")}
+    rules = {
+        "customer": CleaningRule(("c_custkey",), lower_bounds={"c_acctbal": 0.0}, low_values="drop_row"), "orders": CleaningRule(("o_orderkey",), lower_bounds={"o_totalprice": 0.0}, low_values="no such policy"),
+        "part": CleaningRule(("p_partkey",)),
+    }
+    order = {"customer": [F.col("c_custkey")], "orders": [F.col("o_orderkey")], "part": [F.col("p_partkey")]}
+    done, failed = clean.clean_version(tables, rules, {}, order, folder=new_path(spark, "cleaned"))
+    parts = [done[n].agg(F.lit(n).alias("table"), F.lit(n not in failed).alias("done"), F.count("*").alias("rows")) for n in tables]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
