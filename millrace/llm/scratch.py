@@ -1,24 +1,12 @@
-"""Shared-folder scratch tables that cut lineage and survive lost executors."""
+"""Scratch tables of the operators, and names that no column has."""
 
 from __future__ import annotations
 
-import uuid
+from pyspark.sql import DataFrame
 
-from pyspark.sql import DataFrame, SparkSession
+from millrace.core.scratch import materialize, new_path
 
-from millrace.core.session import shared_dir
-
-
-def new_path(spark: SparkSession, tag: str) -> str:
-    """A path in the shared folder that no earlier run has used."""
-    return f"{shared_dir(spark)}/millrace/{tag}-{uuid.uuid4().hex}"
-
-
-def materialize(df: DataFrame, tag: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back: later stages restart from the files."""
-    path = new_path(df.sparkSession, tag)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+__all__ = ["fresh", "materialize", "new_path"]
 
 
 def fresh(df: DataFrame, name: str) -> str:

@@ -152,13 +152,15 @@ def write_archives(pages: DataFrame, out_dir: str, date: str = "1970-01-01T00:00
     A task writes archives under a name of its attempt and returns their paths, so what a lost or repeated attempt
     leaves is never read: the returned table, kept in the shared folder, is the list of what was committed. A record
     is in memory at a time, and each has an id of its own, repeated rows too. Odd rows are treated as by ``assign``; an
-    empty table gives no archive. The dictionary is built on the driver from the records of about SAMPLE_ROWS rows
-    picked by hash, of at most SAMPLE_BYTES each.
+    empty table gives no archive. The dictionary is built on the driver from the records of about SAMPLE_ROWS distinct
+    pages picked by hash, of at most SAMPLE_BYTES each.
     """
     rows = assign(pages, **columns)
     html, url = (F.col(columns.get(f"{c}_col", c)) for c in ("html", "url"))
     small = pages.select(url.cast("string").alias("u"), F.coalesce(html, F.lit("")).alias("t")).where(F.octet_length("t") <= SAMPLE_BYTES)
-    sample = small.where(unit_hash("t", "u", seed="dictionary") < SAMPLE_ROWS / max(small.count(), 1)).distinct().limit(4 * SAMPLE_ROWS)
+    # copies of a page are one page to the sample: they are counted by their hash, and only those picked are made distinct
+    pages_left = small.select(F.xxhash64("t", "u").alias("h")).distinct().count()
+    sample = small.where(unit_hash("t", "u", seed="dictionary") < SAMPLE_ROWS / max(pages_left, 1)).distinct().limit(4 * SAMPLE_ROWS)
     payloads = sorted((r["t"].encode(), r["u"] or "") for r in sample.collect())
     samples = [_record("response", u, str(k), date, t, payload_digest(t), f"sample {k}", None, None) for k, (t, u) in enumerate(payloads)]
     sent = pages.sparkSession.sparkContext.broadcast(build_dictionary(samples))

@@ -204,6 +204,16 @@ def test_archive_layout():
         list(warc.read_records(io.BytesIO(out.getvalue()[:-5])))
 
 
+def test_copies_of_one_page_leave_room_in_the_dictionary(spark, monkeypatch, tmp_path):
+    """The sample is of distinct pages: a page with most rows is one of them, and the others are picked all the same."""
+    seen = []
+    monkeypatch.setattr(warc, "SAMPLE_ROWS", 50)
+    monkeypatch.setattr(warc, "build_dictionary", lambda samples, real=warc.build_dictionary: seen.append(samples) or real(samples))
+    rows = [(k, "u", "<p>copy</p>") for k in range(5000)] + [(9000 + k, f"u{k}", f"<p>page {k}</p>" * 9) for k in range(100)] + [(None, None, None)] * 30
+    warc.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string"), str(tmp_path))
+    assert 25 <= len(seen[0]) <= 80 and sum(b"page " in s for s in seen[0]) >= 20
+
+
 def test_dictionary_holds_records_and_ids_are_unique(spark):
     pages = warc_pages(spark)
     archives = warc.write_archives(pages, warc.archive_folder(pages)).collect()
