@@ -28,6 +28,7 @@ BLOCK = frozenset(
     "html body head address article aside blockquote center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul caption option".split()
 )
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+_PARAGRAPH, _PARAGRAPHS = ({"p"}, BLOCK - {"p"}), ({"p"} | HEADINGS, BLOCK - {"p"} - HEADINGS)
 #: An opening tag ends these open elements: an element, and where the search for it stops.
 IMPLIED = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
 
@@ -146,8 +147,10 @@ class Page:
 
         Looked up by tag, so that the depth of the page does not matter.
         """
-        last = max((self.places[t][-1] for t in ended if self.open[t]), default=-1)
-        return -1 if last < max((self.places[t][-1] for t in stop if self.open[t]), default=-1) else last
+        last = max([self.places[t][-1] for t in ended if self.open[t]], default=-1)
+        if last < 0:
+            return -1
+        return -1 if last < max([self.places[t][-1] for t in stop if self.open[t]], default=-1) else last
 
     def start(self, tag: str, attributes: str) -> None:
         if self.open["head"] and tag not in IN_HEAD and (k := self._nearest({"head"}, set())) >= 0:
@@ -161,8 +164,7 @@ class Page:
             return
         if tag in BLOCK and tag not in ("html", "body"):
             # a block ends an open paragraph or heading and the inline elements in it
-            ends = {"p"} | HEADINGS if tag == "p" or tag in HEADINGS else {"p"}
-            if (k := self._nearest(ends, BLOCK - ends)) >= 0:
+            if (k := self._nearest(*(_PARAGRAPHS if tag == "p" or tag in HEADINGS else _PARAGRAPH))) >= 0:
                 self.close(k)
         if tag in IMPLIED and (k := self._nearest(*IMPLIED[tag])) >= 0:
             self.close(k)
