@@ -13,6 +13,8 @@ from millrace.core.scratch import materialize
 
 #: Bits by which a pass of ``group_quantiles`` narrows the cell of a rank, and parts over which a cell's rows are dealt.
 CELL_BITS, CELL_PARTS = 16, 16
+#: Binary logarithm of the distinct values up to which a cell is put in order.
+ORDERED_BITS = 16
 #: Ranges into which distinct values are dealt.
 RANGES = 512
 
@@ -101,13 +103,22 @@ def _inside(rows: DataFrame, cells: DataFrame, low: int) -> DataFrame:
     return placed.join(dealt, ["g", "prefix", "part"], "left_semi").drop("part")
 
 
+def _wanted_of(counted: DataFrame) -> DataFrame:
+    """The rows of ``counted`` (with ``n`` and ``upto``) in which a wanted rank lies; ranks count from the start of the row."""
+    begun = F.col("upto") - F.col("n")
+    here = F.filter("wanted", lambda x: (x.place >= F.col("begun")) & (x.place < F.col("upto")))
+    here = F.transform(here, lambda x: F.struct(x.k.alias("k"), (x.place - F.col("begun")).alias("place")))
+    return counted.withColumn("begun", begun).withColumn("wanted", here).where(F.size("wanted") > 0)
+
+
 def group_quantiles(df: DataFrame, by: list[str], value: str, shares: list[float], support: int = 1) -> DataFrame:
     """``by, n, q0, q1 ...``: exact quantiles (linear between values) of the non-null ``value`` of every group at once.
 
     Values are counted by (group, value), then found by their bits: a pass counts each group's values by their next 16
-    bits and keeps the cells in which a wanted rank lies, until a cell holds one value (four passes at most). A task
-    sums at most 65,536 cells of a group and never its values; a cell with many values is dealt over several tasks.
-    Groups with fewer than ``support`` values are left out; null is a group; NaN is the largest value.
+    bits and keeps the cells in which a wanted rank lies (four passes at most). A cell of up to 65,536 distinct values is
+    put in order; a larger one is split by its next bits. So a task orders or sums at most 65,536 rows of a group, never
+    all its values; a cell with many values is dealt over several tasks before it is split. Groups with fewer than
+    ``support`` values are left out; null is a group; NaN is the largest value.
     """
     group = F.struct(*[F.col(f"`{c}`") for c in by]) if by else F.struct(F.lit(0).alias("all"))
     counts = df.where(F.col(f"`{value}`").isNotNull()).select(group.alias("g"), F.col(f"`{value}`").cast("double").alias("v")).groupBy("g", "v").agg(F.count("*").alias("n"))
@@ -117,7 +128,7 @@ def group_quantiles(df: DataFrame, by: list[str], value: str, shares: list[float
     for low in range(64 - CELL_BITS, -1, -CELL_BITS):
         keys = ["g"] if cells is None else ["g", "prefix"]
         w = W.partitionBy(*keys)
-        summed = rows.withColumn("next", F.shiftright("bits", low) if low else F.col("bits")).groupBy(*keys, "next").agg(F.sum("n").alias("n"), F.min("v").alias("least"), F.max("v").alias("most"))
+        summed = rows.withColumn("next", F.shiftright("bits", low) if low else F.col("bits")).groupBy(*keys, "next").agg(F.sum("n").alias("n"), F.count("*").alias("values"), F.min("v").alias("least"))
         summed = summed.withColumn("upto", F.sum("n").over(w.orderBy("next").rowsBetween(W.unboundedPreceding, 0)))
         if cells is None:
             place = [f(F.lit(float(q)) * (F.col("total") - 1)) for q in shares for f in (F.floor, F.ceil)]
@@ -125,11 +136,14 @@ def group_quantiles(df: DataFrame, by: list[str], value: str, shares: list[float
             summed = summed.withColumn("total", F.sum("n").over(w)).where(F.col("total") >= support).withColumn("wanted", wanted)
         else:
             summed = summed.join(cells, keys)
-        here = F.transform(F.filter("wanted", lambda x: (x.place >= F.col("begun")) & (x.place < F.col("upto"))), lambda x: F.struct(x.k.alias("k"), (x.place - F.col("begun")).alias("place")))
-        kept = materialize(summed.withColumn("begun", F.col("upto") - F.col("n")).select("g", F.col("next").alias("prefix"), "total", "least", "most", here.alias("wanted")).where(F.size("wanted") > 0), "quantile-cells")
-        one = F.col("least") == F.col("most")
+        kept = materialize(_wanted_of(summed).select("g", F.col("next").alias("prefix"), "total", "values", "least", "wanted"), "quantile-cells")
+        one, small = F.col("values") == 1, F.col("values") <= 1 << ORDERED_BITS
         found.append(kept.where(one).select("g", "total", F.col("least").alias("v"), F.explode("wanted.k").alias("k")))
-        cells = kept.where(~one).select("g", "prefix", "total", "wanted")
+        upto = F.sum("n").over(W.partitionBy("g", "prefix").orderBy("bits").rowsBetween(W.unboundedPreceding, 0))
+        few = kept.where(~one & small).select("g", "prefix", "total", "wanted")
+        in_order = _wanted_of(_inside(rows, few, low).withColumn("upto", upto).join(few, ["g", "prefix"]))
+        found.append(in_order.select("g", "total", "v", F.explode("wanted.k").alias("k")))
+        cells = kept.where(~small).select("g", "prefix", "total", "wanted")
         if cells.isEmpty():
             break
         rows = _inside(rows, cells, low)

@@ -26,7 +26,10 @@ def test_bits_keep_the_order_of_doubles(spark):
     assert spark.range(1).select(ordered.bits(F.lit(float("nan"))).alias("b")).first()["b"] > max(r["b"] for r in got)
 
 
-def test_group_quantiles(spark):
+@pytest.mark.parametrize("room", [16, 2])
+def test_group_quantiles(spark, monkeypatch, room):
+    """With cells that are put in order, and with ones that are split down to single values."""
+    monkeypatch.setattr(ordered, "ORDERED_BITS", room)
     rng = random.Random(2)
     draw = lambda: rng.choice([rng.gauss(0, 1), float(rng.randrange(4)), 1e300 * rng.random(), -1e-310 * rng.random(), None, 7.25])
     rows = [(rng.choice(["a", "b", None]), rng.randrange(2), draw()) for _ in range(3000)] + [("one", 0, -3.5), ("none", 0, None), ("inf", 0, float("inf")), ("inf", 0, float("-inf")), ("inf", 1, float("nan"))]
