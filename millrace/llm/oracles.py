@@ -24,13 +24,20 @@ m as (
 f as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from m),
 v as (
   select doc_id, lang, source, r.rule as rule, r.low as low,
+         cast(floor(case r.rule when 'symbols' then 1000 * sqrt(n_symbols) / sqrt(n_words)
+                    when 'dup_lines' then 1000 * sqrt(n_dup_lines) / sqrt(n_lines)
+                    when 'repeats' then 1000 * sqrt(n_repeat_words) / sqrt(n_words)
+                    else 1000 * word_chars / n_words end) as bigint) as val,
          cast(floor(case r.rule when 'symbols' then 1000 * greatest(sqrt(n_symbols) - 2, 0.0e0) / sqrt(n_words)
                     when 'dup_lines' then 1000 * greatest(sqrt(n_dup_lines) - 2, 0.0e0) / sqrt(n_lines)
                     when 'repeats' then 1000 * greatest(sqrt(n_repeat_words) - 2, 0.0e0) / sqrt(n_words)
-                    else 1000 * word_chars / n_words end) as bigint) as val
+                    else 1000 * word_chars / n_words end) as bigint) as least
   from f, (values ('symbols', false), ('dup_lines', false), ('repeats', false), ('long_words', false), ('short_words', true)) r(rule, low)
   where not base_failed),
-c as (select *, (val >> greatest(0, length(bin(val)) - 6)) << greatest(0, length(bin(val)) - 6) as cell from v),
+c as (
+  select *, (val >> greatest(0, length(bin(val)) - 6)) << greatest(0, length(bin(val)) - 6) as cell,
+         (least >> greatest(0, length(bin(least)) - 6)) << greatest(0, length(bin(least)) - 6) as least_cell
+  from v),
 sg as (select lang, source, rule, cell, cast(count(*) as hugeint) as n from c group by all),
 sl as (select lang, rule, cell, cast(count(*) as hugeint) as n from c group by all),
 sa as (select rule, cell, cast(count(*) as hugeint) as n from c group by all),
@@ -47,16 +54,15 @@ w as (
   group by all),
 u as (select *, sum(w) over (partition by lang, source, rule order by cell) as upto, sum(w) over (partition by lang, source, rule) as total from w),
 q as (
-  select lang, source, rule, min(case when 1000 * upto >= 1 * total then cell end) as q001, min(case when 1000 * upto >= 100 * total then cell end) as q10,
-         min(case when 1000 * upto >= 500 * total then cell end) as q50, min(case when 1000 * upto >= 900 * total then cell end) as q90,
-         min(case when 1000 * upto >= 999 * total then cell end) as q999
+  select lang, source, rule, min(case when 1000 * upto >= 100 * total then cell end) as q10, min(case when 1000 * upto >= 500 * total then cell end) as q50,
+         min(case when 1000 * upto >= 900 * total then cell end) as q90
   from u group by all),
 pick as (
-  select gr.lang, gr.source, gr.rule, case when low then q10 - greatest(4 * (q50 - q10), floor((q10 - q001) / 2)) else q90 + greatest(4 * (q90 - q50), floor((q999 - q90) / 2)) end as bound
+  select gr.lang, gr.source, gr.rule, case when low then q10 - 4 * (q50 - q10) else q90 + 4 * (q90 - q50) end as bound
   from q join gr on q.rule = gr.rule and q.lang is not distinct from gr.lang and q.source is not distinct from gr.source),
 bad as (
   select v.doc_id from c v join pick p on v.rule = p.rule and v.lang is not distinct from p.lang and v.source is not distinct from p.source
-  where case when v.low then v.cell < p.bound else v.cell > p.bound end group by v.doc_id)
+  where case when v.low then v.least_cell < p.bound else v.least_cell > p.bound end group by v.doc_id)
 select f.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and bad.doc_id is null as kept
 from f left join bad on f.doc_id = bad.doc_id
 """

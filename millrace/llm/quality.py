@@ -16,31 +16,35 @@ SYMBOLS = "#*$%&|<>"
 
 @dataclass(frozen=True)
 class Rule:
-    """A measure (a whole number), and whether low values are the bad ones."""
+    """A measure, the measure at its least once chance is allowed for, and whether low values are the bad ones."""
 
     name: str
     measure: str
+    least: str
     low: bool = False
 
 
-def _rate(count: str, of: str) -> str:
-    """1000 times the root of a rate, less four standard deviations of the root of the count (each is a half)."""
-    return f"1000 * greatest(sqrt({count}) - 2, 0.0e0) / sqrt({of})"
+def _rate(name: str, count: str, of: str) -> Rule:
+    """1000 times the root of a rate; at its least, the root of the count is four standard deviations lower (each a half)."""
+    return Rule(name, f"1000 * sqrt({count}) / sqrt({of})", f"1000 * greatest(sqrt({count}) - 2, 0.0e0) / sqrt({of})")
 
 
-#: A document fails where a measure lies beyond the bound of its language and source; see ``bound_of``.
+_LENGTH = "1000 * word_chars / n_words"
+#: A document fails where a measure, at its least, lies beyond the bound of its language and source; see ``bound_of``.
+#: Sketches hold the measures as they are, so what is usual in a group (some repeated lines, say) raises its bound.
 RULES = (
-    Rule("symbols", _rate("n_symbols", "n_words")),
-    Rule("dup_lines", _rate("n_dup_lines", "n_lines")),
-    Rule("repeats", _rate("n_repeat_words", "n_words")),
-    Rule("long_words", "1000 * word_chars / n_words"),
-    Rule("short_words", "1000 * word_chars / n_words", low=True),
+    _rate("symbols", "n_symbols", "n_words"),
+    _rate("dup_lines", "n_dup_lines", "n_lines"),
+    _rate("repeats", "n_repeat_words", "n_words"),
+    Rule("long_words", _LENGTH, _LENGTH),
+    Rule("short_words", _LENGTH, _LENGTH, low=True),
 )
 #: Documents of its language that are merged, by weight, into the sketch of a group, and of all into that of a language.
 PRIOR_ROWS = 200
-#: Quantiles of a sketch, per mille: the middle, where the tail begins, and its end (from the other side for ``low``).
-MIDDLE, TAIL, END = 500, 900, 999
-#: Times the distance from the middle to the tail's beginning that a bound lies beyond that, at least.
+#: Quantiles of a sketch, per mille: the middle, and where the tail begins (from the other side for ``low``).
+MIDDLE, TAIL = 500, 900
+#: Times the distance from the middle to the tail's beginning that a bound lies beyond that. Of measures with an exponential
+#: tail one document in 6,000 is beyond it, of normal ones none; a group may have up to a tenth of bad documents.
 SPREAD = 4
 
 
@@ -99,7 +103,7 @@ def _quantiles(weights: Column) -> tuple[Column, Column]:
     kind = "decimal(38,0)"
     zero = F.lit(0).cast(kind)
     total = F.aggregate(weights, zero, lambda s, x: (s + x.w).cast(kind))
-    names = {"low_end": 1000 - END, "low_tail": 1000 - TAIL, "middle": MIDDLE, "tail": TAIL, "end": END}
+    names = {"low_tail": 1000 - TAIL, "middle": MIDDLE, "tail": TAIL}
     start = F.struct(zero.alias("upto"), *[F.lit(None).cast("long").alias(n) for n in names])
 
     def step(at: Column, x: Column) -> Column:
@@ -112,11 +116,10 @@ def _quantiles(weights: Column) -> tuple[Column, Column]:
 
 
 def bound_of(q: Column, low: bool) -> Column:
-    """The bound from quantiles: beyond the tail's beginning by SPREAD times its distance from the middle, or by half the
-    distance to the tail's end where that is more, so that a measure that is nearly always nought has a bound too."""
+    """The bound from quantiles: beyond the tail's beginning by SPREAD times its distance from the middle."""
     if low:
-        return q.low_tail - F.greatest(SPREAD * (q.middle - q.low_tail), F.floor((q.low_tail - q.low_end) / 2))
-    return q.tail + F.greatest(SPREAD * (q.tail - q.middle), F.floor((q.end - q.tail) / 2))
+        return q.low_tail - SPREAD * (q.middle - q.low_tail)
+    return q.tail + SPREAD * (q.tail - q.middle)
 
 
 def thresholds(sketch: DataFrame, rules: tuple[Rule, ...] = RULES, prior_rows: int = PRIOR_ROWS) -> DataFrame:
@@ -151,7 +154,7 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     """Return the measures of each row of ``docs`` with ``base_failed, kept``.
 
     ``base_failed``: fewer than 50 words, or more than half of the words in repeated windows. Sketches are made of the
-    rows that pass that. ``kept``: passes it and no measure lies beyond its group's threshold. Null text has no words;
+    rows that pass that. ``kept``: passes it and no measure, at its least, lies beyond its group's threshold. Null text has no words;
     null languages and sources are groups; repeated rows get equal answers; an empty table gives an empty result.
     """
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
@@ -163,6 +166,6 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     joined = measured.join(limits, F.col("lang").eqNullSafe(F.col("__lang")) & F.col("source").eqNullSafe(F.col("__source")), "left")
     fine = F.lit(True)
     for r in rules:
-        cell = _cell(F.expr(f"case when n_words > 0 and n_lines > 0 then floor({r.measure}) end"))
+        cell = _cell(F.expr(f"case when n_words > 0 and n_lines > 0 then floor({r.least}) end"))
         fine = fine & (cell >= F.col(f"__{r.name}") if r.low else cell <= F.col(f"__{r.name}"))
     return joined.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & F.coalesce(fine, F.lit(False))).alias("kept"))

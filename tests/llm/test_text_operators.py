@@ -211,6 +211,36 @@ def test_quality_bounds_follow_their_group(spark):
     assert sum(got[k] for k in range(1500)) >= 1490 and sum(got[2000 + k] for k in range(1500)) >= 1490
 
 
+def test_quality_bound_of_repeated_lines_follows_its_group(spark):
+    """A text with many repeated lines stays where they are usual and goes where they are not; a few stay in both."""
+    rng = random.Random(9)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 9))) for _ in range(8000)]
+    line = lambda: " ".join(rng.choice(words) for _ in range(2))  # noqa: E731; windows of three words do not repeat with it
+
+    def text(n, again):
+        lines = [line() for _ in range(n - again)]
+        return "\n".join(lines + rng.sample(lines[::2], again))
+
+    rows = [(k, text(40, 0), "en", "plain") for k in range(2400)] + [(3000 + k, text(40, rng.randint(0, 9)), "en", "song") for k in range(800)]
+    rows += [(5000, many := text(40, 8), "en", "plain"), (5001, many, "en", "song"), (5002, few := text(40, 3), "en", "plain"), (5003, few, "en", "song")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r["doc_id"]: r["kept"] for r in quality.judge(docs).collect()}
+    assert not got[5000] and got[5001] and got[5002] and got[5003]
+    assert all(got[k] for k in range(2400)) and sum(got[3000 + k] for k in range(800)) >= 790
+    bounds = {r["source"]: r["dup_lines"] for r in quality.thresholds(quality.sketches(quality.measures(docs))).collect()}
+    assert bounds["song"] > bounds["plain"] + 300
+
+
+def test_quality_drops_few_of_an_exponential_tail(spark):
+    """Of a measure with an exponential tail about one document in 6,000 is beyond its bound; of a normal one none, at either end."""
+    rng = np.random.default_rng(4)
+    for values, most in ((rng.exponential(2000.0, 60_000), 1 / 2000), (rng.normal(9000.0, 1000.0, 60_000), 0.0)):
+        rows = spark.createDataFrame([("en", "s", int(v)) for v in values], "lang string, source string, v long")
+        rules = (quality.Rule("up", "v", "v"), quality.Rule("down", "v", "v", low=True))
+        bounds = quality.thresholds(quality.sketches(rows, rules), rules).first()
+        assert np.mean((values > bounds["up"] * 1.04) | (values < bounds["down"] * 0.96)) <= most
+
+
 def test_sketch_cells_merge(spark):
     values = spark.range(3000).select((F.col("id") * 7).alias("v"))
     cells = [(r["v"], r["c"]) for r in values.select("v", quality._cell(F.col("v")).alias("c")).collect()]
