@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 import pyarrow as pa
@@ -28,8 +28,6 @@ STEP = 4
 #: Texts are encoded in blocks of so many bytes, so that the dictionary stays in reach.
 BLOCK_BYTES = 32 << 10
 LEVEL = 6
-#: Texts up to so many bytes are parsed for the fewest bits (slower), as a byte more or less decides there.
-SHORT_BYTES = 1 << 10
 #: Below this share of the second size, the lead of the best language is too narrow.
 MIN_MARGIN = 0.01
 
@@ -114,8 +112,8 @@ class Classifier:
     def __init__(self, dictionaries: dict[str, bytes], level: int = LEVEL) -> None:
         self.dictionaries = dictionaries
         plain = {"write_content_size": False, "write_checksum": False, "write_dict_id": False}
-        self.params = [zstandard.ZstdCompressionParameters.from_level(level, **plain, **more) for more in ({}, {"strategy": zstandard.STRATEGY_BTOPT})]
-        self.encoders: dict[tuple[str, int, bool], zstandard.ZstdCompressor] = {}
+        self.params = zstandard.ZstdCompressionParameters.from_level(level, **plain)
+        self.encoders: dict[tuple[str, int], Callable[[bytes], bytes]] = {}
         longest = max((len(d) for d in dictionaries.values()), default=1)
         steps: dict[int, list[str]] = {}
         for name in sorted(dictionaries):
@@ -126,12 +124,11 @@ class Classifier:
         self.steps = sorted(steps.items(), reverse=True)
 
     def _size(self, blocks: list[bytes], name: str, length: int) -> int:
-        short = len(blocks) == 1 and len(blocks[0]) <= SHORT_BYTES
-        encode = self.encoders.get((name, length, short))
+        encode = self.encoders.get((name, length))
         if encode is None:
             content = zstandard.ZstdCompressionDict(self.dictionaries[name][:length], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            content.precompute_compress(compression_params=self.params[short])
-            encode = self.encoders[name, length, short] = zstandard.ZstdCompressor(dict_data=content, compression_params=self.params[short]).compress
+            content.precompute_compress(compression_params=self.params)
+            encode = self.encoders[name, length] = zstandard.ZstdCompressor(dict_data=content, compression_params=self.params).compress
         return sum(len(encode(b)) for b in blocks)
 
     def __call__(self, text: str | None) -> tuple[str, float]:
