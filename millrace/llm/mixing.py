@@ -99,14 +99,16 @@ def _plan(sizes: DataFrame, targets: DataFrame, most: int) -> DataFrame:
 def _ranked(sizes: DataFrame, plan: DataFrame, seed: str) -> DataFrame:
     """``sizes`` with its stratum's plan, the inclusion probability of one copy more, and the Pareto rank in (0, 1).
 
-    The probabilities of a stratum are proportional to its documents' favours and sum to its sample's size ``more``.
+    The probabilities of a stratum sum to its sample's size ``more``. Up to half of the rows they are proportional to
+    its documents' favours; of more than half, the chances of being left out fall with the favour by the same shares,
+    so that none reaches 1 (favours in a stratum, which is 1/8 wide in length, differ by far less than a factor of 2).
     The rank is x / (1 + x), where x is the random odds over the inclusion odds, times the odds of the stratum's mean
     probability: that keeps the order of a stratum and spreads its ranks evenly.
     """
     other = plan.withColumnsRenamed({"source": "__source", "stratum": "__stratum"})
     rows = sizes.join(other, F.col("source").eqNullSafe(F.col("__source")) & (_stratum(F.col("size")) == F.col("__stratum")), "left")
-    p = F.least(F.lit(1 - 1e-9), F.col("more") * _favour(F.col("size")) / F.col("favours"))
     mean = F.col("more") / F.col("rows")
+    p = mean + F.least(mean, 1 - mean) * (_favour(F.col("size")) * F.col("rows") / F.col("favours") - 1)
     u = unit_hash(F.col("key"), seed=seed)
     x = (u / (1 - u)) / (p / (1 - p)) * (mean / (1 - mean))
     return rows.withColumn("inclusion", F.when(F.col("more") > 0, p).otherwise(F.lit(0.0))).withColumn("rank", F.when(F.col("more") > 0, x / (1 + x)))

@@ -318,6 +318,17 @@ def test_mix_inclusion_rates(spark):
         assert abs(sum(taken) / len(taken) - p) < 4 * (p * (1 - p) / len(taken)) ** 0.5 + 0.02
 
 
+def test_mix_inclusion_sums_to_the_sample(spark):
+    """The probabilities sum to the sample's size, also where all but one are drawn; longer documents have the larger ones."""
+    sizes = spark.range(1000).select("id", F.lit("s").alias("source"), (F.lit(16) + F.col("id") % 2).alias("size"), F.xxhash64("id").alias("key"))
+    favours = sizes.agg(F.sum(mixing._favour(F.col("size")))).first()[0]
+    for more in (1, 400, 500, 501, 980, 999):
+        plan = spark.createDataFrame([("s", 16, 1000, favours, 0, more)], "source string, stratum long, rows long, favours long, copies int, more long")
+        got = mixing._ranked(sizes, plan, "x").groupBy("size").agg(F.sum("inclusion").alias("sum"), F.min("inclusion").alias("low"), F.max("inclusion").alias("high")).orderBy("size").collect()
+        assert sum(r["sum"] for r in got) == pytest.approx(more)
+        assert 0 < got[0]["low"] == got[0]["high"] < got[1]["low"] == got[1]["high"] < 1
+
+
 def test_mix_on_odd_rows(spark):
     docs = odd_docs(spark)
     got = mixing.mix(docs).collect()
