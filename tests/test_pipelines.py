@@ -11,6 +11,7 @@ import sys
 import pytest
 from pyspark.sql import functions as F
 
+from millrace import catalog
 from millrace.operators import encoding, models
 
 
@@ -85,3 +86,20 @@ def test_saved_baseline(spark, tmp_path):
     fitted.save(spark, str(tmp_path / "m"))
     again = models.Fitted.load(spark, str(tmp_path / "m"))
     assert again == fitted and again.predict(df).select(F.count_distinct("prediction")).first()[0] == 1
+
+
+def test_weights_of_fitted_rows_need_no_vocabulary_on_the_driver(spark, sf, monkeypatch):
+    """The query brings two sums to the driver, and gives the weights of a vocabulary that is sent, over several chunks."""
+    docs, brought = spark.read.parquet(f"{sf}/documents.parquet"), []
+    collect = type(docs).collect
+    wide = encoding.fit_tfidf(docs, "text").weights(docs, "doc_id", "text", 1 << 30)
+    want = {(r["doc_id"], r["term"]): pytest.approx(r["weight"], abs=2e-6) for r in wide.collect()}
+    monkeypatch.setattr(encoding, "CHUNK_BYTES", 1 << 16)
+    monkeypatch.setattr(type(docs), "collect", lambda df: brought.append(len(found := collect(df))) or found)
+    out = catalog.queries()["tfidf_weights"](spark, sf)
+    assert sum(brought) <= 2
+    monkeypatch.undo()
+    got = out.collect()
+    assert len(got) == len(want) and {(r["doc_id"], r["term"]): r["weight"] for r in got} == want
+    narrow = encoding.fit_tfidf(docs, "text").weights(docs, "doc_id", "text", 0).collect()
+    assert len(narrow) == len(want) and {(r["doc_id"], r["term"]): r["weight"] for r in narrow} == want
