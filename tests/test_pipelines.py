@@ -8,6 +8,7 @@ import random
 import subprocess
 import sys
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -103,3 +104,21 @@ def test_weights_of_fitted_rows_need_no_vocabulary_on_the_driver(spark, sf, monk
     assert len(got) == len(want) and {(r["doc_id"], r["term"]): r["weight"] for r in got} == want
     narrow = encoding.fit_tfidf(docs, "text").weights(docs, "doc_id", "text", 0).collect()
     assert len(narrow) == len(want) and {(r["doc_id"], r["term"]): r["weight"] for r in narrow} == want
+
+
+def test_ridge_is_solved_by_its_normal_equations(spark):
+    """One pass over the rows gives the closed form; terms are counted by text, as by row."""
+    rng = random.Random(5)
+    data = [(rng.gauss(0, 1), rng.choice(["red box", "red red tin", "blue", "blue box", None]), rng.gauss(4, 1)) for _ in range(400)]
+    df = spark.createDataFrame([(x, t, y + x + len(t or "")) for x, t, y in data], "x double, t string, y double")
+    fitted = models.fit(df, encoding.FeatureSet("r", "ridge", numbers=("x",), text="t"), "y", {"alpha": 30.0})
+    assert fitted.model.getSolver() == "normal"
+    made = fitted.features.transform(df).select("features", "y").collect()
+    a, b = np.array([r["features"].toArray() for r in made]), np.array([r["y"] for r in made])
+    centred = a - a.mean(axis=0)
+    want = np.linalg.solve(centred.T @ centred + 30.0 * np.eye(a.shape[1]), centred.T @ (b - b.mean()))
+    assert fitted.model.coefficients.toArray() == pytest.approx(want, abs=1e-8)
+    terms = df.select(encoding.text_tokens(F.col("t")).alias("w"), "t")
+    maker = encoding.Terms("t", "w2")
+    want = sorted(collections.Counter(w for r in terms.collect() for w in set(r["w"])).items(), key=lambda x: (-x[1], x[0]))
+    assert encoding.term_counts(terms, "w") == encoding.term_counts(terms, "w2", made_by=maker) == (want, 400)
